@@ -130,6 +130,129 @@ def q_avg_rating_weighted(spark, d):
     return finish(S.top_k(w, [F.col("avg_rating").desc(), F.col("product_id")], 10))
 
 
+# ============================================================ review-level EDA
+def _names(spark, d):
+    return B.products(spark, d).select("product_id", "product_name")
+
+
+def q_product_scores(spark, d):
+    m = S.product_metrics(B.reviews_scored(spark, d))
+    return finish(m.join(_names(spark, d), "product_id", "left")
+                   .select("product_id", "product_name", "mean_score", "mean_helpful", "review_cnt"))
+
+
+def _review_counts(spark, d):
+    return B.reviews_scored(spark, d).groupBy("product_id").agg(F.count(F.lit(1)).alias("review_cnt"))
+
+
+def q_top_products_by_reviews(spark, d):
+    top = S.top_k(_review_counts(spark, d), [F.col("review_cnt").desc(), F.col("product_id")], 6)
+    j = top.join(_names(spark, d), "product_id", "left")
+    return finish(j.select("rank", "product_id",
+                           F.coalesce("product_name", F.col("product_id").cast("string")).alias("name"),
+                           "review_cnt"))
+
+
+def q_top_products_monthly(spark, d):
+    rv = B.reviews_scored(spark, d)
+    top = S.top_k(_review_counts(spark, d), [F.col("review_cnt").desc(), F.col("product_id")], 5)
+    sel = rv.join(top.select("product_id"), "product_id", "left_semi")
+    out = sel.groupBy("product_id", F.date_format("date", "yyyy-MM").alias("month")).agg(
+        F.count(F.lit(1)).alias("review_cnt"), F.avg("score").alias("mean_score"),
+        *[F.count_if(F.col("score") == k).alias(f"s{k}") for k in range(1, 6)])
+    return finish(out)
+
+
+def q_score_share(spark, d):
+    return finish(S.value_share(B.reviews_scored(spark, d), "score"))
+
+
+def q_helpful_by_score(spark, d):
+    rv = B.reviews_scored(spark, d).withColumn("helpful", F.coalesce(F.col("helpful_count"), F.lit(0)))
+    return finish(S.describe(rv, "helpful", (0.25, 0.5, 0.75), keys=["score"]))
+
+
+def q_score_correlations(spark, d):
+    rv = B.reviews_scored(spark, d).withColumn("helpful", F.coalesce("helpful_count", F.lit(0)))
+    per = S.product_metrics(rv, helpful="helpful")
+    r_means = per.agg(F.corr("mean_score", "mean_helpful")).scalar()
+    out = rv.agg(F.corr("score", "helpful").alias("r_score_helpful"),
+                 F.corr(F.col("score").cast("double"), F.col("has_image").cast("int").cast("double"))
+                 .alias("r_score_image"))
+    return finish(out.select("*", r_means.alias("r_product_means")))
+
+
+def q_rating_heatmap_top(spark, d):
+    piv = S.pivot_counts(B.reviews_scored(spark, d), "product_id", "score", [1, 2, 3, 4, 5], "s")
+    piv = piv.withColumn("total", sum((F.col(f"s{k}") for k in range(1, 6)), F.lit(0)))
+    top = S.top_k(piv, [F.col("total").desc(), F.col("product_id")], 10)
+    j = top.join(_names(spark, d), "product_id", "left") \
+        .withColumn("short_name", F.substring("product_name", 1, 30)).drop("product_name")
+    return finish(j)
+
+
+def q_monthly_mean_score(spark, d):
+    return finish(S.monthly_series(B.reviews_scored(spark, d), "date", ["product_id"], "score", "mean"))
+
+
+def q_monthly_review_count(spark, d):
+    return finish(S.monthly_series(B.reviews_scored(spark, d), "date", ["product_id"], None, "count"))
+
+
+def q_dataset_totals(spark, d):
+    rv = B.reviews_scored(spark, d)
+    row = rv.agg(F.countDistinct("product_id").alias("products"), F.count(F.lit(1)).alias("reviews"),
+                 F.count_if(F.col("l_returnflag") != "N").alias("text_reviews"),
+                 *[F.count_if(F.col("score") == k).alias(f"rating_{k}") for k in range(1, 6)])
+    names = ["products", "reviews", "text_reviews"] + [f"rating_{k}" for k in range(1, 6)]
+    long = row.select(F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).cast("bigint")
+                                                   .alias("value")) for n in names])).alias("m"))
+    return finish(long.select("m.metric", "m.value"))
+
+
+def q_product_text_counts(spark, d):
+    rv = B.reviews_scored(spark, d)
+    content = F.col("l_returnflag") == "R"
+    title = F.col("l_linestatus") == "O"
+    return finish(rv.groupBy("product_id").agg(F.count(F.lit(1)).alias("total_count"),
+                                               F.count_if(content).alias("text_count"),
+                                               F.count_if(content | title).alias("with_text_count")))
+
+
+def _doc_lengths(spark, d):
+    docs = B.table(spark, d, "documents")
+    return docs.select("doc_id", "lang", F.length("text").alias("char_length"),
+                       F.size(B.doc_tokens("text")).alias("token_count"))
+
+
+def q_review_length_stats(spark, d):
+    lens = _doc_lengths(spark, d).where(F.col("char_length") > 0)
+    return finish(S.describe(lens, "char_length", (0.25, 0.5, 0.75), keys=["lang"]))
+
+
+def q_length_histogram(spark, d):
+    return finish(S.histogram(_doc_lengths(spark, d), "char_length", 50))
+
+
+def q_reviews_with_products(spark, d):
+    rv = B.reviews_scored(spark, d).select("product_id", "score")
+    parts = B.products(spark, d).where(F.col("total_reviews") <= 25).select("product_id", "brand")
+    j = rv.join(parts, "product_id", "left")
+    return finish(j.groupBy("brand").agg(F.count(F.lit(1)).alias("cnt"), F.avg("score").alias("mean_score")))
+
+
+def q_union_reviews(spark, d):
+    from ..operators.clean import union_sources
+    rv = B.reviews_scored(spark, d)
+    a = rv.where(F.col("l_returnflag") == "R").select("product_id", "score", "helpful_count", "has_image")
+    b = rv.where(F.col("l_returnflag") == "A").select("product_id", "score")
+    u = union_sources({"parquet": a, "json": b},
+                      defaults={"helpful_count": F.lit(0), "has_image": F.lit(False)})
+    return finish(u.groupBy("source").agg(
+        F.count(F.lit(1)).alias("cnt"), F.sum("helpful_count").cast("bigint").alias("helpful_sum"),
+        F.count_if("has_image").alias("image_cnt"), F.count("label").alias("labelled")))
+
+
 QUERIES = {
     "sentiment_keywords_overall": q_sentiment_keywords_overall,
     "sentiment_keywords_category": q_sentiment_keywords_category,
@@ -150,4 +273,19 @@ QUERIES = {
     "category_score_summary": q_category_score_summary,
     "data_quality_counters": q_data_quality_counters,
     "avg_rating_weighted": q_avg_rating_weighted,
+    "product_scores": q_product_scores,
+    "top_products_by_reviews": q_top_products_by_reviews,
+    "top_products_monthly": q_top_products_monthly,
+    "score_share": q_score_share,
+    "helpful_by_score": q_helpful_by_score,
+    "score_correlations": q_score_correlations,
+    "rating_heatmap_top": q_rating_heatmap_top,
+    "monthly_mean_score": q_monthly_mean_score,
+    "monthly_review_count": q_monthly_review_count,
+    "dataset_totals": q_dataset_totals,
+    "product_text_counts": q_product_text_counts,
+    "review_length_stats": q_review_length_stats,
+    "length_histogram": q_length_histogram,
+    "reviews_with_products": q_reviews_with_products,
+    "union_reviews": q_union_reviews,
 }

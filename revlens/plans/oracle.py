@@ -254,3 +254,113 @@ a AS (SELECT *, rating_5 + rating_4 + rating_3 + rating_2 + rating_1 AS total,
 rk AS (SELECT *, row_number() OVER (ORDER BY avg_rating DESC, product_id) AS rank FROM a WHERE avg_rating IS NOT NULL)
 SELECT product_id, rating_5, rating_4, rating_3, rating_2, rating_1, CAST(total AS BIGINT) AS total,
        round(avg_rating, 6) AS avg_rating, rank FROM rk WHERE rank <= 10"""
+
+# ------------------------------------------------------------------ review-level EDA
+SQL["product_scores"] = f"""WITH {RV},
+m AS (SELECT product_id, avg(score) AS mean_score, avg(coalesce(helpful_count, 0)) AS mean_helpful,
+             count(score) AS review_cnt FROM rv GROUP BY product_id)
+SELECT m.product_id, p.p_name AS product_name, round(mean_score, 6) AS mean_score,
+       round(mean_helpful, 6) AS mean_helpful, review_cnt
+FROM m LEFT JOIN part p ON p.p_partkey = m.product_id"""
+
+SQL["top_products_by_reviews"] = f"""WITH {RV},
+c AS (SELECT product_id, count(*) AS review_cnt FROM rv GROUP BY product_id),
+t AS (SELECT *, row_number() OVER (ORDER BY review_cnt DESC, product_id) AS rank FROM c)
+SELECT t.rank, t.product_id, coalesce(p.p_name, CAST(t.product_id AS VARCHAR)) AS name, t.review_cnt
+FROM t LEFT JOIN part p ON p.p_partkey = t.product_id WHERE t.rank <= 6"""
+
+SQL["top_products_monthly"] = f"""WITH {RV},
+c AS (SELECT product_id, count(*) AS review_cnt FROM rv GROUP BY product_id),
+t AS (SELECT product_id FROM c ORDER BY review_cnt DESC, product_id LIMIT 5)
+SELECT product_id, strftime(date, '%Y-%m') AS month, count(*) AS review_cnt, round(avg(score), 6) AS mean_score,
+       count(CASE WHEN score = 1 THEN 1 END) AS s1, count(CASE WHEN score = 2 THEN 1 END) AS s2,
+       count(CASE WHEN score = 3 THEN 1 END) AS s3, count(CASE WHEN score = 4 THEN 1 END) AS s4,
+       count(CASE WHEN score = 5 THEN 1 END) AS s5
+FROM rv WHERE product_id IN (SELECT product_id FROM t) GROUP BY ALL"""
+
+SQL["score_share"] = f"""WITH {RV},
+c AS (SELECT score, count(*) AS cnt FROM rv GROUP BY score)
+SELECT CAST(score AS BIGINT) AS score, cnt, round(cnt / sum(cnt) OVER (), 6) AS share FROM c"""
+
+SQL["helpful_by_score"] = f"""WITH {RV},
+h AS (SELECT score, coalesce(helpful_count, 0) AS helpful FROM rv)
+SELECT CAST(score AS BIGINT) AS score, count(helpful) AS count, round(avg(helpful), 6) AS mean,
+       round(stddev_samp(helpful), 6) AS std, round(CAST(min(helpful) AS DOUBLE), 6) AS min,
+       round(quantile_cont(helpful, 0.25), 6) AS p25, round(quantile_cont(helpful, 0.5), 6) AS p50,
+       round(quantile_cont(helpful, 0.75), 6) AS p75, round(CAST(max(helpful) AS DOUBLE), 6) AS max
+FROM h GROUP BY score"""
+
+SQL["score_correlations"] = f"""WITH {RV},
+h AS (SELECT product_id, score, coalesce(helpful_count, 0) AS helpful, CAST(has_image AS INTEGER) AS img FROM rv),
+pm AS (SELECT product_id, avg(score) AS ms, avg(helpful) AS mh FROM h GROUP BY product_id)
+SELECT round(corr(score, helpful), 6) AS r_score_helpful, round(corr(score, img), 6) AS r_score_image,
+       round((SELECT corr(ms, mh) FROM pm), 6) AS r_product_means
+FROM h"""
+
+SQL["rating_heatmap_top"] = f"""WITH {RV},
+pv AS (SELECT product_id,
+              count(CASE WHEN score = 1 THEN 1 END) AS s1, count(CASE WHEN score = 2 THEN 1 END) AS s2,
+              count(CASE WHEN score = 3 THEN 1 END) AS s3, count(CASE WHEN score = 4 THEN 1 END) AS s4,
+              count(CASE WHEN score = 5 THEN 1 END) AS s5, count(*) AS total
+       FROM rv GROUP BY product_id),
+t AS (SELECT *, row_number() OVER (ORDER BY total DESC, product_id) AS rank FROM pv)
+SELECT t.product_id, s1, s2, s3, s4, s5, total, rank, substr(p.p_name, 1, 30) AS short_name
+FROM t LEFT JOIN part p ON p.p_partkey = t.product_id WHERE rank <= 10"""
+
+_SPINE = """sp AS (SELECT product_id, CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE) AS month
+       FROM (SELECT product_id, min(month) AS lo, max(month) AS hi FROM per GROUP BY product_id))"""
+
+SQL["monthly_mean_score"] = f"""WITH {RV},
+per AS (SELECT product_id, CAST(date_trunc('month', date) AS DATE) AS month, avg(score) AS v
+        FROM rv WHERE date IS NOT NULL AND score IS NOT NULL GROUP BY ALL),
+{_SPINE}
+SELECT sp.product_id, last_day(sp.month) AS month_end, round(per.v, 6) AS mean
+FROM sp LEFT JOIN per ON per.product_id = sp.product_id AND per.month = sp.month"""
+
+SQL["monthly_review_count"] = f"""WITH {RV},
+per AS (SELECT product_id, CAST(date_trunc('month', date) AS DATE) AS month, count(*) AS v
+        FROM rv WHERE date IS NOT NULL GROUP BY ALL),
+{_SPINE}
+SELECT sp.product_id, last_day(sp.month) AS month_end, coalesce(per.v, 0) AS count
+FROM sp LEFT JOIN per ON per.product_id = sp.product_id AND per.month = sp.month"""
+
+SQL["dataset_totals"] = f"""WITH {RV},
+a AS (SELECT count(DISTINCT product_id) AS products, count(*) AS reviews,
+             count(CASE WHEN l_returnflag <> 'N' THEN 1 END) AS text_reviews,
+             count(CASE WHEN score = 1 THEN 1 END) AS rating_1, count(CASE WHEN score = 2 THEN 1 END) AS rating_2,
+             count(CASE WHEN score = 3 THEN 1 END) AS rating_3, count(CASE WHEN score = 4 THEN 1 END) AS rating_4,
+             count(CASE WHEN score = 5 THEN 1 END) AS rating_5 FROM rv)
+SELECT metric, CAST(value AS BIGINT) AS value FROM a
+UNPIVOT (value FOR metric IN (products, reviews, text_reviews, rating_1, rating_2, rating_3, rating_4, rating_5))"""
+
+SQL["product_text_counts"] = f"""WITH {RV}
+SELECT product_id, count(*) AS total_count, count(CASE WHEN l_returnflag = 'R' THEN 1 END) AS text_count,
+       count(CASE WHEN l_returnflag = 'R' OR l_linestatus = 'O' THEN 1 END) AS with_text_count
+FROM rv GROUP BY product_id"""
+
+SQL["review_length_stats"] = """WITH l AS (SELECT lang, length(text) AS char_length FROM documents WHERE length(text) > 0)
+SELECT lang, count(char_length) AS count, round(avg(char_length), 6) AS mean, round(stddev_samp(char_length), 6) AS std,
+       round(CAST(min(char_length) AS DOUBLE), 6) AS min, round(quantile_cont(char_length, 0.25), 6) AS p25,
+       round(quantile_cont(char_length, 0.5), 6) AS p50, round(quantile_cont(char_length, 0.75), 6) AS p75,
+       round(CAST(max(char_length) AS DOUBLE), 6) AS max
+FROM l GROUP BY lang"""
+
+SQL["length_histogram"] = """WITH l AS (SELECT CAST(length(text) AS DOUBLE) AS v FROM documents WHERE text IS NOT NULL),
+mm AS (SELECT min(v) AS lo, max(v) AS hi FROM l),
+b AS (SELECT v, CASE WHEN mm.hi = mm.lo THEN 1
+                     ELSE least(CAST(floor((v - mm.lo) * 50 / (mm.hi - mm.lo)) AS BIGINT) + 1, 50) END AS bucket
+      FROM l, mm)
+SELECT bucket, count(*) AS cnt, round(min(v), 6) AS bin_min, round(max(v), 6) AS bin_max FROM b GROUP BY bucket"""
+
+SQL["reviews_with_products"] = f"""WITH {RV},
+p AS (SELECT p_partkey, p_brand FROM part WHERE p_size <= 25)
+SELECT p.p_brand AS brand, count(*) AS cnt, round(avg(rv.score), 6) AS mean_score
+FROM rv LEFT JOIN p ON p.p_partkey = rv.product_id GROUP BY p.p_brand"""
+
+SQL["union_reviews"] = f"""WITH {RV},
+u AS (SELECT 'parquet' AS source, helpful_count, has_image, CAST(NULL AS INTEGER) AS label FROM rv WHERE l_returnflag = 'R'
+      UNION ALL
+      SELECT 'json', 0, false, CAST(NULL AS INTEGER) FROM rv WHERE l_returnflag = 'A')
+SELECT source, count(*) AS cnt, CAST(sum(helpful_count) AS BIGINT) AS helpful_sum,
+       count(CASE WHEN has_image THEN 1 END) AS image_cnt, count(label) AS labelled
+FROM u GROUP BY source"""
