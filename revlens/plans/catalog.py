@@ -253,6 +253,142 @@ def q_union_reviews(spark, d):
         F.count_if("has_image").alias("image_cnt"), F.count("label").alias("labelled")))
 
 
+# ============================================================ clean / reshape
+_LI_ITEM = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
+            "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+def _order_documents(spark, d):
+    """Orders as nested 'search documents': each order holds its line items
+    (<= 7, a bounded nest) sorted into a total order."""
+    li = B.table(spark, d, "lineitem")
+    nested = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(*_LI_ITEM))).alias("data"))
+    o = B.table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus",
+                                           "o_orderpriority")
+    return nested.join(o, "l_orderkey", "left")
+
+
+def q_unnest_products(spark, d):
+    from ..functions.parse import product_key
+    from ..operators.clean import unnest
+    u = unnest(_order_documents(spark, d), "data", ["l_orderkey", "o_orderstatus"], "product_pos", "p")
+    return finish(u.select("l_orderkey", "product_pos", F.col("p.l_partkey").alias("product_id"),
+                           product_key("o_orderstatus", F.lit("with"), "p.l_partkey").alias("product_key")))
+
+
+def q_flatten_reviews(spark, d):
+    from ..operators.clean import flatten_reviews
+    docs = _order_documents(spark, d).select(
+        "l_orderkey", "o_orderpriority",
+        F.struct(F.struct(F.col("data").alias("data")).alias("reviews")).alias("product"))
+    f = flatten_reviews(docs, ["l_orderkey", "o_orderpriority"])
+    return finish(f.select("l_orderkey", "review_pos", "l_partkey", "o_orderpriority",
+                           F.ceil(F.col("l_quantity") / 10).cast("int").alias("score")))
+
+
+def q_nullify_defaults(spark, d):
+    from ..operators.clean import nullify_defaults
+    rv = B.reviews_scored(spark, d).withColumn(
+        "flag", F.when(F.col("l_returnflag") == "N", F.lit("  ")).otherwise(F.col("l_returnflag")))
+    n = nullify_defaults(rv, string_cols=["flag"], zero_null=["l_discount"], false_null=["has_image"])
+    return finish(n.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("l_discount").isNull()).alias("null_discount"),
+                        F.count_if(F.col("flag").isNull()).alias("null_flag"),
+                        F.count_if(F.col("has_image").isNull()).alias("null_image")))
+
+
+def _text_roles(rv):
+    content = F.when(F.col("l_returnflag") == "R", F.col("l_linestatus")).otherwise(F.lit(" "))
+    full = F.when(F.col("l_returnflag") == "A", F.lit("x")).otherwise(F.lit(""))
+    return rv.withColumn("content", content).withColumn("full_text", full)
+
+
+def q_split_by_text(spark, d):
+    from ..operators.clean import has_text
+    rv = _text_roles(B.reviews_scored(spark, d)).withColumn("has_text", has_text())
+    return finish(rv.groupBy("has_text", "score").agg(F.count(F.lit(1)).alias("cnt")))
+
+
+def q_min_reviews_filter(spark, d):
+    from ..operators.clean import min_reviews_filter
+    keep = min_reviews_filter(B.reviews_scored(spark, d), B.products(spark, d))
+    return finish(keep.select("product_id", "product_name"))
+
+
+def q_min_declared_filter(spark, d):
+    from ..operators.clean import min_declared_filter
+    p = B.products(spark, d).withColumn("total_reviews", F.col("total_reviews").cast("string"))
+    return finish(min_declared_filter(p).select("product_id", "total_reviews"))
+
+
+def q_dedupe_reviews(spark, d):
+    from ..operators.clean import dedupe_reviews
+    rv = B.reviews_scored(spark, d)
+    k = dedupe_reviews(rv, "product_id", ["date", "l_suppkey"], B.LINEITEM_ORDER)
+    return finish(k.select("product_id", "date", "l_suppkey", "l_orderkey", "l_linenumber", "l_quantity"))
+
+
+def q_dedupe_products(spark, d):
+    from ..operators.clean import keep_first
+    return finish(keep_first(B.products(spark, d), ["product_name"], ["product_id"])
+                  .select("product_name", "product_id"))
+
+
+# ============================================================ sampling
+def q_stratified_quota(spark, d):
+    from ..operators.sampling import stratified_quota
+    rv = B.reviews_scored(spark, d)
+    q = stratified_quota(rv, ["product_id", "score"], B.LINEITEM_ORDER, target=3, share=0.25)
+    return finish(q.select("product_id", "score", "seq", "l_orderkey", "l_linenumber"))
+
+
+def q_cumulative_cap(spark, d):
+    from ..operators.sampling import cumulative_cap
+    items = _review_counts(spark, d).join(B.products(spark, d).select("product_id", "category"), "product_id")
+    out = cumulative_cap(items, ["category"], ["product_id"], "review_cnt", cap=2000)
+    return finish(out.select("category", "product_id", "review_cnt", "running_before"))
+
+
+# ============================================================ incremental
+def _processed_manifest(spark, d):
+    """Pages already handled: the https ones (a property of the data)."""
+    return B.table(spark, d, "pages").where(F.col("url").startswith("https:")).select("url")
+
+
+def q_incremental_new_only(spark, d):
+    from ..streaming.incremental import new_inputs
+    pages = B.table(spark, d, "pages").select("page_id", "url")
+    return finish(new_inputs(pages, _processed_manifest(spark, d), "url"))
+
+
+def q_incremental_backfill(spark, d):
+    from ..streaming.incremental import backfill
+    pages = B.table(spark, d, "pages").select("page_id", "url", F.length("html").alias("html_len"))
+    previous = pages.join(_processed_manifest(spark, d), "url", "left_semi")   # earlier run's output
+    fresh = pages.where(F.col("url").contains(".com"))                         # this run's inputs
+    return finish(backfill(previous, fresh, "url").select("page_id", "url", "html_len", "origin"))
+
+
+# ============================================================ scans
+def q_scan_parquet_count(spark, d):
+    from functools import reduce
+    parts = [B.table(spark, d, t).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(t).alias("table_name"), "rows")
+             for t in ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+                       "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]]
+    return finish(reduce(lambda a, b: a.unionByName(b), parts))
+
+
+def q_scan_filter_in(spark, d):
+    from ..sources.readers import filter_in
+    ids = B.table(spark, d, "part").where(F.col("p_brand") == "Brand#13").select("p_partkey")
+    li = filter_in(B.table(spark, d, "lineitem"), "l_partkey", ids)
+    return finish(li.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity"))
+
+
+def q_scan_json_props(spark, d):
+    ev = B.table(spark, d, "events").select(F.from_json("props", "k INT").alias("p"))
+    return finish(ev.groupBy(F.col("p.k").alias("k")).agg(F.count(F.lit(1)).alias("cnt")))
+
+
 QUERIES = {
     "sentiment_keywords_overall": q_sentiment_keywords_overall,
     "sentiment_keywords_category": q_sentiment_keywords_category,
@@ -288,4 +424,19 @@ QUERIES = {
     "length_histogram": q_length_histogram,
     "reviews_with_products": q_reviews_with_products,
     "union_reviews": q_union_reviews,
+    "unnest_products": q_unnest_products,
+    "flatten_reviews": q_flatten_reviews,
+    "nullify_defaults": q_nullify_defaults,
+    "split_by_text": q_split_by_text,
+    "min_reviews_filter": q_min_reviews_filter,
+    "min_declared_filter": q_min_declared_filter,
+    "dedupe_reviews": q_dedupe_reviews,
+    "dedupe_products": q_dedupe_products,
+    "stratified_quota": q_stratified_quota,
+    "cumulative_cap": q_cumulative_cap,
+    "incremental_new_only": q_incremental_new_only,
+    "incremental_backfill": q_incremental_backfill,
+    "scan_parquet_count": q_scan_parquet_count,
+    "scan_filter_in": q_scan_filter_in,
+    "scan_json_props": q_scan_json_props,
 }

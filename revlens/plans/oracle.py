@@ -364,3 +364,72 @@ u AS (SELECT 'parquet' AS source, helpful_count, has_image, CAST(NULL AS INTEGER
 SELECT source, count(*) AS cnt, CAST(sum(helpful_count) AS BIGINT) AS helpful_sum,
        count(CASE WHEN has_image THEN 1 END) AS image_cnt, count(label) AS labelled
 FROM u GROUP BY source"""
+
+# ------------------------------------------------------------------ clean / sampling / incremental / scans
+_LI_ORD = ("l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, "
+           "l_returnflag, l_linestatus, l_shipdate")
+_LI_TOTAL = "l_orderkey, " + _LI_ORD
+
+SQL["unnest_products"] = f"""SELECT l.l_orderkey,
+       CAST(row_number() OVER (PARTITION BY l.l_orderkey ORDER BY {_LI_ORD}) - 1 AS BIGINT) AS product_pos,
+       l.l_partkey AS product_id, concat_ws('_', o.o_orderstatus, 'with', CAST(l.l_partkey AS VARCHAR)) AS product_key
+FROM lineitem l LEFT JOIN orders o ON o.o_orderkey = l.l_orderkey"""
+
+SQL["flatten_reviews"] = f"""SELECT l.l_orderkey,
+       CAST(row_number() OVER (PARTITION BY l.l_orderkey ORDER BY {_LI_ORD}) - 1 AS BIGINT) AS review_pos,
+       l.l_partkey, o.o_orderpriority, CAST(ceil(l.l_quantity / 10) AS BIGINT) AS score
+FROM lineitem l LEFT JOIN orders o ON o.o_orderkey = l.l_orderkey"""
+
+SQL["nullify_defaults"] = """SELECT count(*) AS rows, count(CASE WHEN l_discount = 0 THEN 1 END) AS null_discount,
+       count(CASE WHEN l_returnflag = 'N' THEN 1 END) AS null_flag,
+       count(CASE WHEN l_returnflag <> 'R' THEN 1 END) AS null_image
+FROM lineitem"""
+
+SQL["split_by_text"] = f"""WITH {RV}
+SELECT l_returnflag <> 'N' AS has_text, CAST(score AS BIGINT) AS score, count(*) AS cnt FROM rv GROUP BY ALL"""
+
+SQL["min_reviews_filter"] = """SELECT p_partkey AS product_id, p_name AS product_name FROM part
+WHERE p_partkey IN (SELECT l_partkey FROM lineitem GROUP BY l_partkey HAVING count(*) >= 30)"""
+
+SQL["min_declared_filter"] = """SELECT p_partkey AS product_id, CAST(p_size AS VARCHAR) AS total_reviews
+FROM part WHERE p_size >= 30"""
+
+SQL["dedupe_reviews"] = f"""WITH {RV},
+k AS (SELECT *, row_number() OVER (PARTITION BY product_id, date, l_suppkey ORDER BY {_LI_TOTAL}) AS rn FROM rv)
+SELECT product_id, date, l_suppkey, l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity
+FROM k WHERE rn = 1"""
+
+SQL["dedupe_products"] = """SELECT p_name AS product_name, min(p_partkey) AS product_id FROM part GROUP BY p_name"""
+
+SQL["stratified_quota"] = f"""WITH {RV},
+k AS (SELECT *, row_number() OVER (PARTITION BY product_id, score ORDER BY {_LI_TOTAL}) AS seq,
+             count(*) OVER (PARTITION BY product_id, score) AS n FROM rv)
+SELECT product_id, CAST(score AS BIGINT) AS score, seq, l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber
+FROM k WHERE seq <= greatest(3, CAST(floor(0.25 * n) AS BIGINT))"""
+
+SQL["cumulative_cap"] = """WITH c AS (SELECT l_partkey AS product_id, count(*) AS review_cnt FROM lineitem GROUP BY l_partkey),
+i AS (SELECT p.p_type AS category, c.product_id, c.review_cnt FROM c JOIN part p ON p.p_partkey = c.product_id),
+r AS (SELECT *, coalesce(sum(review_cnt) OVER (PARTITION BY category ORDER BY product_id
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS running_before FROM i)
+SELECT category, product_id, review_cnt, CAST(running_before AS BIGINT) AS running_before FROM r
+WHERE running_before < 2000"""
+
+SQL["incremental_new_only"] = """SELECT page_id, url FROM pages
+WHERE url NOT IN (SELECT url FROM pages WHERE starts_with(url, 'https:'))"""
+
+SQL["incremental_backfill"] = """WITH p AS (SELECT page_id, url, length(html) AS html_len FROM pages),
+prev AS (SELECT * FROM p WHERE url IN (SELECT url FROM pages WHERE starts_with(url, 'https:'))),
+fresh AS (SELECT * FROM p WHERE contains(url, '.com'))
+SELECT page_id, url, html_len, 'backfill' AS origin FROM prev WHERE url NOT IN (SELECT url FROM fresh)
+UNION ALL
+SELECT page_id, url, html_len, 'new' FROM fresh"""
+
+SQL["scan_parquet_count"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}" for t in
+    ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+     "embeddings", "pages", "benchmark", "labels", "conversations"])
+
+SQL["scan_filter_in"] = """SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_quantity
+FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_brand = 'Brand#13')"""
+
+SQL["scan_json_props"] = """SELECT CAST(json_extract(props, '$.k') AS BIGINT) AS k, count(*) AS cnt FROM events GROUP BY 1"""
