@@ -84,7 +84,7 @@ def clean_page_text(col) -> Column:
     """NBSP / LS / PS -> space; drop non-printables except \\n\\r\\t; strip."""
     c = _c(col)
     x = F.translate(c, "\u00a0\u2028\u2029", "   ")
-    x = F.regexp_replace(x, r"[\p{C}\p{Z}&&[^ \n\r\t]]", "")
+    x = F.regexp_replace(x, r"[^\P{C}\n\r\t]|[^\P{Z} ]", "")   # C except \n\r\t, Z except space
     x = F.regexp_replace(x, r"^[ \n\r\t]+|[ \n\r\t]+$", "")
     return F.when(c.isNull() | (c == ""), c).otherwise(x)
 

@@ -389,6 +389,219 @@ def q_scan_json_props(spark, d):
     return finish(ev.groupBy(F.col("p.k").alias("k")).agg(F.count(F.lit(1)).alias("cnt")))
 
 
+# ============================================================ text functions
+ASCII_KEEP = "a-zA-Z0-9 \\t\\n\\r.,!?~"
+ASCII_BRANDS = {"brand#1": "acme", "brand#11": "acme", "brand#2": "zenith"}
+ASCII_CATEGORIES = {"std": ["standard"], "sale": ["promo", "economy"]}
+URL_RULES = [("m.", "mobile"), (".net", "net"), ("?page=", "paged"), ("#", "anchored")]
+
+
+def q_normalize_text(spark, d):
+    from ..functions.text import normalize_text
+    t = normalize_text("text", keep=ASCII_KEEP, use_nfc=False)
+    docs = B.table(spark, d, "documents").select("doc_id", t.alias("t"))
+    return finish(docs.select("doc_id", F.length("t").alias("n_chars"), F.md5("t").alias("md5")))
+
+
+def q_tokenize_stopwords(spark, d):
+    docs = B.table(spark, d, "documents").select("doc_id", B.doc_tokens("text").alias("tokens"))
+    return finish(docs.select("doc_id", F.size("tokens").alias("token_count"),
+                              F.size(F.array_distinct("tokens")).alias("distinct_count")))
+
+
+def q_strip_html(spark, d):
+    from ..functions.text import strip_html
+    pages = B.table(spark, d, "pages")
+    return finish(pages.select("page_id", F.length(strip_html("html")).alias("text_len")))
+
+
+def _price_strings(spark, d):
+    p = B.table(spark, d, "part")
+    whole = F.floor("p_retailprice").cast("bigint")
+    comma = F.concat(F.floor(F.col("p_retailprice") / 1000).cast("bigint").cast("string"), F.lit(","),
+                     F.lpad((whole % 1000).cast("string"), 3, "0"))
+    raw = (F.when(F.col("p_type") == "STANDARD", comma)
+            .when(F.col("p_type") == "PROMO", F.concat(F.lit("-"), whole.cast("string")))
+            .when(F.col("p_type") == "SMALL", F.col("p_retailprice").cast("string"))
+            .when(F.col("p_type") == "LARGE", F.concat(F.lit(" "), whole.cast("string"), F.lit(" ")))
+            .when(F.col("p_type") == "ECONOMY", F.lit(""))
+            .otherwise(whole.cast("string")))
+    return p.select(F.col("p_partkey").alias("product_id"), raw.alias("raw"))
+
+
+def q_lenient_int(spark, d):
+    from ..functions.parse import lenient_int, safe_int
+    s = _price_strings(spark, d)
+    return finish(s.select("product_id", "raw", lenient_int("raw").alias("lenient"), safe_int("raw").alias("safe")))
+
+
+def q_parse_dates(spark, d):
+    from ..functions.parse import parse_dot_date, parse_dot_timestamp
+    o = B.table(spark, d, "orders")
+    raw = F.when(F.col("o_orderpriority") == "5-LOW", F.lit("yesterday")) \
+        .otherwise(F.date_format("o_orderdate", "yyyy.M.d."))
+    ts_raw = F.date_format("o_orderdate", "yyyy.M.d H:m:s")
+    x = o.select("o_orderkey", raw.alias("raw"), ts_raw.alias("ts_raw"))
+    return finish(x.select("o_orderkey", "raw", parse_dot_date("raw").alias("parsed"),
+                           parse_dot_timestamp("ts_raw").alias("parsed_ts")))
+
+
+def q_parse_token_string(spark, d):
+    from ..functions.text import parse_token_string
+    p = B.table(spark, d, "part")
+    raw = F.concat(F.lit("['"), F.replace("p_name", F.lit(" "), F.lit("', '")), F.lit("']"))
+    x = p.select(F.col("p_partkey").alias("product_id"),
+                 F.posexplode(parse_token_string(raw)).alias("pos", "token"))
+    return finish(x)
+
+
+def q_normalize_brand(spark, d):
+    from ..functions.parse import normalize_brand
+    p = B.table(spark, d, "part")
+    b = normalize_brand(F.concat(F.lit("  "), "p_brand", F.lit(" ")), ASCII_BRANDS)
+    return finish(p.groupBy(b.alias("brand_std")).agg(F.count(F.lit(1)).alias("cnt")))
+
+
+def q_normalize_category(spark, d):
+    from ..functions.parse import normalize_category
+    p = B.table(spark, d, "part")
+    c = normalize_category(F.concat(F.lit("A > B > "), "p_type"), ASCII_CATEGORIES)
+    return finish(p.groupBy(c.alias("category_normal")).agg(F.count(F.lit(1)).alias("cnt")))
+
+
+def q_category_fallback(spark, d):
+    from ..functions.parse import category_from_path
+    p = B.table(spark, d, "part")
+    path = F.when(F.col("p_size") > 45, F.lit("  ")).otherwise(F.concat(F.lit("A > "), "p_type"))
+    return finish(p.groupBy(category_from_path(path, "leaf").alias("category")).agg(F.count(F.lit(1)).alias("cnt")))
+
+
+def q_remove_brand(spark, d):
+    from ..functions.text import remove_brand
+    p = B.table(spark, d, "part")
+    brand = F.split("p_name", " ")[0]
+    spaced = F.array_join(F.regexp_extract_all(brand, F.lit("(.)"), 1), " ")
+    name = F.concat(spaced, F.lit(" "), "p_name")
+    return finish(p.select(F.col("p_partkey").alias("product_id"), remove_brand(name, brand).alias("cleaned")))
+
+
+def _decorated_name():
+    return F.concat(F.lit("[x] "), "p_name", F.lit(" 50ml 3pcs, #1"))
+
+
+def q_clean_product_name(spark, d):
+    from ..functions.parse import normalize_brand
+    from ..functions.text import clean_product_name
+    p = B.table(spark, d, "part")
+    c = clean_product_name(_decorated_name(), normalize_brand("p_brand"), P.ASCII_NOISE_RULES,
+                           P.ASCII_SYNONYM_RULES)
+    return finish(p.select(F.col("p_partkey").alias("product_id"), c.alias("clean")))
+
+
+def _standardized(spark, d):
+    from ..operators.clean import standardize_products
+    p = B.table(spark, d, "part").select(
+        F.col("p_partkey").alias("product_id"), F.concat(F.lit(" "), "p_brand").alias("brand"),
+        F.concat(F.lit("Home > "), "p_type").alias("category_path"), _decorated_name().alias("product_name"))
+    return standardize_products(p, brand_map=ASCII_BRANDS, groups=ASCII_CATEGORIES, noise=P.ASCII_NOISE_RULES,
+                                synonyms=P.ASCII_SYNONYM_RULES, token_map=P.ASCII_TOKEN_MAP,
+                                drop_tokens=P.ASCII_DROP_TOKENS)
+
+
+def q_standardize_products(spark, d):
+    s = _standardized(spark, d)
+    return finish(s.select("product_id", "brand", "category_normal", "product_name_clean",
+                           F.size("product_tokens").alias("n_tokens"),
+                           F.array_join("product_tokens", " ").alias("tokens")))
+
+
+def q_top_name_tokens(spark, d):
+    return finish(K.top_tokens(_standardized(spark, d), "product_tokens", P.NAME_TOKEN_TOP_N))
+
+
+def q_classify_by_keywords(spark, d):
+    from ..operators.classify import classify_products
+    parts = B.products(spark, d).select("product_id", "product_name")
+    docs = B.table(spark, d, "documents").select(F.col("doc_id").alias("product_id"), F.col("text").alias("full_text"))
+    out = classify_products(parts, docs, groups=P.ASCII_GROUP_KEYWORDS, prefix="mixed(", suffix=")",
+                            unclassified="unclassified")
+    return finish(out.select("product_id", "skin_type"))
+
+
+# ============================================================ pages
+def q_pages_extract(spark, d):
+    from ..operators.pages import extract_fields, quality_filter
+    ex = quality_filter(extract_fields(B.table(spark, d, "pages")))
+    return finish(ex.select("page_id", "title", "lang", "h1", "breadcrumb"))
+
+
+def q_pages_blocks(spark, d):
+    from ..operators.pages import blocks
+    b = blocks(B.table(spark, d, "pages"))
+    return finish(b.select("page_id", "ord", "n_marker", F.length("text").alias("text_len")))
+
+
+def q_page_links(spark, d):
+    from ..operators.pages import links
+    from ..operators.sampling import first_seen_distinct
+    return finish(first_seen_distinct(links(B.table(spark, d, "pages")), "link", ["page_id", "pos"]))
+
+
+def q_regex_counts(spark, d):
+    from ..operators.pages import number_in
+    pages = B.table(spark, d, "pages")
+    return finish(pages.select("page_id", number_in("url", [r"/([0-9,]+)\?", r"/([0-9,]+)"]).alias("n")))
+
+
+def q_classify_url(spark, d):
+    from ..operators.pages import url_kind
+    pages = B.table(spark, d, "pages")
+    return finish(pages.select("page_id", url_kind("url", URL_RULES, "plain").alias("kind")))
+
+
+# ============================================================ vectors
+def _embeddings(spark, d):
+    return B.table(spark, d, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>")
+                                                  .alias("vector"))
+
+
+def q_product_centroids(spark, d):
+    from ..operators.vectors import centroids
+    c = centroids(_embeddings(spark, d), "label")
+    return finish(c.select("label", F.posexplode("vector").alias("dim", "mean")))
+
+
+def q_representative_review(spark, d):
+    from ..operators.vectors import representative
+    r = representative(_embeddings(spark, d), "label", "vec_id")
+    return finish(r.select("label", F.col("representative_review_id").alias("vec_id"),
+                           F.col("representative_similarity").alias("similarity")))
+
+
+def q_word2vec_vocab(spark, d):
+    from ..operators.vectors import fit_word2vec, word_vectors
+    model = fit_word2vec(B.reviews_text(spark, d))
+    return finish(word_vectors(model).select("word", F.size("vector").alias("dim")))
+
+
+def q_word2vec_review_vectors(spark, d):
+    from ..functions.vector import norm
+    from ..operators.vectors import fit_word2vec, review_vectors, word_vectors
+    r = B.reviews_text(spark, d).where(F.col("label").isNotNull())     # M3: labelled reviews
+    vocab = word_vectors(fit_word2vec(r))
+    rv = review_vectors(r, vocab)
+    return finish(rv.select("review_id", F.size("vector").alias("dim"), norm("vector").alias("norm")))
+
+
+def q_embed_batch(spark, d):
+    from ..functions.vector import norm
+    from ..operators.vectors import embed, hash_embedding_model
+    docs = B.table(spark, d, "documents").select("doc_id", "text")
+    e = embed(docs, "text", hash_embedding_model(64), 64)
+    return finish(e.select("doc_id", F.size("embedding").alias("dim"),
+                           norm(F.col("embedding").cast("array<double>")).alias("norm")))
+
+
 QUERIES = {
     "sentiment_keywords_overall": q_sentiment_keywords_overall,
     "sentiment_keywords_category": q_sentiment_keywords_category,
@@ -439,4 +652,28 @@ QUERIES = {
     "scan_parquet_count": q_scan_parquet_count,
     "scan_filter_in": q_scan_filter_in,
     "scan_json_props": q_scan_json_props,
+    "normalize_text": q_normalize_text,
+    "tokenize_stopwords": q_tokenize_stopwords,
+    "strip_html": q_strip_html,
+    "lenient_int": q_lenient_int,
+    "parse_dates": q_parse_dates,
+    "parse_token_string": q_parse_token_string,
+    "normalize_brand": q_normalize_brand,
+    "normalize_category": q_normalize_category,
+    "category_fallback": q_category_fallback,
+    "remove_brand": q_remove_brand,
+    "clean_product_name": q_clean_product_name,
+    "standardize_products": q_standardize_products,
+    "top_name_tokens": q_top_name_tokens,
+    "classify_by_keywords": q_classify_by_keywords,
+    "pages_extract": q_pages_extract,
+    "pages_blocks": q_pages_blocks,
+    "page_links": q_page_links,
+    "regex_counts": q_regex_counts,
+    "classify_url": q_classify_url,
+    "product_centroids": q_product_centroids,
+    "representative_review": q_representative_review,
+    "word2vec_vocab": q_word2vec_vocab,
+    "word2vec_review_vectors": q_word2vec_review_vectors,
+    "embed_batch": q_embed_batch,
 }

@@ -433,3 +433,204 @@ SQL["scan_filter_in"] = """SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_
 FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_brand = 'Brand#13')"""
 
 SQL["scan_json_props"] = """SELECT CAST(json_extract(props, '$.k') AS BIGINT) AS k, count(*) AS cnt FROM events GROUP BY 1"""
+
+# ------------------------------------------------------------------ text / parsing / pages / classify / vectors
+def _collapse(x: str) -> str:
+    return rf"regexp_replace(regexp_replace({x}, '\s+', ' ', 'g'), '^ | $', '', 'g')"
+
+
+SQL["normalize_text"] = r"""WITH n AS (
+  SELECT doc_id, CASE WHEN text IS NULL OR text = '' THEN text
+         ELSE trim(regexp_replace(regexp_replace(text, '[^a-zA-Z0-9 \t\n\r.,!?~]', '', 'g'), '\s+', ' ', 'g')) END AS t
+  FROM documents)
+SELECT doc_id, length(t) AS n_chars, md5(t) AS md5 FROM n"""
+
+SQL["tokenize_stopwords"] = f"""SELECT doc_id, len({tok('text')}) AS token_count,
+       len(list_distinct({tok('text')})) AS distinct_count FROM documents"""
+
+SQL["strip_html"] = """SELECT page_id, length(regexp_replace(html, '<[^>]+>', '', 'g')) AS text_len FROM pages"""
+
+_RAW_PRICE = r"""CASE p_type
+  WHEN 'STANDARD' THEN CAST(CAST(floor(p_retailprice / 1000) AS BIGINT) AS VARCHAR) || ',' ||
+                       lpad(CAST(CAST(floor(p_retailprice) AS BIGINT) % 1000 AS VARCHAR), 3, '0')
+  WHEN 'PROMO' THEN '-' || CAST(CAST(floor(p_retailprice) AS BIGINT) AS VARCHAR)
+  WHEN 'SMALL' THEN CAST(p_retailprice AS VARCHAR)
+  WHEN 'LARGE' THEN ' ' || CAST(CAST(floor(p_retailprice) AS BIGINT) AS VARCHAR) || ' '
+  WHEN 'ECONOMY' THEN ''
+  ELSE CAST(CAST(floor(p_retailprice) AS BIGINT) AS VARCHAR) END"""
+
+SQL["lenient_int"] = rf"""WITH s AS (SELECT p_partkey AS product_id, {_RAW_PRICE} AS raw FROM part)
+SELECT product_id, raw,
+       CASE WHEN regexp_matches(replace(raw, ',', ''), '^[0-9]+$') THEN CAST(replace(raw, ',', '') AS BIGINT) ELSE 0 END
+         AS lenient,
+       CASE WHEN regexp_matches(trim(raw), '^[+-]?[0-9]+$') THEN CAST(trim(raw) AS BIGINT) END AS safe
+FROM s"""
+
+SQL["parse_dates"] = r"""WITH x AS (
+  SELECT o_orderkey,
+         CASE WHEN o_orderpriority = '5-LOW' THEN 'yesterday' ELSE strftime(o_orderdate, '%Y.%-m.%-d.') END AS raw,
+         strftime(o_orderdate, '%Y.%-m.%-d %-H:%-M:%-S') AS ts_raw
+  FROM orders)
+SELECT o_orderkey, raw,
+       CAST(try_strptime(regexp_replace(trim(raw), '^\.+|\.+$', '', 'g'), '%Y.%m.%d') AS DATE) AS parsed,
+       try_strptime(trim(ts_raw), '%Y.%m.%d %H:%M:%S') AS parsed_ts
+FROM x"""
+
+SQL["parse_token_string"] = """WITH s AS (SELECT p_partkey AS product_id,
+  regexp_extract_all('[''' || replace(p_name, ' ', ''', ''') || ''']', '''([^'']+)''', 1) AS toks FROM part)
+SELECT product_id, CAST(unnest(generate_series(0, len(toks) - 1)) AS BIGINT) AS pos, unnest(toks) AS token FROM s"""
+
+SQL["normalize_brand"] = """WITH b AS (SELECT lower(trim('  ' || p_brand || ' ')) AS x FROM part)
+SELECT CASE x WHEN 'brand#1' THEN 'acme' WHEN 'brand#11' THEN 'acme' WHEN 'brand#2' THEN 'zenith' ELSE x END
+       AS brand_std, count(*) AS cnt FROM b GROUP BY 1"""
+
+SQL["normalize_category"] = """WITH c AS (SELECT lower(trim(string_split('A > B > ' || p_type, '>')[-1])) AS leaf FROM part)
+SELECT CASE leaf WHEN 'standard' THEN 'std' WHEN 'promo' THEN 'sale' WHEN 'economy' THEN 'sale' ELSE leaf END
+       AS category_normal, count(*) AS cnt FROM c GROUP BY 1"""
+
+SQL["category_fallback"] = """WITH c AS (SELECT CASE WHEN p_size > 45 THEN '  ' ELSE 'A > ' || p_type END AS path FROM part),
+l AS (SELECT trim(string_split(trim(path), '>')[-1]) AS leaf FROM c)
+SELECT coalesce(nullif(leaf, ''), 'UNKNOWN_CATEGORY') AS category, count(*) AS cnt FROM l GROUP BY 1"""
+
+
+def _brand_pat(b: str) -> str:
+    return (rf"'\Q' || {b} || '\E|' || array_to_string(list_transform(string_split({b}, ''), "
+            rf"lambda c: '\Q' || c || '\E'), '\s*')")
+
+
+SQL["remove_brand"] = rf"""WITH s AS (SELECT p_partkey AS product_id, string_split(p_name, ' ')[1] AS brand, p_name FROM part),
+n AS (SELECT product_id, brand, array_to_string(string_split(brand, ''), ' ') || ' ' || p_name AS name FROM s)
+SELECT product_id, {_collapse("regexp_replace(lower(name), " + _brand_pat("brand") + ", ' ', 'g')")} AS cleaned
+FROM n"""
+
+
+def _rules_sql(x: str, rules) -> str:
+    for pat, rep in rules:
+        pat_sql = pat.replace("'", "''")
+        x = f"regexp_replace({x}, '{pat_sql}', '{rep}', 'g')"
+    return x
+
+
+def _clean_name_sql(name: str, brand: str, noise, synonyms) -> str:
+    x1 = rf"lower(regexp_replace({name}, '^\s+|\s+$', '', 'g'))"
+    x2 = _rules_sql(x1, [(p, " ") for p in noise])
+    x3 = f"CASE WHEN {brand} IS NULL OR {brand} = '' THEN {x2} ELSE " + \
+        _collapse(f"regexp_replace(lower({x2}), {_brand_pat(brand)}, ' ', 'g')") + " END"
+    x4 = _collapse(_rules_sql(f"lower({x3})", synonyms))
+    return _collapse(x4)
+
+
+_DECOR = "'[x] ' || p_name || ' 50ml 3pcs, #1'"
+SQL["clean_product_name"] = f"""WITH s AS (SELECT p_partkey AS product_id, {_DECOR} AS name,
+  lower(regexp_replace(p_brand, '^\\s+|\\s+$', '', 'g')) AS brand FROM part)
+SELECT product_id, {_clean_name_sql("name", "brand", P.ASCII_NOISE_RULES, P.ASCII_SYNONYM_RULES)} AS clean FROM s"""
+
+_drop = ", ".join(f"'{t}'" for t in P.ASCII_DROP_TOKENS)
+_tmap = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in P.ASCII_TOKEN_MAP.items())
+_STD = f"""s AS (SELECT p_partkey AS product_id,
+  lower(trim(' ' || p_brand)) AS b0, 'Home > ' || p_type AS category_path, {_DECOR} AS name FROM part),
+s2 AS (SELECT product_id,
+  CASE b0 WHEN 'brand#1' THEN 'acme' WHEN 'brand#11' THEN 'acme' WHEN 'brand#2' THEN 'zenith' ELSE b0 END AS brand,
+  lower(trim(string_split(category_path, '>')[-1])) AS leaf, name FROM s),
+s3 AS (SELECT product_id, brand,
+  CASE leaf WHEN 'standard' THEN 'std' WHEN 'promo' THEN 'sale' WHEN 'economy' THEN 'sale' ELSE leaf END AS category_normal,
+  {_clean_name_sql("name", "brand", P.ASCII_NOISE_RULES, P.ASCII_SYNONYM_RULES)} AS product_name_clean FROM s2),
+s4 AS (SELECT *, list_transform(list_filter(list_filter(regexp_split_to_array(product_name_clean, '\\s+'),
+                   lambda t: t <> ''), lambda t: t NOT IN ({_drop})),
+                   lambda t: CASE t {_tmap} ELSE t END) AS toks FROM s3)"""
+
+SQL["standardize_products"] = f"""WITH {_STD}
+SELECT product_id, brand, category_normal, product_name_clean, CAST(len(toks) AS BIGINT) AS n_tokens,
+       array_to_string(toks, ' ') AS tokens FROM s4"""
+
+SQL["top_name_tokens"] = f"""WITH {_STD},
+c AS (SELECT word, count(*) AS cnt FROM (SELECT unnest(toks) AS word FROM s4) GROUP BY word),
+r AS (SELECT *, row_number() OVER (ORDER BY cnt DESC, word) AS rank FROM c)
+SELECT rank, word, cnt FROM r WHERE rank <= 30"""
+
+
+def _classify_sql(groups: dict) -> str:
+    names = list(groups)
+    name_hits = ", ".join(
+        "CASE WHEN " + " OR ".join(f"contains(coalesce(p_name, ''), '{k}')" for k in kws) + f" THEN '{g}' END"
+        for g, kws in groups.items())
+    cnt_rows = " UNION ALL ".join(
+        f"SELECT doc_id AS product_id, '{g}' AS grp, "
+        + " + ".join(f"(length(coalesce(text, '')) - length(replace(coalesce(text, ''), '{k}', ''))) // {len(k)}"
+                     for k in kws) + " AS cnt FROM documents"
+        for g, kws in groups.items())
+    return f"""WITH nm AS (SELECT p_partkey AS product_id,
+     list_sort(list_filter([{name_hits}], lambda x: x IS NOT NULL)) AS found FROM part),
+nr AS (SELECT product_id, CASE WHEN len(found) = 0 THEN NULL WHEN len(found) = 1 THEN found[1]
+       ELSE 'mixed(' || array_to_string(found, ',') || ')' END AS name_rule FROM nm),
+c AS (SELECT product_id, grp, sum(cnt) AS cnt FROM ({cnt_rows}) GROUP BY product_id, grp),
+m AS (SELECT product_id, max(cnt) AS mx FROM c GROUP BY product_id),
+w AS (SELECT c.product_id, any_value(m.mx) AS mx, list_sort(list(c.grp)) AS gs FROM c JOIN m USING (product_id)
+      WHERE c.cnt = m.mx GROUP BY c.product_id),
+rr AS (SELECT product_id, CASE WHEN mx <= 0 THEN 'unclassified' WHEN len(gs) = 1 THEN gs[1]
+       ELSE 'mixed(' || array_to_string(gs, ',') || ')' END AS review_rule FROM w)
+SELECT nr.product_id, coalesce(nr.name_rule, rr.review_rule, 'unclassified') AS skin_type
+FROM nr LEFT JOIN rr USING (product_id)"""
+
+
+SQL["classify_by_keywords"] = _classify_sql(P.ASCII_GROUP_KEYWORDS)
+
+
+def _clean_page(x: str) -> str:
+    y = f"translate({x}, chr(160) || chr(8232) || chr(8233), '   ')"
+    y = rf"regexp_replace({y}, '[^\P{{C}}\n\r\t]|[^\P{{Z}} ]', '', 'g')"
+    y = rf"regexp_replace({y}, '^[ \n\r\t]+|[ \n\r\t]+$', '', 'g')"
+    return f"CASE WHEN {x} IS NULL OR {x} = '' THEN {x} ELSE {y} END"
+
+
+_crumbs = (r"array_to_string(list_filter(list_transform(regexp_extract_all("
+           r"regexp_extract(html, '(?s)<nav[^>]*>(.*?)</nav>', 1), '(?s)<a[^>]*>(.*?)</a>', 1), "
+           r"lambda x: " + _clean_page(r"regexp_replace(x, '<[^>]+>', '', 'g')") + r"), lambda x: x <> ''), ' > ')")
+
+SQL["pages_extract"] = rf"""WITH e AS (
+  SELECT page_id,
+         {_clean_page(r"regexp_extract(html, '(?s)<title[^>]*>(.*?)</title>', 1)")} AS title,
+         {_clean_page(r"""regexp_extract(html, '<html[^>]*\slang="([^"]*)"', 1)""")} AS lang,
+         {_clean_page(r"regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1)")} AS h1,
+         {_crumbs} AS breadcrumb
+  FROM pages)
+SELECT * FROM e WHERE page_id IS NOT NULL AND coalesce(title, '') <> ''"""
+
+SQL["pages_blocks"] = r"""WITH b AS (SELECT page_id, regexp_extract_all(html, '(?s)<p>(.*?)</p>', 1) AS bl FROM pages),
+x AS (SELECT page_id, unnest(generate_series(0, len(bl) - 1)) AS ord, unnest(bl) AS block FROM b)
+SELECT page_id, CAST(ord AS BIGINT) AS ord, CAST((length(block) - length(replace(block, '<b>', ''))) // 3 AS BIGINT) AS n_marker,
+       length(regexp_replace(block, '<[^>]+>', '', 'g')) AS text_len
+FROM x"""
+
+SQL["page_links"] = r"""WITH h AS (SELECT page_id, url, regexp_extract_all(html, 'href="([^"]*)"', 1) AS hs FROM pages),
+x AS (SELECT page_id, url, unnest(generate_series(0, len(hs) - 1)) AS pos, unnest(hs) AS href FROM h),
+f AS (SELECT page_id, pos, CASE WHEN starts_with(href, '/') THEN regexp_extract(url, '^(https?://[^/?#]+)', 1) || href
+                                ELSE href END AS link
+      FROM x WHERE href <> '' AND NOT contains(href, 'javascript') AND href <> '#'),
+r AS (SELECT *, row_number() OVER (PARTITION BY link ORDER BY page_id, pos) AS rn FROM f)
+SELECT link, page_id, CAST(pos AS BIGINT) AS pos FROM r WHERE rn = 1"""
+
+SQL["regex_counts"] = r"""SELECT page_id, coalesce(TRY_CAST(replace(
+  CASE WHEN regexp_matches(url, '/([0-9,]+)\?') THEN regexp_extract(url, '/([0-9,]+)\?', 1)
+       WHEN regexp_matches(url, '/([0-9,]+)') THEN regexp_extract(url, '/([0-9,]+)', 1) END, ',', '') AS BIGINT), 0) AS n
+FROM pages"""
+
+SQL["classify_url"] = """SELECT page_id, CASE WHEN contains(url, 'm.') THEN 'mobile' WHEN contains(url, '.net') THEN 'net'
+  WHEN contains(url, '?page=') THEN 'paged' WHEN contains(url, '#') THEN 'anchored' ELSE 'plain' END AS kind FROM pages"""
+
+SQL["product_centroids"] = """WITH x AS (SELECT label, unnest(generate_series(0, len(embedding) - 1)) AS dim,
+                         unnest(embedding) AS v FROM embeddings)
+SELECT CAST(label AS BIGINT) AS label, CAST(dim AS BIGINT) AS dim, round(avg(CAST(v AS DOUBLE)), 6) AS mean
+FROM x GROUP BY label, dim"""
+
+SQL["representative_review"] = """WITH x AS (SELECT vec_id, label, unnest(generate_series(0, len(embedding) - 1)) AS dim,
+                         CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings),
+c AS (SELECT label, dim, avg(v) AS cv FROM x GROUP BY label, dim),
+s AS (SELECT x.vec_id, x.label, sum(x.v * c.cv) AS dot, sqrt(sum(x.v * x.v)) AS nv, sqrt(sum(c.cv * c.cv)) AS nc
+      FROM x JOIN c USING (label, dim) GROUP BY x.vec_id, x.label),
+sim AS (SELECT vec_id, label, CASE WHEN nv * nc <> 0 THEN dot / (nv * nc) ELSE 0.0 END AS similarity FROM s),
+r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY similarity DESC, vec_id) AS rn FROM sim)
+SELECT CAST(label AS BIGINT) AS label, vec_id, round(similarity, 6) AS similarity FROM r WHERE rn = 1"""
+
+SQL["word2vec_vocab"] = f"""WITH t AS (SELECT unnest({tok('text')}) AS word FROM documents)
+SELECT word, CAST(100 AS BIGINT) AS dim FROM t GROUP BY word HAVING count(*) >= 3"""
