@@ -171,16 +171,21 @@ def score_keywords(contrib: DataFrame, totals: DataFrame, hierarchy: Sequence[st
                            * F.col("balanced_ratio"))
                .withColumn("_rs", F.round("score", rank_digits)))
 
+    # Both lists from one exchange: two row_numbers over the same partitioning,
+    # then each word emits a row per list it made (a word may be in both).
     part = ["level", *hierarchy]
     w_pos = Window.partitionBy(*part).orderBy(F.col("_rs").desc(), F.col("word").asc())
     w_neg = Window.partitionBy(*part).orderBy(F.col("_rs").asc(), F.col("word").desc())
+    ranked = (scored.withColumn("_rp", F.row_number().over(w_pos))
+                    .withColumn("_rn", F.row_number().over(w_neg))
+                    .where((F.col("_rp") <= top_n) | (F.col("_rn") <= top_n)))
+    lists = F.filter(F.array(
+        F.when(F.col("_rp") <= top_n, F.struct(F.lit("positive").alias("polarity"), F.col("_rp").alias("rank"))),
+        F.when(F.col("_rn") <= top_n, F.struct(F.lit("negative").alias("polarity"), F.col("_rn").alias("rank")))),
+        lambda x: x.isNotNull())
     cols = ["level", *hierarchy, "polarity", "rank", "word", "diff", "pos", "neg", "pos_n", "neg_n",
             "support", "balanced_ratio", "score"]
-    pos_l = (scored.withColumn("rank", F.row_number().over(w_pos)).where(F.col("rank") <= top_n)
-                   .withColumn("polarity", F.lit("positive")).select(*cols))
-    neg_l = (scored.withColumn("rank", F.row_number().over(w_neg)).where(F.col("rank") <= top_n)
-                   .withColumn("polarity", F.lit("negative")).select(*cols))
-    return pos_l.unionByName(neg_l)
+    return ranked.select("*", F.explode(lists).alias("_l")).select("*", "_l.polarity", "_l.rank").select(*cols)
 
 
 def sentiment_keywords(reviews: DataFrame, hierarchy: Sequence[str] = ("category", "product_id"),
