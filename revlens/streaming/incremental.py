@@ -48,17 +48,25 @@ def run_available_now(spark: SparkSession, source_dir: str, schema: T.StructType
     q.awaitTermination()
 
 
+def _event_time(df: DataFrame, ts: str) -> DataFrame:
+    """Watermarks need TIMESTAMP; un-zoned Parquet timestamps are read as
+    TIMESTAMP_NTZ and are re-typed in the session time zone."""
+    if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
+        return df.withColumn(ts, F.col(ts).cast("timestamp"))
+    return df
+
+
 def dedupe_within_watermark(stream: DataFrame, key: Sequence[str], ts: str,
                             delay: str = "1 day") -> DataFrame:
     """T-2: resume-safe de-duplication of a stream by key (state bounded by the watermark)."""
-    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(key))
+    return _event_time(stream, ts).withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(key))
 
 
 def windowed_rate(stream: DataFrame, ts: str, flag, window: str = "1 day", delay: str = "1 day",
                   keys: Sequence[str] = ()) -> DataFrame:
     """Tumbling-window count and flagged share (e.g. negative-review rate),
     usable on a stream (with watermark, append mode) or a batch DataFrame."""
-    return (stream.withWatermark(ts, delay)
+    return (_event_time(stream, ts).withWatermark(ts, delay)
             .groupBy(F.window(ts, window).alias("w"), *keys)
             .agg(F.count(F.lit(1)).alias("n"), F.count_if(flag).alias("flagged"))
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *keys,
