@@ -2,8 +2,9 @@
 
 First-wins rules need an explicit order: nested inputs carry the positions
 from ``posexplode`` (file, product_pos, review_pos); flat inputs pass a
-total order of columns.  ``row_number`` over the duplicate key then keeps
-the first row deterministically (unlike ``dropDuplicates``).
+total order of columns.  A ``min_by`` aggregate over the duplicate key then
+keeps the first row deterministically (unlike ``dropDuplicates``) and is
+combined map-side, so hot keys do not pile up in one task.
 """
 
 from __future__ import annotations
@@ -83,10 +84,15 @@ def split_by_text(reviews: DataFrame, flag: Column | None = None) -> tuple[DataF
 
 
 # ----------------------------------------------------------------- W1 / W2
-def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """First row per key under a total order (NULL keys group together)."""
-    w = Window.partitionBy(*key).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """First row per key under a total (ascending) order; NULL keys group together.
+
+    An aggregate (``min_by`` over the order struct), not a window: it is
+    combined map-side, so a key with millions of copies sends one candidate
+    row per task to the shuffle instead of all its rows."""
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    first = F.min_by(row, F.struct(*[F.col(o) for o in order]))
+    return df.groupBy(*key).agg(first.alias("_first")).select("_first.*")
 
 
 def dedupe_reviews(reviews: DataFrame, product: str = "product_id",

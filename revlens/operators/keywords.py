@@ -92,6 +92,15 @@ def weight_contributions(reviews: DataFrame, keys: Sequence[str], weights: str =
              .select(*keys, "label", "word", F.col("w").cast("double").alias("w"), F.lit(1).alias("d")))
 
 
+def long_weight_contributions(weights: DataFrame, reviews: DataFrame, keys: Sequence[str],
+                              id_col: str = "review_id", label: str = "label") -> DataFrame:
+    """(keys, label, word, w, d) from a long (review, word, weight) table —
+    the same contributions as a per-review weight map, without building one."""
+    r = reviews.where(F.col(label).isin(0, 1)).select(id_col, *keys, F.col(label).alias("label"))
+    return (weights.join(r, id_col)
+                   .select(*keys, "label", "word", F.col("weight").cast("double").alias("w"), F.lit(1).alias("d")))
+
+
 # ----------------------------------------------------------------- A1
 def class_totals(reviews: DataFrame, hierarchy: Sequence[str], level_names: Sequence[str],
                  label: str = "label", tokens: str | None = "tokens") -> DataFrame:
@@ -116,7 +125,7 @@ def sentiment_counts(reviews: DataFrame, hierarchy: Sequence[str] = ("category",
 # ----------------------------------------------------------------- A3/A4/W4
 def score_keywords(contrib: DataFrame, totals: DataFrame, hierarchy: Sequence[str],
                    levels: Sequence[tuple[str, int]] = DEFAULT_LEVELS, top_n: int = P.KEYWORD_TOP_N,
-                   rank_digits: int = 9) -> DataFrame:
+                   rank_digits: int = 9, ranking: str = "one_pass") -> DataFrame:
     """Keyword lists for every requested level, long format.
 
     ``contrib``: (hierarchy..., label, word, w, d); ``totals``: output of
@@ -171,9 +180,21 @@ def score_keywords(contrib: DataFrame, totals: DataFrame, hierarchy: Sequence[st
                            * F.col("balanced_ratio"))
                .withColumn("_rs", F.round("score", rank_digits)))
 
-    # Both lists from one exchange: two row_numbers over the same partitioning,
-    # then each word emits a row per list it made (a word may be in both).
     part = ["level", *hierarchy]
+    cols = ["level", *hierarchy, "polarity", "rank", "word", "diff", "pos", "neg", "pos_n", "neg_n",
+            "support", "balanced_ratio", "score"]
+    if ranking == "group_limit":
+        # Two row_number filters, each planned as WindowGroupLimit (partial
+        # top-n per task before the shuffle); AQE reuses the shared shuffles.
+        wp = Window.partitionBy(*part).orderBy(F.col("_rs").desc(), F.col("word").asc())
+        wn = Window.partitionBy(*part).orderBy(F.col("_rs").asc(), F.col("word").desc())
+        pos_l = (scored.withColumn("rank", F.row_number().over(wp)).where(F.col("rank") <= top_n)
+                       .withColumn("polarity", F.lit("positive")).select(*cols))
+        neg_l = (scored.withColumn("rank", F.row_number().over(wn)).where(F.col("rank") <= top_n)
+                       .withColumn("polarity", F.lit("negative")).select(*cols))
+        return pos_l.unionByName(neg_l)
+    # One exchange: two row_numbers over the same partitioning, then each word
+    # emits a row per list it made (a word may be in both).
     w_pos = Window.partitionBy(*part).orderBy(F.col("_rs").desc(), F.col("word").asc())
     w_neg = Window.partitionBy(*part).orderBy(F.col("_rs").asc(), F.col("word").desc())
     ranked = (scored.withColumn("_rp", F.row_number().over(w_pos))
@@ -183,8 +204,6 @@ def score_keywords(contrib: DataFrame, totals: DataFrame, hierarchy: Sequence[st
         F.when(F.col("_rp") <= top_n, F.struct(F.lit("positive").alias("polarity"), F.col("_rp").alias("rank"))),
         F.when(F.col("_rn") <= top_n, F.struct(F.lit("negative").alias("polarity"), F.col("_rn").alias("rank")))),
         lambda x: x.isNotNull())
-    cols = ["level", *hierarchy, "polarity", "rank", "word", "diff", "pos", "neg", "pos_n", "neg_n",
-            "support", "balanced_ratio", "score"]
     return ranked.select("*", F.explode(lists).alias("_l")).select("*", "_l.polarity", "_l.rank").select(*cols)
 
 

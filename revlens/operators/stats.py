@@ -175,8 +175,9 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
 def value_share(reviews: DataFrame, value: str = "score", by: Sequence[str] = ()) -> DataFrame:
     """Counts and normalised share per value (share within ``by``)."""
     c = reviews.groupBy(*by, value).agg(F.count(F.lit(1)).alias("cnt"))
-    w = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    return c.withColumn("share", F.col("cnt") / F.sum("cnt").over(w))   # after aggregation: tiny
+    if not by:   # grand total as a scalar subquery over the aggregated rows
+        return c.withColumn("share", F.col("cnt") / c.agg(F.sum("cnt")).scalar())
+    return c.withColumn("share", F.col("cnt") / F.sum("cnt").over(Window.partitionBy(*by)))
 
 
 def pivot_counts(reviews: DataFrame, key: str, pivot: str, values: Sequence, prefix: str) -> DataFrame:

@@ -52,9 +52,14 @@ def mean_vectors(df: DataFrame, key, vec: str) -> DataFrame:
 def review_vectors(reviews: DataFrame, vocab: DataFrame, id_col: str = "review_id",
                    tokens: str = "tokens", dim: int = P.W2V_DIM) -> DataFrame:
     """M2: mean of in-vocabulary token vectors; zeros when none is known."""
-    toks = reviews.select(id_col, F.explode(tokens).alias("word"))
+    # count each word once per review first (combined inside the task), so the
+    # vocabulary join and the weighted mean see distinct (review, word) pairs
+    toks = (reviews.select(id_col, F.explode(tokens).alias("word"))
+                   .groupBy(id_col, "word").agg(F.count(F.lit(1)).cast("double").alias("_c")))
     hits = toks.join(vocab, "word")     # AQE: broadcast only if the vocabulary is small
-    means = mean_vectors(hits, id_col, "vector")
+    m = hits.groupBy(id_col).agg(Summarizer.mean(array_to_vector(F.col("vector").cast("array<double>")),
+                                                 F.col("_c")).alias("_m"))
+    means = m.select(id_col, vector_to_array("_m").alias("vector"))
     out = reviews.select(id_col).join(means, id_col, "left")
     return out.select(id_col, F.coalesce("vector", zeros(dim)).alias("vector"))
 
