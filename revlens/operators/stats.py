@@ -30,44 +30,58 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], keys: Seq
     value histogram (distributed) -> cumulative counts over distinct values ->
     pick the order statistics around ``p*(n-1)``."""
     keys = list(keys)
-    names = list(names or [f"p{int(round(p * 100))}" for p in probs])
     v = F.col(value)
-    hist = df.where(v.isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    wall = Window.partitionBy(*keys)
-    cum = (hist.withColumn("_cum", F.sum("_c").over(w))
-               .withColumn("_start", F.col("_cum") - F.col("_c"))
-               .withColumn("_n", F.sum("_c").over(wall)))
-    aggs = []
-    for p, name in zip(probs, names):
-        pos = F.lit(float(p)) * (F.col("_n") - 1)
-        lo, hi = F.floor(pos), F.ceil(pos)
-        at_lo = F.max(F.when((F.col("_start") <= lo) & (lo < F.col("_cum")), v.cast("double")))
-        at_hi = F.max(F.when((F.col("_start") <= hi) & (hi < F.col("_cum")), v.cast("double")))
-        frac = F.max(pos - lo)
-        aggs.append((at_lo + frac * (at_hi - at_lo)).alias(name))
-    return cum.groupBy(*keys).agg(*aggs) if keys else cum.agg(*aggs)
+    hist = df.where(v.isNotNull()).groupBy(*keys, v.cast("double").alias("_v")) \
+        .agg(F.count(F.lit(1)).alias("_c"))
+    if not keys:
+        hist, keys = hist.withColumn("_g", F.lit(0)), ["_g"]
+    q = _quantiles_from_hist(hist, "_v", probs, keys)
+    if names:
+        q = q.select(*keys, *[F.col(f"p{int(round(p * 100))}").alias(n) for p, n in zip(probs, names)])
+    return q.drop("_g")
 
 
 def describe(df: DataFrame, value: str, probs: Sequence[float] = (0.5, 0.75, 0.9, 0.95, 0.99),
              keys: Sequence[str] = ()) -> DataFrame:
     """count, mean, std (sample), min, quantiles, max — pandas ``describe``.
 
-    Without keys a constant key joins the two one-row aggregates (equi join)."""
+    Everything comes from one value histogram per key (one scan, one small
+    shuffle); the standard deviation is the two-pass form over the histogram."""
     keys = list(keys)
     drop = not keys
     if drop:
         df, keys = df.withColumn("_g", F.lit(0)), ["_g"]
     v = F.col(value).cast("double")
-    base = df.groupBy(*keys).agg(F.count(v).alias("count"), F.avg(v).alias("mean"),
-                                 F.stddev_samp(v).alias("std"), F.min(v).alias("min"),
-                                 F.max(v).alias("max"))
-    q = exact_quantiles(df, value, probs, keys)
+    hist = df.where(v.isNotNull()).groupBy(*keys, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    base = hist.groupBy(*keys).agg(F.sum("_c").alias("count"),
+                                   (F.sum(F.col("_v") * F.col("_c")) / F.sum("_c")).alias("mean"),
+                                   F.min("_v").alias("min"), F.max("_v").alias("max"))
+    dev = (hist.join(base.select(*keys, "mean", "count"), keys)
+               .groupBy(*keys)
+               .agg(F.sqrt(F.sum(F.col("_c") * (F.col("_v") - F.col("mean")) ** 2)
+                           / F.when(F.first("count") > 1, F.first("count") - 1)).alias("std")))
+    q = _quantiles_from_hist(hist, "_v", probs, keys)
     qcols = [c for c in q.columns if c not in keys]
-    out = base.join(q, keys, "left").select(*keys, "count", "mean", "std", "min", *qcols, "max")
+    out = (base.join(dev, keys, "left").join(q, keys, "left")
+               .select(*keys, F.col("count").cast("bigint").alias("count"), "mean", "std", "min", *qcols, "max"))
     return out.drop("_g") if drop else out
 
 
+def _quantiles_from_hist(hist: DataFrame, v: str, probs: Sequence[float], keys: Sequence[str]) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(v).rowsBetween(Window.unboundedPreceding, 0)
+    cum = (hist.withColumn("_cum", F.sum("_c").over(w))
+               .withColumn("_start", F.col("_cum") - F.col("_c"))
+               .withColumn("_n", F.sum("_c").over(Window.partitionBy(*keys))))
+    aggs = []
+    for p in probs:
+        pos = F.lit(float(p)) * (F.col("_n") - 1)
+        lo, hi = F.floor(pos), F.ceil(pos)
+        at_lo = F.max(F.when((F.col("_start") <= lo) & (lo < F.col("_cum")), F.col(v)))
+        at_hi = F.max(F.when((F.col("_start") <= hi) & (hi < F.col("_cum")), F.col(v)))
+        aggs.append((at_lo + F.max(pos - lo) * (at_hi - at_lo)).alias(f"p{int(round(p * 100))}"))
+    return cum.groupBy(*keys).agg(*aggs)
+
+
 # ----------------------------------------------------------------- product metadata stats
 def valid_distribution(meta: DataFrame, dist: str = "rating_distribution",
                        valid_scores: Sequence[int] = P.VALID_SCORES) -> DataFrame:
@@ -187,19 +201,22 @@ def pivot_counts(reviews: DataFrame, key: str, pivot: str, values: Sequence, pre
 
 
 def monthly_series(reviews: DataFrame, date: str, keys: Sequence[str] = (), value: str | None = None,
-                   how: str = "count") -> DataFrame:
-    """Per key, one row per month from its first to its last month
-    (empty months kept: count 0 / mean NULL); ``month_end`` labels like 'ME'."""
+                   how: str = "count", unit: str = "month") -> DataFrame:
+    """Per key, one row per month (or day) from its first to its last
+    period (empty periods kept: count 0 / mean NULL); months are labelled by
+    their last day (``month_end``), days by the day (``day``)."""
     keys = list(keys)
-    m = F.trunc(F.col(date), "month")
+    m = F.trunc(F.col(date), "month") if unit == "month" else F.col(date).cast("date")
     r = reviews.where(F.col(date).isNotNull() & ((F.col(value).isNotNull()) if value else F.lit(True)))
     agg = (F.count(F.lit(1)) if how == "count" else F.avg(value)).alias("v")
     per = r.groupBy(*keys, m.alias("month")).agg(agg)
     span = per.groupBy(*keys).agg(F.min("month").alias("_lo"), F.max("month").alias("_hi"))
-    spine = span.select(*keys, F.explode(F.sequence("_lo", "_hi", F.expr("interval 1 month"))).alias("month"))
+    step = F.expr("interval 1 month") if unit == "month" else F.expr("interval 1 day")
+    spine = span.select(*keys, F.explode(F.sequence("_lo", "_hi", step)).alias("month"))
     out = spine.join(per, [*keys, "month"], "left")
     v = F.coalesce("v", F.lit(0)) if how == "count" else F.col("v")
-    return out.select(*keys, F.last_day("month").alias("month_end"), v.alias("count" if how == "count" else "mean"))
+    label = F.last_day("month").alias("month_end") if unit == "month" else F.col("month").alias("day")
+    return out.select(*keys, label, v.alias("count" if how == "count" else "mean"))
 
 
 def weighted_average_rating(meta: DataFrame, dist: str = "rating_distribution") -> DataFrame:

@@ -601,6 +601,27 @@ def q_embed_batch(spark, d):
                            norm(F.col("embedding").cast("array<double>")).alias("norm")))
 
 
+# ============================================================ backlog-style series (O7, A24 daily, alerts)
+def q_top_products_mean_score(spark, d):
+    rv = B.reviews_scored(spark, d)
+    top = S.top_k(_review_counts(spark, d), [F.col("review_cnt").desc(), F.col("product_id")], 10)
+    sel = rv.join(top.select("product_id", "review_cnt"), "product_id")      # J4: the 10 products only
+    return finish(sel.groupBy("product_id", "review_cnt").agg(F.avg("score").alias("mean_score")))
+
+
+def q_daily_review_counts(spark, d):
+    return finish(S.monthly_series(B.reviews_scored(spark, d), "date", [], None, "count", unit="day"))
+
+
+def q_negative_rate_alert(spark, d):
+    from ..functions.parse import sentiment_label
+    from ..streaming.incremental import windowed_rate
+    rv = B.reviews_scored(spark, d).select(F.col("date").cast("timestamp").alias("ts"),
+                                           sentiment_label("score").alias("label"))
+    r = windowed_rate(rv, "ts", F.col("label") == 0, window="7 days", delay="30 days")
+    return finish(r.select(F.col("window_start").cast("date").alias("week_start"), "n", "flagged", "rate"))
+
+
 QUERIES = {
     "sentiment_keywords_overall": q_sentiment_keywords_overall,
     "sentiment_keywords_category": q_sentiment_keywords_category,
@@ -675,4 +696,7 @@ QUERIES = {
     "word2vec_vocab": q_word2vec_vocab,
     "word2vec_review_vectors": q_word2vec_review_vectors,
     "embed_batch": q_embed_batch,
+    "top_products_mean_score": q_top_products_mean_score,
+    "daily_review_counts": q_daily_review_counts,
+    "negative_rate_alert": q_negative_rate_alert,
 }

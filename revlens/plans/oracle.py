@@ -634,3 +634,21 @@ SELECT CAST(label AS BIGINT) AS label, vec_id, round(similarity, 6) AS similarit
 
 SQL["word2vec_vocab"] = f"""WITH t AS (SELECT unnest({tok('text')}) AS word FROM documents)
 SELECT word, CAST(100 AS BIGINT) AS dim FROM t GROUP BY word HAVING count(*) >= 3"""
+
+SQL["top_products_mean_score"] = f"""WITH {RV},
+c AS (SELECT product_id, count(*) AS review_cnt FROM rv GROUP BY product_id),
+t AS (SELECT * FROM c ORDER BY review_cnt DESC, product_id LIMIT 10)
+SELECT t.product_id, t.review_cnt, round(avg(rv.score), 6) AS mean_score
+FROM rv JOIN t USING (product_id) GROUP BY t.product_id, t.review_cnt"""
+
+SQL["daily_review_counts"] = f"""WITH {RV},
+per AS (SELECT date AS day, count(*) AS v FROM rv WHERE date IS NOT NULL GROUP BY date),
+sp AS (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM per)
+SELECT sp.day, coalesce(per.v, 0) AS count FROM sp LEFT JOIN per USING (day)"""
+
+SQL["negative_rate_alert"] = f"""WITH {RV},
+x AS (SELECT CAST(to_timestamp(floor(epoch(CAST(date AS TIMESTAMP)) / 604800) * 604800) AS DATE) AS week_start,
+             CASE WHEN score >= 4 THEN 1 WHEN score <= 2 THEN 0 END AS label FROM rv WHERE date IS NOT NULL)
+SELECT week_start, count(*) AS n, count(CASE WHEN label = 0 THEN 1 END) AS flagged,
+       round(count(CASE WHEN label = 0 THEN 1 END) / count(*), 6) AS rate
+FROM x GROUP BY week_start"""
