@@ -1,12 +1,18 @@
 """Ordered sampling rules from the collection step.
 
 * ``stratified_quota``: per stratum keep the first max(target, floor(share*n)).
-  The stratum size comes from a map-side-combined aggregate joined back on
-  the stratum key; only the ordering itself is a window per stratum (Spark's
-  window sorter spills, so a hot stratum slows one task but cannot OOM it).
-* ``cumulative_cap``: running total over rows *pre-aggregated to one row per
-  item*, partitioned by the group key — never a global unpartitioned window.
+* ``cumulative_cap``: take items in order while the running total before the
+  item is below the cap.
 * ``first_seen_distinct``: order-preserving distinct = min position per value.
+
+Both ordered rules need a position inside a group.  A plain window would put a
+whole group in one task, and one group may hold a third of the data, so the
+groups are split: cut points per group come from ``percentile_approx`` on the
+leading order column, rows go to the bucket of their order value (buckets are
+monotone in the order), per-bucket counts/sums give exact offsets, and the
+window then runs per (group, bucket) only.  Buckets that lie entirely past the
+quota / cap are dropped before any sorting.  Results are exact: the cut
+points only decide how the work is split.
 """
 
 from __future__ import annotations
@@ -19,29 +25,64 @@ from pyspark.sql import functions as F
 from .. import params as P
 
 
+def _bucketed(df: DataFrame, group: Sequence[str], order: Sequence[str], buckets: int) -> DataFrame:
+    """Add ``_b``: bucket of each row inside its group, monotone in ``order[0]``."""
+    lead = order[0]
+    probs = [i / buckets for i in range(1, buckets)]
+    cuts = df.groupBy(*group).agg(F.percentile_approx(lead, probs, 1000).alias("_cuts"))
+    j = df.join(cuts, list(group))       # one row per group: AQE broadcasts it when small
+    b = F.size(F.filter(F.array_distinct("_cuts"), lambda c: c < F.col(lead)))
+    return j.withColumn("_b", b).drop("_cuts")
+
+
 def stratified_quota(df: DataFrame, strata: Sequence[str], order: Sequence[Column | str],
-                     target: int = P.STAR_QUOTA_TARGET, share: float = P.STAR_QUOTA_SHARE) -> DataFrame:
+                     target: int = P.STAR_QUOTA_TARGET, share: float = P.STAR_QUOTA_SHARE,
+                     buckets: int = 32) -> DataFrame:
     """Keep the first ``greatest(target, floor(share * n))`` rows of each stratum
-    (``seq`` = 1-based position within the stratum, W7)."""
-    strata = list(strata)
+    (``seq`` = 1-based position within the stratum, W7).  ``order`` lists
+    ascending columns forming a total order."""
+    strata, order = list(strata), list(order)
     sizes = df.groupBy(*strata).agg(F.count(F.lit(1)).alias("_n"))
     quota = F.greatest(F.lit(target), F.floor(F.lit(share) * F.col("_n")).cast("bigint"))
-    w = Window.partitionBy(*strata).orderBy(*order)
-    return (df.join(sizes.select(*strata, quota.alias("_q")), strata)
-              .withColumn("seq", F.row_number().over(w))
-              .where(F.col("seq") <= F.col("_q")).drop("_q"))
+    if buckets <= 1:
+        w = Window.partitionBy(*strata).orderBy(*order)
+        return (df.join(sizes.select(*strata, quota.alias("_q")), strata)
+                  .withColumn("seq", F.row_number().over(w))
+                  .where(F.col("seq") <= F.col("_q")).drop("_q"))
+    bd = _bucketed(df, strata, order, buckets)
+    per_b = bd.groupBy(*strata, "_b").agg(F.count(F.lit(1)).alias("_bn"))
+    wb = Window.partitionBy(*strata).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offs = (per_b.withColumn("_off", F.coalesce(F.sum("_bn").over(wb), F.lit(0)))
+                 .join(sizes.select(*strata, quota.alias("_q")), strata)
+                 .where(F.col("_off") < F.col("_q"))            # buckets past the quota never sort
+                 .select(*strata, "_b", "_off", "_q"))
+    w = Window.partitionBy(*strata, "_b").orderBy(*order)
+    return (bd.join(offs, [*strata, "_b"])
+              .withColumn("seq", F.col("_off") + F.row_number().over(w))
+              .where(F.col("seq") <= F.col("_q")).drop("_b", "_off", "_q"))
 
 
-def cumulative_cap(items: DataFrame, group: Sequence[str], order: Sequence[Column | str], value: str,
-                   cap: int = P.CATEGORY_REVIEW_CAP) -> DataFrame:
+def cumulative_cap(items: DataFrame, group: Sequence[str], order: Sequence[str], value: str,
+                   cap: int = P.CATEGORY_REVIEW_CAP, buckets: int = 32) -> DataFrame:
     """Take items in order while the running total *before* the item is below
-    ``cap`` (the item that crosses the cap is kept)."""
-    w = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum(value).over(w), F.lit(0))
-    return items.withColumn("running_before", before).where(F.col("running_before") < cap)
+    ``cap`` (the item that crosses the cap is kept); ``running_before`` is kept."""
+    group, order = list(group), list(order)
+    if buckets <= 1:
+        w = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        before = F.coalesce(F.sum(value).over(w), F.lit(0))
+        return items.withColumn("running_before", before).where(F.col("running_before") < cap)
+    bd = _bucketed(items, group, order, buckets)
+    per_b = bd.groupBy(*group, "_b").agg(F.sum(value).alias("_bs"))
+    wb = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offs = (per_b.withColumn("_off", F.coalesce(F.sum("_bs").over(wb), F.lit(0)))
+                 .where(F.col("_off") < cap).select(*group, "_b", "_off"))
+    w = Window.partitionBy(*group, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("_off") + F.coalesce(F.sum(value).over(w), F.lit(0))
+    return (bd.join(offs, [*group, "_b"]).withColumn("running_before", before)
+              .where(F.col("running_before") < cap).drop("_b", "_off"))
 
 
 def first_seen_distinct(df: DataFrame, value: str, order: Sequence[str]) -> DataFrame:
-    """Distinct values with the position where each was first seen."""
+    """Distinct values with the position where each was first seen (an aggregate)."""
     first = F.min(F.struct(*[F.col(c) for c in order])).alias("_first")
     return df.groupBy(value).agg(first).select(value, *[F.col(f"_first.{c}").alias(c) for c in order])

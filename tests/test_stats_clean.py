@@ -120,3 +120,18 @@ def test_union_sources(spark):
     u = C.union_sources({"parquet": a, "json": b}, {"helpful_count": F.lit(0), "has_image": F.lit(False)})
     rows = {r["source"]: r for r in u.collect()}
     assert rows["json"]["helpful_count"] == 0 and rows["json"]["label"] is None
+
+
+def test_split_ordered_rules_equal_plain_windows(spark):
+    import random
+    random.seed(7)
+    rows = [("hot" if random.random() < 0.6 else f"p{random.randint(0, 5)}", random.randint(1, 3),
+             random.randint(0, 400), i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "product string, score int, k int, i int")
+    a = SM.stratified_quota(df, ["product", "score"], ["k", "i"], 3, 0.25, buckets=1)
+    b = SM.stratified_quota(df, ["product", "score"], ["k", "i"], 3, 0.25, buckets=16)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.select(*a.columns).collect()))
+    items = df.groupBy("product", "k").agg(F.count(F.lit(1)).alias("n"))
+    c = SM.cumulative_cap(items, ["product"], ["k"], "n", 500, buckets=1)
+    e = SM.cumulative_cap(items, ["product"], ["k"], "n", 500, buckets=8)
+    assert sorted(map(tuple, c.collect())) == sorted(map(tuple, e.select(*c.columns).collect()))
