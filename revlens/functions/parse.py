@@ -141,3 +141,23 @@ def extract_count(col, patterns: Sequence[str] = (r"\n([0-9,]+)", r"\(([0-9,]+)\
     raw = F.coalesce(*hits)
     val = F.regexp_replace(raw, ",", "").try_cast("bigint")
     return F.coalesce(val, F.lit(default)) if default is not None else val
+
+
+# ------------------------------------------------------------ F35 weight maps
+def normalize_weights(col) -> Column:
+    """Per-review word weights as MAP<STRING, DOUBLE>: a map passes through
+    (values cast), an array of (word, weight) pairs becomes a map (last pair
+    wins for repeated words), anything else / NULL -> empty map."""
+    c = _c(col)
+    return F.coalesce(c, F.create_map().cast("map<string,double>"))
+
+
+def pairs_to_weights(col) -> Column:
+    """ARRAY<STRUCT<word, weight>> -> MAP<STRING, DOUBLE>; for a repeated word
+    the last pair wins (as with a dict built from the pairs)."""
+    c = _c(col)
+    idx = F.transform(c, lambda e, i: F.struct(e["word"].cast("string").alias("k"),
+                                               e["weight"].cast("double").alias("v"), i.alias("i")))
+    last = F.filter(idx, lambda x: ~F.exists(idx, lambda y: (y["k"] == x["k"]) & (y["i"] > x["i"])))
+    entries = F.transform(last, lambda x: F.struct(x["k"].alias("k"), x["v"].alias("v")))
+    return F.coalesce(F.map_from_entries(entries), F.create_map().cast("map<string,double>"))

@@ -114,3 +114,20 @@ def embed(df: DataFrame, text_col: str, make_predict_fn, dim: int,
     udf = predict_batch_udf(make_predict_fn, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size,
                             input_tensor_shapes=None)
     return df.withColumn("embedding", udf(F.coalesce(F.col(text_col), F.lit(""))))
+
+
+def vectorize_reviews(reviews: DataFrame, vectorizers: dict, id_col: str = "review_id") -> DataFrame:
+    """M5: one vector column per chosen vectoriser (e.g. ``{"word2vec": fn,
+    "bert": fn}``, each ``fn(reviews) -> (id, vector)``); every known name
+    missing from the choice becomes a NULL column, like the 'both'/'single' modes."""
+    out = reviews
+    for name in ("word2vec", "bert"):
+        if name in vectorizers:
+            v = vectorizers[name](reviews).select(id_col, F.col("vector").alias(name))
+            out = out.join(v, id_col, "left")
+        else:
+            out = out.withColumn(name, F.lit(None).cast("array<double>"))
+    for name, fn in vectorizers.items():
+        if name not in ("word2vec", "bert"):
+            out = out.join(fn(reviews).select(id_col, F.col("vector").alias(name)), id_col, "left")
+    return out

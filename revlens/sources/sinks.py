@@ -62,3 +62,29 @@ def write_nested_by_category(products: DataFrame, reviews: DataFrame, path: str,
                                       .alias("reviews"))
     doc = products.join(nested, key, "left")
     doc.write.mode("overwrite").partitionBy(category).json(path)
+
+
+def keyword_report(keywords: DataFrame, counts: DataFrame, keys: list[str]) -> DataFrame:
+    """K6: one JSON document per group (level + keys): its counters and the two
+    keyword lists, each list at most top-n long (bounded nest)."""
+    k = keywords.groupBy("level", *keys, "polarity").agg(
+        F.array_sort(F.collect_list(F.struct("rank", "word", "diff", "pos", "neg", "pos_n", "neg_n",
+                                             "support", "balanced_ratio", "score"))).alias("words"))
+    pos = k.where("polarity = 'positive'").select("level", *keys, F.col("words").alias("positive_special"))
+    neg = k.where("polarity = 'negative'").select("level", *keys, F.col("words").alias("negative_special"))
+    cond = ["level", *keys]
+    doc = counts.join(pos, cond, "left").join(neg, cond, "left")
+    return doc.select(*cond, F.to_json(F.struct(*[c for c in doc.columns if c not in cond])).alias("report"))
+
+
+def save_skin_types(products: DataFrame, path: str, name: str = "product_name",
+                    category: str = "category_normal", label: str = "skin_type") -> None:
+    """K7: product name, category and skin-type label as JSON lines."""
+    products.select(F.col(name).alias("product_name"), F.col(category).alias("category"),
+                    F.col(label).alias("skin_type")).write.mode("overwrite").json(path)
+
+
+def save_global_metadata(word_freq: DataFrame, overall: DataFrame, root: str) -> None:
+    """K3: skin-type word frequency and overall sentiment report as two tables."""
+    save_table(word_freq, f"{root}/skin_type_word_frequency", "json")
+    save_table(overall, f"{root}/overall_sentiment", "json")

@@ -131,3 +131,36 @@ def test_stream_dedupe_and_rate(spark):
     rate = I.windowed_rate(ev, "ts", F.col("event_type") == "error")
     tot = rate.agg(F.sum("n")).first()[0]
     assert tot == ev.count()
+
+
+def test_point_filter_nfc_and_reports(spark):
+    df = spark.createDataFrame([(unicodedata.normalize("NFC", "선크림_1"), 1)], "product_id string, v int")
+    assert R.filter_product(df, unicodedata.normalize("NFD", "선크림_1")).count() == 1
+    from revlens.operators import keywords as K
+    rows = [(1, "c", "p", 1, ["a", "b"]), (2, "c", "p", 0, ["b"])]
+    r = spark.createDataFrame(rows, "review_id int, category string, product_id string, label int, tokens array<string>")
+    kw = K.sentiment_keywords(r, [], [("global", 1)])
+    counts = K.sentiment_counts(r, [], ["global"])
+    rep = SK.keyword_report(kw, counts, []).first()
+    doc = json.loads(rep["report"])
+    assert doc["review_count"] == 2 and [w["word"] for w in doc["positive_special"]] == ["a", "b"]
+    d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    p = spark.createDataFrame([("n", "c", "지성", "cat1", "p1")],
+                              "product_name string, category_normal string, skin_type string, category_file string, product_id string")
+    SK.save_skin_types(p, d + "/skin")
+    assert spark.read.json(d + "/skin").count() == 1
+    rv = spark.createDataFrame([("p1", 1, "x")], "product_id string, review_id int, full_text string")
+    SK.write_nested_by_category(p, rv, d + "/nested")
+    back = spark.read.json(d + "/nested")
+    assert back.count() == 1 and back.first()["reviews"][0]["full_text"] == "x"
+
+
+def test_weight_pairs_and_vectorizer_choice(spark):
+    from revlens.functions.parse import pairs_to_weights
+    from revlens.operators.vectors import vectorize_reviews
+    df = spark.createDataFrame([([("a", 1.0), ("b", 2.0), ("a", 3.0)],)], "p array<struct<word:string,weight:double>>")
+    assert df.select(pairs_to_weights("p")).first()[0] == {"a": 3.0, "b": 2.0}
+    r = spark.createDataFrame([(1,)], "review_id int")
+    out = vectorize_reviews(r, {"word2vec": lambda x: x.select("review_id", F.array(F.lit(1.0)).alias("vector"))})
+    row = out.first()
+    assert row["word2vec"] == [1.0] and row["bert"] is None
