@@ -125,7 +125,8 @@ def sentiment_counts(reviews: DataFrame, hierarchy: Sequence[str] = ("category",
 # ----------------------------------------------------------------- A3/A4/W4
 def score_keywords(contrib: DataFrame, totals: DataFrame, hierarchy: Sequence[str],
                    levels: Sequence[tuple[str, int]] = DEFAULT_LEVELS, top_n: int = P.KEYWORD_TOP_N,
-                   rank_digits: int = 9, ranking: str = "one_pass") -> DataFrame:
+                   rank_digits: int = 9, ranking: str = "one_pass",
+                   word_scale: DataFrame | None = None) -> DataFrame:
     """Keyword lists for every requested level, long format.
 
     ``contrib``: (hierarchy..., label, word, w, d); ``totals``: output of
@@ -140,6 +141,11 @@ def score_keywords(contrib: DataFrame, totals: DataFrame, hierarchy: Sequence[st
                         F.sum(F.when(F.col("label") == 0, F.col("w"))).alias("neg_sum"),
                         F.sum(F.when(F.col("label") == 1, F.col("d"))).alias("pos_n"),
                         F.sum(F.when(F.col("label") == 0, F.col("d"))).alias("neg_n")))
+    if word_scale is not None:
+        # per-word weight factor (e.g. idf): sums of tf * factor(w) = factor(w) * sums of tf
+        fine = (fine.join(word_scale.select("word", F.col("factor").alias("_f")), "word")
+                    .withColumn("pos_sum", F.col("pos_sum") * F.col("_f"))
+                    .withColumn("neg_sum", F.col("neg_sum") * F.col("_f")).drop("_f"))
     # roll the small table up to the coarser levels (word always kept)
     rolled = (fine.rollup("word", *hierarchy)
                   .agg(F.sum("pos_sum").alias("pos_sum"), F.sum("neg_sum").alias("neg_sum"),
@@ -234,6 +240,28 @@ def sentiment_keywords_weighted(reviews: DataFrame, hierarchy: Sequence[str] = (
     return score_keywords(contrib, totals, hierarchy, levels, top_n)
 
 
+def idf_factors(reviews: DataFrame, tokens: str = "tokens") -> DataFrame:
+    """(word, factor = ln(N / df)) over the reviews that have tokens."""
+    r = reviews.where(F.size(tokens) > 0)
+    n_docs = r.agg(F.count(F.lit(1)).cast("double")).scalar()
+    dfreq = r.select(F.explode(F.array_distinct(tokens)).alias("word")).groupBy("word") \
+        .agg(F.count(F.lit(1)).alias("_df"))
+    return dfreq.select("word", F.log(n_docs / F.col("_df")).alias("factor"))
+
+
+def sentiment_keywords_tfidf(reviews: DataFrame, hierarchy: Sequence[str] = ("category",),
+                             levels: Sequence[tuple[str, int]] = (("global", 20), ("category", 20)),
+                             top_n: int = P.WEIGHTED_TOP_N, label: str = "label",
+                             tokens: str = "tokens") -> DataFrame:
+    """A6 with tf-idf weights, factorised: idf depends on the word only, so the
+    class sums are idf(w) * (sums of tf) — no per-(review, word) weight table."""
+    hierarchy = list(hierarchy)
+    r = reviews.where(F.size(tokens) > 0)
+    contrib = token_contributions(r, hierarchy, label, tokens)
+    totals = class_totals(r, hierarchy, [n for n, _ in levels], label, tokens=None)
+    return score_keywords(contrib, totals, hierarchy, levels, top_n, word_scale=idf_factors(r, tokens))
+
+
 def tfidf_weights(reviews: DataFrame, id_col: str = "review_id", tokens: str = "tokens") -> DataFrame:
     """Long (review, word, weight) with weight = tf * ln(N / df).
 

@@ -57,12 +57,9 @@ def q_sentiment_keywords_all_levels(spark, d):
 
 
 def q_sentiment_keywords_weighted(spark, d):
-    r = B.reviews_text(spark, d).where(F.size("tokens") > 0)    # A6 loads tokenised reviews only
-    w = K.tfidf_weights(r, "review_id", "tokens")                  # long (review, word, tf*idf)
-    levels = [("global", 20), ("category", 20)]
-    contrib = K.long_weight_contributions(w, r, ["category"])
-    totals = K.class_totals(r, ["category"], [n for n, _ in levels], tokens=None)
-    return finish(K.score_keywords(contrib, totals, ["category"], levels, P.WEIGHTED_TOP_N))
+    r = B.reviews_text(spark, d)
+    return finish(K.sentiment_keywords_tfidf(r, ["category"], [("global", 20), ("category", 20)],
+                                             P.WEIGHTED_TOP_N))
 
 
 def q_sentiment_counts(spark, d):

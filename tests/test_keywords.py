@@ -83,3 +83,20 @@ def test_top_tokens_global_topk(spark):
     df = spark.createDataFrame([(["x", "y", "x"],), (["z", "y", "x"],)], "product_tokens array<string>")
     out = [(x["rank"], x["word"], x["cnt"]) for x in K.top_tokens(df, top_n=2).orderBy("rank").collect()]
     assert out == [(1, "x", 3), (2, "y", 2)]
+
+
+def test_tfidf_factorised_equals_explicit_weights(spark):
+    rows = [(1, "c1", "p", 1, ["a", "a", "b"]), (2, "c1", "p", 0, ["b", "c"]), (3, "c2", "p", 1, ["a", "c"]),
+            (4, "c2", "p", 0, ["c", "c", "d"]), (5, "c2", "p", None, ["d"]), (6, "c1", "p", 1, [])]
+    r = spark.createDataFrame(rows, SCHEMA)
+    lv = [("global", 1), ("category", 1)]
+    fast = K.sentiment_keywords_tfidf(r, ["category"], lv, top_n=10)
+    rt = r.where(F.size("tokens") > 0)
+    w = K.tfidf_weights(rt)
+    slow = K.score_keywords(K.long_weight_contributions(w, rt, ["category"]),
+                            K.class_totals(rt, ["category"], ["global", "category"], tokens=None),
+                            ["category"], lv, 10)
+    def norm(df):
+        return sorted((x["level"], x["category"], x["polarity"], x["rank"], x["word"], round(x["score"], 9),
+                       round(x["pos"], 9)) for x in df.collect())
+    assert norm(fast) == norm(slow)
