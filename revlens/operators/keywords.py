@@ -75,11 +75,12 @@ def token_contributions(reviews: DataFrame, keys: Sequence[str], label: str = "l
                         tokens: str = "tokens") -> DataFrame:
     """(keys, label, word, w, d): w sums to tf per review, d marks presence."""
     elig = eligible(reviews, label, tokens)
-    n = F.size(tokens).cast("double")
-    occ = F.transform(F.col(tokens), lambda t: F.struct(t.alias("word"), (F.lit(1.0) / n).alias("w"),
-                                                        F.lit(0).alias("d")))
-    dist = F.transform(F.array_distinct(tokens), lambda t: F.struct(t.alias("word"), F.lit(0.0).alias("w"),
-                                                                    F.lit(1).alias("d")))
+    n = F.size(tokens)
+    st = "array<struct<word:string,w:double,d:int>>"
+    # arrays_zip/array_repeat are code-generated (no lambda per element)
+    occ = F.arrays_zip(F.col(tokens), F.array_repeat(F.lit(1.0) / n, n), F.array_repeat(F.lit(0), n)).cast(st)
+    dt = F.array_distinct(tokens)
+    dist = F.arrays_zip(dt, F.array_repeat(F.lit(0.0), F.size(dt)), F.array_repeat(F.lit(1), F.size(dt))).cast(st)
     return (elig.select(*keys, F.col(label).alias("label"), F.explode(F.concat(occ, dist)).alias("e"))
                 .select(*keys, "label", "e.word", "e.w", "e.d"))
 

@@ -64,6 +64,22 @@ def review_vectors(reviews: DataFrame, vocab: DataFrame, id_col: str = "review_i
     return out.select(id_col, F.coalesce("vector", zeros(dim)).alias("vector"))
 
 
+def review_vectors_model(reviews: DataFrame, model, id_col: str = "review_id", tokens: str = "tokens",
+                         dim: int = P.W2V_DIM) -> DataFrame:
+    """M2 through the fitted model: ``Word2VecModel.transform`` (model broadcast
+    by Spark ML, JVM-side) averages over *all* tokens, so the result is rescaled
+    by |tokens| / |in-vocabulary tokens|; the in-vocabulary count comes from a
+    semi join of the tokens with the model's word list."""
+    words = model.getVectors().select("word")
+    n_in = (reviews.select(id_col, F.explode(tokens).alias("word")).join(words, "word", "left_semi")
+                   .groupBy(id_col).agg(F.count(F.lit(1)).alias("_in")))
+    m = model.copy().setInputCol(tokens).setOutputCol("_v")
+    t = m.transform(reviews.select(id_col, tokens)).join(n_in, id_col, "left")
+    factor = F.size(tokens).cast("double") / F.col("_in")
+    vec = F.when(F.col("_in") > 0, F.transform(vector_to_array("_v"), lambda x: x * factor)).otherwise(zeros(dim))
+    return t.select(id_col, vec.alias("vector"))
+
+
 def centroids(vectors: DataFrame, key: str, vec: str = "vector") -> DataFrame:
     """Product vector = mean of its review vectors (zero vectors included)."""
     return mean_vectors(vectors, key, vec)

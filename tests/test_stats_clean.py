@@ -135,3 +135,14 @@ def test_split_ordered_rules_equal_plain_windows(spark):
     c = SM.cumulative_cap(items, ["product"], ["k"], "n", 500, buckets=1)
     e = SM.cumulative_cap(items, ["product"], ["k"], "n", 500, buckets=8)
     assert sorted(map(tuple, c.collect())) == sorted(map(tuple, e.select(*c.columns).collect()))
+
+
+def test_model_vectors_equal_vocab_join(spark):
+    rows = [(i, (["good", "fine", "ok", "bad", "zzz%d" % i] * 3)[: 3 + i % 5]) for i in range(40)] + [(99, [])]
+    r = spark.createDataFrame(rows, "review_id int, tokens array<string>")
+    model = V.fit_word2vec(r, dim=8, min_count=3, num_partitions=2)
+    a = {x["review_id"]: x["vector"] for x in V.review_vectors(r, V.word_vectors(model), dim=8).collect()}
+    b = {x["review_id"]: x["vector"] for x in V.review_vectors_model(r, model, dim=8).collect()}
+    assert set(a) == set(b)
+    for k in a:
+        assert b[k] == pytest.approx(a[k], abs=1e-6)
