@@ -23,63 +23,60 @@ from ..functions.parse import bin_label, safe_int
 
 
 # ----------------------------------------------------------------- quantiles
+def _hist(df: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
+    """Per-key value histogram with cumulative positions, total and mean.
+
+    The histogram is a distributed, map-side-combined aggregate; the windows
+    then run over distinct values per key (bounded by the value domain)."""
+    v = F.col(value).cast("double")
+    hist = df.where(v.isNotNull()).groupBy(*keys, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    w_all = Window.partitionBy(*keys)
+    w_ord = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    return (hist.withColumn("_n", F.sum("_c").over(w_all))
+                .withColumn("_mean", F.sum(F.col("_c") * F.col("_v")).over(w_all) / F.col("_n"))
+                .withColumn("_cum", F.sum("_c").over(w_ord))
+                .withColumn("_start", F.col("_cum") - F.col("_c")))
+
+
+def _quantile_aggs(probs: Sequence[float], names: Sequence[str]) -> list[Column]:
+    """Linear interpolation between the order statistics around p*(n-1)."""
+    out = []
+    for p, name in zip(probs, names):
+        pos = F.lit(float(p)) * (F.col("_n") - 1)
+        lo, hi = F.floor(pos), F.ceil(pos)
+        at_lo = F.max(F.when((F.col("_start") <= lo) & (lo < F.col("_cum")), F.col("_v")))
+        at_hi = F.max(F.when((F.col("_start") <= hi) & (hi < F.col("_cum")), F.col("_v")))
+        out.append((at_lo + F.max(pos - lo) * (at_hi - at_lo)).alias(name))
+    return out
+
+
+def _names(probs: Sequence[float]) -> list[str]:
+    return [f"p{int(round(p * 100))}" for p in probs]
+
+
+def _agg(h: DataFrame, keys: Sequence[str], aggs: list[Column]) -> DataFrame:
+    return h.groupBy(*keys).agg(*aggs) if keys else h.agg(*aggs)
+
+
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[str] = (),
                     names: Sequence[str] | None = None) -> DataFrame:
-    """Linear-interpolated exact quantiles (pandas / ``quantile_cont``) per key.
-
-    value histogram (distributed) -> cumulative counts over distinct values ->
-    pick the order statistics around ``p*(n-1)``."""
+    """Exact linear-interpolated quantiles (pandas / ``quantile_cont``) per key,
+    from the value histogram — rows are never gathered."""
     keys = list(keys)
-    v = F.col(value)
-    hist = df.where(v.isNotNull()).groupBy(*keys, v.cast("double").alias("_v")) \
-        .agg(F.count(F.lit(1)).alias("_c"))
-    if not keys:
-        hist, keys = hist.withColumn("_g", F.lit(0)), ["_g"]
-    q = _quantiles_from_hist(hist, "_v", probs, keys)
-    if names:
-        q = q.select(*keys, *[F.col(f"p{int(round(p * 100))}").alias(n) for p, n in zip(probs, names)])
-    return q.drop("_g")
+    return _agg(_hist(df, value, keys), keys, _quantile_aggs(probs, list(names or _names(probs))))
 
 
 def describe(df: DataFrame, value: str, probs: Sequence[float] = (0.5, 0.75, 0.9, 0.95, 0.99),
              keys: Sequence[str] = ()) -> DataFrame:
-    """count, mean, std (sample), min, quantiles, max — pandas ``describe``.
-
-    Everything comes from one value histogram per key (one scan, one small
-    shuffle); the standard deviation is the two-pass form over the histogram."""
+    """count, mean, std (sample, two-pass), min, quantiles, max — pandas
+    ``describe`` — in one aggregate over the per-key value histogram."""
     keys = list(keys)
-    drop = not keys
-    if drop:
-        df, keys = df.withColumn("_g", F.lit(0)), ["_g"]
-    v = F.col(value).cast("double")
-    hist = df.where(v.isNotNull()).groupBy(*keys, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    base = hist.groupBy(*keys).agg(F.sum("_c").alias("count"),
-                                   (F.sum(F.col("_v") * F.col("_c")) / F.sum("_c")).alias("mean"),
-                                   F.min("_v").alias("min"), F.max("_v").alias("max"))
-    dev = (hist.join(base.select(*keys, "mean", "count"), keys)
-               .groupBy(*keys)
-               .agg(F.sqrt(F.sum(F.col("_c") * (F.col("_v") - F.col("mean")) ** 2)
-                           / F.when(F.first("count") > 1, F.first("count") - 1)).alias("std")))
-    q = _quantiles_from_hist(hist, "_v", probs, keys)
-    qcols = [c for c in q.columns if c not in keys]
-    out = (base.join(dev, keys, "left").join(q, keys, "left")
-               .select(*keys, F.col("count").cast("bigint").alias("count"), "mean", "std", "min", *qcols, "max"))
-    return out.drop("_g") if drop else out
-
-
-def _quantiles_from_hist(hist: DataFrame, v: str, probs: Sequence[float], keys: Sequence[str]) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(v).rowsBetween(Window.unboundedPreceding, 0)
-    cum = (hist.withColumn("_cum", F.sum("_c").over(w))
-               .withColumn("_start", F.col("_cum") - F.col("_c"))
-               .withColumn("_n", F.sum("_c").over(Window.partitionBy(*keys))))
-    aggs = []
-    for p in probs:
-        pos = F.lit(float(p)) * (F.col("_n") - 1)
-        lo, hi = F.floor(pos), F.ceil(pos)
-        at_lo = F.max(F.when((F.col("_start") <= lo) & (lo < F.col("_cum")), F.col(v)))
-        at_hi = F.max(F.when((F.col("_start") <= hi) & (hi < F.col("_cum")), F.col(v)))
-        aggs.append((at_lo + F.max(pos - lo) * (at_hi - at_lo)).alias(f"p{int(round(p * 100))}"))
-    return cum.groupBy(*keys).agg(*aggs)
+    h = _hist(df, value, keys)
+    n = F.first("_n")
+    aggs = [n.cast("bigint").alias("count"), F.first("_mean").alias("mean"),
+            F.sqrt(F.sum(F.col("_c") * (F.col("_v") - F.col("_mean")) ** 2) / F.when(n > 1, n - 1)).alias("std"),
+            F.min("_v").alias("min"), *_quantile_aggs(probs, _names(probs)), F.max("_v").alias("max")]
+    return _agg(h, keys, aggs)
 
 
 # ----------------------------------------------------------------- product metadata stats
