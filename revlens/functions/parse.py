@@ -43,7 +43,8 @@ def parse_dot_date(col) -> Column:
 
 
 def parse_dot_timestamp(col) -> Column:
-    return F.try_to_timestamp(F.trim(_c(col)), F.lit("yyyy.M.d H:m:s"))
+    """``2025.12.12 10:00:00`` -> un-zoned TIMESTAMP_NTZ (the text carries no zone)."""
+    return F.try_to_timestamp(F.trim(_c(col)), F.lit("yyyy.M.d H:m:s")).cast("timestamp_ntz")
 
 
 def coerce_double(col) -> Column:

@@ -13,6 +13,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+STRICT = os.environ.get("ORACLE_STRICT") == "1"   # compare floats exactly (no re-rounding)
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -32,7 +34,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        return v if STRICT else round(v, 6)
     if hasattr(v, "item") and not isinstance(v, (list, dict)):
         try:
             return _norm(v.item())
