@@ -32,10 +32,12 @@ def spread(df: DataFrame) -> DataFrame:
     """Round-robin the rows over the cluster only when the scan yields fewer
     splits than there are cores (e.g. a file with one row group).  On a large
     input with thousands of splits this is a no-op, so no extra shuffle."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()          # planning only, no job
+    except Exception:                               # e.g. no RDD access: leave the scan as is
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
