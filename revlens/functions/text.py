@@ -43,9 +43,12 @@ def _nfc_batch(s: pd.Series) -> pd.Series:
 
 
 def nfc(col) -> Column:
-    """Unicode NFC.  Pure-ASCII values never leave the JVM."""
+    """Unicode NFC.  Spark evaluates an extracted pandas UDF for every row, so
+    pure-ASCII values are handed to it as NULL (no payload crosses to Python)
+    and keep their JVM-side value."""
     c = _c(col)
-    return F.when(c.rlike(r"^[\x00-\x7F]*$"), c).otherwise(_nfc_batch(c))
+    ascii_only = c.rlike(r"^[\x00-\x7F]*$")
+    return F.when(ascii_only, c).otherwise(_nfc_batch(F.when(~ascii_only, c)))
 
 
 # ------------------------------------------------------- F2 review normaliser
