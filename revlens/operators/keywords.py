@@ -74,11 +74,15 @@ def term_frequency(reviews: DataFrame, id_col: str = "review_id", tokens: str =
 def token_contributions(reviews: DataFrame, keys: Sequence[str], label: str = "label",
                         tokens: str = "tokens") -> DataFrame:
     """(keys, label, word, w, d): w sums to tf per review, d marks presence."""
-    elig = eligible(reviews, label, tokens)
+    # Only the cheap label predicate filters rows: reviews without tokens emit
+    # nothing from the explode, and a size(tokens) filter would be pushed below
+    # projections/exchanges and re-run the tokeniser on its own.
+    elig = reviews.where(F.col(label).isin(0, 1))
     n = F.size(tokens)
     st = "array<struct<word:string,w:double,d:int>>"
     # arrays_zip/array_repeat are code-generated (no lambda per element)
-    occ = F.arrays_zip(F.col(tokens), F.array_repeat(F.lit(1.0) / n, n), F.array_repeat(F.lit(0), n)).cast(st)
+    occ = F.arrays_zip(F.col(tokens), F.array_repeat(F.try_divide(F.lit(1.0), n), n),
+                       F.array_repeat(F.lit(0), n)).cast(st)
     dt = F.array_distinct(tokens)
     dist = F.arrays_zip(dt, F.array_repeat(F.lit(0.0), F.size(dt)), F.array_repeat(F.lit(1), F.size(dt))).cast(st)
     return (elig.select(*keys, F.col(label).alias("label"), F.explode(F.concat(occ, dist)).alias("e"))
@@ -104,11 +108,15 @@ def long_weight_contributions(weights: DataFrame, reviews: DataFrame, keys: Sequ
 
 # ----------------------------------------------------------------- A1
 def class_totals(reviews: DataFrame, hierarchy: Sequence[str], level_names: Sequence[str],
-                 label: str = "label", tokens: str | None = "tokens") -> DataFrame:
-    """Per level: review_count, pos_count, neg_count, token_review_count."""
-    aggs = [F.count(F.lit(1)).alias("review_count"),
-            F.count_if(F.col(label) == 1).alias("pos_count"),
-            F.count_if(F.col(label) == 0).alias("neg_count")]
+                 label: str = "label", tokens: str | None = "tokens",
+                 only_with_tokens: str | None = None) -> DataFrame:
+    """Per level: review_count, pos_count, neg_count, token_review_count.
+    ``only_with_tokens`` names a token column whose empty rows are not counted
+    (a conditional count, not a row filter)."""
+    keep = (F.coalesce(F.size(only_with_tokens), F.lit(0)) > 0) if only_with_tokens else F.lit(True)
+    aggs = [F.count_if(keep).alias("review_count"),
+            F.count_if(keep & (F.col(label) == 1)).alias("pos_count"),
+            F.count_if(keep & (F.col(label) == 0)).alias("neg_count")]
     if tokens is not None:
         aggs.append(F.count_if(F.coalesce(F.size(tokens), F.lit(0)) > 0).alias("token_review_count"))
     out = reviews.rollup(*hierarchy).agg(*aggs, F.grouping_id().alias("_gid"))
@@ -243,9 +251,8 @@ def sentiment_keywords_weighted(reviews: DataFrame, hierarchy: Sequence[str] = (
 
 def idf_factors(reviews: DataFrame, tokens: str = "tokens") -> DataFrame:
     """(word, factor = ln(N / df)) over the reviews that have tokens."""
-    r = reviews.where(F.size(tokens) > 0)
-    n_docs = r.agg(F.count(F.lit(1)).cast("double")).scalar()
-    dfreq = r.select(F.explode(F.array_distinct(tokens)).alias("word")).groupBy("word") \
+    n_docs = reviews.agg(F.count_if(F.size(tokens) > 0).cast("double")).scalar()
+    dfreq = reviews.select(F.explode(F.array_distinct(tokens)).alias("word")).groupBy("word") \
         .agg(F.count(F.lit(1)).alias("_df"))
     return dfreq.select("word", F.log(n_docs / F.col("_df")).alias("factor"))
 
@@ -257,10 +264,10 @@ def sentiment_keywords_tfidf(reviews: DataFrame, hierarchy: Sequence[str] = ("ca
     """A6 with tf-idf weights, factorised: idf depends on the word only, so the
     class sums are idf(w) * (sums of tf) — no per-(review, word) weight table."""
     hierarchy = list(hierarchy)
-    r = reviews.where(F.size(tokens) > 0)
-    contrib = token_contributions(r, hierarchy, label, tokens)
-    totals = class_totals(r, hierarchy, [n for n, _ in levels], label, tokens=None)
-    return score_keywords(contrib, totals, hierarchy, levels, top_n, word_scale=idf_factors(r, tokens))
+    contrib = token_contributions(reviews, hierarchy, label, tokens)
+    totals = class_totals(reviews, hierarchy, [n for n, _ in levels], label, tokens=None,
+                          only_with_tokens=tokens)
+    return score_keywords(contrib, totals, hierarchy, levels, top_n, word_scale=idf_factors(reviews, tokens))
 
 
 def tfidf_weights(reviews: DataFrame, id_col: str = "review_id", tokens: str = "tokens") -> DataFrame:
@@ -270,7 +277,7 @@ def tfidf_weights(reviews: DataFrame, id_col: str = "review_id", tokens: str = "
     when its measured size is under the broadcast threshold, otherwise it is a
     shuffle join (with skew splitting for hot words)."""
     tf = term_frequency(reviews, id_col, tokens)
-    n_docs = reviews.where(F.size(tokens) > 0).agg(F.count(F.lit(1)).cast("double")).scalar()
+    n_docs = reviews.agg(F.count_if(F.size(tokens) > 0).cast("double")).scalar()
     dfreq = tf.groupBy("word").agg(F.count(F.lit(1)).alias("_df"))
     return (tf.join(dfreq, "word")
               .select(id_col, "word", (F.col("tf") * F.log(n_docs / F.col("_df"))).alias("weight")))
@@ -300,8 +307,7 @@ def ranked_counts(counts: DataFrame, part: Sequence[str], top_n: int, key: str =
 def group_word_frequency(reviews: DataFrame, groups: Mapping[str, Sequence[str]] = P.GROUP_KEYWORDS,
                          top_n: int = P.GROUP_WORD_TOP_N, tokens: str = "tokens") -> DataFrame:
     """Word counts over all reviews matching each keyword group; top-n per group."""
-    r = reviews.where(F.size(tokens) > 0).select(F.explode(keyword_groups(tokens, groups)).alias("group"),
-                                                  tokens)
+    r = reviews.select(F.explode(keyword_groups(tokens, groups)).alias("group"), tokens)
     counts = r.select("group", F.explode(tokens).alias("word")).groupBy("group", "word") \
         .agg(F.count(F.lit(1)).alias("cnt"))
     return ranked_counts(counts, ["group"], top_n).select("group", "rank", "word", "cnt")

@@ -34,7 +34,7 @@ def fit_word2vec(reviews: DataFrame, tokens: str = "tokens", dim: int = P.W2V_DI
     n = num_partitions or max(1, reviews.sparkSession.sparkContext.defaultParallelism)
     w2v = Word2Vec(vectorSize=dim, windowSize=window, minCount=min_count, seed=seed,
                    numPartitions=n, maxIter=max_iter, inputCol=tokens, outputCol="_w2v")
-    return w2v.fit(reviews.where(F.size(tokens) > 0).select(tokens))
+    return w2v.fit(reviews.select(tokens))        # empty token lists add nothing to training
 
 
 def word_vectors(model) -> DataFrame:
