@@ -7,8 +7,8 @@
 
 Both ordered rules need a position inside a group.  A plain window would put a
 whole group in one task, and one group may hold a third of the data, so the
-groups are split: cut points per group come from ``percentile_approx`` on the
-leading order column, rows go to the bucket of their order value (buckets are
+groups larger than ``min_split`` rows are split: cut points per such group come
+from ``percentile_approx`` on the leading order column, rows go to the bucket of their order value (buckets are
 monotone in the order), per-bucket counts/sums give exact offsets, and the
 window then runs per (group, bucket) only.  Buckets that lie entirely past the
 quota / cap are dropped before any sorting.  Results are exact: the cut
@@ -25,19 +25,24 @@ from pyspark.sql import functions as F
 from .. import params as P
 
 
-def _bucketed(df: DataFrame, group: Sequence[str], order: Sequence[str], buckets: int) -> DataFrame:
-    """Add ``_b``: bucket of each row inside its group, monotone in ``order[0]``."""
+def _bucketed(df: DataFrame, group: Sequence[str], order: Sequence[str], buckets: int,
+              sizes: DataFrame, min_split: int) -> DataFrame:
+    """Add ``_b``: bucket of each row inside its group, monotone in ``order[0]``.
+    Only groups with more than ``min_split`` rows are split (cut points from
+    ``percentile_approx``); every other group is bucket 0."""
     lead = order[0]
     probs = [i / buckets for i in range(1, buckets)]
-    cuts = df.groupBy(*group).agg(F.percentile_approx(lead, probs, 1000).alias("_cuts"))
-    j = df.join(cuts, list(group))       # one row per group: AQE broadcasts it when small
-    b = F.size(F.filter(F.array_distinct("_cuts"), lambda c: c < F.col(lead)))
+    big = sizes.where(F.col("_n") > min_split).select(*group)
+    cuts = (df.join(big, list(group), "left_semi")
+              .groupBy(*group).agg(F.percentile_approx(lead, probs, 1000).alias("_cuts")))
+    j = df.join(cuts, list(group), "left")     # one row per big group: AQE broadcasts it when small
+    b = F.coalesce(F.size(F.filter(F.array_distinct("_cuts"), lambda c: c < F.col(lead))), F.lit(0))
     return j.withColumn("_b", b).drop("_cuts")
 
 
 def stratified_quota(df: DataFrame, strata: Sequence[str], order: Sequence[Column | str],
                      target: int = P.STAR_QUOTA_TARGET, share: float = P.STAR_QUOTA_SHARE,
-                     buckets: int = 32) -> DataFrame:
+                     buckets: int = 32, min_split: int = 100_000) -> DataFrame:
     """Keep the first ``greatest(target, floor(share * n))`` rows of each stratum
     (``seq`` = 1-based position within the stratum, W7).  ``order`` lists
     ascending columns forming a total order."""
@@ -49,7 +54,7 @@ def stratified_quota(df: DataFrame, strata: Sequence[str], order: Sequence[Colum
         return (df.join(sizes.select(*strata, quota.alias("_q")), strata)
                   .withColumn("seq", F.row_number().over(w))
                   .where(F.col("seq") <= F.col("_q")).drop("_q"))
-    bd = _bucketed(df, strata, order, buckets)
+    bd = _bucketed(df, strata, order, buckets, sizes, min_split)
     per_b = bd.groupBy(*strata, "_b").agg(F.count(F.lit(1)).alias("_bn"))
     wb = Window.partitionBy(*strata).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offs = (per_b.withColumn("_off", F.coalesce(F.sum("_bn").over(wb), F.lit(0)))
@@ -63,7 +68,7 @@ def stratified_quota(df: DataFrame, strata: Sequence[str], order: Sequence[Colum
 
 
 def cumulative_cap(items: DataFrame, group: Sequence[str], order: Sequence[str], value: str,
-                   cap: int = P.CATEGORY_REVIEW_CAP, buckets: int = 32) -> DataFrame:
+                   cap: int = P.CATEGORY_REVIEW_CAP, buckets: int = 32, min_split: int = 100_000) -> DataFrame:
     """Take items in order while the running total *before* the item is below
     ``cap`` (the item that crosses the cap is kept); ``running_before`` is kept."""
     group, order = list(group), list(order)
@@ -71,7 +76,8 @@ def cumulative_cap(items: DataFrame, group: Sequence[str], order: Sequence[str],
         w = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
         before = F.coalesce(F.sum(value).over(w), F.lit(0))
         return items.withColumn("running_before", before).where(F.col("running_before") < cap)
-    bd = _bucketed(items, group, order, buckets)
+    sizes = items.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    bd = _bucketed(items, group, order, buckets, sizes, min_split)
     per_b = bd.groupBy(*group, "_b").agg(F.sum(value).alias("_bs"))
     wb = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offs = (per_b.withColumn("_off", F.coalesce(F.sum("_bs").over(wb), F.lit(0)))

@@ -87,7 +87,7 @@ def test_representative_is_group_max(spark, rows):
        st.integers(1, 6))
 def test_quota_bounds(spark, rows, target):
     df = spark.createDataFrame([(p, s, i) for i, (p, s) in enumerate(rows)], "product string, score int, i int")
-    kept = SM.stratified_quota(df, ["product", "score"], ["i"], target, 0.25, buckets=4)
+    kept = SM.stratified_quota(df, ["product", "score"], ["i"], target, 0.25, buckets=4, min_split=5)
     sizes = {}
     for p, s in rows:
         sizes[(p, s)] = sizes.get((p, s), 0) + 1

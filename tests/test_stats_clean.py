@@ -129,11 +129,11 @@ def test_split_ordered_rules_equal_plain_windows(spark):
              random.randint(0, 400), i) for i in range(3000)]
     df = spark.createDataFrame(rows, "product string, score int, k int, i int")
     a = SM.stratified_quota(df, ["product", "score"], ["k", "i"], 3, 0.25, buckets=1)
-    b = SM.stratified_quota(df, ["product", "score"], ["k", "i"], 3, 0.25, buckets=16)
+    b = SM.stratified_quota(df, ["product", "score"], ["k", "i"], 3, 0.25, buckets=16, min_split=50)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.select(*a.columns).collect()))
     items = df.groupBy("product", "k").agg(F.count(F.lit(1)).alias("n"))
     c = SM.cumulative_cap(items, ["product"], ["k"], "n", 500, buckets=1)
-    e = SM.cumulative_cap(items, ["product"], ["k"], "n", 500, buckets=8)
+    e = SM.cumulative_cap(items, ["product"], ["k"], "n", 500, buckets=8, min_split=20)
     assert sorted(map(tuple, c.collect())) == sorted(map(tuple, e.select(*c.columns).collect()))
 
 
