@@ -52,14 +52,23 @@ def summary_document(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def write_nested_by_category(products: DataFrame, reviews: DataFrame, path: str,
-                             key: str = "product_id", category: str = "category_file") -> None:
-    """K1: nested per-product documents, partitioned by category folder.
-
-    Only on capped review sets (the collection quota W5 bounds reviews per
-    product); the default sink is the flat partitioned Parquet table.  Each
-    product is one JSON line — never a whole-category collect."""
-    nested = reviews.groupBy(key).agg(F.collect_list(F.struct(*[c for c in reviews.columns if c != key]))
-                                      .alias("reviews"))
+                             key: str = "product_id", category: str = "category_file",
+                             order: str = "review_pos", chunk: int = 1000) -> None:
+    """K1: nested product documents (JSON lines), partitioned by category folder.
+
+    Reviews are nested per (product, chunk of ``chunk`` consecutive positions),
+    so no row ever holds more than ``chunk`` reviews however hot a product is;
+    a product with more reviews spans several lines (``chunk`` = 0, 1, ...)."""
+    rcols = [c for c in reviews.columns if c != key]
+    if order in reviews.columns:
+        part = F.floor(F.col(order) / chunk).cast("bigint")
+        items = F.array_sort(F.collect_list(F.struct(F.col(order).alias("_o"), *[F.col(c) for c in rcols])))
+    else:
+        part = F.lit(0).cast("bigint")
+        items = F.collect_list(F.struct(*[F.col(c) for c in rcols]))
+    nested = reviews.groupBy(key, part.alias("chunk")).agg(items.alias("reviews"))
+    if order in reviews.columns:
+        nested = nested.withColumn("reviews", F.transform("reviews", lambda x: x.dropFields("_o")))
     doc = products.join(nested, key, "left")
     doc.write.mode("overwrite").partitionBy(category).json(path)
 

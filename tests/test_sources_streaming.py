@@ -164,3 +164,13 @@ def test_weight_pairs_and_vectorizer_choice(spark):
     out = vectorize_reviews(r, {"word2vec": lambda x: x.select("review_id", F.array(F.lit(1.0)).alias("vector"))})
     row = out.first()
     assert row["word2vec"] == [1.0] and row["bert"] is None
+
+
+def test_nested_sink_chunks_hot_products(spark):
+    d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    p = spark.createDataFrame([("p1", "c1")], "product_id string, category_file string")
+    rv = spark.createDataFrame([("p1", i, f"t{i}") for i in range(25)], "product_id string, review_pos int, full_text string")
+    SK.write_nested_by_category(p, rv, d + "/n", chunk=10)
+    back = spark.read.json(d + "/n").orderBy("chunk").collect()
+    assert [len(r["reviews"]) for r in back] == [10, 10, 5]
+    assert [x["full_text"] for x in back[0]["reviews"]][:3] == ["t0", "t1", "t2"]
