@@ -155,3 +155,17 @@ RAW_REVIEW = T.StructType([T.StructField(n, T.StringType()) for n in
                           + [T.StructField("has_image", T.BooleanType())]
                           + [T.StructField(n, T.StringType()) for n in
                              ["helpful_count", "title", "content", "full_text"]])
+
+
+def prepare_reviews(flat: DataFrame, product_keys: Sequence[str] = ("source_file", "product_pos"),
+                    order: str = "review_pos", use_nfc: bool = True) -> DataFrame:
+    """Typed, normalised, de-duplicated reviews of flattened raw documents.
+
+    The duplicate key per product is (date as ISO text, or the dot-stripped raw
+    date when it does not parse; nickname; normalised full text); the first
+    review in document order wins."""
+    f = format_reviews(flat, use_nfc)
+    date_key = F.coalesce(F.date_format("date_parsed", "yyyy-MM-dd"),
+                          F.regexp_replace(F.col("date"), r"^\.+|\.+$", ""))
+    f = f.withColumn("_date_key", date_key)
+    return keep_first(f, [*product_keys, "_date_key", "nickname", "full_text_norm"], [order]).drop("_date_key")

@@ -146,3 +146,16 @@ def test_model_vectors_equal_vocab_join(spark):
     assert set(a) == set(b)
     for k in a:
         assert b[k] == pytest.approx(a[k], abs=1e-6)
+
+
+def test_prepare_reviews_dedupes_on_normalised_text(spark):
+    from revlens.operators.clean import RAW_REVIEW
+    rows = [("f", 0, 0, "1", "5", "2025.1.2.", "n", "좋아요"), ("f", 0, 1, "2", "4", "2025.01.02", "n", "좋아요 \U0001F600"),
+            ("f", 0, 2, "3", "4", "2025.1.3.", "n", "좋아요"), ("f", 1, 0, "1", "5", "2025.1.2.", "n", "좋아요"),
+            ("f", 0, 3, "4", "1", "어제", None, "별로"), ("f", 0, 4, "5", "1", "어제.", None, "별로")]
+    df = spark.createDataFrame(rows, "source_file string, product_pos int, review_pos int, id string, score string, "
+                                     "date string, nickname string, full_text string")
+    for c in ["collected_at", "helpful_count", "title", "content"]:
+        df = df.withColumn(c, F.lit(None).cast("string"))
+    out = sorted((r["product_pos"], r["review_pos"]) for r in C.prepare_reviews(df).collect())
+    assert out == [(0, 0), (0, 2), (0, 3), (1, 0)]
