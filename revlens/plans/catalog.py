@@ -612,10 +612,12 @@ def q_daily_review_counts(spark, d):
 def q_negative_rate_alert(spark, d):
     from ..functions.parse import sentiment_label
     from ..streaming.incremental import windowed_rate
-    rv = B.reviews_scored(spark, d).select(F.col("date").cast("timestamp").alias("ts"),
+    # instants from epoch days, and back: independent of the session time zone
+    rv = B.reviews_scored(spark, d).select(F.timestamp_seconds(F.unix_date("date") * 86400).alias("ts"),
                                            sentiment_label("score").alias("label"))
     r = windowed_rate(rv, "ts", F.col("label") == 0, window="7 days", delay="30 days")
-    return finish(r.select(F.col("window_start").cast("date").alias("week_start"), "n", "flagged", "rate"))
+    week = F.date_from_unix_date(F.floor(F.unix_seconds("window_start") / 86400).cast("int"))
+    return finish(r.select(week.alias("week_start"), "n", "flagged", "rate"))
 
 
 QUERIES = {
