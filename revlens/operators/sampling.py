@@ -88,7 +88,9 @@ def cumulative_cap(items: DataFrame, group: Sequence[str], order: Sequence[str],
               .where(F.col("running_before") < cap).drop("_b", "_off"))
 
 
-def first_seen_distinct(df: DataFrame, value: str, order: Sequence[str]) -> DataFrame:
-    """Distinct values with the position where each was first seen (an aggregate)."""
+def first_seen_distinct(df: DataFrame, value: str, order: Sequence[str], limit: int | None = None) -> DataFrame:
+    """Distinct values with the position where each was first seen (an
+    aggregate); ``limit`` keeps the first n in that order (a top-k report)."""
     first = F.min(F.struct(*[F.col(c) for c in order])).alias("_first")
-    return df.groupBy(value).agg(first).select(value, *[F.col(f"_first.{c}").alias(c) for c in order])
+    out = df.groupBy(value).agg(first).select(value, *[F.col(f"_first.{c}").alias(c) for c in order])
+    return out.orderBy(*order, value).limit(limit) if limit is not None else out

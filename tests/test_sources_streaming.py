@@ -174,3 +174,24 @@ def test_nested_sink_chunks_hot_products(spark):
     back = spark.read.json(d + "/n").orderBy("chunk").collect()
     assert [len(r["reviews"]) for r in back] == [10, 10, 5]
     assert [x["full_text"] for x in back[0]["reviews"]][:3] == ["t0", "t1", "t2"]
+
+
+def test_running_totals_resume(spark):
+    src = tempfile.mkdtemp(prefix="run-src-", dir="/tmp")
+    sink = tempfile.mkdtemp(prefix="run-sink-", dir="/tmp") + "/totals"
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    ev.where("event_id % 2 = 0").write.mode("append").parquet(src)
+    name = "totals-" + os.path.basename(src)
+    I.run_running_totals(spark, src, ev.schema, ["event_type"], sink, name)
+    ev.where("event_id % 2 = 1").write.mode("append").parquet(src)       # second arrival
+    I.run_running_totals(spark, src, ev.schema, ["event_type"], sink, name)   # resumes from state
+    got = sorted(map(tuple, spark.read.parquet(sink).collect()))
+    want = sorted(map(tuple, ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).collect()))
+    assert got == want
+
+
+def test_first_seen_limit(spark):
+    from revlens.operators.sampling import first_seen_distinct
+    df = spark.createDataFrame([("b", 0, 1), ("a", 0, 2), ("b", 1, 0), ("c", 1, 1)], "link string, page_id int, pos int")
+    out = [(r["link"], r["page_id"], r["pos"]) for r in first_seen_distinct(df, "link", ["page_id", "pos"], 2).collect()]
+    assert out == [("b", 0, 1), ("a", 0, 2)]
