@@ -135,7 +135,7 @@ def sentiment_counts(reviews: DataFrame, hierarchy: Sequence[str] = ("category",
 def score_keywords(contrib: DataFrame, totals: DataFrame, hierarchy: Sequence[str],
                    levels: Sequence[tuple[str, int]] = DEFAULT_LEVELS, top_n: int = P.KEYWORD_TOP_N,
                    rank_digits: int = 9, ranking: str = "one_pass",
-                   word_scale: DataFrame | None = None) -> DataFrame:
+                   word_scale: DataFrame | None = None, split: int = 64) -> DataFrame:
     """Keyword lists for every requested level, long format.
 
     ``contrib``: (hierarchy..., label, word, w, d); ``totals``: output of
@@ -208,13 +208,21 @@ def score_keywords(contrib: DataFrame, totals: DataFrame, hierarchy: Sequence[st
         neg_l = (scored.withColumn("rank", F.row_number().over(wn)).where(F.col("rank") <= top_n)
                        .withColumn("polarity", F.lit("negative")).select(*cols))
         return pos_l.unionByName(neg_l)
-    # One exchange: two row_numbers over the same partitioning, then each word
-    # emits a row per list it made (a word may be in both).
-    w_pos = Window.partitionBy(*part).orderBy(F.col("_rs").desc(), F.col("word").asc())
-    w_neg = Window.partitionBy(*part).orderBy(F.col("_rs").asc(), F.col("word").desc())
-    ranked = (scored.withColumn("_rp", F.row_number().over(w_pos))
-                    .withColumn("_rn", F.row_number().over(w_neg))
-                    .where((F.col("_rp") <= top_n) | (F.col("_rn") <= top_n)))
+    # Two-stage exact top/bottom-n without any group in one task:
+    #  1) per (group, hash(word) mod split): keep words in that bucket's top-n or
+    #     bottom-n — every word of the group's top-n is in its own bucket's top-n;
+    #  2) rank the <= 2*n*split candidates per group.
+    # Both ranks share each exchange; each word then emits a row per list it
+    # made (a word may be in both lists).
+    def ranks(df, keys):
+        w_pos = Window.partitionBy(*keys).orderBy(F.col("_rs").desc(), F.col("word").asc())
+        w_neg = Window.partitionBy(*keys).orderBy(F.col("_rs").asc(), F.col("word").desc())
+        return (df.withColumn("_rp", F.row_number().over(w_pos)).withColumn("_rn", F.row_number().over(w_neg))
+                  .where((F.col("_rp") <= top_n) | (F.col("_rn") <= top_n)))
+    if split > 1:
+        scored = ranks(scored.withColumn("_salt", F.pmod(F.hash("word"), F.lit(split))), [*part, "_salt"]) \
+            .drop("_rp", "_rn", "_salt")
+    ranked = ranks(scored, part)
     lists = F.filter(F.array(
         F.when(F.col("_rp") <= top_n, F.struct(F.lit("positive").alias("polarity"), F.col("_rp").alias("rank"))),
         F.when(F.col("_rn") <= top_n, F.struct(F.lit("negative").alias("polarity"), F.col("_rn").alias("rank")))),
