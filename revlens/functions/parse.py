@@ -146,10 +146,9 @@ def extract_count(col, patterns: Sequence[str] = (r"\n([0-9,]+)", r"\(([0-9,]+)\
 
 # ------------------------------------------------------------ F35 weight maps
 def normalize_weights(col) -> Column:
-    """Per-review word weights as MAP<STRING, DOUBLE>: a map passes through
-    (values cast), an array of (word, weight) pairs becomes a map (last pair
-    wins for repeated words), anything else / NULL -> empty map."""
-    c = _c(col)
+    """A per-review weight map as MAP<STRING, DOUBLE> (keys and values cast);
+    NULL -> empty map.  Pair lists go through ``pairs_to_weights``."""
+    c = F.transform_keys(F.transform_values(_c(col), lambda k, v: v.cast("double")), lambda k, v: k.cast("string"))
     return F.coalesce(c, F.create_map().cast("map<string,double>"))
 
 

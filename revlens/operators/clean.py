@@ -11,13 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import params as P
 from ..functions import parse as PA
 from ..functions import text as TX
+from ..sources.readers import RAW_REVIEW  # noqa: F401  (raw review schema)
 
 
 # ----------------------------------------------------------------- P1 / P2
@@ -150,11 +150,7 @@ def format_reviews(reviews: DataFrame, use_nfc: bool = True) -> DataFrame:
     )
 
 
-RAW_REVIEW = T.StructType([T.StructField(n, T.StringType()) for n in
-                           ["id", "score", "date", "collected_at", "nickname"]]
-                          + [T.StructField("has_image", T.BooleanType())]
-                          + [T.StructField(n, T.StringType()) for n in
-                             ["helpful_count", "title", "content", "full_text"]])
+
 
 
 def prepare_reviews(flat: DataFrame, product_keys: Sequence[str] = ("source_file", "product_pos"),

@@ -40,10 +40,6 @@ DEFAULT_LEVELS = (("global", P.MIN_DOC_FREQ_GLOBAL),
                   ("category", P.MIN_DOC_FREQ_CATEGORY),
                   ("product", P.MIN_DOC_FREQ_PRODUCT))
 
-KEYWORD_COLUMNS = ["level", "polarity", "rank", "word", "diff", "pos", "neg", "pos_n", "neg_n",
-                   "support", "balanced_ratio", "score"]
-
-
 def _level_of(gid: Column, n_keys: int, names: Sequence[str]) -> Column:
     """Map a rollup grouping id to a level name (prefix length k -> 2^(L-k)-1)."""
     expr = None
@@ -54,6 +50,7 @@ def _level_of(gid: Column, n_keys: int, names: Sequence[str]) -> Column:
 
 
 def eligible(reviews: DataFrame, label: str = "label", tokens: str = "tokens") -> DataFrame:
+    """Reviews that take part in keyword scoring: label 0/1 and at least one token."""
     return reviews.where(F.col(label).isin(0, 1) & (F.size(tokens) > 0))
 
 

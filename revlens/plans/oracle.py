@@ -48,10 +48,6 @@ prc AS (SELECT product_id,
         FROM pv GROUP BY product_id)"""
 
 
-def _levels(cols: str) -> str:
-    return cols
-
-
 def keywords_sql(level_sets: list[tuple[str, str, int]], top_n: int, extra_cols: list[str]) -> str:
     """level_sets: (level name, grouping-set key list, min_doc_freq)."""
     gsets_w = ", ".join(f"({k + ', ' if k else ''}word)" for _, k, _ in level_sets)
