@@ -323,6 +323,14 @@ def q_dedupe_reviews(spark, d):
     return finish(k.select("product_id", "date", "l_suppkey", "l_orderkey", "l_linenumber", "l_quantity"))
 
 
+def q_dedupe_documents(spark, d):
+    from ..functions.text import normalize_text
+    from ..operators.clean import keep_first
+    docs = B.table(spark, d, "documents").select(
+        "doc_id", "source", normalize_text("text", keep=ASCII_KEEP, use_nfc=False).alias("norm"))
+    return finish(keep_first(docs, ["source", "norm"], ["doc_id"]).select("source", "doc_id"))
+
+
 def q_dedupe_products(spark, d):
     from ..operators.clean import keep_first
     return finish(keep_first(B.products(spark, d), ["product_name"], ["product_id"])
@@ -663,6 +671,7 @@ QUERIES = {
     "min_declared_filter": q_min_declared_filter,
     "dedupe_reviews": q_dedupe_reviews,
     "dedupe_products": q_dedupe_products,
+    "dedupe_documents": q_dedupe_documents,
     "stratified_quota": q_stratified_quota,
     "cumulative_cap": q_cumulative_cap,
     "incremental_new_only": q_incremental_new_only,

@@ -648,3 +648,9 @@ x AS (SELECT CAST(to_timestamp(floor(epoch(CAST(date AS TIMESTAMP)) / 604800) *
 SELECT week_start, count(*) AS n, count(CASE WHEN label = 0 THEN 1 END) AS flagged,
        round(count(CASE WHEN label = 0 THEN 1 END) / count(*), 6) AS rate
 FROM x GROUP BY week_start"""
+
+SQL["dedupe_documents"] = r"""WITH n AS (
+  SELECT doc_id, source, CASE WHEN text IS NULL OR text = '' THEN text
+         ELSE trim(regexp_replace(regexp_replace(text, '[^a-zA-Z0-9 \t\n\r.,!?~]', '', 'g'), '\s+', ' ', 'g')) END AS norm
+  FROM documents)
+SELECT source, min(doc_id) AS doc_id FROM n GROUP BY source, norm"""
