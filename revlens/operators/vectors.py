@@ -80,6 +80,19 @@ def review_vectors_model(reviews: DataFrame, model, id_col: str = "review_id", t
     return t.select(id_col, vec.alias("vector"))
 
 
+def review_vectors_auto(reviews: DataFrame, model, id_col: str = "review_id", tokens: str = "tokens",
+                        dim: int = P.W2V_DIM, max_broadcast_bytes: int = 256 << 20) -> DataFrame:
+    """M2 with a checked broadcast: the model path (``transform`` broadcasts
+    vocabulary x dim floats) only while the model is under
+    ``max_broadcast_bytes``; beyond it the vocabulary is joined as a
+    distributed table (shuffle join, AQE skew splitting for hot words)."""
+    vocab = word_vectors(model)
+    size = vocab.count() * dim * 4           # the fitted model's float matrix
+    if size <= max_broadcast_bytes:
+        return review_vectors_model(reviews, model, id_col, tokens, dim)
+    return review_vectors(reviews, vocab, id_col, tokens, dim)
+
+
 def centroids(vectors: DataFrame, key: str, vec: str = "vector") -> DataFrame:
     """Product vector = mean of its review vectors (zero vectors included)."""
     return mean_vectors(vectors, key, vec)

@@ -590,9 +590,9 @@ def q_word2vec_vocab(spark, d):
 
 def q_word2vec_review_vectors(spark, d):
     from ..functions.vector import norm
-    from ..operators.vectors import fit_word2vec, review_vectors_model
+    from ..operators.vectors import fit_word2vec, review_vectors_auto
     r = B.reviews_text(spark, d).where(F.col("label").isNotNull())     # M3: labelled reviews
-    rv = review_vectors_model(r, fit_word2vec(r))
+    rv = review_vectors_auto(r, fit_word2vec(r))
     return finish(rv.select("review_id", F.size("vector").alias("dim"), norm("vector").alias("norm")))
 
 

@@ -114,8 +114,8 @@ def run_preprocessing(spark: SparkSession, raw_root: str, out_root: str, stopwor
     # vectors: global Word2Vec, review vectors, centroids and representatives
     if vectorizer in ("word2vec", "both"):
         model = V.fit_word2vec(text_reviews, dim=w2v_dim)
-        rvec = V.review_vectors_model(text_reviews.select("review_key", "tokens"), model, "review_key",
-                                      dim=w2v_dim)
+        rvec = V.review_vectors_auto(text_reviews.select("review_key", "tokens"), model, "review_key",
+                                     dim=w2v_dim)
         with_vec = detail.join(rvec.withColumnRenamed("vector", "word2vec"), "review_key", "left")
         with_vec = with_vec.withColumn("bert", F.lit(None).cast("array<double>"))
         reps = V.representative(rvec.join(text_reviews.select("review_key", "review_pos", "product_id"),

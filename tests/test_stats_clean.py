@@ -159,3 +159,13 @@ def test_prepare_reviews_dedupes_on_normalised_text(spark):
         df = df.withColumn(c, F.lit(None).cast("string"))
     out = sorted((r["product_pos"], r["review_pos"]) for r in C.prepare_reviews(df).collect())
     assert out == [(0, 0), (0, 2), (0, 3), (1, 0)]
+
+
+def test_auto_vectors_both_paths_agree(spark):
+    rows = [(i, (["good", "fine", "ok", "bad", "zzz%d" % i] * 3)[: 3 + i % 5]) for i in range(40)]
+    r = spark.createDataFrame(rows, "review_id int, tokens array<string>")
+    model = V.fit_word2vec(r, dim=8, min_count=3, num_partitions=2)
+    a = {x["review_id"]: x["vector"] for x in V.review_vectors_auto(r, model, dim=8).collect()}
+    b = {x["review_id"]: x["vector"] for x in V.review_vectors_auto(r, model, dim=8, max_broadcast_bytes=0).collect()}
+    for k in a:
+        assert b[k] == pytest.approx(a[k], abs=1e-6)
