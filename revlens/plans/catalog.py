@@ -373,6 +373,48 @@ def q_incremental_backfill(spark, d):
 
 
 # ============================================================ scans
+def q_scan_nested_documents(spark, d):
+    """Search documents serialised from the tables (one per
+    order, <= 7 products, every leaf a string: comma prices, dotted dates),
+    parsed back with the explicit raw schema, unnested, flattened and typed."""
+    from ..functions.parse import lenient_int, parse_dot_date
+    from ..operators.clean import flatten_reviews, unnest_products
+    from ..sources.readers import RAW_SEARCH
+    li = B.table(spark, d, "lineitem")
+    review = F.struct(F.col("l_linenumber").cast("string").alias("id"),
+                      F.ceil(F.col("l_quantity") / 10).cast("string").alias("score"),
+                      F.date_format("l_shipdate", "yyyy.M.d.").alias("date"),
+                      F.lit(None).cast("string").alias("collected_at"), F.col("l_suppkey").cast("string").alias("nickname"),
+                      (F.col("l_returnflag") == "R").alias("has_image"), F.lit("0").alias("helpful_count"),
+                      F.lit("").alias("title"), F.col("l_linestatus").alias("content"),
+                      F.col("l_linestatus").alias("full_text"))
+    product = F.struct(
+        F.struct(F.col("l_partkey").cast("string").alias("product_id"), F.lit("b").alias("brand"),
+                 F.concat(F.lit("Home > "), F.col("l_returnflag")).alias("category_path"),
+                 F.lit("p").alias("product_name"), F.format_number(F.floor("l_extendedprice"), 0).alias("price"),
+                 F.lit("").alias("delivery_type"), F.col("l_quantity").cast("int").cast("string").alias("total_reviews"),
+                 F.lit("").alias("product_url"),
+                 F.create_map(F.ceil(F.col("l_quantity") / 10).cast("string"), F.lit("1")).alias("rating_distribution")
+                 ).alias("product_info"),
+        F.struct(F.lit("1").alias("total_count"), F.lit("1").alias("text_count"),
+                 F.array(review).alias("data")).alias("reviews"))
+    docs = li.groupBy("l_orderkey").agg(F.to_json(F.struct(F.lit("order").alias("search_name"),
+                                                           F.collect_list(product).alias("data"))).alias("json"))
+    schema = T.StructType([f for f in RAW_SEARCH.fields if f.name != "_corrupt_record"])
+    parsed = docs.select("l_orderkey", F.from_json("json", schema).alias("doc")).select("l_orderkey", "doc.*")
+    prods = unnest_products(parsed, ["l_orderkey"])
+    flat = flatten_reviews(prods.select("l_orderkey", "product_pos", "product"), ["l_orderkey", "product_pos"])
+    p = prods.select(F.element_at(F.split("product.product_info.category_path", " > "), -1).alias("category"),
+                     lenient_int("product.product_info.price").alias("price"),
+                     lenient_int("product.product_info.total_reviews").alias("declared"))
+    r = flat.select(lenient_int("score").alias("score"), parse_dot_date("date").alias("date"))
+    pa = p.groupBy("category").agg(F.count(F.lit(1)).alias("products"), F.sum("price").alias("price_sum"),
+                                   F.sum("declared").alias("declared_sum"))
+    ra = r.agg(F.count(F.lit(1)).alias("reviews"), F.avg("score").alias("mean_score"),
+               F.min("date").alias("first_date"))
+    return finish(pa.select("*", *[ra.select(c).scalar().alias(c) for c in ra.columns]))
+
+
 def q_scan_parquet_count(spark, d):
     from functools import reduce
     parts = [B.table(spark, d, t).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(t).alias("table_name"), "rows")
@@ -679,6 +721,7 @@ QUERIES = {
     "scan_parquet_count": q_scan_parquet_count,
     "scan_filter_in": q_scan_filter_in,
     "scan_json_props": q_scan_json_props,
+    "scan_nested_documents": q_scan_nested_documents,
     "normalize_text": q_normalize_text,
     "tokenize_stopwords": q_tokenize_stopwords,
     "strip_html": q_strip_html,

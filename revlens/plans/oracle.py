@@ -654,3 +654,11 @@ SQL["dedupe_documents"] = r"""WITH n AS (
          ELSE trim(regexp_replace(regexp_replace(text, '[^a-zA-Z0-9 \t\n\r.,!?~]', '', 'g'), '\s+', ' ', 'g')) END AS norm
   FROM documents)
 SELECT source, min(doc_id) AS doc_id FROM n GROUP BY source, norm"""
+
+SQL["scan_nested_documents"] = """WITH r AS (SELECT count(*) AS reviews, round(avg(ceil(l_quantity / 10)), 6) AS mean_score,
+                  min(CAST(l_shipdate AS DATE)) AS first_date FROM lineitem)
+SELECT l_returnflag AS category, count(*) AS products, CAST(sum(floor(l_extendedprice)) AS BIGINT) AS price_sum,
+       CAST(sum(CAST(l_quantity AS INTEGER)) AS BIGINT) AS declared_sum,
+       (SELECT reviews FROM r) AS reviews, (SELECT mean_score FROM r) AS mean_score,
+       (SELECT first_date FROM r) AS first_date
+FROM lineitem GROUP BY l_returnflag"""
