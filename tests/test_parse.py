@@ -40,3 +40,15 @@ def test_rating_map_coercion(spark):
     df = spark.createDataFrame([({"5": "1,234", "4": "x", "9": "7"},)], "m map<string,string>")
     m = df.select(PA.coerce_rating_map("m")).first()[0]
     assert m == {"5": 1234, "4": 0, "9": 7}
+
+
+def test_small_helpers(spark):
+    df = spark.createDataFrame([("", None, "leaf", 6.0, 0.0, "2024-03-05", 3, None)],
+                               "a string, b string, c string, x double, y double, d string, lo long, hi long")
+    r = df.select(PA.first_truthy("a", "b", "c").alias("ft"), PA.first_truthy("a", "b", default="UNKNOWN").alias("fd"),
+                  PA.safe_ratio("x", "y").alias("sr"), PA.coerce_double(F.lit(" 1.5 ")).alias("cd"),
+                  PA.coerce_double(F.lit("x")).alias("cx"), PA.month_key(F.to_date("d")).alias("mk"),
+                  PA.product_key(F.lit("cat"), F.lit("with"), F.lit(7)).alias("pk"),
+                  PA.bin_label("lo", "hi").alias("b1"), PA.bin_label(F.lit(1), F.lit(3)).alias("b2")).first()
+    assert (r["ft"], r["fd"], r["sr"], r["cd"], r["cx"]) == ("leaf", "UNKNOWN", 0.0, 1.5, None)
+    assert (r["mk"], r["pk"], r["b1"], r["b2"]) == ("2024-03", "cat_with_7", "3+", "1~2")

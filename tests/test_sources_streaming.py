@@ -195,3 +195,12 @@ def test_first_seen_limit(spark):
     df = spark.createDataFrame([("b", 0, 1), ("a", 0, 2), ("b", 1, 0), ("c", 1, 1)], "link string, page_id int, pos int")
     out = [(r["link"], r["page_id"], r["pos"]) for r in first_seen_distinct(df, "link", ["page_id", "pos"], 2).collect()]
     assert out == [("b", 0, 1), ("a", 0, 2)]
+
+
+def test_global_metadata_sink(spark):
+    d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    wf = spark.createDataFrame([("지성", 1, "좋아", 3)], "group string, rank int, word string, cnt long")
+    ov = spark.createDataFrame([("global", 3, 2, 1)], "level string, review_count long, pos_count long, neg_count long")
+    SK.save_global_metadata(wf, ov, d)
+    assert spark.read.json(d + "/skin_type_word_frequency").count() == 1
+    assert spark.read.json(d + "/overall_sentiment").first()["review_count"] == 3
