@@ -115,9 +115,10 @@ def representative(vectors: DataFrame, key: str, id_col: str, vec: str = "vector
 
 # ----------------------------------------------------------------- M4 embedding plug-in
 def hash_embedding_model(dim: int = 64) -> Callable[[], Callable[[np.ndarray], np.ndarray]]:
-    """A deterministic stand-in sentence encoder: tokens hashed into ``dim``
-    buckets, L2-normalised; blank text -> zeros.  Any real model plugs in
-    with the same ``make_predict_fn`` shape."""
+    """A deterministic stand-in sentence encoder: all tokens of the text hashed
+    into ``dim`` buckets, L2-normalised; blank text -> zeros.  Any real model
+    plugs in with the same ``make_predict_fn`` shape (a transformer applies its
+    own maximum input length, e.g. 512 tokens)."""
     def make_predict_fn():
         import zlib
 
@@ -126,7 +127,7 @@ def hash_embedding_model(dim: int = 64) -> Callable[[], Callable[[np.ndarray], n
             for i, t in enumerate(texts):
                 if t is None:
                     continue
-                for tok in str(t).lower().split()[: P.EMBED_MAX_TOKENS]:
+                for tok in str(t).lower().split():          # the whole text
                     out[i, zlib.crc32(tok.encode()) % dim] += 1.0
                 n = np.linalg.norm(out[i])
                 if n > 0:
