@@ -96,3 +96,16 @@ def test_quota_bounds(spark, rows, target):
         got[(r["product"], r["score"])] = got.get((r["product"], r["score"]), 0) + 1
     for key, n in sizes.items():
         assert got.get(key, 0) == min(n, max(target, int(0.25 * n)))
+
+
+@SET
+@given(st.lists(st.text(alphabet=st.sampled_from(list("가나다 ㅋㅎab1,.!?~ 　\n😀❤️()")), max_size=20),
+                min_size=1, max_size=10))
+def test_normalize_text_idempotent(spark, texts):
+    from revlens.functions.text import normalize_text
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    once = df.select(normalize_text("t").alias("a"))
+    rows = once.select("a", normalize_text("a").alias("b")).collect()
+    for r in rows:
+        assert r["a"] == r["b"]
+        assert r["a"] == r["a"].strip(" ")
