@@ -67,10 +67,23 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], keys: Seq
 
 
 def describe(df: DataFrame, value: str, probs: Sequence[float] = (0.5, 0.75, 0.9, 0.95, 0.99),
-             keys: Sequence[str] = ()) -> DataFrame:
+             keys: Sequence[str] = (), exact: bool = True, accuracy: int = 10_000) -> DataFrame:
     """count, mean, std (sample, two-pass), min, quantiles, max — pandas
-    ``describe`` — in one aggregate over the per-key value histogram."""
+    ``describe`` — in one aggregate over the per-key value histogram.
+
+    The histogram is bounded by the number of distinct values (counts,
+    lengths).  For a continuous measure with mostly distinct values use
+    ``exact=False``: mergeable quantile sketches (``percentile_approx``),
+    combined map-side, so no task ever sees more than its own rows."""
     keys = list(keys)
+    if not exact:
+        v = F.col(value).cast("double")
+        aggs = [F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
+                F.min(v).alias("min"),
+                *[F.percentile_approx(v, float(p), accuracy).cast("double").alias(n)
+                  for p, n in zip(probs, _names(probs))],
+                F.max(v).alias("max")]
+        return _agg(df, keys, aggs)
     h = _hist(df, value, keys)
     n = F.first("_n")
     aggs = [n.cast("bigint").alias("count"), F.first("_mean").alias("mean"),

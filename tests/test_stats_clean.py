@@ -169,3 +169,11 @@ def test_auto_vectors_both_paths_agree(spark):
     b = {x["review_id"]: x["vector"] for x in V.review_vectors_auto(r, model, dim=8, max_broadcast_bytes=0).collect()}
     for k in a:
         assert b[k] == pytest.approx(a[k], abs=1e-6)
+
+
+def test_describe_sketch_path(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(1, 1001)], "v double")
+    a = S.describe(df, "v").first()
+    b = S.describe(df, "v", exact=False).first()
+    assert a["count"] == b["count"] == 1000 and a["mean"] == pytest.approx(b["mean"])
+    assert abs(a["p50"] - b["p50"]) <= 1.0 and abs(a["p99"] - b["p99"]) <= 1.0
