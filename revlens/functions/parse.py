@@ -22,6 +22,14 @@ def lenient_int(col) -> Column:
     return F.when(s.rlike("^[0-9]+$"), (s).try_cast("bigint")).otherwise(F.lit(0)).cast("bigint")
 
 
+def strict_int(col) -> Column:
+    """Integer of a number or of an integer text; blanks around it and a JSON
+    fraction are dropped (`` 5 `` -> 5, ``4.0`` -> 4), anything else -> 0."""
+    s = F.trim(_c(col).cast("string"))
+    whole = F.regexp_extract(s, r"^([+-]?[0-9]+)([.][0-9]*)?$", 1)
+    return F.coalesce(F.when(whole != "", whole.try_cast("bigint")), F.lit(0)).cast("bigint")
+
+
 def safe_int(col) -> Column:
     """Strip, then integer or NULL (``"5.0"`` -> NULL)."""
     s = F.trim(_c(col).cast("string"))

@@ -86,8 +86,10 @@ def classify_products(products: DataFrame, reviews: DataFrame, key: str = "produ
                       groups: Mapping[str, Sequence[str]] = P.GROUP_KEYWORDS, tokens: str | None = None,
                       prefix: str = P.MIXED_PREFIX, suffix: str = P.MIXED_SUFFIX,
                       unclassified: str = P.UNCLASSIFIED) -> DataFrame:
-    """name rule first, review-count rule second (``skin_type`` column)."""
-    counts = review_keyword_counts(reviews, key, text, groups, tokens)
+    """name rule first, review-count rule second (``skin_type`` column).
+    Only the reviews of products that their name leaves open are counted."""
+    unnamed = products.where(name_rule(name, groups, prefix, suffix).isNull()).select(key).distinct()
+    counts = review_keyword_counts(reviews.join(unnamed, key, "left_semi"), key, text, groups, tokens)
     picked = pick_from_counts(counts, key, prefix, suffix, unclassified)
     out = products.join(picked, key, "left")
     return out.withColumn("skin_type", F.coalesce(name_rule(name, groups, prefix, suffix),

@@ -137,22 +137,20 @@ def standardize_products(products: DataFrame, brand: str = "brand", path: str =
 # ----------------------------------------------------------------- raw review formatting
 def format_reviews(reviews: DataFrame, use_nfc: bool = True) -> DataFrame:
     """Typed review columns from raw strings: ints default 0, dates parsed
-    (raw kept), text normalised, label from score (missing score -> 0 -> label 0)."""
-    score = PA.lenient_int(F.col("score")).cast("int")
+    (raw kept), title, content and full text normalised, label from score
+    (missing score -> 0 -> label 0)."""
+    score = PA.strict_int(F.col("score")).cast("int")
     return reviews.select(
         "*",
         score.alias("score_int"),
         PA.parse_dot_date("date").alias("date_parsed"),
         PA.parse_dot_timestamp("collected_at").alias("collected_ts"),
         PA.lenient_int("helpful_count").alias("helpful_int"),
-        TX.normalize_text("full_text", use_nfc=use_nfc).alias("full_text_norm"),
+        *[TX.normalize_text(c, use_nfc=use_nfc).alias(f"{c}_norm") for c in ("title", "content", "full_text")],
         PA.sentiment_label(score).alias("label"),
     )
 
 
-
-
-
 def prepare_reviews(flat: DataFrame, product_keys: Sequence[str] = ("source_file", "product_pos"),
                     order: str = "review_pos", use_nfc: bool = True) -> DataFrame:
     """Typed, normalised, de-duplicated reviews of flattened raw documents.

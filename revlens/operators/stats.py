@@ -93,6 +93,11 @@ def describe(df: DataFrame, value: str, probs: Sequence[float] = (0.5, 0.75, 0.9
 
 
 # ----------------------------------------------------------------- product metadata stats
+def identified(meta: DataFrame) -> DataFrame:
+    """Products with an id; the others are in no table, only in the counters."""
+    return meta.where(F.coalesce(F.trim(F.col("product_id").cast("string")) != "", F.lit(False)))
+
+
 def valid_distribution(meta: DataFrame, dist: str = "rating_distribution",
                        valid_scores: Sequence[int] = P.VALID_SCORES) -> DataFrame:
     """Rating maps unpivoted to (.., score, cnt) keeping only valid score keys."""
@@ -115,12 +120,12 @@ def product_review_counts(meta: DataFrame, dist: str = "rating_distribution",
     has_dist = d.isNotNull() & (F.size(d) > 0)
     total = safe_int("total_reviews")
     n = F.coalesce(total, F.when(has_dist, valid_sum), F.lit(0))
-    return meta.groupBy("product_id").agg(F.sum(n).cast("bigint").alias("review_cnt"))
+    return identified(meta).groupBy("product_id").agg(F.sum(n).cast("bigint").alias("review_cnt"))
 
 
 def category_product_counts(meta: DataFrame) -> DataFrame:
     """A10: distinct products per category (exact; ``approx_count_distinct`` at will)."""
-    return meta.groupBy("category").agg(F.countDistinct("product_id").alias("product_cnt"))
+    return identified(meta).groupBy("category").agg(F.countDistinct("product_id").alias("product_cnt"))
 
 
 def review_count_bins(counts: DataFrame, spark: SparkSession, value: str = "review_cnt",
@@ -143,7 +148,7 @@ def review_count_bins(counts: DataFrame, spark: SparkSession, value: str = "revi
 
 def score_distribution(meta: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Counts per (by..., score) summed from rating maps, valid scores only."""
-    d = valid_distribution(meta)
+    d = valid_distribution(identified(meta))
     return d.groupBy(*by, "score").agg(F.sum("cnt").cast("bigint").alias("cnt"))
 
 

@@ -1,14 +1,17 @@
 """Word vectors, review/product vectors and representative reviews.
 
-* Word2Vec is Spark ML's distributed trainer (``numPartitions`` set; the
-  default of 1 would train on one task).
+* Word2Vec is Spark ML's distributed trainer.  It keeps the vocabulary and two
+  matrices (words x dim floats) on the driver and in every task: that is its
+  bound.  The number of partitions is a fixed parameter, so the trained
+  vectors do not depend on the cluster.
 * A review vector is the mean of its *in-vocabulary* token vectors (tokens
   joined to the vocabulary table); ``Word2VecModel.transform`` would divide
   by all tokens, so it is not used.  Reviews without any known token get a
   zero vector.
 * Means are ``Summarizer.mean`` aggregates (JVM, map-side combined).
 * The representative review per group is an aggregate ``max(struct(sim, -pos, id))``
-  — not a window — so a hot group is combined per task before the shuffle.
+  — not a window.  Reviews meet their centroid on (key, salt), so a hot group is
+  spread over ``salts`` tasks and reduced per salt before its key is combined.
 """
 
 from __future__ import annotations
@@ -29,11 +32,20 @@ from ..functions.vector import cosine, zeros
 
 def fit_word2vec(reviews: DataFrame, tokens: str = "tokens", dim: int = P.W2V_DIM,
                  window: int = P.W2V_WINDOW, min_count: int = P.W2V_MIN_COUNT, seed: int = 42,
-                 num_partitions: int | None = None, max_iter: int = 1):
-    """M1: one global skip-gram model over all tokenised reviews."""
-    n = num_partitions or max(1, reviews.sparkSession.sparkContext.defaultParallelism)
-    w2v = Word2Vec(vectorSize=dim, windowSize=window, minCount=min_count, seed=seed,
-                   numPartitions=n, maxIter=max_iter, inputCol=tokens, outputCol="_w2v")
+                 num_partitions: int = 8, max_iter: int = 5, max_sentence: int = 100_000,
+                 max_words: int = 5_000_000):
+    """M1: one global skip-gram model over all tokenised reviews, five passes.
+
+    ``num_partitions`` changes the result, so it is explicit; reviews longer than
+    ``max_sentence`` tokens are trained in pieces of that length.  A vocabulary
+    over ``max_words`` raises an error before training: it would not fit the
+    driver."""
+    words = (reviews.select(F.explode(tokens).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+             .where(F.col("n") >= min_count).count())
+    if words > max_words:
+        raise ValueError(f"{words} words of {min_count} or more uses, {max_words} fit: raise min_count")
+    w2v = Word2Vec(vectorSize=dim, windowSize=window, minCount=min_count, seed=seed, numPartitions=num_partitions,
+                   maxIter=max_iter, maxSentenceLength=max_sentence, inputCol=tokens, outputCol="_w2v")
     return w2v.fit(reviews.select(tokens))        # empty token lists add nothing to training
 
 
@@ -64,53 +76,25 @@ def review_vectors(reviews: DataFrame, vocab: DataFrame, id_col: str = "review_i
     return out.select(id_col, F.coalesce("vector", zeros(dim)).alias("vector"))
 
 
-def review_vectors_model(reviews: DataFrame, model, id_col: str = "review_id", tokens: str = "tokens",
-                         dim: int = P.W2V_DIM) -> DataFrame:
-    """M2 through the fitted model: ``Word2VecModel.transform`` (model broadcast
-    by Spark ML, JVM-side) averages over *all* tokens, so the result is rescaled
-    by |tokens| / |in-vocabulary tokens|; the in-vocabulary count comes from a
-    semi join of the tokens with the model's word list."""
-    words = model.getVectors().select("word")
-    n_in = (reviews.select(id_col, F.explode(tokens).alias("word")).join(words, "word", "left_semi")
-                   .groupBy(id_col).agg(F.count(F.lit(1)).alias("_in")))
-    m = model.copy().setInputCol(tokens).setOutputCol("_v")
-    t = m.transform(reviews.select(id_col, tokens)).join(n_in, id_col, "left")
-    factor = F.size(tokens).cast("double") / F.col("_in")
-    vec = F.when(F.col("_in") > 0, F.transform(vector_to_array("_v"), lambda x: x * factor)).otherwise(zeros(dim))
-    return t.select(id_col, vec.alias("vector"))
-
-
-def review_vectors_auto(reviews: DataFrame, model, id_col: str = "review_id", tokens: str = "tokens",
-                        dim: int = P.W2V_DIM, max_broadcast_bytes: int = 256 << 20) -> DataFrame:
-    """M2 with a checked broadcast: the model path (``transform`` broadcasts
-    vocabulary x dim floats) only while the model is under
-    ``max_broadcast_bytes``; beyond it the vocabulary is joined as a
-    distributed table (shuffle join, AQE skew splitting for hot words)."""
-    vocab = word_vectors(model)
-    size = vocab.count() * dim * 4           # the fitted model's float matrix
-    if size <= max_broadcast_bytes:
-        return review_vectors_model(reviews, model, id_col, tokens, dim)
-    return review_vectors(reviews, vocab, id_col, tokens, dim)
-
-
 def centroids(vectors: DataFrame, key: str, vec: str = "vector") -> DataFrame:
     """Product vector = mean of its review vectors (zero vectors included)."""
     return mean_vectors(vectors, key, vec)
 
 
 def representative(vectors: DataFrame, key: str, id_col: str, vec: str = "vector",
-                   order: str | None = None) -> DataFrame:
+                   order: str | None = None, salts: int = 16) -> DataFrame:
     """Per key the review most similar (cosine) to the key's centroid;
     ties go to the earliest review (``order``, default the id)."""
     order = order or id_col
-    cen = centroids(vectors, key, vec).withColumnRenamed(vec, "_c")
-    j = vectors.join(cen, key)           # one centroid row per key
+    cen = centroids(vectors, key, vec).withColumnRenamed(vec, "_c").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    j = vectors.withColumn("_salt", F.pmod(F.hash(id_col), F.lit(salts))).join(cen, [key, "_salt"])
     sim = cosine(F.col(vec).cast("array<double>"), F.col("_c"))
-    best = j.groupBy(key).agg(F.max(F.struct(sim.alias("s"), (-F.col(order)).alias("o"),
-                                             F.col(id_col).alias("i"))).alias("b"))
-    return (best.join(cen, key)
-                .select(key, F.col("_c").alias("product_vector"), F.col("b.i").alias("representative_review_id"),
-                        F.col("b.s").alias("representative_similarity")))
+    best = F.max(F.struct(sim.alias("s"), (-F.col(order)).alias("o"), F.col(id_col).alias("i")))
+    return (j.groupBy(key, "_salt").agg(best.alias("b"), F.first("_c").alias("_c"))
+             .groupBy(key).agg(F.max("b").alias("b"), F.first("_c").alias("_c"))
+             .select(key, F.col("_c").alias("product_vector"), F.col("b.i").alias("representative_review_id"),
+                     F.col("b.s").alias("representative_similarity")))
 
 
 # ----------------------------------------------------------------- M4 embedding plug-in

@@ -69,8 +69,7 @@ def q_sentiment_counts(spark, d):
 def q_term_frequency(spark, d):
     tf = K.term_frequency(B.reviews_text(spark, d))
     w = Window.partitionBy("review_id").orderBy(F.col("tf").desc(), F.col("word"))
-    top = tf.withColumn("rank", F.row_number().over(w)).where("rank <= 5")   # top-5 report per review
-    return finish(top.select("review_id", "rank", "word", "freq", "tf"))
+    return finish(tf.withColumn("rank", F.row_number().over(w)).select("review_id", "rank", "word", "freq", "tf"))
 
 
 def q_group_word_frequency(spark, d):
@@ -232,7 +231,7 @@ def q_length_histogram(spark, d):
 
 def q_reviews_with_products(spark, d):
     rv = B.reviews_scored(spark, d).select("product_id", "score")
-    parts = B.products(spark, d).where(F.col("total_reviews") <= 25).select("product_id", "brand")
+    parts = B.products(spark, d).select("product_id", "brand")
     j = rv.join(parts, "product_id", "left")
     return finish(j.groupBy("brand").agg(F.count(F.lit(1)).alias("cnt"), F.avg("score").alias("mean_score")))
 
@@ -241,7 +240,7 @@ def q_union_reviews(spark, d):
     from ..operators.clean import union_sources
     rv = B.reviews_scored(spark, d)
     a = rv.where(F.col("l_returnflag") == "R").select("product_id", "score", "helpful_count", "has_image")
-    b = rv.where(F.col("l_returnflag") == "A").select("product_id", "score")
+    b = rv.where(F.col("l_returnflag") != "R").select("product_id", "score")
     u = union_sources({"parquet": a, "json": b},
                       defaults={"helpful_count": F.lit(0), "has_image": F.lit(False)})
     return finish(u.groupBy("source").agg(
@@ -634,9 +633,9 @@ def q_word2vec_vocab(spark, d):
 
 def q_word2vec_review_vectors(spark, d):
     from ..functions.vector import norm
-    from ..operators.vectors import fit_word2vec, review_vectors_auto
+    from ..operators.vectors import fit_word2vec, review_vectors, word_vectors
     r = B.reviews_text(spark, d).where(F.col("label").isNotNull())     # M3: labelled reviews
-    rv = review_vectors_auto(r, fit_word2vec(r))
+    rv = review_vectors(r, word_vectors(fit_word2vec(r)))
     return finish(rv.select("review_id", F.size("vector").alias("dim"), norm("vector").alias("norm")))
 
 

@@ -50,82 +50,106 @@ def _products(good: DataFrame) -> DataFrame:
         PA.coerce_rating_map(F.col(f"{pi}.rating_distribution")).alias("rating_distribution"))
 
 
+PRODUCT = ["source_file", "product_pos"]       # a product of the input: ids may repeat or be missing
+TEXT_KIND = [*PRODUCT, "text_kind"]
+
+
 def run_preprocessing(spark: SparkSession, raw_root: str, out_root: str, stopwords: Iterable[str] = (),
                       analyzer_factory: Callable | None = None, min_reviews: int = P.MIN_REVIEWS_PER_PRODUCT,
-                      vectorizer: str = "word2vec", w2v_dim: int = P.W2V_DIM) -> dict[str, str]:
-    """Run the preprocessing job; returns the written table paths."""
+                      vectorizer: str = "word2vec", w2v_dim: int = P.W2V_DIM,
+                      make_predict_fn: Callable | None = None, model_dim: int = 768) -> dict[str, str]:
+    """Run the preprocessing job; returns the written table paths.
+
+    ``vectorizer`` is ``word2vec``, ``bert`` or ``both``; the last two take the
+    sentence model from ``make_predict_fn`` and raise without it.  Reviews and
+    products are joined by their place in the input; ``product_id`` is only
+    written out."""
+    if vectorizer not in ("word2vec", "bert", "both"):
+        raise ValueError(f"unknown vectorizer {vectorizer!r}")
+    if vectorizer != "word2vec" and make_predict_fn is None:
+        raise ValueError(f"vectorizer {vectorizer!r} needs make_predict_fn")
+    names = ("reviews_detail", "products", "keywords", "sentiment_counts", "group_word_frequency",
+             "reviews_typed", "reviews_detail_tokens")
+    paths = {n: f"{out_root}/{n}" for n in names}
     stop = list(stopwords)
     raw = R.read_search_json(spark, raw_root, "*.json")
     good = raw.where(F.col("_corrupt_record").isNull())
     products = _products(good)
 
-    # reviews: flatten, type, normalise, de-duplicate per product (first wins)
-    flat = C.flatten_reviews(products.select("source_file", "category_file", "product_pos", "product"),
-                             ["source_file", "category_file", "product_pos"])
-    reviews = C.prepare_reviews(flat).withColumn("has_text", C.has_text("content", "full_text_norm"))
+    # reviews: flatten, type, normalise, de-duplicate per product (first wins); written once
+    flat = C.flatten_reviews(products.select(*PRODUCT, "category_file", "product"), [*PRODUCT, "category_file"])
+    reviews = C.prepare_reviews(flat).withColumn("has_text", C.has_text("content_norm", "full_text_norm"))
+    SK.save_table(reviews, paths["reviews_typed"])
+    reviews = spark.read.schema(reviews.schema).parquet(paths["reviews_typed"])
 
-    # products: standardise, key, classify
+    # products: standardise, key, classify (the side with text)
     std = C.standardize_products(products.drop("product"))
-    keyed = ["source_file", "product_pos"]
-    counts = reviews.groupBy(*keyed).agg(F.count(F.lit(1)).alias("collected"),
-                                         F.count_if("has_text").alias("with_text_n"),
-                                         F.count_if(~F.col("has_text")).alias("without_text_n"))
-    std = std.join(counts, keyed, "left")
+    counts = reviews.groupBy(*PRODUCT).agg(F.count(F.lit(1)).alias("collected"),
+                                           F.count_if("has_text").alias("with_text_n"),
+                                           F.count_if(~F.col("has_text")).alias("without_text_n"))
+    std = std.join(counts, PRODUCT, "left")
     text_side = (std.where(F.col("with_text_n") >= min_reviews)          # collected text reviews
                     .withColumn("text_kind", F.lit("with")))
     notext_side = (std.where((F.col("without_text_n") > 0) & (F.col("total_reviews") >= min_reviews))
                       .withColumn("text_kind", F.lit("without")))
     kept = text_side.unionByName(notext_side)
     kept = kept.withColumn("product_id", PA.product_key("category_file", "text_kind", "original_product_id"))
-    rv = reviews.join(kept.select(*keyed, "text_kind", "product_id"), keyed) \
-        .where((F.col("text_kind") == "with") == F.col("has_text"))
-    skin = CL.classify_products(kept.select("product_id", F.coalesce(F.col("product_name_clean"),
-                                                                     F.col("product_name")).alias("product_name")),
-                                rv.select("product_id", F.col("full_text_norm").alias("full_text")))
-    kept = kept.join(skin.select("product_id", "skin_type"), "product_id", "left")
-
-    # tokens + labels; written once (cuts lineage, reused by fit and keywords)
+    rv = (reviews.withColumn("text_kind", F.when(F.col("has_text"), "with").otherwise("without"))
+                 .join(kept.select(*TEXT_KIND, "product_id"), TEXT_KIND))
+    place = F.struct(*PRODUCT).alias("place")
+    skin = CL.classify_products(
+        text_side.select(place, PA.first_truthy("product_name_clean", "product_name").alias("product_name")),
+        rv.where("has_text").select(place, F.col("full_text_norm").alias("full_text")), key="place")
+    kept = kept.join(skin.select("place.*", F.lit("with").alias("text_kind"), "skin_type"), TEXT_KIND, "left")
+
+    # tokens + labels; written once (cuts lineage, reused by fit and keywords).  The category stands
+    # in the files too: a reader that guesses the type of the folder name still has it as text.
     tokens = (TX.analyzer_tokens("full_text_norm", analyzer_factory, stop) if analyzer_factory
               else TX.review_tokens("full_text_norm", stop))
-    detail = rv.select("product_id", "category_file", F.col("id").alias("review_id_raw"),
-                       PA.lenient_int("id").alias("review_id"), "review_pos",
+    detail = rv.select(*TEXT_KIND, "review_pos", "product_id", "category_file",
+                       F.col("category_file").alias("category"), F.col("id").alias("review_id_raw"),
+                       PA.lenient_int("id").alias("review_id"),
                        F.col("full_text_norm").alias("full_text"), F.col("score_int").alias("score"), "label",
                        F.col("date_parsed").alias("date"), F.col("date").alias("date_raw"), "nickname",
                        F.when(F.col("has_image"), F.lit(True)).alias("has_image"),
                        F.when(F.col("helpful_int") != 0, F.col("helpful_int")).alias("helpful_count"),
                        F.when(F.col("has_text"), tokens).otherwise(F.array().cast("array<string>")).alias("tokens"))
     detail = (detail.withColumn("char_length", F.length("full_text")).withColumn("token_count", F.size("tokens"))
-                    .withColumn("review_key", F.concat_ws("#", "product_id", F.col("review_pos").cast("string"))))
-    paths = {"reviews_detail": f"{out_root}/reviews_detail", "products": f"{out_root}/products",
-             "keywords": f"{out_root}/keywords", "sentiment_counts": f"{out_root}/sentiment_counts",
-             "group_word_frequency": f"{out_root}/group_word_frequency",
-             "product_vectors": f"{out_root}/product_vectors"}
-    SK.save_table(detail, paths["reviews_detail"] + "_tokens", partition_by=["category_file"])
-    detail = spark.read.parquet(paths["reviews_detail"] + "_tokens")
-    text_reviews = detail.where(F.size("tokens") > 0).select("review_key", "review_pos", "product_id",
-                                                              "category_file", "label", "tokens")
+                    .withColumn("product_key", F.concat_ws("#", *TEXT_KIND))
+                    .withColumn("review_key", F.concat_ws("#", "source_file", "product_pos", "review_pos")))
+    SK.save_table(detail, paths["reviews_detail_tokens"])
+    detail = spark.read.schema(detail.schema).parquet(paths["reviews_detail_tokens"])
+    text_reviews = detail.where(F.size("tokens") > 0).select("review_key", "review_pos", "product_key", "full_text",
+                                                              "label", "tokens")
 
     # keywords at three levels, counts, keyword-group word frequency
-    kw_in = detail.select("product_id", F.col("category_file").alias("category"), "label", "tokens")
+    kw_in = detail.select("product_id", "category", "label", "tokens")
     SK.save_table(K.sentiment_keywords(kw_in), paths["keywords"])
     SK.save_table(K.sentiment_counts(kw_in), paths["sentiment_counts"])
     SK.save_table(K.group_word_frequency(kw_in), paths["group_word_frequency"])
 
-    # vectors: global Word2Vec, review vectors, centroids and representatives
+    # one vector column per chosen vectoriser; centroid and representative for each
+    chosen = {}
     if vectorizer in ("word2vec", "both"):
-        model = V.fit_word2vec(text_reviews, dim=w2v_dim)
-        rvec = V.review_vectors_auto(text_reviews.select("review_key", "tokens"), model, "review_key",
-                                     dim=w2v_dim)
-        with_vec = detail.join(rvec.withColumnRenamed("vector", "word2vec"), "review_key", "left")
-        with_vec = with_vec.withColumn("bert", F.lit(None).cast("array<double>"))
-        reps = V.representative(rvec.join(text_reviews.select("review_key", "review_pos", "product_id"),
-                                          "review_key"),
-                                "product_id", "review_key", order="review_pos")
-        SK.save_table(reps, paths["product_vectors"])
-    else:
-        with_vec = detail.withColumn("word2vec", F.lit(None).cast("array<double>")) \
-                         .withColumn("bert", F.lit(None).cast("array<double>"))
+        vocab = V.word_vectors(V.fit_word2vec(text_reviews, dim=w2v_dim))
+        chosen["word2vec"] = lambda r: V.review_vectors(r.select("review_key", "tokens"), vocab, "review_key",
+                                                        dim=w2v_dim)
+    if vectorizer in ("bert", "both"):
+        chosen["bert"] = lambda r: V.embed(r.select("review_key", "full_text"), "full_text", make_predict_fn,
+                                           model_dim).select("review_key", F.col("embedding").cast("array<double>")
+                                                             .alias("vector"))
+    vectors = V.vectorize_reviews(text_reviews.select("review_key", "full_text", "tokens"), chosen, "review_key")
+    with_vec = detail.join(vectors.select("review_key", "word2vec", "bert"), "review_key", "left")
     SK.save_table(with_vec, paths["reviews_detail"], partition_by=["category_file"])
+    written = spark.read.schema(with_vec.schema).parquet(paths["reviews_detail"])
+    ids = kept.select(F.concat_ws("#", *TEXT_KIND).alias("product_key"), "product_id")
+    for name in chosen:
+        held = written.where(F.col(name).isNotNull()).select("product_key", "review_key", "review_pos",
+                                                              F.col(name).alias("vector"))
+        paths[f"product_vectors_{name}"] = f"{out_root}/product_vectors_{name}"
+        reps = V.representative(held, "product_key", "review_key", order="review_pos")
+        SK.save_table(reps.join(ids, "product_key"), paths[f"product_vectors_{name}"])
+    paths["product_vectors"] = paths["product_vectors_" + ("word2vec" if "word2vec" in chosen else "bert")]
     SK.save_table(kept, paths["products"])
     return paths
 
@@ -144,7 +168,9 @@ def run_basic_stats(spark: SparkSession, products: DataFrame, out_root: str | No
         if "category_path" in cols:
             parts.append(F.trim(F.element_at(F.split("category_path", ">"), -1)))
         category = PA.first_truthy(*parts, default="UNKNOWN")
-    meta = products.select(F.col("product_id").cast("string").alias("product_id"), category.alias("category"),
+    # the first id that is there: product_id, id, productId, product_no
+    ids = [F.col(c).cast("string") for c in ("product_id", "id", "productId", "product_no") if c in cols]
+    meta = products.select(PA.first_truthy(*ids).alias("product_id"), category.alias("category"),
                            F.col("total_reviews").cast("string").alias("total_reviews"),
                            F.transform_values("rating_distribution", lambda k, v: v.cast("string"))
                            .alias("rating_distribution"))

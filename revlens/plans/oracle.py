@@ -163,7 +163,7 @@ SQL["term_frequency"] = f"""WITH {RT},
 occ AS (SELECT review_id, len(tokens) AS n, unnest(tokens) AS word FROM rt),
 tf AS (SELECT review_id, word, count(*) AS freq, count(*) / any_value(n) AS tf FROM occ GROUP BY review_id, word),
 rk AS (SELECT *, row_number() OVER (PARTITION BY review_id ORDER BY tf DESC, word) AS rank FROM tf)
-SELECT review_id, rank, word, freq, round(tf, 6) AS tf FROM rk WHERE rank <= 5"""
+SELECT review_id, rank, word, freq, round(tf, 6) AS tf FROM rk"""
 
 _groups = {"g_de": ["der", "die", "und"], "g_es": ["que", "es"], "g_fr": ["la", "le", "des"],
            "g_x": ["ci", "tion"]}
@@ -349,14 +349,14 @@ b AS (SELECT v, CASE WHEN mm.hi = mm.lo THEN 1
 SELECT bucket, count(*) AS cnt, round(min(v), 6) AS bin_min, round(max(v), 6) AS bin_max FROM b GROUP BY bucket"""
 
 SQL["reviews_with_products"] = f"""WITH {RV},
-p AS (SELECT p_partkey, p_brand FROM part WHERE p_size <= 25)
+p AS (SELECT p_partkey, p_brand FROM part)
 SELECT p.p_brand AS brand, count(*) AS cnt, round(avg(rv.score), 6) AS mean_score
 FROM rv LEFT JOIN p ON p.p_partkey = rv.product_id GROUP BY p.p_brand"""
 
 SQL["union_reviews"] = f"""WITH {RV},
 u AS (SELECT 'parquet' AS source, helpful_count, has_image, CAST(NULL AS INTEGER) AS label FROM rv WHERE l_returnflag = 'R'
       UNION ALL
-      SELECT 'json', 0, false, CAST(NULL AS INTEGER) FROM rv WHERE l_returnflag = 'A')
+      SELECT 'json', 0, false, CAST(NULL AS INTEGER) FROM rv WHERE l_returnflag <> 'R')
 SELECT source, count(*) AS cnt, CAST(sum(helpful_count) AS BIGINT) AS helpful_sum,
        count(CASE WHEN has_image THEN 1 END) AS image_cnt, count(label) AS labelled
 FROM u GROUP BY source"""

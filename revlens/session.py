@@ -42,14 +42,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     The cluster names the folder; only when it is unset (local tests) a fresh
-    scratch folder is created.  The value is also registered with the
-    SparkContext so ``DataFrame.checkpoint()`` writes there.
+    scratch folder is created; on a cluster an unset folder is an error, since
+    a folder of one machine is lost with it.  The value is also registered with
+    the SparkContext so ``DataFrame.checkpoint()`` writes there.
     """
     sc = spark.sparkContext
     d = (spark.conf.get("spark.checkpoint.dir", None)
          or sc.getConf().get("spark.checkpoint.dir", None)
          or sc.getCheckpointDir())
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)

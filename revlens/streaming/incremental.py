@@ -4,7 +4,8 @@ Batch form: a left-anti join against a manifest of processed inputs and a
 back-fill union.  Streaming form: a file-source stream with
 ``trigger(availableNow=True)`` whose checkpoint remembers processed files, so
 a re-run handles only new files and then stops; results go through
-``foreachBatch`` to an append-only table.  Checkpoints live under the shared
+``foreachBatch`` to one folder per batch, so a batch that is replayed after a
+failure replaces itself.  Checkpoints live under the shared
 ``spark.checkpoint.dir`` (see ``revlens.session.checkpoint_dir``).
 """
 
@@ -35,13 +36,14 @@ def backfill(previous: DataFrame, fresh: DataFrame, key: Sequence[str] | str) ->
 def run_available_now(spark: SparkSession, source_dir: str, schema: T.StructType,
                       transform: Callable[[DataFrame], DataFrame], sink_path: str, name: str,
                       fmt: str = "parquet", source_format: str = "parquet") -> None:
-    """T-1: process every file not yet seen by this query's checkpoint, append
-    the transformed rows to ``sink_path``, stop when caught up."""
+    """T-1: process every file not yet seen by this query's checkpoint, write the
+    transformed rows to ``sink_path`` (column ``batch``: the batch they came in),
+    stop when caught up."""
     ck = f"{checkpoint_dir(spark)}/streams/{name}"
     stream = spark.readStream.schema(schema).format(source_format).load(source_dir)
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        transform(batch).write.mode("append").format(fmt).save(sink_path)
+        transform(batch).write.mode("overwrite").format(fmt).save(f"{sink_path}/batch={epoch_id}")
 
     q = (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", ck)
          .trigger(availableNow=True).start())
@@ -58,10 +60,32 @@ def _event_time(df: DataFrame, ts: str) -> DataFrame:
 
 def dedupe_within_watermark(stream: DataFrame, key: Sequence[str], ts: str,
                             delay: str = "1 day") -> DataFrame:
-    """T-2: resume-safe de-duplication of a stream by key (state bounded by the watermark)."""
+    """De-duplication of a stream by key where copies come at most ``delay`` apart;
+    state is bounded by the watermark.  A resume that must know every earlier
+    row is ``run_new_rows``."""
     return _event_time(stream, ts).withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(key))
 
 
+def run_new_rows(spark: SparkSession, source_dir: str, schema: T.StructType, key: Sequence[str],
+                 sink_path: str, name: str, source_format: str = "parquet") -> None:
+    """T-2: resume.  Rows whose key is in no earlier batch of the sink, one of each
+    key, however long ago that batch was written; nothing is forgotten."""
+    ck = f"{checkpoint_dir(spark)}/streams/{name}"
+    stream = spark.readStream.schema(schema).format(source_format).load(source_dir)
+
+    def write_batch(batch: DataFrame, epoch_id: int) -> None:
+        fresh = batch.dropDuplicates(list(key))
+        if epoch_id > 0:                               # earlier batches only: a replay sees the same
+            earlier = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).option("basePath", sink_path).parquet(
+                *[f"{sink_path}/batch={i}" for i in range(epoch_id)])
+            fresh = new_inputs(fresh, earlier.select(*key), list(key))
+        fresh.write.mode("overwrite").parquet(f"{sink_path}/batch={epoch_id}")
+
+    q = (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", ck)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
 def windowed_rate(stream: DataFrame, ts: str, flag, window: str = "1 day", delay: str = "1 day",
                   keys: Sequence[str] = ()) -> DataFrame:
     """Tumbling-window count and flagged share (e.g. negative-review rate),

@@ -2,6 +2,7 @@ import json
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from revlens.plans import jobs as J
@@ -43,7 +44,7 @@ def test_preprocessing_job(spark):
     assert detail.where(F.col("product_id").contains("_with_")).count() == 36
     assert detail.where(F.size("tokens") > 0).where(F.array_contains("tokens", "피부")).count() == 0
     prods = spark.read.parquet(paths["products"])
-    assert {r["skin_type"] for r in prods.collect()} == {"지성"}
+    assert {r["skin_type"] for r in prods.where("text_kind = 'with'").collect()} == {"지성"}
     assert {r["brand"] for r in prods.collect()} == {"tocobo"}
     kw = spark.read.parquet(paths["keywords"])
     assert kw.where("level = 'product'").count() > 0
@@ -52,3 +53,73 @@ def test_preprocessing_job(spark):
     stats = J.run_basic_stats(spark, prods, out + "/eda")
     assert stats["score_distribution"].count() == 2
     assert spark.read.json(out + "/eda/summary").count() == 1
+
+
+def _product(pid, name, reviews, total="40"):
+    return {"product_info": {"product_id": pid, "brand": "b", "category_path": "x > y", "product_name": name,
+                             "price": "1", "delivery_type": "x", "total_reviews": total, "product_url": "u",
+                             "rating_distribution": {"5": "3"}},
+            "reviews": {"total_count": len(reviews), "text_count": len(reviews), "data": reviews}}
+
+
+def _write_odd_fixture():
+    """Repeated, non-numeric and missing ids, a numeric category, a name that cleaning empties,
+    reviews with emoji only or a title only, scores 4.0 and ' 5 '."""
+    d = tempfile.mkdtemp(prefix="run-raw-", dir="/tmp")
+    texts = ["지성 좋아요", "건성 별로", "무난 해요", "촉촉 해요"]
+
+    def four(tag):
+        return [_review(i, 5, f"{t} {tag}", nick=f"{tag}{i}") for i, t in enumerate(texts)]
+    odd = four("x")
+    odd[0]["score"], odd[1]["score"] = 4.0, " 5 "
+    odd.append(dict(_review(7, 5, "\U0001f600\U0001f600", nick="emoji")))
+    odd.append(dict(_review(8, 5, "", nick="title"), title="제목", full_text=""))
+    prods = [_product("1", "토너", four("a")), _product("1", "크림", four("b")), _product("A7", "[지성]", odd),
+             _product("B9", "로션", four("d")), _product(None, "없음", four("e"), total=None)]
+    with open(os.path.join(d, "result_007.json"), "w", encoding="utf-8") as f:
+        json.dump({"search_name": "007", "data": prods}, f, ensure_ascii=False)
+    return d
+
+
+def test_preprocessing_keeps_rows_apart(spark):
+    raw = _write_odd_fixture()
+    out = tempfile.mkdtemp(prefix="run-out-", dir="/tmp")
+    paths = J.run_preprocessing(spark, raw, out, min_reviews=3, w2v_dim=4)
+    detail = spark.read.parquet(paths["reviews_detail"])
+    assert detail.count() == 22 and detail.select("review_key").distinct().count() == 22
+    assert {r["category"] for r in detail.select("category").collect()} == {"007"}
+    assert detail.where("text_kind = 'without'").count() == 2              # emoji only, title only
+    by_nick = {r["nickname"]: r for r in detail.collect()}
+    assert (by_nick["x0"]["score"], by_nick["x1"]["score"], by_nick["x0"]["label"]) == (4, 5, 1)
+    prods = spark.read.parquet(paths["products"]).collect()
+    assert len(prods) == 6                                                  # 5 with text, one also without
+    assert {r["skin_type"] for r in prods if r["product_name"] == "[지성]" and r["text_kind"] == "with"} == {"지성"}
+    assert {r["skin_type"] for r in prods if r["text_kind"] == "without"} == {None}
+    assert spark.read.parquet(paths["product_vectors"]).count() == 5
+
+
+def test_vectorizer_choice(spark):
+    from revlens.operators.vectors import hash_embedding_model
+    raw = _write_odd_fixture()
+    for bad in ("bert", "both", "other"):
+        with pytest.raises(ValueError):
+            J.run_preprocessing(spark, raw, "/tmp/never-written", vectorizer=bad)
+    out = tempfile.mkdtemp(prefix="run-out-", dir="/tmp")
+    paths = J.run_preprocessing(spark, raw, out, min_reviews=3, w2v_dim=4, vectorizer="both",
+                                make_predict_fn=hash_embedding_model(8), model_dim=8)
+    text = spark.read.parquet(paths["reviews_detail"]).where("size(tokens) > 0")
+    assert text.where("word2vec IS NULL OR bert IS NULL").count() == 0
+    for name, dim in (("word2vec", 4), ("bert", 8)):
+        got = spark.read.parquet(paths[f"product_vectors_{name}"]).collect()
+        assert len(got) == 5 and all(len(r["product_vector"]) == dim for r in got)
+
+
+def test_products_without_id_are_in_no_table(spark):
+    rows = [("p1", None, "c", "2", {"5": "2"}), (None, None, "c", "7", {"5": "7"}), (" ", "", "c", "9", {"4": "9"}),
+            (None, "n4", "c", "1", {"5": "1"})]
+    df = spark.createDataFrame(rows, "product_id string, product_no string, category string, total_reviews string, "
+                                     "rating_distribution map<string,string>")
+    t = J.run_basic_stats(spark, df)
+    assert {(r[0], r[1]) for r in t["product_review"].collect()} == {("p1", 2), ("n4", 1)}
+    assert [(r["score"], r["cnt"]) for r in t["score_distribution"].collect()] == [(5, 3)]
+    assert t["category_product"].first()["product_cnt"] == 2

@@ -119,6 +119,19 @@ def test_available_now_stream_equals_batch(spark):
     assert sorted(map(tuple, total.collect())) == sorted(map(tuple, batch.collect()))
 
 
+def test_resume_knows_all_earlier_rows(spark):
+    src = tempfile.mkdtemp(prefix="run-src-", dir="/tmp")
+    sink = tempfile.mkdtemp(prefix="run-sink-", dir="/tmp") + "/out"
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    name = "resume-" + os.path.basename(src)
+    for part in (ev.where("event_id < 50"), ev.where("event_id < 80"), ev):    # every run repeats what came before
+        part.unionByName(part).write.mode("append").parquet(src)
+        I.run_new_rows(spark, src, ev.schema, ["event_id"], sink, name)
+    got = spark.read.parquet(sink)
+    assert got.count() == ev.select("event_id").distinct().count() == got.select("event_id").distinct().count()
+    assert got.select("batch").distinct().count() == 3
+
+
 def test_stream_dedupe_and_rate(spark):
     src = tempfile.mkdtemp(prefix="run-src-", dir="/tmp")
     ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")

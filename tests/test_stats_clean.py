@@ -106,7 +106,7 @@ def test_product_stats_from_maps(spark):
         [("1", "c", None, {"5": "2", "x": "1"}), ("2", "c", "4", {"4": "1"}), ("3", "d", None, None), ("", "d", "1", None)],
         "product_id string, category string, total_reviews string, rating_distribution map<string,string>")
     prc = {r[0]: r[1] for r in S.product_review_counts(meta).collect()}
-    assert prc == {"1": 2, "2": 4, "3": 0, "": 1}
+    assert prc == {"1": 2, "2": 4, "3": 0}          # a product without an id is in no table
     q = S.data_quality_counters(meta).first()
     assert (q["missing_product_id"], q["invalid_score"], q["missing_rating_distribution"], q["review_cnt_mismatch"]) \
         == (1, 1, 1, 1)
@@ -137,17 +137,6 @@ def test_split_ordered_rules_equal_plain_windows(spark):
     assert sorted(map(tuple, c.collect())) == sorted(map(tuple, e.select(*c.columns).collect()))
 
 
-def test_model_vectors_equal_vocab_join(spark):
-    rows = [(i, (["good", "fine", "ok", "bad", "zzz%d" % i] * 3)[: 3 + i % 5]) for i in range(40)] + [(99, [])]
-    r = spark.createDataFrame(rows, "review_id int, tokens array<string>")
-    model = V.fit_word2vec(r, dim=8, min_count=3, num_partitions=2)
-    a = {x["review_id"]: x["vector"] for x in V.review_vectors(r, V.word_vectors(model), dim=8).collect()}
-    b = {x["review_id"]: x["vector"] for x in V.review_vectors_model(r, model, dim=8).collect()}
-    assert set(a) == set(b)
-    for k in a:
-        assert b[k] == pytest.approx(a[k], abs=1e-6)
-
-
 def test_prepare_reviews_dedupes_on_normalised_text(spark):
     from revlens.operators.clean import RAW_REVIEW
     rows = [("f", 0, 0, "1", "5", "2025.1.2.", "n", "좋아요"), ("f", 0, 1, "2", "4", "2025.01.02", "n", "좋아요 \U0001F600"),
@@ -161,14 +150,30 @@ def test_prepare_reviews_dedupes_on_normalised_text(spark):
     assert out == [(0, 0), (0, 2), (0, 3), (1, 0)]
 
 
-def test_auto_vectors_both_paths_agree(spark):
-    rows = [(i, (["good", "fine", "ok", "bad", "zzz%d" % i] * 3)[: 3 + i % 5]) for i in range(40)]
+def test_review_vectors_are_means_of_known_words(spark):
+    rows = [(i, (["good", "fine", "ok", "bad", "zzz%d" % i] * 3)[: i % 6]) for i in range(40)]
     r = spark.createDataFrame(rows, "review_id int, tokens array<string>")
-    model = V.fit_word2vec(r, dim=8, min_count=3, num_partitions=2)
-    a = {x["review_id"]: x["vector"] for x in V.review_vectors_auto(r, model, dim=8).collect()}
-    b = {x["review_id"]: x["vector"] for x in V.review_vectors_auto(r, model, dim=8, max_broadcast_bytes=0).collect()}
-    for k in a:
-        assert b[k] == pytest.approx(a[k], abs=1e-6)
+    vocab = V.word_vectors(V.fit_word2vec(r, dim=8, min_count=3, num_partitions=2))
+    known = {x["word"]: x["vector"] for x in vocab.collect()}
+    got = {x["review_id"]: x["vector"] for x in V.review_vectors(r, vocab, dim=8).collect()}
+    for i, tokens in rows:
+        vs = [known[t] for t in tokens if t in known]
+        want = [sum(c) / len(vs) for c in zip(*vs)] if vs else [0.0] * 8
+        assert got[i] == pytest.approx(want, abs=1e-9)
+
+
+def test_representative_spreads_a_hot_group(spark):
+    rows = [(i, "hot" if i % 5 else "small", [float(i % 7), 1.0, float(i % 3)]) for i in range(200)]
+    df = spark.createDataFrame(rows, "review_id int, product_id string, vector array<double>")
+    a = {r["product_id"]: r for r in V.representative(df, "product_id", "review_id").collect()}
+    b = {r["product_id"]: r for r in V.representative(df, "product_id", "review_id", salts=1).collect()}
+    assert {k: (r[2], round(r[3], 12)) for k, r in a.items()} == {k: (r[2], round(r[3], 12)) for k, r in b.items()}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = V.representative(df, "product_id", "review_id")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" in plan[:plan.index("SortMergeJoin")]
 
 
 def test_describe_sketch_path(spark):
