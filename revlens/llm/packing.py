@@ -10,6 +10,8 @@ the pieces are then ranked within their length and looked up in the plan.
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 from bisect import insort
 from collections.abc import Iterator
@@ -24,15 +26,19 @@ from pyspark.sql.window import Window
 from revlens.llm.common import stage
 
 #: Words remembered per worker before the table is emptied: bounds memory, not results.
-REMEMBER = 600_000
+REMEMBER = 1_200_000
 RANK_BITS = 44
+#: The tokenizer always splits between a letter and these marks.
+TAIL = re.compile(rb"^(.*[A-Za-z])([.,;:?!%&*#$]+)$", re.S)
+LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
 class WordIds:
     """Ids of white-space separated words as little-endian bytes, kept per worker.
 
     The tokenizer drops white space and matches nothing across it, so the ids of a
-    text are those of its words in a row.
+    text are those of its words in a row.  It lowers case itself; A-Z are lowered
+    before the look-up, unless the text might hold one of its special strings.
     """
 
     def __init__(self, path: str):
@@ -46,15 +52,23 @@ class WordIds:
         """Ids of every text, 4 bytes each; new words are encoded in one batch."""
         if len(self.known) > REMEMBER:
             self.known.clear()
-        known, split, new = self.known, [t.split() for t in texts], set()
+        known, new = self.known, set()
+        split = [(t if b"<|" in t else t.translate(LOWER)).split() for t in texts]
         for words in split:
             new.update(words)
+        # a word with marks after its last letter has the ids of the word and of the marks
+        marked = {w: m.groups() for w in new if w not in known and (m := TAIL.match(w))}
+        new.difference_update(marked)
+        new.update(p for parts in marked.values() for p in parts)
         fresh = [w for w in new if w not in known]
         for at in range(0, len(fresh), 20_000):
             part = fresh[at:at + 20_000]
-            done = self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)
+            done = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
             for w, e in zip(part, done):
-                known[w] = np.array(e.ids, dtype="<u4").tobytes()
+                ids = e.ids
+                known[w] = struct.pack(f"<{len(ids)}I", *ids)
+        for w, (stem, marks) in marked.items():
+            known[w] = known[stem] + known[marks]
         for words in split:
             yield b"".join(map(known.__getitem__, words))
 
