@@ -26,7 +26,7 @@ from pyspark.sql.window import Window
 from revlens.llm.common import stage
 
 #: Words remembered per worker before the table is emptied: bounds memory, not results.
-REMEMBER = 1_200_000
+REMEMBER = 400_000
 RANK_BITS = 44
 #: The tokenizer always splits between a letter and these marks.
 TAIL = re.compile(rb"^(.*[A-Za-z])([.,;:?!%&*#$]+)$", re.S)
