@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 #: Words remembered per worker before the table is emptied: bounds memory, not results.
-REMEMBER = 1_000_000
+REMEMBER = 600_000
 NORMAL = 1
 
 
