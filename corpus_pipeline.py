@@ -16,10 +16,17 @@ from revlens.llm import language_id, mixing, packing, simhash_dedup, toxicity
 from revlens.llm.common import stage
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """Whole texts go to Python by 2,000 rows: bounds the memory of a worker."""
+    spark.conf.set(BATCH, "2000")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without letters and texts whose language margin is narrow."""
+    _small_batches(spark)
     found = language_id.verdict(language_id.learn(docs, language_id.training_rows()))
     return (docs.select(F.struct("*").alias("row"), found(docs["text"]).alias("found"))
             .filter(~F.col("found.rejected")).select("row.*"))
@@ -27,6 +34,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts with a toxicity of 0.3 or more."""
+    _small_batches(spark)
     lexicon = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return (docs.select(F.struct("*").alias("row"), toxicity.hits_of(lexicon)(docs["text"]).alias("found"))
             .filter(toxicity.probability(lexicon, F.col("found.x")) < 0.3).select("row.*"))
@@ -35,6 +43,7 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest doc_id of each group; of rows repeated
     with id and text one stays."""
+    _small_batches(spark)
     found = simhash_dedup.simhash_components(docs, shingle=4, radius=4)
     gone = stage(found.filter("doc_id <> component_id").select("doc_id").distinct(), "pipeline-gone")
     again = stage(docs.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
@@ -52,6 +61,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of all pieces in sequences of 2,048 tokens."""
+    _small_batches(spark)
     return packing.pack(packing.pieces(docs, TOKENIZER, 2048), 2048)
 
 
