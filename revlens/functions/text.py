@@ -33,22 +33,31 @@ def map_literal(mapping: Mapping[str, str]) -> Column:
 
 
 # --------------------------------------------------------------------- F1 NFC
+#: Ranges of characters that stay as they are under NFC next to each other: Latin and
+#: Cyrillic letters, punctuation, signs, kana, ideographs, precomposed Hangul, emoji.
+NFC_STABLE = ((0x0, 0x2FF), (0x400, 0x482), (0x48A, 0x52F), (0x2010, 0x205E), (0x20A0, 0x20BF), (0x2190, 0x2328),
+              (0x2500, 0x27BF), (0x3000, 0x3029), (0x3030, 0x303F), (0x3041, 0x3096), (0x30A1, 0x30FF),
+              (0x3131, 0x318E), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xAC00, 0xD7A3), (0xFE00, 0xFE0F),
+              (0xFF01, 0xFFEE), (0x1F300, 0x1FAFF))
+_UNSTABLE = "[^" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in NFC_STABLE) + "]"
+
+
 @F.pandas_udf(T.StringType())
 def _nfc_batch(s: pd.Series) -> pd.Series:
     def one(x):
         if x is None or (isinstance(x, float) and x != x):
             return None
-        return x if x.isascii() else unicodedata.normalize("NFC", x)
+        return x if unicodedata.is_normalized("NFC", x) else unicodedata.normalize("NFC", x)
     return s.map(one)
 
 
 def nfc(col) -> Column:
     """Unicode NFC.  Spark evaluates an extracted pandas UDF for every row, so
-    pure-ASCII values are handed to it as NULL (no payload crosses to Python)
-    and keep their JVM-side value."""
+    values of stable characters only (precomposed Hangul among them) are handed
+    to it as NULL (no payload crosses to Python) and keep their JVM-side value."""
     c = _c(col)
-    ascii_only = c.rlike(r"^[\x00-\x7F]*$")
-    return F.when(ascii_only, c).otherwise(_nfc_batch(F.when(~ascii_only, c)))
+    unstable = c.rlike(_UNSTABLE)
+    return F.when(~unstable, c).otherwise(_nfc_batch(F.when(unstable, c)))
 
 
 # ------------------------------------------------------- F2 review normaliser

@@ -69,12 +69,14 @@ def term_frequency(reviews: DataFrame, id_col: str = "review_id", tokens: str =
 
 # ----------------------------------------------------------------- contributions
 def token_contributions(reviews: DataFrame, keys: Sequence[str], label: str = "label",
-                        tokens: str = "tokens") -> DataFrame:
-    """(keys, label, word, w, d): w sums to tf per review, d marks presence."""
+                        tokens: str = "tokens", unlabelled: bool = False) -> DataFrame:
+    """(keys, label, word, w, d): w sums to tf per review, d marks presence.
+    With ``unlabelled`` the other reviews mark presence too (w = 0)."""
     # Only the cheap label predicate filters rows: reviews without tokens emit
     # nothing from the explode, and a size(tokens) filter would be pushed below
     # projections/exchanges and re-run the tokeniser on its own.
-    elig = reviews.where(F.col(label).isin(0, 1))
+    known = F.col(label).isin(0, 1)
+    elig = reviews if unlabelled else reviews.where(known)
     n = F.size(tokens)
     st = "array<struct<word:string,w:double,d:int>>"
     # arrays_zip/array_repeat are code-generated (no lambda per element)
@@ -82,7 +84,9 @@ def token_contributions(reviews: DataFrame, keys: Sequence[str], label: str = "l
                        F.array_repeat(F.lit(0), n)).cast(st)
     dt = F.array_distinct(tokens)
     dist = F.arrays_zip(dt, F.array_repeat(F.lit(0.0), F.size(dt)), F.array_repeat(F.lit(1), F.size(dt))).cast(st)
-    return (elig.select(*keys, F.col(label).alias("label"), F.explode(F.concat(occ, dist)).alias("e"))
+    both = F.concat(occ, dist)
+    marks = F.when(known, both).otherwise(dist) if unlabelled else both
+    return (elig.select(*keys, F.col(label).alias("label"), F.explode(marks).alias("e"))
                 .select(*keys, "label", "e.word", "e.w", "e.d"))
 
 
@@ -129,19 +133,38 @@ def sentiment_counts(reviews: DataFrame, hierarchy: Sequence[str] = ("category",
 
 
 # ----------------------------------------------------------------- A3/A4/W4
+def _times_idf(rolled: DataFrame, hierarchy: Sequence[str], top: str, n_docs: Column, keep: Column,
+               salts: int) -> DataFrame:
+    """The rows of ``rolled`` that ``keep`` holds for, class sums times ln(N / df).
+
+    A word's document frequency is in its row of the ``top`` level.  That row goes
+    to each of ``salts`` parts of the word, so a word that very many products use
+    is spread over several tasks."""
+    is_top = F.col("level") == top
+    part = F.when(is_top, F.sequence(F.lit(0), F.lit(salts - 1))) \
+        .otherwise(F.array(F.pmod(F.hash("word", *hierarchy), F.lit(salts))))
+    df = F.max(F.when(is_top, F.col("any_n"))).over(Window.partitionBy("word", "_part"))
+    return (rolled.where(keep | is_top).withColumn("_part", F.explode(part))
+            .withColumn("_idf", F.log(n_docs / df))
+            .where(keep & (~is_top | (F.col("_part") == 0)))
+            .withColumn("pos_sum", F.col("pos_sum") * F.col("_idf"))
+            .withColumn("neg_sum", F.col("neg_sum") * F.col("_idf")).drop("_part", "_idf"))
+
+
 def score_keywords(contrib: DataFrame, totals: DataFrame, hierarchy: Sequence[str],
                    levels: Sequence[tuple[str, int]] = DEFAULT_LEVELS, top_n: int = P.KEYWORD_TOP_N,
                    rank_digits: int = 9, ranking: str = "one_pass",
-                   word_scale: DataFrame | None = None, split: int = 64) -> DataFrame:
+                   n_docs: Column | None = None, split: int = 64, salts: int = 8) -> DataFrame:
     """Keyword lists for every requested level, long format.
 
     ``contrib``: (hierarchy..., label, word, w, d); ``totals``: output of
     ``class_totals``.  ``levels`` lists (name, min_doc_freq) for prefixes of
     ``hierarchy`` of length 0, 1, ...; a ``None`` threshold skips that level.
     Ranking uses the score rounded to ``rank_digits`` so that float summation
-    order cannot reorder ties.  ``word_scale`` (word, factor) multiplies the
-    weight sums per word; ``split`` is the number of hash buckets of the
-    first ranking stage."""
+    order cannot reorder ties.  With ``n_docs`` (number of reviews) the weight
+    sums are multiplied by the word's ln(n_docs / document frequency), where
+    ``contrib`` marks presence in all reviews; ``split`` is the number of hash
+    buckets of the first ranking stage."""
     hierarchy = list(hierarchy)
     names = [n for n, _ in levels]
     # finest-level pre-aggregate: combined map-side, one exchange on (keys, word)
@@ -149,17 +172,13 @@ def score_keywords(contrib: DataFrame, totals: DataFrame, hierarchy: Sequence[st
                    .agg(F.sum(F.when(F.col("label") == 1, F.col("w"))).alias("pos_sum"),
                         F.sum(F.when(F.col("label") == 0, F.col("w"))).alias("neg_sum"),
                         F.sum(F.when(F.col("label") == 1, F.col("d"))).alias("pos_n"),
-                        F.sum(F.when(F.col("label") == 0, F.col("d"))).alias("neg_n")))
-    if word_scale is not None:
-        # per-word weight factor (e.g. idf): sums of tf * factor(w) = factor(w) * sums of tf
-        fine = (fine.join(word_scale.select("word", F.col("factor").alias("_f")), "word")
-                    .withColumn("pos_sum", F.col("pos_sum") * F.col("_f"))
-                    .withColumn("neg_sum", F.col("neg_sum") * F.col("_f")).drop("_f"))
+                        F.sum(F.when(F.col("label") == 0, F.col("d"))).alias("neg_n"),
+                        F.sum("d").alias("any_n")))
     # roll the small table up to the coarser levels (word always kept)
     rolled = (fine.rollup("word", *hierarchy)
                   .agg(F.sum("pos_sum").alias("pos_sum"), F.sum("neg_sum").alias("neg_sum"),
                        F.sum("pos_n").alias("pos_n"), F.sum("neg_n").alias("neg_n"),
-                       F.grouping_id().alias("_gid"))
+                       F.sum("any_n").alias("any_n"), F.grouping_id().alias("_gid"))
                   .where(F.col("_gid") < (1 << len(hierarchy)))
                   .withColumn("level", _level_of(F.col("_gid"), len(hierarchy), names))
                   .where(F.col("level").isNotNull()))
@@ -167,19 +186,20 @@ def score_keywords(contrib: DataFrame, totals: DataFrame, hierarchy: Sequence[st
     neg_n = F.coalesce(F.col("neg_n"), F.lit(0)).cast("bigint")
     rolled = rolled.select("level", *hierarchy, "word", "pos_sum", "neg_sum",
                            pos_n.alias("pos_n"), neg_n.alias("neg_n"),
-                           (pos_n + neg_n).alias("support"))
+                           (pos_n + neg_n).alias("support"), "any_n")
     thr = None
     for name, mdf in levels:
         if mdf is None:          # level only named, not produced
             continue
         c = (F.col("level") == name) & (F.col("support") >= mdf)
         thr = c if thr is None else (thr | c)
-    rolled = rolled.where(thr)
+    rolled = rolled.where(thr) if n_docs is None else _times_idf(
+        rolled, hierarchy, names[0], n_docs, thr & (F.col("support") > 0), salts)
 
-    t = totals.select("level", *[F.col(h).alias("_t_" + h) for h in hierarchy],
+    t = totals.select(F.col("level").alias("_t_level"), *[F.col(h).alias("_t_" + h) for h in hierarchy],
                       F.col("pos_count").alias("total_pos"), F.col("neg_count").alias("total_neg"))
-    cond = [rolled["level"] == t["level"]] + [rolled[h].eqNullSafe(t["_t_" + h]) for h in hierarchy]
-    j = rolled.join(t, cond, "inner").drop(t["level"]).drop(*["_t_" + h for h in hierarchy])
+    cond = [F.col("level") == F.col("_t_level"), *[F.col(h).eqNullSafe(F.col("_t_" + h)) for h in hierarchy]]
+    j = rolled.join(t, cond, "inner").drop("_t_level", *["_t_" + h for h in hierarchy])
 
     pos_rate = F.when(F.col("total_pos") > 0, F.col("pos_n") / F.col("total_pos")).otherwise(F.lit(0.0))
     neg_rate = F.when(F.col("total_neg") > 0, F.col("neg_n") / F.col("total_neg")).otherwise(F.lit(0.0))
@@ -258,25 +278,20 @@ def sentiment_keywords_weighted(reviews: DataFrame, hierarchy: Sequence[str] = (
     return score_keywords(contrib, totals, hierarchy, levels, top_n)
 
 
-def idf_factors(reviews: DataFrame, tokens: str = "tokens") -> DataFrame:
-    """(word, factor = ln(N / df)) over the reviews that have tokens."""
-    n_docs = reviews.agg(F.count_if(F.size(tokens) > 0).cast("double")).scalar()
-    dfreq = reviews.select(F.explode(F.array_distinct(tokens)).alias("word")).groupBy("word") \
-        .agg(F.count(F.lit(1)).alias("_df"))
-    return dfreq.select("word", F.log(n_docs / F.col("_df")).alias("factor"))
-
-
 def sentiment_keywords_tfidf(reviews: DataFrame, hierarchy: Sequence[str] = ("category",),
                              levels: Sequence[tuple[str, int]] = (("global", 20), ("category", 20)),
                              top_n: int = P.WEIGHTED_TOP_N, label: str = "label",
                              tokens: str = "tokens") -> DataFrame:
     """A6 with tf-idf weights, factorised: idf depends on the word only, so the
-    class sums are idf(w) * (sums of tf) — no per-(review, word) weight table."""
+    class sums are idf(w) * (sums of tf) — no per-(review, word) weight table.
+    One explode gives class sums and document frequencies, the number of
+    reviews is a row of the totals."""
     hierarchy = list(hierarchy)
-    contrib = token_contributions(reviews, hierarchy, label, tokens)
+    contrib = token_contributions(reviews, hierarchy, label, tokens, unlabelled=True)
     totals = class_totals(reviews, hierarchy, [n for n, _ in levels], label, tokens=None,
                           only_with_tokens=tokens)
-    return score_keywords(contrib, totals, hierarchy, levels, top_n, word_scale=idf_factors(reviews, tokens))
+    n_docs = totals.where(F.col("level") == levels[0][0]).agg(F.max("review_count").cast("double")).scalar()
+    return score_keywords(contrib, totals, hierarchy, levels, top_n, n_docs=n_docs)
 
 
 def tfidf_weights(reviews: DataFrame, id_col: str = "review_id", tokens: str = "tokens") -> DataFrame:

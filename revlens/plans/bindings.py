@@ -86,17 +86,14 @@ def product_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     count of returned items, and the category (p_type).  Parts without
     reviews have no distribution."""
     rv = reviews_scored(spark, sf_dir)
-    per = rv.groupBy("product_id", "score").agg(F.count(F.lit(1)).alias("n"))
-    dist = per.groupBy("product_id").agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col("score").cast("string"),
-                                                   F.col("n").cast("string")))).alias("_d"))  # <= 5 entries
-    ret = rv.where(F.col("l_returnflag") == "R").groupBy("product_id") \
-        .agg(F.count(F.lit(1)).cast("string").alias("_r"))
+    # one pass: a conditional count per score and one for the returned items
+    counts = {str(k): F.count_if(F.col("score") == k) for k in P.VALID_SCORES}
+    counts["0"] = F.count_if(F.col("l_returnflag") == "R")
+    pairs = [x for k, n in counts.items() for x in (F.lit(k), n.cast("string"))]
+    dist = rv.groupBy("product_id").agg(F.map_filter(F.create_map(*pairs), lambda k, n: n != "0")
+                                        .alias("rating_distribution"))
     p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("product_id"),
                                             F.col("p_type").alias("category"),
                                             F.col("p_size").cast("string").alias("total_reviews"))
-    j = p.join(dist, "product_id", "left").join(ret, "product_id", "left")
-    m = F.when(F.col("_r").isNotNull(), F.map_concat("_d", F.create_map(F.lit("0"), F.col("_r")))) \
-        .otherwise(F.col("_d"))
-    return j.select(F.col("product_id").cast("string").alias("product_id"), "category", "total_reviews",
-                    m.alias("rating_distribution"))
+    return p.join(dist, "product_id", "left").select(
+        F.col("product_id").cast("string").alias("product_id"), "category", "total_reviews", "rating_distribution")

@@ -440,6 +440,7 @@ def q_scan_json_props(spark, d):
 ASCII_KEEP = "a-zA-Z0-9 \\t\\n\\r.,!?~"
 ASCII_BRANDS = {"brand#1": "acme", "brand#11": "acme", "brand#2": "zenith"}
 ASCII_CATEGORIES = {"std": ["standard"], "sale": ["promo", "economy"]}
+EMBEDDING_DIM = 64
 URL_RULES = [("m.", "mobile"), (".net", "net"), ("?page=", "paged"), ("#", "anchored")]
 
 
@@ -450,6 +451,19 @@ def q_normalize_text(spark, d):
     return finish(docs.select("doc_id", F.length("t").alias("n_chars"), F.md5("t").alias("md5")))
 
 
+def q_text_normalisers(spark, d):
+    """F1-F4 on texts with decomposed accents: NFC, default class, token cleaner, jamo collapse."""
+    from ..functions.text import clean_for_tokens, normalize_text
+    apart = F.replace(F.replace("text", F.lit("\u00e9"), F.lit("e\u0301")), F.lit("\u00fc"), F.lit("u\u0308"))
+    jamo = F.replace("text", F.lit("o"), F.lit("ㅋㅋㅋ"))
+    docs = B.table(spark, d, "documents").select(
+        "doc_id", normalize_text(apart, keep=ASCII_KEEP + "\u00e9\u00fc").alias("nfc"), normalize_text("text").alias("plain"),
+        clean_for_tokens("text", "a-z\\s").alias("tokens"),
+        normalize_text(jamo, keep="a-z ㄱ-ㅎ", use_nfc=False, collapse_jamo=True).alias("jamo"))
+    return finish(docs.select("doc_id", F.length("nfc").alias("nfc_chars"),
+                              *[F.md5(c).alias(f"{c}_md5") for c in ("nfc", "plain", "tokens", "jamo")]))
+
+
 def q_tokenize_stopwords(spark, d):
     docs = B.table(spark, d, "documents").select("doc_id", B.doc_tokens("text").alias("tokens"))
     return finish(docs.select("doc_id", F.size("tokens").alias("token_count"),
@@ -639,6 +653,19 @@ def q_word2vec_review_vectors(spark, d):
     return finish(rv.select("review_id", F.size("vector").alias("dim"), norm("vector").alias("norm")))
 
 
+def q_review_vectors(spark, d):
+    """J10/A26/M2/M3 with a given vocabulary: the digest of a word picks its vector among
+    the embeddings, about one word in eleven has none."""
+    from ..operators.vectors import review_vectors
+    r = B.reviews_text(spark, d).where(F.col("label").isNotNull())
+    emb = _embeddings(spark, d)
+    n = emb.agg(F.count(F.lit(1)) + F.floor(F.count(F.lit(1)) / 10)).scalar()
+    pick = F.conv(F.substring(F.md5("word"), 1, 8), 16, 10).cast("bigint") % n
+    words = r.select(F.explode("tokens").alias("word")).distinct().select("word", pick.alias("vec_id"))
+    rv = review_vectors(r, words.join(emb, "vec_id").select("word", "vector"), dim=EMBEDDING_DIM)
+    return finish(rv.select("review_id", F.posexplode("vector").alias("dim", "value")))
+
+
 def q_embed_batch(spark, d):
     from ..functions.vector import norm
     from ..operators.vectors import embed, hash_embedding_model
@@ -724,6 +751,7 @@ QUERIES = {
     "scan_json_props": q_scan_json_props,
     "scan_nested_documents": q_scan_nested_documents,
     "normalize_text": q_normalize_text,
+    "text_normalisers": q_text_normalisers,
     "tokenize_stopwords": q_tokenize_stopwords,
     "strip_html": q_strip_html,
     "lenient_int": q_lenient_int,
@@ -746,6 +774,7 @@ QUERIES = {
     "representative_review": q_representative_review,
     "word2vec_vocab": q_word2vec_vocab,
     "word2vec_review_vectors": q_word2vec_review_vectors,
+    "review_vectors": q_review_vectors,
     "embed_batch": q_embed_batch,
     "top_products_mean_score": q_top_products_mean_score,
     "daily_review_counts": q_daily_review_counts,

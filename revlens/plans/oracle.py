@@ -441,7 +441,22 @@ SQL["normalize_text"] = r"""WITH n AS (
   FROM documents)
 SELECT doc_id, length(t) AS n_chars, md5(t) AS md5 FROM n"""
 
-SQL["tokenize_stopwords"] = f"""SELECT doc_id, len({tok('text')}) AS token_count,
+SQL["text_normalisers"] = r"""WITH s AS (
+  SELECT doc_id, text, nfc_normalize(replace(replace(text, 'é', 'e' || chr(769)), 'ü', 'u' || chr(776))) AS n,
+         replace(text, 'o', 'ㅋㅋㅋ') AS j FROM documents),
+x AS (SELECT doc_id,
+  CASE WHEN n IS NULL OR n = '' THEN n
+       ELSE trim(regexp_replace(regexp_replace(n, '[^a-zA-Z0-9 \t\n\r.,!?~éü]', '', 'g'), '\s+', ' ', 'g')) END AS nfc,
+  CASE WHEN text IS NULL OR text = '' THEN text
+       ELSE trim(regexp_replace(regexp_replace(text, '[^가-힣a-zA-Z0-9\s.,!?~❤️]', '', 'g'), '\s+', ' ', 'g')) END AS plain,
+  trim(regexp_replace(regexp_replace(text, '[^a-z\s]', ' ', 'g'), '\s+', ' ', 'g')) AS tokens,
+  CASE WHEN j IS NULL OR j = '' THEN j
+       ELSE trim(regexp_replace(regexp_replace(regexp_replace(j, '[^a-z ㄱ-ㅎ]', '', 'g'), 'ㅋ+', 'ㅋㅋ', 'g'),
+                                '\s+', ' ', 'g')) END AS jamo FROM s)
+SELECT doc_id, length(nfc) AS nfc_chars, md5(nfc) AS nfc_md5, md5(plain) AS plain_md5, md5(tokens) AS tokens_md5,
+       md5(jamo) AS jamo_md5 FROM x"""
+
+SQL["tokenize_stopwords"] =f"""SELECT doc_id, len({tok('text')}) AS token_count,
        len(list_distinct({tok('text')})) AS distinct_count FROM documents"""
 
 SQL["strip_html"] = """SELECT page_id, length(regexp_replace(html, '<[^>]+>', '', 'g')) AS text_len FROM pages"""
@@ -631,7 +646,20 @@ SELECT CAST(label AS BIGINT) AS label, vec_id, round(similarity, 6) AS similarit
 SQL["word2vec_vocab"] = f"""WITH t AS (SELECT unnest({tok('text')}) AS word FROM documents)
 SELECT word, CAST(100 AS BIGINT) AS dim FROM t GROUP BY word HAVING count(*) >= 3"""
 
-SQL["top_products_mean_score"] = f"""WITH {RV},
+SQL["review_vectors"] = f"""WITH {RT},
+l AS (SELECT * FROM rt WHERE label IS NOT NULL),
+o AS (SELECT review_id, unnest(tokens) AS word FROM l),
+m AS (SELECT count(*) + count(*) // 10 AS m FROM embeddings),
+c AS (SELECT review_id, CAST('0x' || substr(md5(word), 1, 8) AS BIGINT) % (SELECT m FROM m) AS vec_id, count(*) AS n
+      FROM o GROUP BY ALL),
+e AS (SELECT vec_id, unnest(generate_series(0, len(embedding) - 1)) AS dim, CAST(unnest(embedding) AS DOUBLE) AS v
+      FROM embeddings),
+a AS (SELECT review_id, dim, sum(n * v) / sum(n) AS value FROM c JOIN e USING (vec_id) GROUP BY ALL),
+g AS (SELECT review_id, unnest(range(64)) AS dim FROM l)
+SELECT g.review_id, CAST(g.dim AS BIGINT) AS dim, round(coalesce(a.value, 0.0), 6) AS value
+FROM g LEFT JOIN a ON a.review_id = g.review_id AND a.dim = g.dim"""
+
+SQL["top_products_mean_score"] =f"""WITH {RV},
 c AS (SELECT product_id, count(*) AS review_cnt FROM rv GROUP BY product_id),
 t AS (SELECT * FROM c ORDER BY review_cnt DESC, product_id LIMIT 10)
 SELECT t.product_id, t.review_cnt, round(avg(rv.score), 6) AS mean_score

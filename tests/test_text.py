@@ -86,3 +86,16 @@ def test_analyzer_plugin(spark):
     def factory():
         return lambda s: [w for w in s.split() if len(w) > 1]
     assert one(spark, lambda c: TX.analyzer_tokens(c, factory, ["정말"]), "정말 좋 아요 상품") == ["아요", "상품"]
+
+
+def test_nfc_stable_characters_never_change():
+    """Each stays as it is, has no combining class and is no second half of any composition."""
+    import unicodedata
+    stable = {cp for a, b in TX.NFC_STABLE for cp in range(a, b + 1)}
+    assert all(unicodedata.is_normalized("NFC", chr(cp)) and not unicodedata.combining(chr(cp)) for cp in stable)
+    seconds = set(range(0x1161, 0x1176)) | set(range(0x11A8, 0x11C3))
+    for cp in range(0x110000):
+        d = unicodedata.decomposition(chr(cp))
+        if d and not d.startswith("<") and " " in d:
+            seconds.add(int(d.split()[1], 16))
+    assert not stable & seconds
