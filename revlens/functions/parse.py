@@ -110,6 +110,13 @@ def product_key(category, text_kind, product_id) -> Column:
     return F.concat_ws("_", _c(category), _c(text_kind), _c(product_id).cast("string"))
 
 
+def identity_key(product_id, product_name) -> Column:
+    """``{id}__{name}`` with UNKNOWN_ID / UNKNOWN_NAME for a missing id or a blank name."""
+    name = F.trim(_c(product_name))
+    return F.concat_ws("__", F.coalesce(_c(product_id).cast("string"), F.lit("UNKNOWN_ID")),
+                       F.coalesce(falsy_to_null(name), F.lit("UNKNOWN_NAME")))
+
+
 def month_start(date_col) -> Column:
     return F.trunc(_c(date_col), "month")
 
@@ -164,8 +171,9 @@ def pairs_to_weights(col) -> Column:
     """ARRAY<STRUCT<word, weight>> -> MAP<STRING, DOUBLE>; for a repeated word
     the last pair wins (as with a dict built from the pairs)."""
     c = _c(col)
-    idx = F.transform(c, lambda e, i: F.struct(e["word"].cast("string").alias("k"),
-                                               e["weight"].cast("double").alias("v"), i.alias("i")))
-    last = F.filter(idx, lambda x: ~F.exists(idx, lambda y: (y["k"] == x["k"]) & (y["i"] > x["i"])))
+    # sorted by word and place, the last pair of a word is the one whose successor differs
+    ordered = F.array_sort(F.transform(c, lambda e, i: F.struct(e["word"].cast("string").alias("k"), i.alias("i"),
+                                                                e["weight"].cast("double").alias("v"))))
+    last = F.filter(ordered, lambda x, i: ~F.get(ordered, i + 1)["k"].eqNullSafe(x["k"]))
     entries = F.transform(last, lambda x: F.struct(x["k"].alias("k"), x["v"].alias("v")))
     return F.coalesce(F.map_from_entries(entries), F.create_map().cast("map<string,double>"))

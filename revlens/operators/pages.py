@@ -2,17 +2,21 @@
 
 Pages are already a table (no browser).  Field extraction is a chain of
 ``regexp_extract`` over the HTML column with patterns as parameters, so it
-stays in the JVM; malformed pages simply yield empty fields (a parser
-plug-in via ``mapInPandas`` is the escape hatch for exotic markup).
+stays in the JVM; malformed pages simply yield empty fields.  A place is a
+list of (tag, class, ...) steps from the outside in, or a pattern with one
+group; an element ends at the next closing tag of its name, so markup that
+nests equal tags inside a field needs a parser: ``parse_pages``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import params as P
 from ..functions.parse import classify_by_substring, extract_count
 from ..functions.text import clean_page_text, strip_html
 
@@ -80,3 +84,104 @@ def url_kind(url: Column | str, rules: Sequence[tuple[str, str]], default: str)
 def number_in(col: Column | str, patterns: Sequence[str], default: int | None = 0) -> Column:
     """first matching pattern's number (commas dropped)."""
     return extract_count(col, patterns, default)
+
+
+# ----------------------------------------------------------------- product pages
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&"))
+
+
+def element_pattern(tag: str, *classes: str) -> str:
+    """Pattern of the inside of the first ``tag`` that carries all ``classes``."""
+    if not classes:
+        return rf"(?s)<{tag}\b[^>]*>(.*?)</{tag}>"
+    held = "".join(rf'(?=(?:[^"]*\s)?{re.escape(c)}[\s"])' for c in classes)
+    return rf'(?s)<{tag}\b[^>]*\bclass="{held}[^"]*"[^>]*>(.*?)</{tag}>'
+
+
+def text_of(html: Column) -> Column:
+    """Tag-free, unescaped, cleaned text of a piece of HTML."""
+    x = strip_html(html)
+    for entity, char in ENTITIES:
+        x = F.replace(x, F.lit(entity), F.lit(char))
+    return clean_page_text(x)
+
+
+def text_at(html: Column, places: Sequence, default: str = "") -> Column:
+    """Text of the first place that holds any, else ``default``."""
+    found = []
+    for place in places:
+        inner = html
+        for step in [place] if isinstance(place, str) else place:
+            inner = _first(inner, step if isinstance(step, str) else element_pattern(*step))
+        t = text_of(inner)
+        found.append(F.when(t != "", t))
+    return F.coalesce(*found, F.lit(default))
+
+
+def product_fields(pages: DataFrame, html: str = "html", places: Mapping[str, Sequence] = P.PRODUCT_PLACES,
+                   delivery_image: str = P.DELIVERY_IMAGE, delivery_rules: Sequence = P.DELIVERY_RULES,
+                   delivery_default: str = P.DELIVERY_DEFAULT) -> DataFrame:
+    """name (else ``Unknown``), price and declared reviews (first number, commas
+    dropped, else 0), brand, badge text and delivery type of a landed product page."""
+    h = F.coalesce(F.col(html), F.lit(""))
+
+    def number(name: str) -> Column:
+        digits = F.regexp_extract(text_at(h, places[name]), "([0-9][0-9,]*)", 1)
+        return F.coalesce(F.replace(digits, F.lit(","), F.lit("")).try_cast("bigint"), F.lit(0))
+
+    return pages.select(
+        "*", text_at(h, places["product_name"], P.UNKNOWN_NAME).alias("product_name"),
+        number("price").alias("price"), number("total_reviews").alias("total_reviews"),
+        text_at(h, places["brand"]).alias("brand"), text_at(h, places["badge"]).alias("badge"),
+        classify_by_substring(_first(h, delivery_image), delivery_rules, delivery_default).alias("delivery_type"))
+
+
+def ingest_status(fields: DataFrame, official: str = P.OFFICIAL_BADGE) -> DataFrame:
+    """``official`` (brand's own offer, left out), ``unknown`` (no name, to be
+    fetched again), ``metadata`` (no reviews: kept with an empty rating map) or ``collect``."""
+    status = (F.when(F.col("badge") == official, "official").when(F.col("product_name") == P.UNKNOWN_NAME, "unknown")
+              .when(F.col("total_reviews") == 0, "metadata").otherwise("collect"))
+    return fields.withColumn("ingest_status", status)
+
+
+def star_rating_map(text: Column | str, labels: Sequence[tuple[str, int]] = P.STAR_LABELS,
+                    patterns: Sequence[str] = (r"{label}\s*\n([0-9,]+)", r"{label}\s*\(([0-9,]+)\)")) -> Column:
+    """MAP<score, count> from the numbers beside the star labels; 0 where a
+    label or its number is missing."""
+    pairs = []
+    for label, score in labels:
+        rules = [p.replace("{label}", re.escape(label)) for p in patterns]
+        pairs += [F.lit(str(score)), extract_count(text, rules)]
+    return F.create_map(*pairs)
+
+
+def review_blocks(pages: DataFrame, html: str = "html", id_col: str = "page_id", block: str = P.REVIEW_BLOCK,
+                  places: Mapping[str, Sequence] = P.REVIEW_PLACES, star: str = P.REVIEW_STAR,
+                  image: str = P.REVIEW_IMAGE, helpful: str = P.REVIEW_HELPFUL) -> DataFrame:
+    """one row per review block: id from 1, score (star marks), date, nickname,
+    title, content, full text, image flag and helpful count."""
+    ex = pages.select(id_col, F.posexplode(F.regexp_extract_all(F.col(html), F.lit(block), 1)).alias("pos", "block"))
+    b = F.col("block")
+    out = ex.select(id_col, (F.col("pos") + 1).alias("id"),
+                    F.regexp_count(b, F.lit(re.escape(star))).alias("score"),
+                    *[text_at(b, p).alias(name) for name, p in places.items()],
+                    b.rlike(image).alias("has_image"), extract_count(b, [helpful]).alias("helpful_count"))
+    return out.withColumn("full_text", F.concat_ws(" ", "title", "content"))
+
+
+def parse_pages(pages: DataFrame, parser_factory: Callable[[], Callable[[str], Mapping]], schema: str,
+                html: str = "html", id_col: str = "page_id") -> DataFrame:
+    """The caller's HTML parser (``html -> fields``), made once per task and fed
+    by Arrow batches.  ``schema`` names the fields; a page without HTML yields nulls."""
+    kind = pages.schema[id_col].dataType.simpleString()
+    names = [f.name for f in pages.sparkSession.createDataFrame([], schema).schema.fields]
+
+    def run(batches: Iterator) -> Iterator:
+        import pandas as pd
+        parse = parser_factory()
+        for batch in batches:
+            rows = [parse(h) if isinstance(h, str) else {} for h in batch[html]]
+            fields = pd.DataFrame({n: [r.get(n) for r in rows] for n in names}, index=batch.index)
+            yield pd.concat([batch[[id_col]], fields], axis=1)
+
+    return pages.select(id_col, html).mapInPandas(run, f"`{id_col}` {kind}, {schema}")

@@ -105,6 +105,17 @@ MIN_REVIEWS_PER_PRODUCT = 30
 REVIEW_COUNT_BINS = (1, 2, 3, 5, 10, 20, 50, 100, 200, 500, 1000)
 VALID_SCORES = (1, 2, 3, 4, 5)
 
+# Fixed keys of the statistics document -> result table.  The per-product table
+# (`product_review_descending`) grows with the data and stays a table of its own.
+STATS_KEYS = {
+    "category_count": "category_product",
+    "category_score_part_count": "category_score_distribution",
+    "category_mean_score": "category_score_summary",
+    "total_review_bins_count": "product_review_count_bins",
+    "summary": "product_review_count_summary",
+    "score_count": "score_distribution",
+}
+
 # Star-label words -> score, used when reading rating counts from page text.
 STAR_LABELS = [("최고", 5), ("좋음", 4), ("보통", 3), ("별로", 2), ("나쁨", 1)]
 
@@ -118,6 +129,34 @@ DELIVERY_RULES = [
 ]
 DELIVERY_DEFAULT = "일반배송"
 
+# Fixed values of the shop pages: where a field stands, as steps of (tag, class, ...) from the
+# outside in; the first place with text wins.
+PRODUCT_PLACES = {
+    "product_name": [[("h1", "product-title"), ("span", "twc-font-bold")], [("h2", "prod-buy-header__title")]],
+    "price": [[("div", "price-amount", "final-price-amount")],
+              [("div", "option-table-list__option--selected"), ("div", "option-table-list__option-price")]],
+    "total_reviews": [[("span", "rating-count-txt")]],
+    "brand": [[("div", "twc-font-bold", "twc-text-[14px]", "twc-text-[#111]", "twc-leading-[17px]")],
+              [("div", "twc-mb-[12px]", "twc-text-[14px]", "twc-leading-[17px]", "twc-text-[#346AFF]")],
+              [("div", "twc-text-sm", "twc-text-blue-600")]],
+    "badge": [[("span", "twc-ml-[3px]")]],
+}
+DELIVERY_IMAGE = r'(?s)<div[^>]*price-badge[^>]*>.*?<img[^>]*src="([^"]*)"'
+UNKNOWN_NAME = "Unknown"
+OFFICIAL_BADGE = "로켓배송 · 브랜드 본사 정품"
+
+# Fixed values of a review on the shop pages.
+REVIEW_BLOCK = r'(?s)<article[^>]*twc-border-bluegray-200[^>]*>(.*?)</article>'
+REVIEW_PLACES = {
+    "date": [[("div", "twc-text-bluegray-700")]],
+    "nickname": [[("span", "twc-text-[16px]/[19px]", "twc-font-bold", "twc-text-bluegray-900")]],
+    "title": [[("div", "twc-font-bold", "twc-text-bluegray-900")]],
+    "content": [[("span", "twc-bg-white")]],
+}
+REVIEW_STAR = "twc-bg-full-star"
+REVIEW_IMAGE = r'(?s)twc-overflow-x-auto[^>]*twc-scrollbar-hidden[^>]*>.*?<img'
+REVIEW_HELPFUL = r"([0-9]+)명에게"
+
 # Collection quotas: reviews per (product, star) and the per-category review cap.
 STAR_QUOTA_TARGET = 200
 STAR_QUOTA_SHARE = 0.25

@@ -620,6 +620,65 @@ def q_classify_url(spark, d):
     return finish(pages.select("page_id", url_kind("url", URL_RULES, "plain").alias("kind")))
 
 
+# Where the generated pages hold the roles of a product page (first entries are fallbacks that never match).
+PAGE_PLACES = {
+    "product_name": [[("h2", "prod-buy-header__title")], [("h1",)]],
+    "price": [[("div", "price-amount")], [("nav",), ("li",)], r"track\(([0-9]+)\)"],
+    "total_reviews": [r"track\(([0-9]+)\)"],
+    "brand": [[("span", "brand")], [("div", "ad")]],
+    "badge": [r'<html[^>]*\slang="([^"]*)"'],
+}
+PAGE_REVIEW_PLACES = {
+    "date": [r"([0-9]{4}[.][0-9]{1,2}[.][0-9]{1,2})"],
+    "nickname": [r"([A-Z][a-z]+)"],
+    "title": [r"(?s)<b>(.*?)<br>"],
+    "content": [r"(?s)<br>(.*)$", r"(?s)^(.*)$"],
+}
+PAGE_LABELS = [("fr", 5), ("en", 4), ("de", 3), ("es", 2), ("page", 1)]
+
+
+def q_product_pages(spark, d):
+    from ..operators.pages import ingest_status, product_fields
+    f = product_fields(B.table(spark, d, "pages"), places=PAGE_PLACES, delivery_image=r'(?s)<nav[^>]*>.*?href="([^"]*)"',
+                       delivery_rules=[("/The", "the"), ("/E", "e")], delivery_default="plain")
+    return finish(ingest_status(f, official="de").drop("html", "url"))
+
+
+def q_rating_map(spark, d):
+    from ..operators.pages import star_rating_map
+    m = star_rating_map("url", PAGE_LABELS, (r"{label}/([0-9,]+)", r"{label}=([0-9,]+)"))
+    r = B.table(spark, d, "pages").select("page_id", m.alias("m"))
+    return finish(r.select("page_id", *[F.col("m")[str(s)].alias(f"rating_{s}") for s in (5, 4, 3, 2, 1)]))
+
+
+def q_review_blocks(spark, d):
+    from ..operators.pages import review_blocks
+    b = review_blocks(B.table(spark, d, "pages"), block=r"(?s)<p>(.*?)</p>", places=PAGE_REVIEW_PLACES, star="<br>",
+                      image="<b>", helpful="([0-9]+)")
+    return finish(b.select("page_id", "id", "score", "date", "nickname", F.md5("title").alias("title_md5"),
+                           F.md5("full_text").alias("full_text_md5"), "has_image", "helpful_count"))
+
+
+def q_product_identity(spark, d):
+    from ..functions.parse import category_from_path, identity_key
+    p = B.table(spark, d, "part")
+    key = identity_key(F.when(F.col("p_size") > 5, F.col("p_partkey")),
+                       F.when(F.col("p_size") <= 45, F.concat(F.lit(" "), "p_name", F.lit(" "))).otherwise(" "))
+    path = F.concat(F.lit(" "), "p_type", F.lit(" > "), "p_brand", F.lit(" "))
+    return finish(p.select("p_partkey", key.alias("product_key"), category_from_path(path, "path").alias("path"),
+                           category_from_path(path).alias("leaf")))
+
+
+def q_strict_numbers(spark, d):
+    from ..functions.parse import coerce_double, strict_int
+    o = B.table(spark, d, "orders")
+    return finish(o.groupBy("o_orderpriority").agg(
+        F.sum(strict_int(F.concat(F.lit(" "), F.floor("o_totalprice").cast("string"), F.lit(".0 ")))).alias("whole"),
+        F.max(strict_int("o_orderpriority")).alias("not_whole"),
+        F.sum(coerce_double(F.concat(F.lit(" "), F.floor("o_totalprice").cast("string"), F.lit(".5 ")))).alias("halves"),
+        F.count(coerce_double("o_orderpriority")).alias("numeric_n")))
+
+
 # ============================================================ vectors
 def _embeddings(spark, d):
     return B.table(spark, d, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>")
@@ -767,6 +826,11 @@ QUERIES = {
     "classify_by_keywords": q_classify_by_keywords,
     "pages_extract": q_pages_extract,
     "pages_blocks": q_pages_blocks,
+    "product_pages": q_product_pages,
+    "rating_map": q_rating_map,
+    "review_blocks": q_review_blocks,
+    "product_identity": q_product_identity,
+    "strict_numbers": q_strict_numbers,
     "page_links": q_page_links,
     "regex_counts": q_regex_counts,
     "classify_url": q_classify_url,

