@@ -3,8 +3,9 @@
 Texts are folded (lower case, homoglyphs and digit substitutions to Latin letters,
 everything else to single spaces).  Patterns are beginnings of words and whole
 phrases; the longest match at a place counts, so an exception phrase that
-contains a lexicon entry cancels it.  The weighted hits are normalised by length and
-mapped to a probability.
+contains a lexicon entry cancels it.  Matches do not overlap, so the space between
+two words stands twice in the matched line: one closes a word, one opens the next.
+The weighted hits are normalised by length and mapped to a probability.
 """
 
 from __future__ import annotations
@@ -46,6 +47,12 @@ def folded(text: str) -> str:
     return f" {_REST.sub(' ', t).strip()} "
 
 
+def _spaced(pattern: str) -> str:
+    """``pattern`` for a line whose spaces are doubled: only its inner spaces are."""
+    inner = len(pattern) - pattern.endswith(" ")
+    return pattern[0] + pattern[1:inner].replace(" ", "  ") + pattern[inner:]
+
+
 @dataclass
 class Lexicon:
     """Patterns (folded, beginning with a space) and weights; 0 marks an exception."""
@@ -58,7 +65,8 @@ class Lexicon:
         import ahocorasick
         a = ahocorasick.Automaton()
         for p, w in self.weights.items():
-            a.add_word(p, w)
+            if p.strip():                          # an exception without letters matches nothing
+                a.add_word(_spaced(p), w)
         if len(a):
             a.make_automaton()
         return a
@@ -69,7 +77,7 @@ def density(text: str, automaton) -> tuple[float, int]:
     line = folded(text)
     if not len(automaton):
         return 0.0, 0
-    hits = [w for _, w in automaton.iter_long(line) if w > 0]
+    hits = [w for _, w in automaton.iter_long(line.replace(" ", "  ")) if w > 0]
     return sum(hits) / (1.0 + math.log1p(line.count(" ") / 200.0)), len(hits)
 
 

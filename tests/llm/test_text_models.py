@@ -171,6 +171,32 @@ def test_folding_and_exceptions():
     assert short > long_ > 0
 
 
+def test_neighbouring_entries_share_a_space():
+    lexicon = toxicity.Lexicon({" clown": 5.0, " clown fish ": 0.0, " fool ": 4.0, " twit ": 3.0, " big oaf ": 2.0, "  ": 0.0},
+                               1.0, -3.0)
+    a = lexicon.automaton()
+    for text, hits in (("clown fish clown", 1), ("fool twit", 2), ("fool fool fool", 3), ("twit clown fish fool", 2),
+                       ("big oaf big oaf fool", 3), ("clown fish clown fish", 0), ("big fool", 1), ("foolish twit", 1)):
+        assert toxicity.density(text, a)[1] == hits, text
+
+
+def test_hits_equal_a_search_word_by_word():
+    rng = np.random.default_rng(3)
+    some = ["ab", "abc", "b", "ba", "bab", "c"]
+    for _ in range(300):
+        make = [" ".join(rng.choice(some, rng.integers(1, 4))) for _ in range(5)]
+        weights = {f" {m}" + " " * int(rng.integers(0, 2)): float(rng.integers(0, 3)) for m in make}
+        text = " ".join(rng.choice(some, 25))
+        line, at, want = f" {text} ", 0, 0
+        while at < len(line):
+            fit = [p for p in weights if line.startswith(p, at)]
+            best = max(fit, key=len) if fit else " "
+            want += bool(fit) and weights[best] > 0
+            at = line.find(" ", at + max(1, len(best) - 1))     # a closing space opens the next word
+            at = len(line) if at < 0 else at
+        assert toxicity.density(text, toxicity.Lexicon(weights).automaton())[1] == want, (weights, text)
+
+
 def test_toxicity_odd_rows(more, labels, odd, none):
     lexicon = toxicity.learn(more, labels)
     got = toxicity.score(odd, lexicon).collect()
