@@ -41,17 +41,21 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each group; of rows repeated
-    with id and text one stays."""
+    """Keeps one row of each group of near-equal texts: that with the smallest doc_id,
+    of several the smallest hash of its text.  Rows are told apart by a number of
+    their own, so a doc_id on several texts keeps those that are alone."""
     _small_batches(spark)
-    found = simhash_dedup.simhash_components(docs, shingle=4, radius=4)
-    gone = stage(found.filter("doc_id <> component_id").select("doc_id").distinct(), "pipeline-gone")
-    again = stage(docs.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-                  .filter("n > 1").select("doc_id"), "pipeline-again")
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    once = left.join(again, "doc_id", "left_anti").select(*docs.columns)
-    more = left.join(again, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"])
-    return once.unionByName(more)
+    rows = stage(docs.select(F.struct("*").alias("row"), simhash_dedup.fingerprint_of(docs["text"]).alias("fp"),
+                             F.monotonically_increasing_id().alias("id")), "pipeline-rows")
+    keyed = rows.filter("row.doc_id IS NOT NULL")
+    root = simhash_dedup.groups(keyed.select("row.doc_id", "fp")).select("fp", "root")
+    order = F.struct(F.col("row.doc_id").alias("doc_id"), F.xxhash64("row.text").alias("text"), "id")
+    first = stage(keyed.groupBy("fp").agg(F.min(order).alias("first")).join(root, "fp"), "pipeline-first")
+    least = first.groupBy("root").agg(F.min("first").alias("least"))
+    stays = stage(first.select("fp", "root").join(least, "root")
+                  .select("fp", F.col("least.id").alias("stays")), "pipeline-stays")
+    gone = stage(keyed.select("fp", "id").join(stays, "fp").filter("id <> stays").select("id"), "pipeline-gone")
+    return rows.join(gone, "id", "left_anti").select("row.*")
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlens.llm.common import Forest, half_ball, stage, tile_pairs
@@ -93,6 +93,15 @@ def simhash_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     Repeated rows stay repeated.  An empty table gives an empty table.
     """
     fps = stage(fingerprints(docs, key, text, shingle, seed), "simhash")
+    final = groups(fps, key, radius, capacity).select("fp", "component_id")
+    return fps.join(final, "fp", "left").select(
+        key, "fp", F.when(F.col(key).isNotNull(), F.col("component_id")).alias("component_id"))
+
+
+def groups(fps: DataFrame, key: str = "doc_id", radius: int = 4, capacity: int = 8192) -> DataFrame:
+    """(fp, root, component_id) of every fingerprint of the rows of ``fps`` (key, fp) that
+    have a key: the fingerprints of a group share ``root``, their smallest; the
+    smallest key of two groups may be the same."""
     reps = stage(fps.filter(F.col(key).isNotNull()).groupBy("fp").agg(F.min(key).alias("rep")), "simhash-reps")
     # cast keeps the low half unsigned: bit_count of the masked long
     cells = reps.select("fp", F.bit_count(F.shiftrightunsigned("fp", 32)).alias("hi"),
@@ -102,8 +111,17 @@ def simhash_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     roots = components(links, "simhash-links")
     named = stage(roots.join(reps, roots["node"] == reps["fp"]).select("root", "fp", "rep"), "simhash-named")
     least = stage(named.groupBy("root").agg(F.min("rep").alias("least")), "simhash-least")
-    grouped = named.join(least, "root").select("fp", "least")
-    final = stage(reps.join(grouped, "fp", "left").select("fp", F.coalesce("least", "rep").alias("component_id")),
-                  "simhash-final")
-    return fps.join(final, "fp", "left").select(
-        key, "fp", F.when(F.col(key).isNotNull(), F.col("component_id")).alias("component_id"))
+    grouped = named.join(least, "root").select("fp", "root", "least")
+    return stage(reps.join(grouped, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"),
+                                                         F.coalesce("least", "rep").alias("component_id")),
+                 "simhash-final")
+
+
+def fingerprint_of(text: Column, shingle: int = 4, seed: int = 42) -> Column:
+    """Fingerprint of a text beside all other columns of its row; null counts as empty."""
+    def each(batches: Iterator["pd.Series"]) -> Iterator["pd.Series"]:  # noqa: F821
+        import pandas as pd
+        for texts in batches:
+            yield pd.Series([simhash(t or b"", shingle, seed) for t in texts], dtype="int64")
+
+    return F.pandas_udf(each, "long", F.PandasUDFType.SCALAR_ITER)(text.cast("binary"))

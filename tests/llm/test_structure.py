@@ -157,6 +157,21 @@ def test_near_duplicate_stage_keeps_one_of_each_group(spark):
     assert sorted(str(r.doc_id) for r in got) == ["1", "9", "None"]
 
 
+def test_near_duplicate_stage_decides_by_row(spark):
+    """One id on several texts: only the near copy goes; near copies under one id go too."""
+    text, other = " ".join(f"w{i}" for i in range(300)), " ".join(f"x{i}" for i in range(300))
+    rows = [(1, text), (7, text.replace("w7 ", "w8 ")), (7, "a clean text"), (7, "one more clean text here"),
+            (5, other), (5, other.replace("x9 ", "x8 ")), (5, other + " end"), (None, "of no id"), (2, "a clean text")]
+    docs = spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate(rows)], "doc_id long, text string, id int")
+    got = corpus_pipeline.near_duplicates(spark, docs.repartition(3), "")
+    assert got.columns == docs.columns
+    left = [(r.doc_id, r.text) for r in got.collect()]
+    assert sorted((str(k), t) for k, t in left if k != 5) == sorted(
+        [("1", text), ("7", "one more clean text here"), ("2", "a clean text"), ("None", "of no id")])
+    assert [k for k, _ in left].count(5) == 1
+    assert corpus_pipeline.near_duplicates(spark, docs.limit(0), "").count() == 0
+
+
 def test_registered():
     names = [k for k in E.queries() if k.startswith("op") or k == "pipeline"]
     assert len(names) == 11
