@@ -80,28 +80,45 @@ def likeness(a: Tree, b: Tree) -> float:
 GAP = (2, 1, 1)
 
 
+def _ends(a: list[Tree], b: list[Tree]) -> tuple[int, int]:
+    """Number of equal branches at the start and, of the others, at the end."""
+    most, head = min(len(a), len(b)), 0
+    while head < most and a[head].hash == b[head].hash:
+        head += 1
+    tail = 0
+    while tail < most - head and a[-1 - tail].hash == b[-1 - tail].hash:
+        tail += 1
+    return head, tail
+
+
 def differences(a: Tree, b: Tree, at: int = 0, depth: int = 0) -> list[tuple[int, int]]:
-    """Spans (start, end) of ``a`` whose branches differ from ``b`` at the same place,
-    adjoining spans merged; a change past the end of ``a`` is an empty span there."""
+    """Spans (start, end) of ``a`` whose branches differ from ``b``, adjoining spans
+    merged; branches that only ``b`` has are an empty span after the one before them.
+
+    Equal branches at the start and at the end are set aside, those between are
+    compared in order."""
     if a.hash == b.hash:
         return []
     if a.children is None or b.children is None:
         return [(at, at + a.size)]
     out: list[tuple[int, int]] = []
-    for k, child in enumerate(a.children):
-        if k < len(b.children):
-            found = differences(child, b.children[k], at, depth + 1)
+
+    def add(s: int, e: int) -> None:
+        if out and s - out[-1][1] <= GAP[depth]:
+            out[-1] = (out[-1][0], max(e, out[-1][1]))
         else:
-            found = [(at, at + child.size)]
-        for s, e in found:
-            if out and s - out[-1][1] <= GAP[depth]:
-                out[-1] = (out[-1][0], e)
-            else:
-                out.append((s, e))
+            out.append((s, e))
+
+    head, tail = _ends(a.children, b.children)
+    mine, other = a.children[head:len(a.children) - tail], b.children[head:len(b.children) - tail]
+    at += sum(c.size + GAP[depth] for c in a.children[:head])
+    for k, child in enumerate(mine):
+        for s, e in differences(child, other[k], at, depth + 1) if k < len(other) else [(at, at + child.size)]:
+            add(s, e)
         at += child.size + GAP[depth]
-    if len(b.children) > len(a.children) and not out:
-        end = at - GAP[depth]
-        out.append((end, end))
+    if len(other) > len(mine):
+        end = at - GAP[depth] if head or mine else at
+        add(end, end)
     return out
 
 

@@ -94,6 +94,21 @@ def test_differences_locate_the_edit():
     assert 0 < merkle.likeness(merkle.tree(a), merkle.tree(b)) < 1
 
 
+def test_differences_hold_added_and_shifted_branches():
+    def spans(a, b):
+        return merkle.differences(merkle.tree(a), merkle.tree(b))
+
+    a = "first line\nsecond line\nthird line"
+    assert spans(a, "FIRST line\nsecond line\nthird line\nadded") == [(0, 10), (len(a), len(a))]
+    assert spans(a, a + "\nadded") == [(len(a), len(a))]
+    assert spans(a, "added\n" + a) == [(0, 0)]
+    assert spans(a, "first line\nadded\nsecond line\nthird line") == [(10, 10)]
+    assert spans(a, "second line\nthird line") == [(0, 10)]
+    assert spans(a, "first line\nsecond line\nTHIRD line\nadded") == [(23, len(a))]
+    two = "one\n\ntwo"
+    assert spans(two, "zero\n\none\n\ntwo") == [(0, 0)] and spans(two, "ONE\n\ntwo\n\nthree") == [(0, 3), (8, 8)]
+
+
 def fill(sizes, limit=3):
     """Shares by weight, filled up in rounds."""
     names = sorted((s for s in sizes if s is not None)) + ([None] if None in sizes else [])
