@@ -37,22 +37,28 @@ def learn(docs: DataFrame, train: Column, text: str = "text", lang: str = "lang"
           per_text: int = 4000, size: int = 8192) -> list[tuple[str, bytes]]:
     """Dictionaries (language, content), most frequent language first.
 
-    Learned from a bounded sample: at most ``per_lang`` training texts of each
-    language (smallest hashes) and ``per_text`` characters of each; the content is
-    the distinct words, the frequent ones last, in at most ``size`` bytes.
+    Learned from a bounded sample: at most ``per_lang`` distinct training texts of
+    each language (smallest hashes) and ``per_text`` characters of each, from a place
+    given by its hash; the content is the distinct words, the frequent ones last, in
+    at most ``size`` bytes.
     """
     rows = docs.filter(train & F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
         F.col(lang).alias("lang"), F.col(text).alias("text"))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    found = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("h").alias("d")).collect()
+    counts = {r["lang"]: r["n"] for r in found}
     if not counts:
         return []
-    # a hash threshold first, so that no window holds a whole language
+    # a hash threshold first, so that no window holds a whole language; copies count once
     share = F.lit(0.0)
-    for name, n in counts.items():
-        share = F.when(F.col("lang") == name, F.lit(min(1.0, 2.0 * per_lang / n))).otherwise(share)
-    unit = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
+    for r in found:
+        share = F.when(F.col("lang") == r["lang"], F.lit(min(1.0, 2.0 * per_lang / r["d"]))).otherwise(share)
+    unit = F.pmod("h", F.lit(1 << 30)) / float(1 << 30)
+    room = F.greatest(F.char_length("text") - F.lit(per_text - 1), F.lit(1))
+    start = (F.pmod(F.xxhash64("h"), room) + 1).cast("int")
     few = (rows.withColumn("u", unit).filter(F.col("u") <= share)
-           .select("lang", "u", F.substring("text", 1, per_text).alias("text")))
+           .select("lang", "h", "u", F.substring("text", start, F.lit(per_text)).alias("text"))
+           .groupBy("lang", "h", "u").agg(F.min("text").alias("text")))
     pick = few.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("u", "text"))).filter(
         F.col("r") <= per_lang).select("lang", "text").collect()
     seen: dict[str, Counter] = {name: Counter() for name in counts}

@@ -139,6 +139,19 @@ def test_language_odd_rows(more, odd, none):
     assert {r.lang_pred for r in language_id.identify(odd, []).collect()} == {"und"}
 
 
+def test_language_sample_is_of_distinct_texts_and_whole_texts(spark):
+    def word(i):
+        return "".join(chr(97 + i // 26 ** k % 26) for k in range(3))
+
+    copies = [(i, "copied text", "xx") for i in range(2000)]
+    apart = [(5000 + i, f"own {word(i)}", "xx") for i in range(30)]
+    long_ = [(6000 + i, "begin " * 1000 + f"q{word(i)} " * 1000, "yy") for i in range(40)]
+    docs = spark.createDataFrame(copies + apart + long_, "doc_id long, text string, lang string")
+    known = dict(language_id.learn(docs, F.lit(True), per_lang=50))
+    assert {word(i) for i in range(30)} | {"copied", "text", "own"} == set(known["xx"].decode().split())
+    assert any(w.startswith("q") for w in known["yy"].decode().split())
+
+
 def test_equal_sizes_are_rejected():
     assert language_id.sizes("", (("en", b" the "),)) == []
     same = (("en", b" the and "), ("de", b" the and "))
