@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from revlens.llm import (chat, ctw, embedding_dedup, language_id, merkle, mixing, packing, simhash_dedup,
-                         token_counts, toxicity)
+                         token_counts, token_ids, toxicity)
 from revlens.llm.common import fold
 
 
@@ -81,6 +81,11 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_token_ids(spark: SparkSession, sf_dir: str,
+                   tokenizer: str = public_tokenizers.path("byte_bpe_50k.json")) -> DataFrame:
+    return token_ids.token_id_table(_table(spark, sf_dir, "documents"), tokenizer, end_id=2)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -88,7 +93,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_embedding_near_dedup, op2_best_fit_packing, op3_ctw_scoring, op4_language_id, op5_simhash_near_dedup,
-    op6_toxicity, op7_token_counts, op8_chat_formatting, op9_document_fingerprints, op10_source_mixing, pipeline)}
+    op6_toxicity, op7_token_counts, op8_chat_formatting, op9_document_fingerprints, op10_source_mixing, op11_token_ids, pipeline)}
 
 SQL = {
     "op1_embedding_near_dedup": """
