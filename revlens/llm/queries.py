@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from revlens.llm import (chat, ctw, embedding_dedup, language_id, merkle, mixing, packing, simhash_dedup,
-                         token_counts, token_ids, toxicity)
+                         token_counts, token_ids, toxicity, whitening)
 from revlens.llm.common import fold
 
 
@@ -86,6 +86,10 @@ def op11_token_ids(spark: SparkSession, sf_dir: str,
     return token_ids.token_id_table(_table(spark, sf_dir, "documents"), tokenizer, end_id=2)
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"), components=4, scale=256)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -93,7 +97,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_embedding_near_dedup, op2_best_fit_packing, op3_ctw_scoring, op4_language_id, op5_simhash_near_dedup,
-    op6_toxicity, op7_token_counts, op8_chat_formatting, op9_document_fingerprints, op10_source_mixing, op11_token_ids, pipeline)}
+    op6_toxicity, op7_token_counts, op8_chat_formatting, op9_document_fingerprints, op10_source_mixing, op11_token_ids,
+    op13_embedding_whitening, pipeline)}
 
 SQL = {
     "op1_embedding_near_dedup": """
