@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from revlens.llm import (chat, ctw, embedding_dedup, language_id, merkle, mixing, packing, simhash_dedup,
-                         token_counts, token_ids, toxicity, whitening)
+from revlens.llm import (chat, ctw, embedding_dedup, language_id, lexical_search, merkle, mixing, packing,
+                         simhash_dedup, token_counts, token_ids, toxicity, whitening)
 from revlens.llm.common import fold
 
 
@@ -86,6 +86,10 @@ def op11_token_ids(spark: SparkSession, sf_dir: str,
     return token_ids.token_id_table(_table(spark, sf_dir, "documents"), tokenizer, end_id=2)
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10)
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(_table(spark, sf_dir, "embeddings"), components=4, scale=256)
 
@@ -98,7 +102,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_embedding_near_dedup, op2_best_fit_packing, op3_ctw_scoring, op4_language_id, op5_simhash_near_dedup,
     op6_toxicity, op7_token_counts, op8_chat_formatting, op9_document_fingerprints, op10_source_mixing, op11_token_ids,
-    op13_embedding_whitening, pipeline)}
+    op12_lexical_search, op13_embedding_whitening, pipeline)}
 
 SQL = {
     "op1_embedding_near_dedup": """
@@ -131,6 +135,34 @@ SELECT conv_id, CAST(count(*) AS INTEGER) AS n_turns,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   CAST(sum(length(line)) AS BIGINT) AS formatted_chars
 FROM w GROUP BY conv_id""",
+    "op12_lexical_search": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents
+), g AS (
+  SELECT count(*)::BIGINT AS n, sum(len(t))::BIGINT AS l FROM d WHERE len(t) > 0
+), q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), tf AS (
+  SELECT r, doc_id, len, term, count(*)::BIGINT AS tf
+  FROM (SELECT r, doc_id, len(t) AS len, unnest(t) AS term FROM d) WHERE term IN (SELECT term FROM q)
+  GROUP BY r, doc_id, len, term
+), w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * g.n + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tf, g GROUP BY term, g.n
+), s AS (
+  SELECT q.item_id, tf.doc_id, tf.r, sum(w.w * ((1000000000 * tf.tf) //
+    (1000 * tf.tf + 8 * (10 + (90 * tf.len * g.n) // g.l))))::BIGINT AS score
+  FROM q JOIN tf USING (term) JOIN w USING (term), g GROUP BY q.item_id, tf.doc_id, tf.r
+), o AS (
+  SELECT item_id, doc_id, score,
+    row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+  FROM s WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM o WHERE rank <= 10""",
     "op10_source_mixing": r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
