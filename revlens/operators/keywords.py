@@ -125,6 +125,25 @@ def class_totals(reviews: DataFrame, hierarchy: Sequence[str], level_names: Sequ
                .where(F.col("level").isNotNull()).drop("_gid"))
 
 
+COUNTS = ["review_count", "pos_count", "neg_count", "token_review_count"]
+
+
+def class_sums(reviews: DataFrame, hierarchy: Sequence[str], label: str = "label",
+               tokens: str = "tokens") -> DataFrame:
+    """``COUNTS`` at the finest level only: the mergeable form of ``class_totals``."""
+    return reviews.groupBy(*hierarchy).agg(
+        F.count(F.lit(1)).alias("review_count"), F.count_if(F.col(label) == 1).alias("pos_count"),
+        F.count_if(F.col(label) == 0).alias("neg_count"),
+        F.count_if(F.coalesce(F.size(tokens), F.lit(0)) > 0).alias("token_review_count"))
+
+
+def totals_of_sums(sums: DataFrame, hierarchy: Sequence[str], level_names: Sequence[str]) -> DataFrame:
+    """``class_totals`` from the (merged or not merged) rows of ``class_sums``."""
+    out = sums.rollup(*hierarchy).agg(*[F.sum(c).alias(c) for c in COUNTS], F.grouping_id().alias("_gid"))
+    return (out.withColumn("level", _level_of(F.col("_gid"), len(hierarchy), level_names))
+               .where(F.col("level").isNotNull()).select("level", *hierarchy, *COUNTS))
+
+
 def sentiment_counts(reviews: DataFrame, hierarchy: Sequence[str] = ("category", "product_id"),
                      levels: Sequence[str] = ("global", "category", "product"),
                      label: str = "label", tokens: str = "tokens") -> DataFrame:
@@ -151,29 +170,49 @@ def _times_idf(rolled: DataFrame, hierarchy: Sequence[str], top: str, n_docs: Co
             .withColumn("neg_sum", F.col("neg_sum") * F.col("_idf")).drop("_part", "_idf"))
 
 
+def word_sums(contrib: DataFrame, hierarchy: Sequence[str]) -> DataFrame:
+    """Partial sums per (hierarchy..., word): class sums of weights, class and total document
+    counts.  Combined map-side, one exchange on (keys, word).  Sums of several inputs
+    add up (``merge_sums``), so they can be kept as a table and never recomputed."""
+    label = F.col("label")
+    return (contrib.groupBy(*hierarchy, "word")
+                   .agg(F.sum(F.when(label == 1, F.col("w"))).alias("pos_sum"),
+                        F.sum(F.when(label == 0, F.col("w"))).alias("neg_sum"),
+                        F.sum(F.when(label == 1, F.col("d"))).alias("pos_n"),
+                        F.sum(F.when(label == 0, F.col("d"))).alias("neg_n"),
+                        F.sum("d").alias("any_n")))
+
+
+def merge_sums(sums: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Partial sums of several inputs added per key; every other column is a sum."""
+    rest = [c for c in sums.columns if c not in keys]
+    return sums.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in rest])
+
+
 def score_keywords(contrib: DataFrame, totals: DataFrame, hierarchy: Sequence[str],
                    levels: Sequence[tuple[str, int]] = DEFAULT_LEVELS, top_n: int = P.KEYWORD_TOP_N,
                    rank_digits: int = 9, ranking: str = "one_pass",
                    n_docs: Column | None = None, split: int = 64, salts: int = 8) -> DataFrame:
+    """Keyword lists from contributions (hierarchy..., label, word, w, d); see ``score_sums``."""
+    return score_sums(word_sums(contrib, list(hierarchy)), totals, hierarchy, levels, top_n, rank_digits, ranking,
+                      n_docs, split, salts)
+
+
+def score_sums(fine: DataFrame, totals: DataFrame, hierarchy: Sequence[str],
+                   levels: Sequence[tuple[str, int]] = DEFAULT_LEVELS, top_n: int = P.KEYWORD_TOP_N,
+                   rank_digits: int = 9, ranking: str = "one_pass",
+                   n_docs: Column | None = None, split: int = 64, salts: int = 8) -> DataFrame:
     """Keyword lists for every requested level, long format.
 
-    ``contrib``: (hierarchy..., label, word, w, d); ``totals``: output of
-    ``class_totals``.  ``levels`` lists (name, min_doc_freq) for prefixes of
+    ``fine``: output of ``word_sums``; ``totals``: output of ``class_totals``.  ``levels`` lists (name, min_doc_freq) for prefixes of
     ``hierarchy`` of length 0, 1, ...; a ``None`` threshold skips that level.
     Ranking uses the score rounded to ``rank_digits`` so that float summation
     order cannot reorder ties.  With ``n_docs`` (number of reviews) the weight
     sums are multiplied by the word's ln(n_docs / document frequency), where
-    ``contrib`` marks presence in all reviews; ``split`` is the number of hash
+    ``any_n`` counts all reviews with the word; ``split`` is the number of hash
     buckets of the first ranking stage."""
     hierarchy = list(hierarchy)
     names = [n for n, _ in levels]
-    # finest-level pre-aggregate: combined map-side, one exchange on (keys, word)
-    fine = (contrib.groupBy(*hierarchy, "word")
-                   .agg(F.sum(F.when(F.col("label") == 1, F.col("w"))).alias("pos_sum"),
-                        F.sum(F.when(F.col("label") == 0, F.col("w"))).alias("neg_sum"),
-                        F.sum(F.when(F.col("label") == 1, F.col("d"))).alias("pos_n"),
-                        F.sum(F.when(F.col("label") == 0, F.col("d"))).alias("neg_n"),
-                        F.sum("d").alias("any_n")))
     # roll the small table up to the coarser levels (word always kept)
     rolled = (fine.rollup("word", *hierarchy)
                   .agg(F.sum("pos_sum").alias("pos_sum"), F.sum("neg_sum").alias("neg_sum"),
@@ -331,10 +370,16 @@ def ranked_counts(counts: DataFrame, part: Sequence[str], top_n: int, key: str =
 def group_word_frequency(reviews: DataFrame, groups: Mapping[str, Sequence[str]] = P.GROUP_KEYWORDS,
                          top_n: int = P.GROUP_WORD_TOP_N, tokens: str = "tokens") -> DataFrame:
     """Word counts over all reviews matching each keyword group; top-n per group."""
+    return ranked_counts(group_word_sums(reviews, groups, tokens), ["group"], top_n).select("group", "rank", "word", "cnt")
+
+
+def group_word_sums(reviews: DataFrame, groups: Mapping[str, Sequence[str]] = P.GROUP_KEYWORDS,
+                    tokens: str = "tokens") -> DataFrame:
+    """(group, word, cnt): word counts over the reviews matching each keyword group; they add up
+    over inputs (``merge_sums``)."""
     r = reviews.select(F.explode(keyword_groups(tokens, groups)).alias("group"), tokens)
-    counts = r.select("group", F.explode(tokens).alias("word")).groupBy("group", "word") \
+    return r.select("group", F.explode(tokens).alias("word")).groupBy("group", "word") \
         .agg(F.count(F.lit(1)).alias("cnt"))
-    return ranked_counts(counts, ["group"], top_n).select("group", "rank", "word", "cnt")
 
 
 def top_words_by_label(reviews: DataFrame, top_n: int = P.LABEL_WORD_TOP_N, label: str = "label",

@@ -123,3 +123,90 @@ def test_products_without_id_are_in_no_table(spark):
     assert {(r[0], r[1]) for r in t["product_review"].collect()} == {("p1", 2), ("n4", 1)}
     assert [(r["score"], r["cnt"]) for r in t["score_distribution"].collect()] == [(5, 3)]
     assert t["category_product"].first()["product_cnt"] == 2
+
+
+def _same_names_fixture():
+    """Two folders with a file of one name each."""
+    d = tempfile.mkdtemp(prefix="run-raw-", dir="/tmp")
+    for folder, tag in (("a", "x"), ("b", "y")):
+        os.makedirs(os.path.join(d, folder))
+        reviews = [_review(i, 5, f"좋아요 {tag}{i}", nick=f"{tag}{i}") for i in range(4)]
+        with open(os.path.join(d, folder, "result_x.json"), "w", encoding="utf-8") as f:
+            json.dump({"search_name": "x", "data": [_product("1", "토너 " + tag, reviews)]}, f, ensure_ascii=False)
+    return d
+
+
+def test_files_of_one_name_stay_apart(spark):
+    out = tempfile.mkdtemp(prefix="run-out-", dir="/tmp")
+    paths = J.run_preprocessing(spark, _same_names_fixture(), out, min_reviews=3, w2v_dim=4)
+    detail = spark.read.parquet(paths["reviews_detail"])
+    assert detail.count() == 8 and detail.select("review_key").distinct().count() == 8
+    assert spark.read.parquet(paths["products"]).count() == 2
+    assert spark.read.parquet(paths["product_vectors"]).count() == 2
+
+
+def test_file_counters_in_the_statistics_document(spark):
+    raw, out = _write_fixture(), tempfile.mkdtemp(prefix="run-out-", dir="/tmp")
+    open(os.path.join(raw, "result_empty.json"), "w").close()
+    paths = J.run_preprocessing(spark, raw, out, min_reviews=5, w2v_dim=4)
+    counters = spark.read.parquet(paths["file_counters"])
+    assert counters.first().asDict() == {"n_files": 3, "file_read_error": 2, "products_read": 3}
+    J.run_basic_stats(spark, spark.read.parquet(paths["products"]), out + "/eda", file_counters=counters)
+    meta = json.loads(spark.read.json(out + "/eda/summary").first()["meta"])
+    assert meta["n_files"] == 3 and meta["file_read_error"] == 2 and meta["total_products_seen"] > 0
+
+
+def _category_files(names, folder):
+    """Files of products of their own; words and scores differ from file to file."""
+    os.makedirs(folder, exist_ok=True)
+    words = ["좋아요", "촉촉", "별로", "지성", "건성", "당김"]
+    for k, name in names.items():
+        prods = []
+        for p in range(3):
+            texts = [" ".join(words[(i * (k + 2) + j * (p + 1)) % 6] for j in range(1 + (i + k) % 4)) for i in range(30)]
+            prods.append(_product(str(10 * k + p), f"토너 {name} {p}",
+                                  [_review(i, 1 + (i * 7 + k + p) % 5, t, nick=f"{name}{p}{i}") for i, t in enumerate(texts)]))
+        with open(os.path.join(folder, f"result_{name}.json"), "w", encoding="utf-8") as f:
+            json.dump({"search_name": name, "data": prods}, f, ensure_ascii=False)
+
+
+def _rows(df, drop=()):
+    def flat(v):
+        return round(v, 9) if isinstance(v, float) else str(v)
+    cols = [c for c in sorted(df.columns) if c not in drop]
+    return sorted(tuple(flat(r[c]) for c in cols) for r in df.collect())
+
+
+def _files(path):
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(path) for f in names}
+
+
+def test_incremental_run_equals_one_run_over_all(spark):
+    raw, out = tempfile.mkdtemp(prefix="run-raw-", dir="/tmp"), tempfile.mkdtemp(prefix="run-out-", dir="/tmp")
+    _category_files({0: "토너", 1: "크림"}, raw + "/first")
+    first = J.run_incremental(spark, raw, out, min_reviews=5, w2v_dim=4)
+    before = {n: _files(f"{first[n]}/run=1") for n in ("reviews_detail", "word_sums", "products")}
+    assert all(before.values())
+    again = J.run_incremental(spark, raw, out, min_reviews=5, w2v_dim=4)                # nothing new
+    assert again == first and _files(out) == _files(out) and spark.read.parquet(out + "/manifest").count() == 2
+    # a run that failed before its manifest: its partition is replaced
+    spark.range(5).selectExpr("'x' category", "'y' product_id", "'junk' word", "1d pos_sum", "1d neg_sum", "1L pos_n",
+                              "1L neg_n", "1L any_n", "2 run").write.mode("append").partitionBy("run").parquet(first["word_sums"])
+    _category_files({2: "팩", 3: "로션"}, raw + "/second/deep")
+    with open(os.path.join(raw, "result_bad.json"), "w") as f:
+        f.write("{oops")
+    paths = J.run_incremental(spark, raw, out, min_reviews=5, w2v_dim=4)
+    assert {n: _files(f"{first[n]}/run=1") for n in before} == before                   # earlier files untouched
+    assert {r["run"] for r in spark.read.parquet(out + "/manifest").collect()} == {1, 2}
+    whole = J.run_preprocessing(spark, raw, tempfile.mkdtemp(prefix="run-out-", dir="/tmp"), min_reviews=5, w2v_dim=4)
+    for name in ("keywords", "sentiment_counts", "group_word_frequency"):
+        got, want = spark.read.parquet(paths[name]), spark.read.parquet(whole[name])
+        assert set(got.columns) == set(want.columns)
+        assert _rows(got) == _rows(want) and got.count() > 0, name
+    for name in ("reviews_detail", "products"):
+        got, want = spark.read.parquet(paths[name]).drop("run"), spark.read.parquet(whole[name])
+        assert _rows(got, ("word2vec", "bert")) == _rows(want, ("word2vec", "bert")), name
+    vectors = spark.read.parquet(paths["reviews_detail"]).where("size(tokens) > 0 AND word2vec IS NULL")
+    assert vectors.count() == 0
+    counters = spark.read.parquet(paths["file_counters"]).agg(F.sum("n_files"), F.sum("file_read_error")).first()
+    assert tuple(counters) == (5, 1)
