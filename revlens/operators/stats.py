@@ -23,13 +23,20 @@ from ..functions.parse import bin_label, safe_int
 
 
 # ----------------------------------------------------------------- quantiles
+#: Ranges into which the values of a table without keys are cut to rank them.
+RANGES = 64
+
+
 def _hist(df: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
     """Per-key value histogram with cumulative positions, total and mean.
 
     The histogram is a distributed, map-side-combined aggregate; the windows
-    then run over distinct values per key (bounded by the value domain)."""
+    then run over distinct values per key (bounded by the value domain), and
+    without keys per range of values."""
     v = F.col(value).cast("double")
     hist = df.where(v.isNotNull()).groupBy(*keys, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    if not keys:
+        return _ranked_ranges(hist)
     w_all = Window.partitionBy(*keys)
     w_ord = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     return (hist.withColumn("_n", F.sum("_c").over(w_all))
@@ -38,6 +45,28 @@ def _hist(df: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
                 .withColumn("_start", F.col("_cum") - F.col("_c")))
 
 
+def _ranked_ranges(hist: DataFrame, ranges: int = RANGES) -> DataFrame:
+    """Cumulative positions of a whole table's histogram without one task that sees it all.
+
+    Cut points (a quantile sketch of the distinct values) deal the values to ranges;
+    the counts per range, ``ranges`` numbers, give each range its first position,
+    and inside a range a window adds up.  The cut points only decide how the work is
+    dealt, so the positions are exact."""
+    probs = [i / ranges for i in range(1, ranges)]
+    whole = hist.agg(F.struct(F.array_distinct(F.percentile_approx("_v", probs, 1000)).alias("cuts"),
+                              F.sum("_c").alias("n"), F.sum(F.col("_c") * F.col("_v")).alias("total"))).scalar()
+    ranged = hist.withColumn("_w", whole) \
+        .withColumn("_r", F.coalesce(F.size(F.filter("_w.cuts", lambda c: c < F.col("_v"))), F.lit(0)))
+    counts = ranged.groupBy("_r").agg(F.sum("_c").alias("_c")) \
+        .agg(F.collect_list(F.struct("_r", "_c"))).scalar()                     # at most ``ranges`` entries
+    before = F.aggregate(F.filter(F.col("_counts"), lambda e: e["_r"] < F.col("_r")), F.lit(0).cast("bigint"),
+                         lambda total, e: total + e["_c"])
+    w_ord = Window.partitionBy("_r").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    return (ranged.withColumn("_counts", counts).withColumn("_cum", before + F.sum("_c").over(w_ord))
+                  .select("_v", "_c", F.col("_w.n").alias("_n"), (F.col("_w.total") / F.col("_w.n")).alias("_mean"),
+                          "_cum", (F.col("_cum") - F.col("_c")).alias("_start")))
+
+
 def _quantile_aggs(probs: Sequence[float], names: Sequence[str]) -> list[Column]:
     """Linear interpolation between the order statistics around p*(n-1)."""
     out = []
@@ -71,8 +100,9 @@ def describe(df: DataFrame, value: str, probs: Sequence[float] = (0.5, 0.75, 0.9
     """count, mean, std (sample, two-pass), min, quantiles, max — pandas
     ``describe`` — in one aggregate over the per-key value histogram.
 
-    The histogram is bounded by the number of distinct values (counts,
-    lengths).  For a continuous measure with mostly distinct values use
+    Without keys the distinct values are ranked by ranges, so any measure is exact at any
+    size.  With keys one task ranks the distinct values of a key (counts,
+    lengths); for a continuous measure with mostly distinct values use
     ``exact=False``: mergeable quantile sketches (``percentile_approx``),
     combined map-side, so no task ever sees more than its own rows."""
     keys = list(keys)

@@ -66,23 +66,66 @@ def dedupe_within_watermark(stream: DataFrame, key: Sequence[str], ts: str,
     return _event_time(stream, ts).withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(key))
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def first_of_keys(stream: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """T-2: the first row of every key of a stream, for good.
+
+    Keyed state holds one mark per key without expiry (RocksDB state store: on disk, saved
+    as changes), so a batch costs what it holds and not what came before.  The kept row
+    is that of the first batch with the key, in it the smallest by ``order`` (nulls
+    first), which should be a total order.  Null keys are a key like any other."""
+    import pandas as pd
+    from pyspark.sql.streaming.stateful_processor import StatefulProcessor
+
+    columns, order = stream.columns, list(order)
+
+    class First(StatefulProcessor):
+        def init(self, handle) -> None:
+            self.seen = handle.getValueState("seen", "seen boolean")
+
+        def handleInputRows(self, key, rows, timerValues):
+            if self.seen.exists():
+                return
+            best = None
+            for part in rows:                        # one chunk of a hot key at a time
+                part = part if best is None else pd.concat([best, part])
+                best = part.sort_values(order, kind="stable", na_position="first").head(1)
+            self.seen.update((True,))
+            yield best[columns]
+
+        def close(self) -> None:
+            pass
+
+    return stream.groupBy(*key).transformWithStateInPandas(
+        statefulProcessor=First(), outputStructType=stream.schema, outputMode="Append", timeMode="None")
+
+
 def run_new_rows(spark: SparkSession, source_dir: str, schema: T.StructType, key: Sequence[str],
-                 sink_path: str, name: str, source_format: str = "parquet") -> None:
-    """T-2: resume.  Rows whose key is in no earlier batch of the sink, one of each
-    key, however long ago that batch was written; nothing is forgotten."""
+                 sink_path: str, name: str, source_format: str = "parquet", order: Sequence[str] = ()) -> None:
+    """T-2: resume.  Rows whose key no earlier batch had, one of each key (see ``first_of_keys``;
+    ``order`` defaults to all columns), however long ago that batch was.  Keys are kept as
+    state under the shared checkpoint folder and earlier batches are not read; a batch
+    that is replayed after a failure starts from the state before it and replaces its folder."""
     ck = f"{checkpoint_dir(spark)}/streams/{name}"
     stream = spark.readStream.schema(schema).format(source_format).load(source_dir)
+    first = first_of_keys(stream, list(key), list(order) or schema.names)
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        fresh = batch.dropDuplicates(list(key))
-        if epoch_id > 0:                               # earlier batches only: a replay sees the same
-            earlier = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).option("basePath", sink_path).parquet(
-                *[f"{sink_path}/batch={i}" for i in range(epoch_id)])
-            fresh = new_inputs(fresh, earlier.select(*key), list(key))
-        fresh.write.mode("overwrite").parquet(f"{sink_path}/batch={epoch_id}")
-
-    q = (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", ck)
-         .trigger(availableNow=True).start())
+        batch.write.mode("overwrite").parquet(f"{sink_path}/batch={epoch_id}")
+
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, ROCKSDB)                 # read when the query starts
+    try:
+        q = (first.writeStream.foreachBatch(write_batch).option("checkpointLocation", ck)
+             .trigger(availableNow=True).start())
+    finally:
+        if before is None:
+            spark.conf.unset(setting)
+        else:
+            spark.conf.set(setting, before)
     q.awaitTermination()
 
 

@@ -182,3 +182,27 @@ def test_describe_sketch_path(spark):
     b = S.describe(df, "v", exact=False).first()
     assert a["count"] == b["count"] == 1000 and a["mean"] == pytest.approx(b["mean"])
     assert abs(a["p50"] - b["p50"]) <= 1.0 and abs(a["p99"] - b["p99"]) <= 1.0
+
+
+def test_order_statistics_by_ranges_equal_numpy(spark):
+    """Exact at any number of distinct values; no window over the whole table."""
+    import numpy as np
+    rng = np.random.default_rng(3)
+    probs = [0.01, 0.25, 0.5, 0.9, 0.999]
+    for values in (rng.standard_normal(5000), rng.integers(0, 7, 900).astype(float), np.array([4.0]),
+                   np.concatenate([np.zeros(4000), rng.exponential(size=1000)])):
+        df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double").repartition(5)
+        r = S.describe(df, "v", probs).first()
+        assert r["count"] == len(values) and r["mean"] == pytest.approx(values.mean())
+        assert [r[c] for c in r.asDict() if c.startswith("p")] == pytest.approx(np.quantile(values, probs).tolist())
+        if len(values) > 1:
+            assert r["std"] == pytest.approx(values.std(ddof=1))
+    empty = spark.createDataFrame([], "v double")
+    r = S.describe(empty, "v").first()
+    assert (r["count"] or 0) == 0 and r["p50"] is None
+    plan = S.describe(spark.range(1000), "id")._jdf.queryExecution().executedPlan().toString()
+    # the only exchange to a single partition is that of the partial results
+    main = plan.split("Subqueries")[0] if "Subqueries" in plan else plan
+    assert "Window" in main
+    at = main.index("Window")
+    assert "SinglePartition" not in main[at:].split("Subquery")[0]
