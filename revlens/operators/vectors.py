@@ -97,6 +97,66 @@ def representative(vectors: DataFrame, key: str, id_col: str, vec: str = "vector
                      F.col("b.s").alias("representative_similarity")))
 
 
+# ----------------------------------------------------------------- M4 sentence vectors
+def word_weights(reviews: DataFrame, tokens: str = "tokens", a: float = 1e-3) -> DataFrame:
+    """(word, weight): a / (a + share of the word among all tokens); frequent words weigh little."""
+    counts = reviews.select(F.explode(tokens).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("_c"))
+    total = counts.agg(F.sum("_c").cast("double")).scalar()
+    return counts.select("word", (F.lit(a) / (F.lit(a) + F.col("_c") / total)).alias("weight"))
+
+
+def weighted_vectors(reviews: DataFrame, vocab: DataFrame, weights: DataFrame, id_col: str = "review_id",
+                     tokens: str = "tokens", dim: int = P.W2V_DIM) -> DataFrame:
+    """(id, vector): sum of weight times vector of a review's known tokens, over their number;
+    zeros where none is known."""
+    known = vocab.join(weights, "word").select(
+        "word", F.transform("vector", lambda x: x.cast("double") * F.col("weight")).alias("vector"))
+    return review_vectors(reviews, known, id_col, tokens, dim)
+
+
+def common_direction(vectors: DataFrame, dim: int, vec: str = "vector") -> np.ndarray:
+    """Unit direction in which the vectors have their largest sum of squares (not centred).
+
+    The Gram matrix is added up in the tasks, dim x dim numbers each, and summed by
+    Spark; only the sum reaches the driver.  Its sign is that of its largest entry;
+    zeros if all vectors are zero."""
+    import pyarrow as pa
+
+    def gram(batches):
+        g = np.zeros((dim, dim))
+        for b in batches:
+            x = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+            g += x.T @ x
+        yield pa.RecordBatch.from_pydict({"i": np.arange(dim, dtype=np.int32), "row": list(g)},
+                                         schema=pa.schema([("i", pa.int32()), ("row", pa.list_(pa.float64()))]))
+
+    rows = vectors.select(F.col(vec).cast("array<double>").alias("v")).where(F.col("v").isNotNull())
+    parts = rows.mapInArrow(gram, "i int, row array<double>")
+    total = parts.groupBy("i").agg(Summarizer.sum(array_to_vector("row")).alias("s")).collect()     # dim rows
+    g = np.zeros((dim, dim))
+    for r in total:
+        g[r["i"]] = r["s"].toArray()
+    values, axes = np.linalg.eigh((g + g.T) / 2)
+    u = axes[:, -1]
+    if values[-1] <= 0:
+        return np.zeros(dim)
+    return u * np.sign(u[np.argmax(np.abs(u))])
+
+
+def sentence_vectors(reviews: DataFrame, vocab: DataFrame, id_col: str = "review_id", tokens: str = "tokens",
+                     dim: int = P.W2V_DIM, a: float = 1e-3) -> DataFrame:
+    """M4 without a bundled model: frequency-weighted mean of word vectors less the direction that
+    all texts share.  A text without known words has zeros.
+
+    ``reviews`` is read for the word shares, the direction and the vectors; stage it if it
+    is costly."""
+    v = weighted_vectors(reviews, vocab, word_weights(reviews, tokens, a), id_col, tokens, dim)
+    u = F.array(*[F.lit(float(x)) for x in common_direction(v, dim)])
+    part = F.aggregate(F.zip_with("vector", u, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    return (v.withColumn("_along", part)
+            .select(id_col, F.zip_with("vector", u, lambda x, y: x - F.col("_along") * y).alias("vector")))
+
+
 # ----------------------------------------------------------------- M4 embedding plug-in
 def hash_embedding_model(dim: int = 64) -> Callable[[], Callable[[np.ndarray], np.ndarray]]:
     """A deterministic stand-in sentence encoder: all tokens of the text hashed

@@ -414,6 +414,55 @@ def q_scan_nested_documents(spark, d):
     return finish(pa.select("*", *[ra.select(c).scalar().alias(c) for c in ra.columns]))
 
 
+def q_scan_document_files(spark, d):
+    """The line items written as one search document per category, read back by
+    ranges of products and taken through the job's steps: typed, de-duplicated, filtered, labelled."""
+    import uuid
+    from ..functions.parse import lenient_int
+    from ..operators import clean as C
+    from ..session import checkpoint_dir
+    from ..sources.documents import read_product_ranges, write_documents
+    li = B.table(spark, d, "lineitem").withColumn("category_file", F.concat("l_returnflag", "l_linestatus")) \
+        .withColumn("part", F.col("l_partkey"))
+    order = Window.partitionBy("category_file", "part").orderBy(*B.LINEITEM_ORDER)
+    reviews = li.select(
+        "category_file", "part", (F.row_number().over(order) - 1).alias("review_pos"),
+        F.col("l_orderkey").cast("string").alias("id"), F.ceil(F.col("l_quantity") / 10).cast("string").alias("score"),
+        F.date_format("l_shipdate", "yyyy.M.d.").alias("date"), F.col("l_suppkey").cast("string").alias("nickname"),
+        (F.col("l_returnflag") == "R").alias("has_image"), F.col("l_linestatus").alias("content"),
+        F.concat("l_linestatus", F.lit(" "), F.col("l_linenumber")).alias("full_text"))
+    products = li.groupBy("category_file", "part").agg(F.count(F.lit(1)).cast("string").alias("total_reviews")).select(
+        "category_file", "part", F.col("part").cast("string").alias("product_id"), F.lit("b").alias("brand"),
+        F.lit("x > y").alias("category_path"), F.concat(F.lit("p "), F.col("part")).alias("product_name"), "total_reviews")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/documents/{uuid.uuid4().hex}"
+    write_documents(products, reviews, path, ["product_id", "brand", "category_path", "product_name", "total_reviews"],
+                    ["id", "score", "date", "nickname", "has_image", "content", "full_text"], ["category_file", "part"])
+    nested = read_product_ranges(spark, path)
+    place = ["source_path", "product_pos"]
+    declared = nested.withColumn("total_reviews", F.col("product.product_info.total_reviews"))
+    typed = C.prepare_reviews(C.flatten_reviews(declared, [*place, "category_file", "total_reviews"]), place)
+    kept = typed.where(lenient_int("total_reviews") >= 5)
+    return finish(kept.groupBy(F.col("category_file").alias("category")).agg(
+        F.count_distinct(*place).alias("products"), F.count(F.lit(1)).alias("reviews"), F.avg("score_int").alias("mean_score"),
+        F.count_if(F.col("label") == 1).alias("pos_cnt"), F.count_if(F.col("label") == 0).alias("neg_cnt"),
+        F.min("date_parsed").alias("first_date"), F.count_if("has_image").alias("image_cnt")))
+
+
+def q_keywords_merged_sums(spark, d):
+    """T-1/K8: keyword lists from partial sums of two inputs (labelled good, the rest), merged."""
+    r = B.reviews_text(spark, d)
+    keys, levels = ["category", "product_id"], [n for n, _ in K.DEFAULT_LEVELS]
+    parts = [r.where(F.col("label") == 1), r.where((F.col("label") != 1) | F.col("label").isNull())]
+    words = K.merge_sums(_union(K.word_sums(K.token_contributions(p, keys), keys) for p in parts), [*keys, "word"])
+    totals = K.totals_of_sums(_union(K.class_sums(p, keys) for p in parts), keys, levels)
+    return finish(K.score_sums(words, totals, keys))
+
+
+def _union(parts):
+    from functools import reduce
+    return reduce(DataFrame.unionByName, parts)
+
+
 def q_scan_parquet_count(spark, d):
     from functools import reduce
     from ..sources.readers import read_table
@@ -712,19 +761,55 @@ def q_word2vec_review_vectors(spark, d):
     return finish(rv.select("review_id", F.size("vector").alias("dim"), norm("vector").alias("norm")))
 
 
-def q_review_vectors(spark, d):
-    """J10/A26/M2/M3 with a given vocabulary: the digest of a word picks its vector among
-    the embeddings, about one word in eleven has none."""
-    from ..operators.vectors import review_vectors
-    r = B.reviews_text(spark, d).where(F.col("label").isNotNull())
+def _digest_vocabulary(spark, d, r):
+    """The digest of a word picks its vector among the embeddings, about one word in eleven has none."""
     emb = _embeddings(spark, d)
     n = emb.agg(F.count(F.lit(1)) + F.floor(F.count(F.lit(1)) / 10)).scalar()
     pick = F.conv(F.substring(F.md5("word"), 1, 8), 16, 10).cast("bigint") % n
     words = r.select(F.explode("tokens").alias("word")).distinct().select("word", pick.alias("vec_id"))
-    rv = review_vectors(r, words.join(emb, "vec_id").select("word", "vector"), dim=EMBEDDING_DIM)
+    return words.join(emb, "vec_id").select("word", "vector")
+
+
+def q_review_vectors(spark, d):
+    """J10/A26/M2/M3 with a given vocabulary (``_digest_vocabulary``)."""
+    from ..operators.vectors import review_vectors
+    r = B.reviews_text(spark, d).where(F.col("label").isNotNull())
+    rv = review_vectors(r, _digest_vocabulary(spark, d, r), dim=EMBEDDING_DIM)
+    return finish(rv.select("review_id", F.posexplode("vector").alias("dim", "value")))
+
+
+def q_sentence_vectors_weighted(spark, d):
+    """M4: the frequency-weighted mean; its common direction is checked against numpy in the tests."""
+    from ..operators.vectors import weighted_vectors, word_weights
+    r = B.reviews_text(spark, d).where(F.col("label").isNotNull())
+    rv = weighted_vectors(r, _digest_vocabulary(spark, d, r), word_weights(r), dim=EMBEDDING_DIM)
     return finish(rv.select("review_id", F.posexplode("vector").alias("dim", "value")))
 
 
+def q_keyword_volume_lag(spark, d):
+    """Section 2.15: monthly share of returned items against the number of reviews 0 to 3 months later, by brand."""
+    from ..operators.relations import lagged_keyword_volume
+    rv = B.reviews_scored(spark, d).join(B.products(spark, d).select("product_id", "brand"), "product_id")
+    return finish(lagged_keyword_volume(rv, F.col("has_image"), "date", ["brand"]))
+
+
+def q_image_effect(spark, d):
+    """Section 2.15: helpful counts of reviews with and without image, within score and brand."""
+    from ..operators.relations import effect_moments, stratified_effect
+    rv = B.reviews_scored(spark, d).join(B.products(spark, d).select("product_id", "brand"), "product_id")
+    moments = effect_moments(rv, "has_image", "helpful_count", ["brand", "score"])
+    return finish(stratified_effect(moments, ["brand", "score"], ["brand"]))
+
+
+def q_bucket_quantiles(spark, d):
+    """A12 across runs: quantiles of line prices from the merged buckets of two inputs."""
+    from ..operators.sketches import bucket_quantiles, merge_buckets, value_buckets
+    rv = B.reviews_scored(spark, d)
+    parts = [rv.where("has_image"), rv.where("NOT has_image")]
+    merged = merge_buckets(_union(value_buckets(p, "l_extendedprice", ["score"]) for p in parts), ["score"])
+    return finish(bucket_quantiles(merged, (0.25, 0.5, 0.9, 0.99), ["score"]), 4)
+
+
 def q_embed_batch(spark, d):
     from ..functions.vector import norm
     from ..operators.vectors import embed, hash_embedding_model
@@ -843,4 +928,10 @@ QUERIES = {
     "top_products_mean_score": q_top_products_mean_score,
     "daily_review_counts": q_daily_review_counts,
     "negative_rate_alert": q_negative_rate_alert,
+    "scan_document_files": q_scan_document_files,
+    "keywords_merged_sums": q_keywords_merged_sums,
+    "sentence_vectors_weighted": q_sentence_vectors_weighted,
+    "keyword_volume_lag": q_keyword_volume_lag,
+    "image_effect": q_image_effect,
+    "bucket_quantiles": q_bucket_quantiles,
 }

@@ -743,3 +743,66 @@ SELECT l_returnflag AS category, count(*) AS products, CAST(sum(floor(l_extended
        (SELECT reviews FROM r) AS reviews, (SELECT mean_score FROM r) AS mean_score,
        (SELECT first_date FROM r) AS first_date
 FROM lineitem GROUP BY l_returnflag"""
+
+SQL["keywords_merged_sums"] = SQL["sentiment_keywords_all_levels"]
+
+SQL["scan_document_files"] = """WITH x AS (
+  SELECT *, l_returnflag || l_linestatus AS category, CAST(ceil(l_quantity / 10) AS INTEGER) AS score FROM lineitem),
+p AS (SELECT category, l_partkey FROM x GROUP BY ALL HAVING count(*) >= 5),
+o AS (SELECT x.*, row_number() OVER (PARTITION BY category, l_partkey, CAST(l_shipdate AS DATE), l_suppkey, l_linenumber
+        ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
+                 l_returnflag, l_linestatus, l_shipdate) AS place
+      FROM x JOIN p USING (category, l_partkey))
+SELECT category, count(DISTINCT l_partkey) AS products, count(*) AS reviews, round(avg(score), 6) AS mean_score,
+       count(*) FILTER (score >= 4) AS pos_cnt, count(*) FILTER (score <= 2) AS neg_cnt,
+       min(CAST(l_shipdate AS DATE)) AS first_date, count(*) FILTER (l_returnflag = 'R') AS image_cnt
+FROM o WHERE place = 1 GROUP BY category"""
+
+SQL["sentence_vectors_weighted"] = f"""WITH {RT},
+l AS (SELECT * FROM rt WHERE label IS NOT NULL),
+o AS (SELECT review_id, unnest(tokens) AS word FROM l),
+w AS (SELECT word, 0.001::DOUBLE / (0.001::DOUBLE + count(*) / (SELECT count(*) FROM o)::DOUBLE) AS weight
+      FROM o GROUP BY word),
+m AS (SELECT count(*) + count(*) // 10 AS m FROM embeddings),
+c AS (SELECT review_id, CAST('0x' || substr(md5(word), 1, 8) AS BIGINT) % (SELECT m FROM m) AS vec_id, count(*) AS n,
+             sum(weight) AS weight
+      FROM o JOIN w USING (word) GROUP BY ALL),
+e AS (SELECT vec_id, unnest(generate_series(0, len(embedding) - 1)) AS dim, CAST(unnest(embedding) AS DOUBLE) AS v
+      FROM embeddings),
+a AS (SELECT review_id, dim, sum(weight * v) / sum(n) AS value FROM c JOIN e USING (vec_id) GROUP BY ALL),
+g AS (SELECT review_id, unnest(range(64)) AS dim FROM l)
+SELECT g.review_id, CAST(g.dim AS BIGINT) AS dim, round(coalesce(a.value, 0.0), 6) AS value
+FROM g LEFT JOIN a ON a.review_id = g.review_id AND a.dim = g.dim"""
+
+SQL["keyword_volume_lag"] = f"""WITH {RV},
+b AS (SELECT p_brand AS brand, date_trunc('month', date) AS month, count(*) AS n, count(*) FILTER (has_image) AS hits
+      FROM rv JOIN part ON p_partkey = product_id WHERE date IS NOT NULL GROUP BY ALL),
+s AS (SELECT brand, unnest(generate_series(min(month), max(month), INTERVAL 1 MONTH)) AS month FROM b GROUP BY brand),
+f AS (SELECT s.brand, CAST(s.month AS DATE) AS month, coalesce(n, 0) AS n, coalesce(hits, 0) AS hits
+      FROM s LEFT JOIN b ON b.brand = s.brand AND CAST(b.month AS DATE) = CAST(s.month AS DATE)),
+l AS (SELECT brand, lag, CASE WHEN n > 0 THEN hits / n END AS share,
+             lead(n, CAST(lag AS INTEGER)) OVER (PARTITION BY brand, lag ORDER BY month) AS later
+      FROM f, (SELECT unnest(range(4)) AS lag))
+SELECT brand, lag, count(*) AS months, round(CASE WHEN min(share) <> max(share) AND min(later) <> max(later)
+       THEN corr(share, later) END, 6) AS r
+FROM l WHERE share IS NOT NULL AND later IS NOT NULL GROUP BY brand, lag"""
+
+SQL["image_effect"] = f"""WITH {RV},
+s AS (SELECT p_brand AS brand, score, count(*) FILTER (has_image) AS n1, count(*) FILTER (NOT has_image) AS n0,
+             avg(helpful_count) FILTER (has_image) - avg(helpful_count) FILTER (NOT has_image) AS d,
+             var_samp(helpful_count) FILTER (has_image) AS v1, var_samp(helpful_count) FILTER (NOT has_image) AS v0
+      FROM rv JOIN part ON p_partkey = product_id WHERE helpful_count IS NOT NULL GROUP BY ALL),
+w AS (SELECT *, n1 * n0 / (n1 + n0) AS w FROM s WHERE n1 >= 2 AND n0 >= 2)
+SELECT brand, count(*) AS strata, CAST(sum(n1) AS BIGINT) AS n_treated, CAST(sum(n0) AS BIGINT) AS n_other,
+       round(sum(w * d) / sum(w), 6) AS effect, round(sqrt(sum(w * w * (v1 / n1 + v0 / n0))) / sum(w), 6) AS std_error
+FROM w GROUP BY brand"""
+
+SQL["bucket_quantiles"] = f"""WITH {RV},
+g AS (SELECT ln(1.01::DOUBLE / 0.99::DOUBLE) AS width, 1.01::DOUBLE / 0.99::DOUBLE AS gamma),
+b AS (SELECT score, CAST(ceil(ln(l_extendedprice) / width - 1e-9) AS INTEGER) AS bucket, count(*) AS cnt
+      FROM rv, g GROUP BY ALL),
+r AS (SELECT *, sum(cnt) OVER (PARTITION BY score ORDER BY bucket) AS upto, sum(cnt) OVER (PARTITION BY score) AS n FROM b),
+v AS (SELECT r.*, pow(gamma, bucket) * 2 / (gamma + 1) AS v FROM r, g)
+SELECT score, CAST(max(n) AS BIGINT) AS count,
+""" + ",\n".join(f"  round(max(CASE WHEN upto > floor({p} * (n - 1)) AND upto - cnt <= floor({p} * (n - 1)) THEN v END), 4) AS p{int(p * 100)}"
+                for p in (0.25, 0.5, 0.9, 0.99)) + "\nFROM v GROUP BY score"
