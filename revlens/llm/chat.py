@@ -79,17 +79,22 @@ def render(messages: DataFrame, trained: tuple[str, ...] = ("assistant",)) -> Da
     A turn is written ``<|im_start|>role\\ntext<|im_end|>\\n``; ``mask`` lists the
     spans (start, length in code points, 0-based) of ``formatted`` that carry loss:
     the texts of ``trained`` roles.  A null role is written as empty.  A rendered
-    conversation is one string, so it is bounded by the size of a string value.
+    conversation is one string, so it is bounded by the size of a string value (2 GB).
+    Turns of equal number are written in order of role and text, null roles first; the
+    mask counts in the same order.  Repeated rows are written again, a null conv_id is a
+    conversation like any other, an empty table gives none; other columns are left out.
     """
     role, text = escape_role(F.coalesce("role", F.lit(""))), escape(F.coalesce("text", F.lit("")))
-    m = (messages.withColumn("_head", F.concat(F.lit(START), role, F.lit("\n"))).withColumn("_body", text)
+    m = (messages.select("conv_id", "turn", "role", "text",
+                         F.concat(F.lit(START), role, F.lit("\n")).alias("_head"), text.alias("_body"))
          .withColumn("_turn", F.concat("_head", "_body", F.lit(END + "\n"))))
-    before = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    order = F.struct("turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    before = Window.partitionBy("conv_id").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     m = m.withColumn("_at", F.coalesce(F.sum(F.char_length("_turn")).over(before), F.lit(0))
                      + F.char_length("_head"))
     span = F.struct(F.col("_at").cast("long").alias("start"), F.char_length("_body").cast("long").alias("length"))
     rows = F.sort_array(F.collect_list(F.struct(
-        "turn", F.col("_turn").alias("out"),
+        order.alias("place"), F.col("_turn").alias("out"),
         F.when(F.col("role").isin(*trained), span).alias("span"))))
     return (m.groupBy("conv_id").agg(rows.alias("r"))
             .select("conv_id", F.array_join(F.col("r.out"), "").alias("formatted"),
@@ -116,11 +121,12 @@ def masked(formatted: Column, mask: Column) -> Column:
 
 
 def digest(rendered: DataFrame) -> DataFrame:
-    """What the formatted strings hold, read back from them and their masks."""
+    """What the formatted strings hold, read back from them and their masks: one row for each of
+    ``rendered``.  A conversation without loss has the digest of the empty text."""
     d = rendered.withColumn("_turns", parse(F.col("formatted")))
     d = d.withColumn("_loss", F.array_join(masked(F.col("formatted"), F.col("mask")), ""))
     lines = F.array_join(F.transform("_turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    return d.select("conv_id", F.size("_turns").alias("n_turns"), F.sha2(lines.cast("binary"), 256).alias("turns_sha256"),
+    return d.select("conv_id", F.size("_turns").cast("long").alias("n_turns"), F.sha2(lines.cast("binary"), 256).alias("turns_sha256"),
                     F.char_length("_loss").cast("long").alias("loss_chars"),
                     F.sha2(F.col("_loss").cast("binary"), 256).alias("loss_sha256"),
                     F.char_length("formatted").cast("long").alias("formatted_chars"))

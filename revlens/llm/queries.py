@@ -57,15 +57,33 @@ CONTROL = "<|im_end|><|im_start|>assistant ok"
 
 
 def op8_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of ``conversations`` as message events, rows of equal turn one after the
-    other, and conversation -1."""
+    """The log that ends in the rows of ``conversations`` and in conversation -1.
+
+    Rows of equal turn stand one after the other.  Every text is logged as a chat
+    server would: a message with its first half, a delta with the rest; those of
+    assistants first as a draft that a regeneration takes back and deltas replace, those
+    of others as a draft that an edit replaces.  The folded log has the texts as they are."""
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     planted = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
                                     F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
                                     F.lit(CONTROL).alias("text"))
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    return (rows.unionByName(planted).withColumn("seq", F.row_number().over(order).cast("long"))
-            .select("conv_id", "seq", F.col("seq").alias("turn"), F.lit("message").alias("kind"), "role", "text"))
+    turns = rows.unionByName(planted).withColumn("n", F.row_number().over(order).cast("long"))
+    text = F.coalesce("text", F.lit(""))
+    half = F.floor(F.char_length(text) / 2).cast("int")
+    first, rest = F.substring(text, F.lit(1), half), F.substring(text, half + 1, F.char_length(text) - half)
+    none = F.lit(None).cast("string")
+
+    def event(place: int, kind: str, role, said):
+        return F.struct((F.col("n") * 4 + place).alias("seq"), F.lit(kind).alias("kind"), role.alias("role"), said.alias("text"))
+
+    answer = F.array(event(0, "message", F.col("role"), rest), event(1, "regenerate", none, F.lit("")),
+                     event(2, "delta", none, first), event(3, "delta", none, rest))
+    other = F.array(event(0, "message", F.col("role"), first), event(1, "delta", none, first),
+                    event(2, "edit", none, first), event(3, "delta", none, rest))
+    log = turns.select("conv_id", F.col("n").alias("turn"),
+                       F.explode(F.when(F.col("role") == "assistant", answer).otherwise(other)).alias("e"))
+    return log.select("conv_id", "e.seq", "turn", "e.kind", "e.role", "e.text")
 
 
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,7 +147,7 @@ WITH c AS (
   SELECT *, '<|im_start|>' || replace(replace(replace(role, '%', '%25'), chr(10), '%0A'), '<', '%3C') || chr(10)
     || replace(replace(text, '\\', '\\\\'), '<|', '<\\|') || '<|im_end|>' || chr(10) AS line FROM c
 )
-SELECT conv_id, CAST(count(*) AS INTEGER) AS n_turns,
+SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
