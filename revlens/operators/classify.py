@@ -50,22 +50,39 @@ def _any_contains(text: Column, kws: Sequence[str]) -> Column:
     return cond if cond is not None else F.lit(False)
 
 
-def review_keyword_counts(reviews: DataFrame, key: str, text: str = "full_text",
-                          groups: Mapping[str, Sequence[str]] = P.GROUP_KEYWORDS,
-                          tokens: str | None = None) -> DataFrame:
-    """(key, group, cnt) — non-overlapping substring counts of every
-    keyword of the group (overlapping keywords count twice, as in the rule),
-    or token-equality counts when ``tokens`` is given."""
-    t = F.coalesce(F.col(text), F.lit(""))
-    per_group = []
+def _is(word: str):
+    return lambda x: x == F.lit(word)           # one argument: a second one would be the place
+
+
+def keyword_hits(text: str | None = "full_text", groups: Mapping[str, Sequence[str]] = P.GROUP_KEYWORDS,
+                 tokens: str | None = None, content: str | None = None) -> dict[str, Column]:
+    """Keyword occurrences of one review for every group.
+
+    With ``tokens`` a review that has some is counted by equal tokens; any other (and
+    every review without ``tokens``) by non-overlapping substrings of ``text``, or of
+    ``content`` where the text is null or empty.  Overlapping keywords count twice."""
+    t = F.col(text) if text else F.lit("")
+    if content is not None:
+        t = F.when(F.coalesce(t, F.lit("")) == "", F.col(content)).otherwise(t)
+    t = F.coalesce(t, F.lit(""))
+    out = {}
     for g, kws in groups.items():
+        hits = sum((F.regexp_count(t, F.lit(_quote(k))) for k in kws), F.lit(0))
         if tokens is not None:
-            cnt = sum((F.size(F.filter(F.col(tokens), lambda x, k=k: x == k)) for k in kws), F.lit(0))
-        else:
-            cnt = sum((F.regexp_count(t, F.lit(_quote(k))) for k in kws), F.lit(0))
-        per_group.append(F.struct(F.lit(g).alias("group"), cnt.cast("bigint").alias("cnt")))
-    ex = reviews.select(key, F.explode(F.array(*per_group)).alias("e")).select(key, "e.group", "e.cnt")
-    return ex.groupBy(key, "group").agg(F.sum("cnt").cast("bigint").alias("cnt"))
+            equal = sum((F.size(F.filter(F.col(tokens), _is(k))) for k in kws), F.lit(0))
+            hits = F.when(F.coalesce(F.size(tokens), F.lit(0)) > 0, equal).otherwise(hits)
+        out[g] = hits.cast("bigint")
+    return out
+
+
+def review_keyword_counts(reviews: DataFrame, key: str, text: str | None = "full_text",
+                          groups: Mapping[str, Sequence[str]] = P.GROUP_KEYWORDS,
+                          tokens: str | None = None, content: str | None = None) -> DataFrame:
+    """(key, group, cnt) — ``keyword_hits`` summed over the reviews of a key."""
+    hits = keyword_hits(text, groups, tokens, content)
+    wide = reviews.groupBy(key).agg(*[F.sum(c).alias(f"_g{i}") for i, c in enumerate(hits.values())])
+    pairs = F.array(*[F.struct(F.lit(g).alias("group"), F.col(f"_g{i}").alias("cnt")) for i, g in enumerate(hits)])
+    return wide.select(key, F.explode(pairs).alias("e")).select(key, "e.group", "e.cnt")
 
 
 def pick_from_counts(counts: DataFrame, key: str, prefix: str = P.MIXED_PREFIX,
@@ -85,13 +102,19 @@ def classify_products(products: DataFrame, reviews: DataFrame, key: str = "produ
                       name: str = "product_name", text: str = "full_text",
                       groups: Mapping[str, Sequence[str]] = P.GROUP_KEYWORDS, tokens: str | None = None,
                       prefix: str = P.MIXED_PREFIX, suffix: str = P.MIXED_SUFFIX,
-                      unclassified: str = P.UNCLASSIFIED) -> DataFrame:
+                      unclassified: str = P.UNCLASSIFIED, content: str | None = None) -> DataFrame:
     """name rule first, review-count rule second (``skin_type`` column).
-    Only the reviews of products that their name leaves open are counted."""
-    unnamed = products.where(name_rule(name, groups, prefix, suffix).isNull()).select(key).distinct()
-    counts = review_keyword_counts(reviews.join(unnamed, key, "left_semi"), key, text, groups, tokens)
-    picked = pick_from_counts(counts, key, prefix, suffix, unclassified)
-    out = products.join(picked, key, "left")
-    return out.withColumn("skin_type", F.coalesce(name_rule(name, groups, prefix, suffix),
-                                                  F.col("review_rule"), F.lit(unclassified))) \
-        .drop("review_rule")
+
+    Reviews are read once and summed to one row per key, a number for each group; the
+    winner is an expression over that row, and the name rule is evaluated once per
+    product."""
+    hits = keyword_hits(text, groups, tokens, content)
+    names = [f"_g{i}" for i in range(len(hits))]
+    sums = reviews.groupBy(key).agg(*[F.sum(c).alias(n) for n, c in zip(names, hits.values())])
+    top = F.greatest(*names) if len(names) > 1 else F.col(names[0])
+    winners = F.filter(F.array(*[F.when(F.col(n) == top, F.lit(g)) for n, g in zip(names, hits)]),
+                       lambda x: x.isNotNull())
+    by_reviews = (F.when(F.coalesce(top, F.lit(0)) <= 0, F.lit(unclassified))
+                   .when(F.size(winners) == 1, winners[0]).otherwise(mixed_label(winners, prefix, suffix)))
+    out = products.join(sums, key, "left")
+    return out.withColumn("skin_type", F.coalesce(name_rule(name, groups, prefix, suffix), by_reviews)).drop(*names)

@@ -84,15 +84,24 @@ def split_by_text(reviews: DataFrame, flag: Column | None = None) -> tuple[DataF
 
 
 # ----------------------------------------------------------------- W1 / W2
+def key_digest(key: Sequence[str]) -> Column:
+    """16 bytes for the values of ``key``: equal values (nulls too) give equal bytes."""
+    parts = [F.coalesce(F.concat(F.octet_length(F.col(k).cast("string")).cast("string"), F.lit(":"),
+                                 F.col(k).cast("string")), F.lit("-")) for k in key]
+    return F.unhex(F.md5(F.concat(*parts)))
+
+
 def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """First row per key under a total (ascending) order; NULL keys group together.
 
     An aggregate (``min_by`` over the order struct), not a window: it is
     combined map-side, so a key with millions of copies sends one candidate
-    row per task to the shuffle instead of all its rows."""
+    row per task to the shuffle instead of all its rows.  Rows are grouped and
+    sorted by a digest of the key, so long texts in the key travel once, with
+    their row."""
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
     first = F.min_by(row, F.struct(*[F.col(o) for o in order]))
-    return df.groupBy(*key).agg(first.alias("_first")).select("_first.*")
+    return df.groupBy(key_digest(key).alias("_key")).agg(first.alias("_first")).select("_first.*")
 
 
 def dedupe_reviews(reviews: DataFrame, product: str = "product_id",

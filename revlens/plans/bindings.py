@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import is_remote
 
 from .. import params as P
 from ..functions import text as TX
@@ -32,11 +33,10 @@ def spread(df: DataFrame) -> DataFrame:
     """Round-robin the rows over the cluster only when the scan yields fewer
     splits than there are cores (e.g. a file with one row group).  On a large
     input with thousands of splits this is a no-op, so no extra shuffle."""
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()          # planning only, no job
-    except Exception:                               # e.g. no RDD access: leave the scan as is
+    if is_remote():                                 # no RDD access: leave the scan as is
         return df
+    target = df.sparkSession.sparkContext.defaultParallelism
+    splits = df.rdd.getNumPartitions()              # planning only, no job
     return df.repartition(target) if splits < target else df
 
 

@@ -364,10 +364,12 @@ def q_incremental_new_only(spark, d):
 
 
 def q_incremental_backfill(spark, d):
-    from ..streaming.incremental import backfill
+    from ..streaming.incremental import backfill, new_inputs
     pages = B.table(spark, d, "pages").select("page_id", "url", F.length("html").alias("html_len"))
     previous = pages.join(_processed_manifest(spark, d), "url", "left_semi")   # earlier run's output
-    fresh = pages.where(F.col("url").contains(".com"))                         # this run's inputs
+    # this run's inputs: everything new, and the .com pages once more
+    fresh = pages.where(F.col("url").contains(".com")).unionByName(
+        new_inputs(pages.where(~F.col("url").contains(".com")), _processed_manifest(spark, d), "url"))
     return finish(backfill(previous, fresh, "url").select("page_id", "url", "html_len", "origin"))
 
 
@@ -638,6 +640,98 @@ def q_classify_by_keywords(spark, d):
     return finish(out.select("product_id", "skin_type"))
 
 
+def q_review_group_counts(spark, d):
+    """Labelled texts are counted by tokens, Spanish ones by their content, the rest by the full text."""
+    from ..operators.classify import review_keyword_counts
+    r = B.reviews_text(spark, d, with_text=True).select(
+        "product_id", F.when(F.col("label").isNotNull(), F.col("tokens")).alias("tokens"),
+        F.when(F.col("category") != "es", F.col("text")).alias("full_text"), F.col("text").alias("content"))
+    return finish(review_keyword_counts(r, "product_id", "full_text", DOC_GROUPS, "tokens", "content"))
+
+
+def q_split_views(spark, d):
+    """The two views of a split, each counted on its own."""
+    from ..operators.clean import split_by_text
+    with_text, without = split_by_text(_text_roles(B.reviews_scored(spark, d)))
+    views = {"with_text": with_text, "without_text": without}
+    return finish(_union(v.groupBy("score").agg(F.count(F.lit(1)).alias("cnt"), F.count_if("has_text").alias("flagged"))
+                         .select(F.lit(n).alias("view"), "score", "cnt", "flagged") for n, v in views.items()))
+
+
+def _tfidf(spark, d):
+    r = B.reviews_text(spark, d)
+    return r, K.tfidf_weights(r.where(F.size("tokens") > 0))
+
+
+def q_sentiment_keywords_long_weights(spark, d):
+    """A6, long form: the weights stand in a table (review, word, weight)."""
+    r, weights = _tfidf(spark, d)
+    totals = K.class_totals(r, ["category"], ["global", "category"], tokens=None, only_with_tokens="tokens")
+    contrib = K.long_weight_contributions(weights, r, ["category"])
+    return finish(K.score_keywords(contrib, totals, ["category"], [("global", 20), ("category", 20)], P.WEIGHTED_TOP_N))
+
+
+def q_sentiment_keywords_weight_map(spark, d):
+    """A6, map form: the weights stand in a map of each review."""
+    r, weights = _tfidf(spark, d)
+    maps = weights.groupBy("review_id").agg(F.map_from_entries(F.collect_list(F.struct("word", "weight"))).alias("weights"))
+    return finish(K.sentiment_keywords_weighted(r.join(maps, "review_id", "left"), ["category"],
+                                                [("global", 20), ("category", 20)], P.WEIGHTED_TOP_N))
+
+
+def _word_analyser():
+    import re
+    words = re.compile("[a-z0-9]+")
+    return lambda text: words.findall(text.lower())
+
+
+def q_analyser_tokens(spark, d):
+    """Tokens from an analyser that the caller plugs in."""
+    from ..functions.text import analyzer_tokens
+    docs = B.table(spark, d, "documents")
+    t = docs.select("doc_id", analyzer_tokens("text", _word_analyser, P.ENGLISH_STOPWORDS,
+                                              keep=r"a-zA-Z0-9\s\x00-\x{10FFFF}").alias("t"))
+    return finish(t.select("doc_id", F.size("t").alias("token_count"), F.md5(F.array_join("t", " ")).alias("digest")))
+
+
+def q_file_names(spark, d):
+    """Category and role from file names built of language and source."""
+    from ..sources.readers import file_category
+    docs = B.table(spark, d, "documents").select(F.concat(F.lit("result_"), F.coalesce("lang", F.lit("x")), F.lit("%20"), F.coalesce(
+        "source", F.lit("y")), F.when(F.col("n_chars") > 500, "_with_text").otherwise("_without_text"), F.lit(".json")).alias("name"))
+    return finish(docs.groupBy(file_category(F.col("name")).alias("category")).agg(
+        F.count(F.lit(1)).alias("files"), F.count_if(F.col("name").contains("without_text")).alias("without_text")))
+
+
+def q_rating_map_values(spark, d):
+    """rating maps with grouped, blank and negative numbers."""
+    from ..functions.parse import coerce_rating_map
+    li = B.table(spark, d, "lineitem")
+    maps = li.select("l_returnflag", coerce_rating_map(F.create_map(
+        F.lit("5"), F.format_number(F.col("l_extendedprice").cast("bigint"), 0), F.lit("4"), F.lit(""),
+        F.lit("3"), F.concat(F.lit("-"), F.col("l_linenumber")), F.lit("x"), F.col("l_partkey").cast("string"),
+        F.lit("y"), F.lit("many"))).alias("m"))
+    return finish(maps.groupBy("l_returnflag").agg(
+        *[F.sum(F.try_element_at("m", F.lit(k))).alias(f"s{k}") for k in ("5", "4", "3", "x", "y")],
+        F.count_if(F.try_element_at("m", F.lit("y")).isNull()).alias("missing_y")))
+
+
+def q_stratified_quota_split(spark, d):
+    """W5 with the large strata cut into ranges: the rows of the plain rule."""
+    from ..operators.sampling import stratified_quota
+    q = stratified_quota(B.reviews_scored(spark, d), ["product_id", "score"], B.LINEITEM_ORDER, target=3, share=0.25,
+                         buckets=4, min_split=5)
+    return finish(q.select("product_id", "score", "seq", "l_orderkey", "l_linenumber"))
+
+
+def q_cumulative_cap_split(spark, d):
+    """W6 with the large groups cut into ranges: the rows of the plain rule."""
+    from ..operators.sampling import cumulative_cap
+    items = _review_counts(spark, d).join(B.products(spark, d).select("product_id", "category"), "product_id")
+    out = cumulative_cap(items, ["category"], ["product_id"], "review_cnt", cap=2000, buckets=4, min_split=5)
+    return finish(out.select("category", "product_id", "review_cnt", "running_before"))
+
+
 # ============================================================ pages
 def q_pages_extract(spark, d):
     from ..operators.pages import extract_fields, quality_filter
@@ -934,4 +1028,13 @@ QUERIES = {
     "keyword_volume_lag": q_keyword_volume_lag,
     "image_effect": q_image_effect,
     "bucket_quantiles": q_bucket_quantiles,
+    "review_group_counts": q_review_group_counts,
+    "split_views": q_split_views,
+    "sentiment_keywords_long_weights": q_sentiment_keywords_long_weights,
+    "sentiment_keywords_weight_map": q_sentiment_keywords_weight_map,
+    "analyser_tokens": q_analyser_tokens,
+    "file_names": q_file_names,
+    "rating_map_values": q_rating_map_values,
+    "stratified_quota_split": q_stratified_quota_split,
+    "cumulative_cap_split": q_cumulative_cap_split,
 }

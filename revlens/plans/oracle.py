@@ -415,7 +415,7 @@ WHERE url NOT IN (SELECT url FROM pages WHERE starts_with(url, 'https:'))"""
 
 SQL["incremental_backfill"] = """WITH p AS (SELECT page_id, url, length(html) AS html_len FROM pages),
 prev AS (SELECT * FROM p WHERE url IN (SELECT url FROM pages WHERE starts_with(url, 'https:'))),
-fresh AS (SELECT * FROM p WHERE contains(url, '.com'))
+fresh AS (SELECT * FROM p WHERE contains(url, '.com') OR NOT starts_with(url, 'https:'))
 SELECT page_id, url, html_len, 'backfill' AS origin FROM prev WHERE url NOT IN (SELECT url FROM fresh)
 UNION ALL
 SELECT page_id, url, html_len, 'new' FROM fresh"""
@@ -806,3 +806,39 @@ v AS (SELECT r.*, pow(gamma, bucket) * 2 / (gamma + 1) AS v FROM r, g)
 SELECT score, CAST(max(n) AS BIGINT) AS count,
 """ + ",\n".join(f"  round(max(CASE WHEN upto > floor({p} * (n - 1)) AND upto - cnt <= floor({p} * (n - 1)) THEN v END), 4) AS p{int(p * 100)}"
                 for p in (0.25, 0.5, 0.9, 0.99)) + "\nFROM v GROUP BY score"
+
+SQL["sentiment_keywords_long_weights"] = SQL["sentiment_keywords_weight_map"] = SQL["sentiment_keywords_weighted"]
+SQL["stratified_quota_split"] = SQL["stratified_quota"]
+SQL["cumulative_cap_split"] = SQL["cumulative_cap"]
+
+SQL["split_views"] = f"""WITH {RV}
+SELECT CASE WHEN l_returnflag <> 'N' THEN 'with_text' ELSE 'without_text' END AS view, CAST(score AS BIGINT) AS score,
+       count(*) AS cnt, count(*) FILTER (l_returnflag <> 'N') AS flagged FROM rv GROUP BY ALL"""
+
+
+def _group_counts_sql(groups: dict[str, list[str]]) -> str:
+    def hits(t: str, k: str) -> str:
+        return f"(length({t}) - length(replace({t}, '{k}', ''))) // {len(k)}"
+    def equal(k: str) -> str:
+        return f"len(list_filter(tokens, lambda x: x = '{k}'))"
+    parts = [f"""SELECT product_id, '{g}' AS "group", CAST(sum(CASE WHEN len(tokens) > 0 THEN {' + '.join(map(equal, ks))}
+       ELSE {' + '.join(hits('t', k) for k in ks)} END) AS BIGINT) AS cnt FROM r GROUP BY product_id"""
+             for g, ks in groups.items()]
+    return f"""WITH r AS (
+  SELECT d.source AS product_id, CASE WHEN l.quality IS NOT NULL THEN {tok('d.text')} END AS tokens, coalesce(d.text, '') AS t
+  FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id)
+""" + "\nUNION ALL ".join(parts)
+
+
+SQL["review_group_counts"] = _group_counts_sql(
+    {"g_de": ["der", "die", "und"], "g_es": ["que", "es"], "g_fr": ["la", "le", "des"], "g_x": ["ci", "tion"]})
+
+SQL["analyser_tokens"] = f"""WITH t AS (SELECT doc_id, coalesce({tok('text')}, []) AS t FROM documents)
+SELECT doc_id, len(t) AS token_count, md5(array_to_string(t, ' ')) AS digest FROM t"""
+
+SQL["file_names"] = """SELECT coalesce(lang, 'x') || ' ' || coalesce(source, 'y') AS category, count(*) AS files,
+  count(*) FILTER (NOT coalesce(n_chars > 500, false)) AS without_text FROM documents GROUP BY ALL"""
+
+SQL["rating_map_values"] = """SELECT l_returnflag, CAST(sum(CAST(floor(l_extendedprice) AS BIGINT)) AS BIGINT) AS s5,
+  0::BIGINT AS s4, 0::BIGINT AS s3, CAST(sum(l_partkey) AS BIGINT) AS sx, NULL::BIGINT AS sy, count(*) AS missing_y
+FROM lineitem GROUP BY l_returnflag"""
