@@ -16,6 +16,8 @@ import zlib
 from bisect import insort
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import compress
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,62 @@ RANK_BITS = 44
 #: The tokenizer always splits between a letter and these marks.
 TAIL = re.compile(rb"^(.*[A-Za-z])([.,;:?!%&*#$]+)$", re.S)
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+#: Words of small Latin letters (a-z and U+00DF to U+00FF): no normaliser changes them, nothing cuts them.
+PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+WORD_END = b"\x01"
+#: Words of each batch that are encoded by the library as well and compared.
+COMPARED = 32
+
+
+class PlainWords:
+    """Ids of plain words by the file's own vocabulary as merge ranks.
+
+    The file marks the last letter of a word by a suffix; here a byte that no word holds
+    follows it, and the pairs with that byte merge first.  All other tokens have the
+    order of their ids, which is that of the merges."""
+
+    def __init__(self, tokenizer):
+        import json
+
+        import tiktoken
+        from tokenizers import pre_tokenizers
+        model = json.loads(tokenizer.to_str())["model"]
+        suffix = model["end_of_word_suffix"]
+        letters = sorted(pre_tokenizers.ByteLevel.alphabet())
+        plain = [b for b in range(256) if chr(b) in letters]
+        byte_of = {chr(b): b for b in plain} | {
+            chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
+        tokens = {}
+        for token, i in model["vocab"].items():
+            whole = token.endswith(suffix) and token != suffix
+            stem = token.removesuffix(suffix) if whole else token
+            if all(c in byte_of for c in stem):
+                raw = bytes(byte_of[c] for c in stem)
+                if WORD_END not in raw or len(raw) == 1:
+                    tokens[raw + WORD_END if whole else raw] = i
+        made = {a + b for a, b in (m if isinstance(m, list) else m.split(" ") for m in model["merges"])}
+        merged = sorted((i for t, i in model["vocab"].items() if t in made))
+        if merged != [model["vocab"][t] for t in dict.fromkeys(
+                a + b for a, b in (m if isinstance(m, list) else m.split(" ") for m in model["merges"]))]:
+            raise ValueError("the ids do not have the order of the merges")
+        # letters with their end first, then single bytes, then the merges
+        rank = {t: (0 if len(t) == 2 and t.endswith(WORD_END) else 1 if len(t) == 1 else 2, i) for t, i in tokens.items()}
+        order = sorted(tokens, key=rank.__getitem__)
+        self.id = np.array([tokens[t] for t in order], np.uint32)
+        self.line = next(i for i, t in enumerate(order) if t == b"\n")
+        self.ranks = tiktoken.Encoding("words", pat_str=r"[^\n]+|\n", special_tokens={},
+                                       mergeable_ranks={t: i for i, t in enumerate(order)})
+
+    def encode(self, words: list[bytes]) -> list[bytes]:
+        """Ids of every word, 4 bytes each."""
+        end = (WORD_END + b"\n").decode()
+        ranks = self.ranks.encode_to_numpy(end.join(w.decode() for w in words) + end, disallowed_special=())
+        mark = np.flatnonzero(ranks == self.line)
+        if len(mark) != len(words):
+            raise ValueError("a word holds a line end")
+        data = self.id[ranks].astype("<u4").tobytes()
+        at = np.append(-1, mark).tolist()
+        return [data[4 * lo + 4:4 * hi] for lo, hi in zip(at, at[1:])]
 
 
 class WordIds:
@@ -46,31 +104,45 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.plain = PlainWords(self.tokenizer)
         self.known: dict[bytes, bytes] = {}
 
+    def library(self, words: list[bytes]) -> list[bytes]:
+        done = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in done]
+
     def ids(self, texts: list[bytes]) -> Iterator[bytes]:
         """Ids of every text, 4 bytes each; new words are encoded in one batch."""
         if len(self.known) > REMEMBER:
             self.known.clear()
-        known, new = self.known, set()
-        split = [(t if b"<|" in t else t.translate(LOWER)).split() for t in texts]
-        for words in split:
-            new.update(words)
+        known, new, texts_ids = self.known, set(), []
+        for t in texts:
+            words = (t if b"<|" in t else t.translate(LOWER)).split()
+            ids = list(map(known.get, words))
+            open_ = list(compress(range(len(ids)), map(not_, ids)))       # places of new words
+            missing = [words[i] for i in open_]
+            new.update(missing)
+            texts_ids.append((ids, open_, missing))
         # a word with marks after its last letter has the ids of the word and of the marks
         marked = {w: m.groups() for w in new if w not in known and (m := TAIL.match(w))}
         new.difference_update(marked)
         new.update(p for parts in marked.values() for p in parts)
-        fresh = [w for w in new if w not in known]
-        for at in range(0, len(fresh), 20_000):
-            part = fresh[at:at + 20_000]
-            done = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            for w, e in zip(part, done):
-                ids = e.ids
-                known[w] = struct.pack(f"<{len(ids)}I", *ids)
+        fresh, other = [], []
+        for w in new:
+            if w not in known:
+                (fresh if PLAIN.fullmatch(w) else other).append(w)
+        known.update(zip(fresh, self.plain.encode(fresh) if fresh else ()))
+        some = fresh[::max(1, len(fresh) // COMPARED)]
+        if [known[w] for w in some] != self.library(some):
+            raise ValueError("the ranks and the library differ")
+        for at in range(0, len(other), 20_000):
+            known.update(zip(other[at:at + 20_000], self.library(other[at:at + 20_000])))
         for w, (stem, marks) in marked.items():
             known[w] = known[stem] + known[marks]
-        for words in split:
-            yield b"".join(map(known.__getitem__, words))
+        for ids, open_, missing in texts_ids:
+            for i, w in zip(open_, missing):
+                ids[i] = known[w]
+            yield b"".join(ids)
 
 
 @lru_cache(maxsize=2)
