@@ -135,7 +135,8 @@ def build_detail(nested: DataFrame, tables: Tables, tokens: Column, min_reviews:
     place = F.struct(*PRODUCT).alias("place")
     skin = CL.classify_products(
         text_side.select(place, PA.first_truthy("product_name_clean", "product_name").alias("product_name")),
-        rv.where("has_text").select(place, F.col("full_text_norm").alias("full_text")), key="place")
+        rv.where("has_text").select(place, F.col("full_text_norm").alias("full_text"),
+                                    F.col("content_norm").alias("content")), key="place", content="content")
     kept = kept.join(skin.select("place.*", F.lit("with").alias("text_kind"), "skin_type"), TEXT_KIND, "left")
 
     # tokens + labels; written once (cuts lineage, reused by fit and keywords).  The category stands
