@@ -47,6 +47,16 @@ def _windows(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return (key << 8) | buf[DEPTH:], np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1
 
 
+#: Rows of text taken to Python objects at a time, and distinct words held by a task: bound memory.
+ROWS, HELD = 1000, 300_000
+
+
+def small(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def word_table(rows: DataFrame, classes: int) -> DataFrame:
     """(w binary, c array, a): every distinct token with its count in the training rows
     of each class and in all rows, from (t binary, cls; -1 outside training).  The
@@ -63,13 +73,13 @@ def word_table(rows: DataFrame, classes: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(words[at:at + 50_000], pa.binary()),
                                                   pa.array([cls] * len(m), pa.int32()), m], names=["w", "cls", "n"])
 
-        for b in batches:
+        for b in small(batches, ROWS):
             for t, cls in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 one = seen.setdefault(cls, Counter())
                 one.update((t or b"").translate(LOWER).split())
                 one[END_WORD] += 1
-                if len(one) > 300_000:
-                    yield from flush(cls)
+            while sum(map(len, seen.values())) > HELD:          # of all classes together
+                yield from flush(max(seen, key=lambda c: len(seen[c])))
         for cls in list(seen):
             yield from flush(cls)
 
@@ -103,7 +113,7 @@ def gram_counts(words: DataFrame, classes: int) -> DataFrame:
                 at = np.flatnonzero(c[:, cls])
                 some += [w[i] for i in at]
                 counts += c[at, cls].tolist()
-                if len(some) > 150_000:
+                if len(some) > 50_000:
                     yield flush(cls)
         for cls in range(classes):
             if held[cls][0]:
@@ -356,7 +366,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", group: str |
     below = tokens + extra * (distinct + 1)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in together(batches, 60_000):
+        for b in together(batches, 30_000):
             w = b.column(0).to_pylist()
             plain = np.fromiter((x != END_WORD for x in w), dtype=bool, count=len(w))
             bits = np.empty((len(w), classes))
@@ -385,7 +395,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", group: str |
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, bits, logs, seen = known.value
         get, end = place.get, place.get(END_WORD)
-        for b in batches:
+        for b in small(batches, ROWS):
             rid, w, n, row, own, facts = [], [], [], [], [], []
             for i, (r, t) in enumerate(zip(b.column(0).to_pylist(), b.column(2).to_pylist())):
                 got = (t or b"").translate(LOWER).split()
