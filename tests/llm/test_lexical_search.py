@@ -114,8 +114,7 @@ def test_levels_bound_the_frequency():
     u = L.bounds(made, queries)[0]
     fixed = queries.length_part(np.array(made["sizes"]))
     w = int(queries.weight[0])
+    edges = [*(L.LEVELS[1:] - 1).tolist()]
     for i in range(40):
-        top = max(int(x) for x in [*(L.LEVELS[1:] - 1), 10**12] if x >= i + 1 and not any(
-            i + 1 <= y < x for y in L.LEVELS[1:] - 1))
-        assert u[i] >= w * (10**9 * (i + 1) // (1000 * (i + 1) + fixed[i]))
-        assert u[i] <= w * (10**9 * 10 * top // (1000 * 10 * top + fixed[i])) + w
+        top = next(x for x in edges if x >= i + 1)              # the highest frequency of the level
+        assert u[i] == w * (10**9 * top // (1000 * top + fixed[i])) >= w * (10**9 * (i + 1) // (1000 * (i + 1) + fixed[i]))
