@@ -25,16 +25,17 @@ from pyspark.sql import functions as F
 from .. import params as P
 
 
-def _bucketed(df: DataFrame, group: Sequence[str], order: Sequence[str], buckets: int,
-              sizes: DataFrame, min_split: int) -> DataFrame:
-    """Add ``_b``: bucket of each row inside its group, monotone in ``order[0]``.
-    Only groups with more than ``min_split`` rows are split (cut points from
-    ``percentile_approx``); every other group is bucket 0."""
-    lead = order[0]
+def _sizes(df: DataFrame, group: Sequence[str], lead: str, buckets: int, min_split: int) -> DataFrame:
+    """(group..., _n, _cuts): size of each group and, above ``min_split`` rows, its cut points, in one aggregate."""
     probs = [i / buckets for i in range(1, buckets)]
-    big = sizes.where(F.col("_n") > min_split).select(*group)
-    cuts = (df.join(big, list(group), "left_semi")
-              .groupBy(*group).agg(F.percentile_approx(lead, probs, 1000).alias("_cuts")))
+    return (df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx(lead, probs, 1000).alias("_c"))
+              .select(*group, "_n", F.when(F.col("_n") > min_split, F.col("_c")).alias("_cuts")))
+
+
+def _bucketed(df: DataFrame, group: Sequence[str], lead: str, sizes: DataFrame) -> DataFrame:
+    """Add ``_b``: bucket of each row inside its group, monotone in ``lead``.
+    Only groups with cut points are split; every other group is bucket 0."""
+    cuts = sizes.where(F.col("_cuts").isNotNull()).select(*group, "_cuts")
     j = df.join(cuts, list(group), "left")     # one row per big group: AQE broadcasts it when small
     b = F.coalesce(F.size(F.filter(F.array_distinct("_cuts"), lambda c: c < F.col(lead))), F.lit(0))
     return j.withColumn("_b", b).drop("_cuts")
@@ -47,14 +48,15 @@ def stratified_quota(df: DataFrame, strata: Sequence[str], order: Sequence[Colum
     (``seq`` = 1-based position within the stratum, W7).  ``order`` lists
     ascending columns forming a total order."""
     strata, order = list(strata), list(order)
-    sizes = df.groupBy(*strata).agg(F.count(F.lit(1)).alias("_n"))
     quota = F.greatest(F.lit(target), F.floor(F.lit(share) * F.col("_n")).cast("bigint"))
     if buckets <= 1:
         w = Window.partitionBy(*strata).orderBy(*order)
-        return (df.join(sizes.select(*strata, quota.alias("_q")), strata)
+        counts = df.groupBy(*strata).agg(F.count(F.lit(1)).alias("_n"))
+        return (df.join(counts.select(*strata, quota.alias("_q")), strata)
                   .withColumn("seq", F.row_number().over(w))
                   .where(F.col("seq") <= F.col("_q")).drop("_q"))
-    bd = _bucketed(df, strata, order, buckets, sizes, min_split)
+    sizes = _sizes(df, strata, order[0], buckets, min_split)
+    bd = _bucketed(df, strata, order[0], sizes)
     per_b = bd.groupBy(*strata, "_b").agg(F.count(F.lit(1)).alias("_bn"))
     wb = Window.partitionBy(*strata).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offs = (per_b.withColumn("_off", F.coalesce(F.sum("_bn").over(wb), F.lit(0)))
@@ -76,8 +78,7 @@ def cumulative_cap(items: DataFrame, group: Sequence[str], order: Sequence[str],
         w = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
         before = F.coalesce(F.sum(value).over(w), F.lit(0))
         return items.withColumn("running_before", before).where(F.col("running_before") < cap)
-    sizes = items.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    bd = _bucketed(items, group, order, buckets, sizes, min_split)
+    bd = _bucketed(items, group, order[0], _sizes(items, group, order[0], buckets, min_split))
     per_b = bd.groupBy(*group, "_b").agg(F.sum(value).alias("_bs"))
     wb = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offs = (per_b.withColumn("_off", F.coalesce(F.sum("_bs").over(wb), F.lit(0)))

@@ -834,6 +834,12 @@ def q_product_centroids(spark, d):
     return finish(c.select("label", F.posexplode("vector").alias("dim", "mean")))
 
 
+def q_similar_products(spark, d):
+    from ..operators.similar import similar_products
+    from ..operators.vectors import centroids
+    return finish(similar_products(centroids(_embeddings(spark, d), "label"), "label", k=3))
+
+
 def q_representative_review(spark, d):
     from ..operators.vectors import representative
     r = representative(_embeddings(spark, d), "label", "vec_id")
@@ -1015,6 +1021,7 @@ QUERIES = {
     "classify_url": q_classify_url,
     "product_centroids": q_product_centroids,
     "representative_review": q_representative_review,
+    "similar_products": q_similar_products,
     "word2vec_vocab": q_word2vec_vocab,
     "word2vec_review_vectors": q_word2vec_review_vectors,
     "review_vectors": q_review_vectors,

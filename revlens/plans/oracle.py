@@ -696,6 +696,18 @@ sim AS (SELECT vec_id, label, CASE WHEN nv * nc <> 0 THEN dot / (nv * nc) ELSE 0
 r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY similarity DESC, vec_id) AS rn FROM sim)
 SELECT CAST(label AS BIGINT) AS label, vec_id, round(similarity, 6) AS similarity FROM r WHERE rn = 1"""
 
+SQL["similar_products"] = """WITH x AS (SELECT label, unnest(generate_series(0, len(embedding) - 1)) AS dim,
+                         CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings),
+c AS (SELECT label, dim, avg(v) AS cv FROM x GROUP BY label, dim),
+l AS (SELECT label, sqrt(sum(cv * cv)) AS len FROM c GROUP BY label),
+s AS (SELECT a.label, b.label AS neighbour, sum(a.cv * b.cv) AS dot FROM c a JOIN c b ON a.dim = b.dim AND a.label <> b.label
+      GROUP BY a.label, b.label),
+t AS (SELECT s.label, s.neighbour, dot / (p.len * q.len) AS similarity FROM s JOIN l p ON p.label = s.label
+      JOIN l q ON q.label = s.neighbour),
+r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY similarity DESC, neighbour) AS rank FROM t)
+SELECT CAST(label AS BIGINT) AS label, CAST(rank AS BIGINT) AS rank, CAST(neighbour AS BIGINT) AS neighbour,
+  round(similarity, 6) AS similarity FROM r WHERE rank <= 3"""
+
 SQL["word2vec_vocab"] = f"""WITH t AS (SELECT unnest({tok('text')}) AS word FROM documents)
 SELECT word, CAST(100 AS BIGINT) AS dim FROM t GROUP BY word HAVING count(*) >= 3"""
 
