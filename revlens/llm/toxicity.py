@@ -141,13 +141,13 @@ def _choose(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean:
 
 
 def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
-          sample: int = 4000, least: int = 3, weight: float = 3.4, vocabulary: int = 300_000,
+          sample: int = 4000, least: int = 3, weight: float = 3.4, vocabulary: int = 300_000, texts: int = 4,
           exceptions: tuple[str, ...] = ()) -> Lexicon:
     """Lexicon and calibration from labelled rows outside the held-out fold.
 
     Fitted on a bounded sample: ``sample`` toxic and twice as many clean documents
-    (smallest hashes of their ids), and the ``vocabulary`` most frequent features of
-    the toxic ones.  The lexicon comes from three quarters of it, the calibration
+    (smallest hashes of their ids), at most ``texts`` distinct texts of each id, and the
+    ``vocabulary`` most frequent features of the toxic ones.  The lexicon comes from three quarters of it, the calibration
     from the rest, weighted back to the shares of all labelled rows.  ``exceptions``
     are phrases that never count.  Null labels and null keys are left out, a key
     with several labels is toxic if any is.  Without labels of both classes the
@@ -165,6 +165,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         known.filter("y = 0").orderBy(order, "k").limit(2 * sample))
     rows = (docs.select(F.col(key).alias("k"), F.coalesce(text, F.lit("")).alias("text"))
             .join(F.broadcast(few), "k")               # at most 3 * sample ids
+            .groupBy("k", "y", F.pmod(F.xxhash64("text"), F.lit(texts)).alias("_of")).agg(F.min("text").alias("text"))
             .withColumn("part", (F.pmod(F.xxhash64("k", F.lit(11)), F.lit(4)) == 0).cast("int")))
     fit = rows.filter("part = 0")
     sizes = {r["y"]: r["n"] for r in fit.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
