@@ -25,9 +25,9 @@ BLOCK = 1024
 SHORT = 64
 #: Confidence gained per byte of margin (score is a softmax over sizes).
 PER_BYTE = 0.5
-#: Sizes of a text that fits no dictionary differ by chance, by about the root of the size: a margin of
-#: fewer than NOISE roots is narrow.
-NOISE = 0.36
+#: Sizes of a text that fits no dictionary differ by chance, by about the root of the size: where the best
+#: dictionary leaves more than FIT of the letters' bytes, a margin of fewer than NOISE roots is narrow.
+NOISE, FIT = 0.36, 0.55
 
 
 def letters(text: str) -> str:
@@ -106,7 +106,7 @@ def sizes(text: str, dictionaries: tuple[tuple[str, bytes], ...]) -> list[int]:
     return total
 
 
-def verdict(dictionaries: list[tuple[str, bytes]], min_margin: float = 0.002, noise: float = NOISE):
+def verdict(dictionaries: list[tuple[str, bytes]], min_margin: float = 0.002, noise: float = NOISE, fit: float = FIT):
     """Column function: text -> struct(lang_pred, score, margin, rejected)."""
     known = tuple(dictionaries)
 
@@ -121,7 +121,9 @@ def verdict(dictionaries: list[tuple[str, bytes]], min_margin: float = 0.002, no
             order = sorted(range(len(got)), key=lambda i: (got[i], i))
             best = got[order[0]]
             gap = (got[order[1]] - best) / best if len(order) > 1 else 1.0
-            narrow = max(min_margin, noise / math.sqrt(best))
+            narrow = min_margin
+            if gap < noise / math.sqrt(best) and best > fit * len(letters(t).encode()):
+                narrow = max(narrow, noise / math.sqrt(best))
             p = 1.0 / sum(math.exp(-PER_BYTE * (s - best)) for s in got)
             out.append((known[order[0]][0], p, gap, gap < narrow))
         return pd.DataFrame(out, columns=["lang_pred", "score", "margin", "rejected"])
@@ -130,17 +132,17 @@ def verdict(dictionaries: list[tuple[str, bytes]], min_margin: float = 0.002, no
 
 
 def identify(docs: DataFrame, dictionaries: list[tuple[str, bytes]], key: str = "doc_id", text: str = "text",
-             min_margin: float = 0.002, noise: float = NOISE) -> DataFrame:
+             min_margin: float = 0.002, noise: float = NOISE, fit: float = FIT) -> DataFrame:
     """(key, lang_pred, score, margin, rejected) per row of ``docs``.
 
     ``margin`` is the gap to the second language as a share of the smallest size;
-    below ``min_margin``, or below ``noise`` over the root of the smallest size, the
-    text is rejected.  Equal sizes go to the more frequent
+    below ``min_margin`` the text is rejected, and below ``noise`` over the root of the
+    smallest size if that is more than ``fit`` of the bytes of its letters.  Equal sizes go to the more frequent
     language.  Texts that are null or have no letter, and all texts if nothing was
     learned, are ``und`` with score 0 and rejected.  Null keys and repeated rows
     stay; an empty table gives an empty table.
     """
-    found = verdict(dictionaries, min_margin, noise)(F.col(text))
+    found = verdict(dictionaries, min_margin, noise, fit)(F.col(text))
     return docs.select(F.col(key).alias("k"), found.alias("v")).select(F.col("k").alias(key), "v.*")
 
 
