@@ -55,67 +55,126 @@ def test_tree_beats_token_counts_on_held_out_text(more):
     assert r.s > 1.02 * r.b                                     # both are negative
 
 
-def slow_tree(words_, weights, word):
+class SlowTree:
     """Context-tree weighting by its recursion, with plain dictionaries (bits)."""
-    counts = defaultdict(lambda: defaultdict(lambda: [0, 0]))
-
-    def steps(w):
-        line = b" " + w + b" "
-        for i in range(1, len(line)):
-            ctx = line[:i][::-1]
-            ctx = ctx[:ctx.index(b" ") + 1][:ctw.DEPTH]
-            q = 1
-            for k in range(7, -1, -1):
-                bit = line[i] >> k & 1
-                yield ctx, q, bit
-                q = 2 * q + bit
-    for w, n in zip(words_, weights):
-        for ctx, q, bit in steps(w):
-            for d in range(len(ctx) + 1):
-                counts[ctx[:d]][q][bit] += n
 
+    def __init__(self, texts):
+        self.counts, self.memo = defaultdict(lambda: defaultdict(lambda: [0, 0])), {}
+        for t in texts:
+            for ctx, q, bit in self.steps(t):
+                for d in range(ctw.DEPTH + 1):
+                    self.counts[ctx[:d]][q][bit] += 1
+        self.kids = defaultdict(list)
+        for s in list(self.counts):
+            self.kids[s[:-1]] += [s] if s else []
+
+    @staticmethod
+    def steps(text):
+        before, low = b"", re.sub(rb"[A-Z]", lambda m: m.group().lower(), text.encode())
+        for word in re.findall(rb"[^\x20\x09-\x0D]+", low) + [b"\n"]:
+            line = word if word == b"\n" else word + b" "
+            for i, byte in enumerate(line):
+                ctx = list(line[:i][::-1] + b" " + (before[-2:][::-1] if i < ctw.HEAD else b""))
+                ctx = tuple([c or ctw.NUL for c in ctx] + [0] * ctw.DEPTH)[:ctw.DEPTH]
+                q = 1
+                for k in range(7, -1, -1):
+                    bit = (byte or ctw.NUL) >> k & 1
+                    yield ctx, q, bit
+                    q = 2 * q + bit
+            before = word
+
+    def of(self, s, q):
+        return self.counts[s][q] if s in self.counts and q in self.counts[s] else (0, 0)
+
+    @staticmethod
     def kt(a, b):
         return math.lgamma(a + .5) + math.lgamma(b + .5) - math.log(math.pi) - math.lgamma(a + b + 1)
 
-    def leaf(s):
-        return len(s) == ctw.DEPTH or s.endswith(b" ")
+    def pw(self, s, q):
+        if (s, q) not in self.memo:
+            own = self.kt(*self.of(s, q))
+            if len(s) < ctw.DEPTH:
+                own = np.logaddexp(own, sum(self.pw(t, q) for t in self.kids[s] if q in self.counts[t])) - math.log(2)
+            self.memo[s, q] = float(own)
+        return self.memo[s, q]
 
-    memo = {}
-
-    def pw(s, q):
-        if (s, q) not in memo:
-            a, b = counts[s][q] if q in counts[s] else (0, 0)
-            own = kt(a, b)
-            if not leaf(s):
-                kids = [t for t in list(counts) if len(t) == len(s) + 1 and t.startswith(s) and q in counts[t]]
-                own = np.logaddexp(own, sum(pw(t, q) for t in kids)) - math.log(2)
-            memo[s, q] = float(own)
-        return memo[s, q]
-
-    def predict(ctx, q, bit):
+    def predict(self, ctx, q, bit):
         p, mass = 0.0, 1.0
-        for d in range(len(ctx) + 1):
+        for d in range(ctw.DEPTH + 1):
             s = ctx[:d]
-            if s not in counts:
-                return p + mass * 0.5
-            a, b = counts[s][q] if q in counts[s] else (0, 0)
-            stay = 1.0 if leaf(s) else math.exp(kt(a, b) - math.log(2) - pw(s, q))
+            a, b = self.of(s, q)
+            stay = 1.0 if d == ctw.DEPTH else math.exp(self.kt(a, b) - math.log(2) - self.pw(s, q))
             p += mass * stay * ((b if bit else a) + .5) / (a + b + 1)
             mass *= 1 - stay
         return p
 
-    return -sum(math.log2(predict(*x)) for x in steps(word))
-
-
-def test_tree_equals_the_recursion(spark):
-    train = [b"the", b"then", b"that", b"an", b"banana", b"bandana", b"th"]
-    n = [5, 2, 3, 4, 2, 1, 7]
-    table = spark.createDataFrame([(w, [c], c) for w, c in zip(train, n)] + [(ctw.END_WORD, [0], 0)],
-                                  "w binary, c array<long>, a long")
-    tree = ctw.context_trees(table, 1, 0.0)[0]
-    asked = [b"the", b"thenan", b"bananas", b"x", "é".encode()]
-    got = ctw.Positions(asked).bits(tree)
-    assert np.allclose(got, [slow_tree(train, n, w) for w in asked], rtol=1e-4)
+    def bits(self, text):
+        return -sum(math.log2(self.predict(*x)) for x in self.steps(text))
+
+
+def slow_scores(rows, group):
+    """Mixture of the trees of all groups for every row of (doc_id, text, group)."""
+    train = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 10]
+    kinds = sorted({group(r) for r in train})
+    sizes = [sum(group(r) == k for r in train) for k in kinds]
+    trees = [SlowTree([r[1] or "" for r in train if group(r) == k]) for k in kinds]
+    out = {}
+    for r in rows:
+        bits = [t.bits(r[1] or "") for t in trees]
+        low = min(bits)
+        mass = sum((n + 1) / (sum(sizes) + len(sizes)) * 2.0 ** (low - x) for n, x in zip(sizes, bits))
+        out[r[0]] = (math.log2(mass) - low) * math.log10(2)
+    return out
+
+
+@pytest.mark.parametrize("frequent", [1e-6, 0.05, 1.0])
+@pytest.mark.parametrize("small_parts", [False, True])
+def test_scores_equal_the_recursion(spark, monkeypatch, frequent, small_parts):
+    if small_parts:                                     # blocks of few units, subtrees apart
+        monkeypatch.setattr(ctw, "BLOCK", 100)
+        monkeypatch.setattr(ctw, "PAIRS", 1)
+    some = ["The cat, the hat", "that thing thins then", "a banana a bandana", "ban an ana", "", None, " \t ", "é à ñandú",
+            "x\x00y zero\x00", "the the the the", "Ünder den Linden", "den Hut, der Hut", "a", "ab abc abcd abcdefghij"]
+    rows = [(i, some[i % len(some)], [("en"), ("de"), None][i % 3]) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    want = slow_scores(rows, lambda r: r[2] or "~")
+    got = {r.doc_id: r.score for r in ctw.score(docs, frequent=frequent).collect()}
+    assert got.keys() == want.keys()
+    assert all(abs(got[k] - want[k]) < 1e-5 * abs(want[k]) for k in want)
+
+
+def test_groups_beyond_the_most_share_a_class(spark):
+    rows = [(i, f"word{i % 7} of group {i % 5}", f"g{min(i % 5, i % 3)}") for i in range(40)]
+    train = Counter(r[2] for r in rows if zlib.crc32(str(r[0]).encode()) % 10)
+    top = min(train, key=lambda g: (-train[g], g))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    want = slow_scores(rows, lambda r: "a" if r[2] == top else "b")
+    got = {r.doc_id: r.score for r in ctw.score(docs, most=1).collect()}
+    assert all(abs(got[k] - want[k]) < 1e-5 * abs(want[k]) for k in want)
+
+
+def test_rows_without_training_cost_eight_bits_a_byte(spark):
+    held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 10 == 0]
+    docs = spark.createDataFrame([(i, "some text") for i in held], "doc_id long, text string").withColumn("lang", F.lit("en"))
+    got = ctw.score(docs).collect()
+    assert len(got) == len(held)
+    assert all(abs(r.score + 8 * 11 * math.log10(2)) < 1e-4 and r.n_known == 0 for r in got)
+
+
+def test_order_of_words_changes_the_score(spark):
+    rows = [(i, "one two three four five six", "en") for i in range(50)]
+    rows += [(1000, "one two three four five six", "en"), (1001, "six three one five two four", "en")]
+    got = {r.doc_id: r.score for r in ctw.score(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert got[1000] > got[1001] + 1
+
+
+def test_every_context_counts_however_large_the_corpus(spark):
+    """One rare word keeps its context among many others."""
+    rows = [(i, "common words here " * 200, "en") for i in range(300)] + [(5002, "qzjxvk", "en")]
+    assert zlib.crc32(b"5002") % 10
+    rows += [(6000, "qzjxvk", "en"), (6001, "kvxjzq", "en")]
+    got = {r.doc_id: r.score for r in ctw.score(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert got[6000] > got[6001] + 2
 
 
 def test_language_on_held_out_rows(more):
