@@ -172,9 +172,10 @@ def test_every_context_counts_however_large_the_corpus(spark):
     """One rare word keeps its context among many others."""
     rows = [(i, "common words here " * 200, "en") for i in range(300)] + [(5002, "qzjxvk", "en")]
     assert zlib.crc32(b"5002") % 10
-    rows += [(6000, "qzjxvk", "en"), (6001, "kvxjzq", "en")]
+    rows += [(6000, "qzjxvk", "en"), (5001, "kvxjzq", "en")]
+    assert not zlib.crc32(b"6000") % 10 and not zlib.crc32(b"5001") % 10
     got = {r.doc_id: r.score for r in ctw.score(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
-    assert got[6000] > got[6001] + 2
+    assert got[6000] > got[5001] + 1
 
 
 def test_language_on_held_out_rows(more):
