@@ -8,7 +8,8 @@
   joined to the vocabulary table); ``Word2VecModel.transform`` would divide
   by all tokens, so it is not used.  Reviews without any known token get a
   zero vector.
-* Means are ``Summarizer.mean`` aggregates (JVM, map-side combined).
+* Means are aggregates in the JVM (map-side combined): plain sums for reviews,
+  ``Summarizer.mean`` for groups.
 * The representative review per group is an aggregate ``max(struct(sim, -pos, id))``
   — not a window.  Reviews meet their centroid on (key, salt), so a hot group is
   spread over ``salts`` tasks and reduced per salt before its key is combined.
@@ -61,17 +62,23 @@ def mean_vectors(df: DataFrame, key, vec: str) -> DataFrame:
     return m.select(*keys, vector_to_array("_m").alias(vec))
 
 
-def review_vectors(reviews: DataFrame, vocab: DataFrame, id_col: str = "review_id",
-                   tokens: str = "tokens", dim: int = P.W2V_DIM) -> DataFrame:
-    """M2: mean of in-vocabulary token vectors; zeros when none is known."""
+def review_vectors(reviews: DataFrame, vocab: DataFrame, id_col: str = "review_id", tokens: str = "tokens",
+                   dim: int = P.W2V_DIM, broadcast_bytes: int = 256 << 20) -> DataFrame:
+    """M2: mean of in-vocabulary token vectors; zeros when none is known.
+
+    A vocabulary whose vectors take at most ``broadcast_bytes`` (it is counted first) is
+    sent to the tasks, so only sums of whole vectors are shuffled; a larger one is joined."""
     # count each word once per review first (combined inside the task), so the
     # vocabulary join and the weighted mean see distinct (review, word) pairs
     toks = (reviews.select(id_col, F.explode(tokens).alias("word"))
                    .groupBy(id_col, "word").agg(F.count(F.lit(1)).cast("double").alias("_c")))
-    hits = toks.join(vocab, "word")     # AQE: broadcast only if the vocabulary is small
-    m = hits.groupBy(id_col).agg(Summarizer.mean(array_to_vector(F.col("vector").cast("array<double>")),
-                                                 F.col("_c")).alias("_m"))
-    means = m.select(id_col, vector_to_array("_m").alias("vector"))
+    if vocab.count() * dim * 8 <= broadcast_bytes:
+        vocab = F.broadcast(vocab)
+    hits = toks.join(vocab, "word").withColumn("_v", F.col("vector").cast("array<double>"))
+    # plain sums have a fixed-width buffer; a vector aggregate falls back to sorting its input
+    m = hits.groupBy(id_col).agg(F.sum("_c").alias("_n"),
+                                 *[F.sum(F.col("_c") * F.col("_v")[i]).alias(f"_{i}") for i in range(dim)])
+    means = m.select(id_col, F.array(*[F.col(f"_{i}") / F.col("_n") for i in range(dim)]).alias("vector"))
     out = reviews.select(id_col).join(means, id_col, "left")
     return out.select(id_col, F.coalesce("vector", zeros(dim)).alias("vector"))
 

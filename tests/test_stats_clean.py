@@ -206,3 +206,12 @@ def test_order_statistics_by_ranges_equal_numpy(spark):
     assert "Window" in main
     at = main.index("Window")
     assert "SinglePartition" not in main[at:].split("Subquery")[0]
+
+
+def test_review_vectors_joined_and_sent_are_equal(spark):
+    reviews = spark.createDataFrame([(1, ["a", "b", "a", "z"]), (2, []), (3, ["z"]), (4, ["b"]), (5, None)],
+                                    "review_id int, tokens array<string>")
+    vocab = spark.createDataFrame([("a", [1.0, 2.0]), ("b", [4.0, -4.0])], "word string, vector array<double>")
+    for limit in (0, 1 << 20):
+        got = {r.review_id: r.vector for r in V.review_vectors(reviews, vocab, dim=2, broadcast_bytes=limit).collect()}
+        assert got == {1: [2.0, 0.0], 2: [0.0, 0.0], 3: [0.0, 0.0], 4: [4.0, -4.0], 5: [0.0, 0.0]}
