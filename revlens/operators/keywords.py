@@ -103,7 +103,8 @@ def long_weight_contributions(weights: DataFrame, reviews: DataFrame, keys: Sequ
     """(keys, label, word, w, d) from a long (review, word, weight) table —
     the same contributions as a per-review weight map, without building one."""
     r = reviews.where(F.col(label).isin(0, 1)).select(id_col, *keys, F.col(label).alias("label"))
-    return (weights.join(r, id_col)
+    # a hash of the narrow side: the long table is not sorted
+    return (weights.join(r.hint("shuffle_hash"), id_col)
                    .select(*keys, "label", "word", F.col("weight").cast("double").alias("w"), F.lit(1).alias("d")))
 
 
@@ -336,13 +337,13 @@ def sentiment_keywords_tfidf(reviews: DataFrame, hierarchy: Sequence[str] = ("ca
 def tfidf_weights(reviews: DataFrame, id_col: str = "review_id", tokens: str = "tokens") -> DataFrame:
     """Long (review, word, weight) with weight = tf * ln(N / df).
 
-    The document-frequency table has one row per word; AQE broadcasts it only
-    when its measured size is under the broadcast threshold, otherwise it is a
-    shuffle join (with skew splitting for hot words)."""
+    The document-frequency table has one row per word; each task hashes its share
+    of it, so the long table of frequencies is shuffled but not sorted (with skew
+    splitting for hot words)."""
     tf = term_frequency(reviews, id_col, tokens)
     n_docs = reviews.agg(F.count_if(F.size(tokens) > 0).cast("double")).scalar()
     dfreq = tf.groupBy("word").agg(F.count(F.lit(1)).alias("_df"))
-    return (tf.join(dfreq, "word")
+    return (tf.join(dfreq.hint("shuffle_hash"), "word")
               .select(id_col, "word", (F.col("tf") * F.log(n_docs / F.col("_df"))).alias("weight")))
 
 
