@@ -70,7 +70,10 @@ def review_vectors(reviews: DataFrame, vocab: DataFrame, id_col: str = "review_i
     sent to the tasks, so only sums of whole vectors are shuffled; a larger one is joined."""
     # count each word once per review first (combined inside the task), so the
     # vocabulary join and the weighted mean see distinct (review, word) pairs
-    toks = (reviews.select(id_col, F.explode(tokens).alias("word"))
+    # the token lists of a review meet first: its counts and its sums are then made where they are;
+    # a null id meets no review in the end
+    toks = (reviews.where(F.col(id_col).isNotNull()).select(id_col, tokens).repartition(id_col)
+                   .select(id_col, F.explode(tokens).alias("word"))
                    .groupBy(id_col, "word").agg(F.count(F.lit(1)).cast("double").alias("_c")))
     if vocab.count() * dim * 8 <= broadcast_bytes:
         vocab = F.broadcast(vocab)
