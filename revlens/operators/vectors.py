@@ -1,9 +1,8 @@
 """Word vectors, review/product vectors and representative reviews.
 
-* Word2Vec is Spark ML's distributed trainer.  It keeps the vocabulary and two
-  matrices (words x dim floats) on the driver and in every task: that is its
-  bound.  The number of partitions is a fixed parameter, so the trained
-  vectors do not depend on the cluster.
+* Word vectors are trained by ``skipgram``: vocabulary and matrices (words x dim
+  floats) are tables, a task holds the words of its block.  The number of blocks
+  does not depend on the cluster.
 * A review vector is the mean of its *in-vocabulary* token vectors (tokens
   joined to the vocabulary table); ``Word2VecModel.transform`` would divide
   by all tokens, so it is not used.  Reviews without any known token get a
@@ -18,9 +17,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.feature import Word2Vec
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
@@ -29,30 +28,34 @@ from pyspark.sql import types as T
 
 from .. import params as P
 from ..functions.vector import cosine, zeros
+from . import skipgram
+
+
+@dataclass
+class WordModel:
+    """Trained words: a table (word, vector ARRAY<FLOAT>)."""
+    vectors: DataFrame
+
+    def getVectors(self) -> DataFrame:
+        return self.vectors
 
 
 def fit_word2vec(reviews: DataFrame, tokens: str = "tokens", dim: int = P.W2V_DIM,
                  window: int = P.W2V_WINDOW, min_count: int = P.W2V_MIN_COUNT, seed: int = 42,
                  num_partitions: int = 8, max_iter: int = 5, max_sentence: int = 100_000,
-                 max_words: int = 5_000_000):
-    """M1: one global skip-gram model over all tokenised reviews, five passes.
-
-    ``num_partitions`` changes the result, so it is explicit; reviews longer than
-    ``max_sentence`` tokens are trained in pieces of that length.  A vocabulary
-    over ``max_words`` raises an error before training: it would not fit the
-    driver."""
-    words = (reviews.select(F.explode(tokens).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-             .where(F.col("n") >= min_count).count())
-    if words > max_words:
-        raise ValueError(f"{words} words of {min_count} or more uses, {max_words} fit: raise min_count")
-    w2v = Word2Vec(vectorSize=dim, windowSize=window, minCount=min_count, seed=seed, numPartitions=num_partitions,
-                   maxIter=max_iter, maxSentenceLength=max_sentence, inputCol=tokens, outputCol="_w2v")
-    return w2v.fit(reviews.select(tokens))        # empty token lists add nothing to training
-
-
-def word_vectors(model) -> DataFrame:
+                 block_tokens: int = 8_000_000) -> WordModel:
+    """M1: one global skip-gram model over all tokenised reviews, five passes (see ``skipgram``).
+
+    The tokens are trained in ``num_partitions`` blocks, or in more of at most ``block_tokens``
+    tokens each; the number changes the result, so it does not follow the cluster.  Reviews longer
+    than ``max_sentence`` tokens are trained in pieces of that length."""
+    return WordModel(skipgram.train(reviews, tokens, dim, window, min_count, seed, num_partitions, max_iter,
+                                    max_sentence, block_tokens))
+
+
+def word_vectors(model: WordModel) -> DataFrame:
     """Vocabulary table (word, vector ARRAY<DOUBLE>)."""
-    return model.getVectors().select("word", vector_to_array("vector").alias("vector"))
+    return model.getVectors().select("word", F.col("vector").cast("array<double>").alias("vector"))
 
 
 def mean_vectors(df: DataFrame, key, vec: str) -> DataFrame:
