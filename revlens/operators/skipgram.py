@@ -18,6 +18,7 @@ order in which Spark reads them.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -303,7 +304,10 @@ def train(reviews: DataFrame, tokens: str, dim: int, window: int, min_count: int
 
 def _train(reviews: DataFrame, tokens: str, dim: int, window: int, min_count: int, seed: int, blocks: int,
            passes: int, max_sentence: int, block_tokens: int) -> DataFrame:
+    from ..session import checkpoint_dir
     from ..sources.documents import _stage
+    spark = reviews.sparkSession
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/staged/vectors-{uuid.uuid4().hex}"
     lists = reviews.select(F.array_compact(tokens).alias("t")).where(F.size("t") > 0)
     total = lists.agg(F.sum(F.size("t").cast("long"))).first()[0]
     if not total:
@@ -328,7 +332,9 @@ def _train(reviews: DataFrame, tokens: str, dim: int, window: int, min_count: in
         trained = (rows.unionByName(sheets).repartitionById(blocks, F.col("block")).sortWithinPartitions("block", "seq")
                        .mapInArrow(_trainer(dim, window, seed, k, passes), TRAINED))
         last = k + 1 == passes
-        at = _stage(trained.repartition(4 * blocks, "id").mapInArrow(
-            _averager(last), "id long, vector array<float>" if last else "id long, block array<int>, local array<int>, data binary"),
-            f"vectors-{k + 1}")
+        means = trained.repartition(4 * blocks, "id").mapInArrow(
+            _averager(last), "id long, vector array<float>" if last else "id long, block array<int>, local array<int>, data binary")
+        path = f"{folder}-{k % 2}"                                  # over the vectors of the pass before the last
+        means.write.mode("overwrite").parquet(path)
+        at = spark.read.schema(means.schema).parquet(path)
     return words.select("id", "word").join(at, "id").select("word", "vector")

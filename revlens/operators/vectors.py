@@ -43,7 +43,7 @@ class WordModel:
 def fit_word2vec(reviews: DataFrame, tokens: str = "tokens", dim: int = P.W2V_DIM,
                  window: int = P.W2V_WINDOW, min_count: int = P.W2V_MIN_COUNT, seed: int = 42,
                  num_partitions: int = 8, max_iter: int = 5, max_sentence: int = 100_000,
-                 block_tokens: int = 8_000_000) -> WordModel:
+                 block_tokens: int = 16_000_000) -> WordModel:
     """M1: one global skip-gram model over all tokenised reviews, five passes (see ``skipgram``).
 
     The tokens are trained in ``num_partitions`` blocks, or in more of at most ``block_tokens``
