@@ -20,14 +20,15 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from numpy.lib.stride_tricks import as_strided
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shuffles_dropped
+
 SHEET = 1024                # tokens in a row of a block
 CHUNK, NOISE = 16, 16       # words that share their negative samples, and how many these are
 BATCH = 512                 # words between two updates of the vectors
@@ -280,25 +281,13 @@ def _averager(last: bool):
 
 
 # ----------------------------------------------------------------- training
-@contextmanager
-def _shuffles_dropped(spark: SparkSession):
-    """Shuffle files of a query go with its end; else those of all passes stay until the driver collects its garbage."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
-    try:
-        yield
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
-
-
 def train(reviews: DataFrame, tokens: str, dim: int, window: int, min_count: int, seed: int, blocks: int,
           passes: int, max_sentence: int, block_tokens: int) -> DataFrame:
     """(word, vector array<float>) of every word of ``min_count`` or more uses.
 
     There are ``blocks`` blocks, or as many as hold ``block_tokens`` tokens each: a task's memory is
     bounded by the block, and their number grows with the tokens."""
-    with _shuffles_dropped(reviews.sparkSession):
+    with shuffles_dropped(reviews.sparkSession):
         return _train(reviews, tokens, dim, window, min_count, seed, blocks, passes, max_sentence, block_tokens)
 
 

@@ -92,6 +92,32 @@ def test_embeddings_brute_force(spark):
     assert cosine_components(df.limit(0)).count() == 0
 
 
+def test_pairs_of_tiles_are_not_shuffled(spark, monkeypatch):
+    """The plan that compares tiles has no exchange (before: both vectors' tiles were shuffled for every pair)."""
+    from revlens.llm import embedding_dedup
+    kept, plans = embedding_dedup.stage, {}
+
+    def stage(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return kept(df, name)
+
+    monkeypatch.setattr(embedding_dedup, "stage", stage)
+    rng = np.random.default_rng(4)
+    df = spark.createDataFrame([(i, [float(x) for x in e]) for i, e in enumerate(rng.normal(size=(60, 8)))],
+                               "vec_id long, embedding array<double>")
+    assert cosine_components(df, capacity=5).count() == 60
+    assert "Cartesian" in plans["ego-links"] and "Exchange" not in plans["ego-links"]
+
+
+def test_double_vectors_that_floats_cannot_hold(spark):
+    """Tiles keep the precision of their column; -0 is 0 where vectors are compared."""
+    x, y = 1e-200, 3e-200
+    rows = [(1, [x, y]), (2, [y, x]), (3, [x, y]), (4, [-0.0, 1.0]), (5, [0.0, 1.0]), (6, [1e300, 3e300])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in cosine_components(df, threshold=0.99).collect()}
+    assert got == {1: (2, 1), 2: (0, 2), 3: (2, 1), 6: (2, 1), 4: (1, 4), 5: (1, 4)}
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(50)]
     star = [(100, i) for i in range(101, 160)]
