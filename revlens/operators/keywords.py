@@ -29,12 +29,13 @@ Plan shape (scale notes):
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import params as P
+from ..sources.documents import _stage
 
 DEFAULT_LEVELS = (("global", P.MIN_DOC_FREQ_GLOBAL),
                   ("category", P.MIN_DOC_FREQ_CATEGORY),
@@ -56,12 +57,15 @@ def eligible(reviews: DataFrame, label: str = "label", tokens: str = "tokens") -
 
 # ----------------------------------------------------------------- A2
 def term_frequency(reviews: DataFrame, id_col: str = "review_id", tokens: str = "tokens",
-                   keep: Sequence[str] = ()) -> DataFrame:
+                   keep: Sequence[str] = (), words: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """One row per (review, distinct word): ``freq`` and ``tf = freq / |tokens|``.
 
     All tokens of a review sit in one row, so the partial aggregate resolves
-    each review inside its task; the exchange carries distinct words only."""
+    each review inside its task; the exchange carries distinct words only.
+    ``words`` picks among the rows of a word each (column ``word``) before they are counted."""
     ex = reviews.select(*keep, id_col, F.size(tokens).alias("_n"), F.explode(tokens).alias("word"))
+    if words is not None:
+        ex = words(ex)
     return (ex.groupBy(*keep, id_col, "word")
               .agg(F.count(F.lit(1)).alias("freq"), F.first("_n").alias("_n"))
               .select(*keep, id_col, "word", "freq", (F.col("freq") / F.col("_n")).alias("tf")))
@@ -334,17 +338,38 @@ def sentiment_keywords_tfidf(reviews: DataFrame, hierarchy: Sequence[str] = ("ca
     return score_keywords(contrib, totals, hierarchy, levels, top_n, n_docs=n_docs)
 
 
-def tfidf_weights(reviews: DataFrame, id_col: str = "review_id", tokens: str = "tokens") -> DataFrame:
+def _met_lists(reviews: DataFrame, id_col: str, tokens: str, tasks: int, mark: str = "\x01") -> DataFrame:
+    """(id, tokens) partitioned by id.  A list travels as one text with ``mark`` between its words, which takes
+    half as much as an array; a list with a null or with ``mark`` in a word travels as it is."""
+    odd = (F.size(tokens) <= 0) | F.exists(tokens, lambda t: t.isNull() | t.contains(mark))
+    moved = reviews.select(id_col, F.when(~odd, F.array_join(tokens, mark)).alias("_text"),
+                           F.when(odd, F.col(tokens)).alias("_list")).repartition(tasks, id_col)
+    return moved.select(id_col, F.coalesce(F.split("_text", mark, -1), F.col("_list")).alias(tokens))
+
+
+def tfidf_weights(reviews: DataFrame, id_col: str = "review_id", tokens: str = "tokens",
+                  frequent: float = 2.5e-7) -> DataFrame:
     """Long (review, word, weight) with weight = tf * ln(N / df).
 
-    The document-frequency table has one row per word; each task hashes its share
-    of it, so the long table of frequencies is shuffled but not sorted (with skew
-    splitting for hot words)."""
-    tf = term_frequency(reviews, id_col, tokens)
+    The token lists of a review meet, and its words are counted where they are; the long table itself
+    is not shuffled.  The document frequencies (a row a word) are staged.  Words with a share of
+    ``frequent`` or more of all (review, word) pairs, 1 / ``frequent`` of them at most, are sent to all
+    tasks; the pairs of the other words go to their word and back to their review.  The result is
+    partitioned by review."""
+    spark = reviews.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lists = _met_lists(reviews, id_col, tokens, tasks)
+    dfreq = _stage(term_frequency(lists, id_col, tokens).groupBy("word").agg(F.count(F.lit(1)).alias("_df")),
+                   "document-frequencies")
     n_docs = reviews.agg(F.count_if(F.size(tokens) > 0).cast("double")).scalar()
-    dfreq = tf.groupBy("word").agg(F.count(F.lit(1)).alias("_df"))
-    return (tf.join(dfreq.hint("shuffle_hash"), "word")
-              .select(id_col, "word", (F.col("tf") * F.log(n_docs / F.col("_df"))).alias("weight")))
+    least = dfreq.agg(F.sum("_df") * frequent).first()[0] or 0
+    common, rest = F.broadcast(dfreq.where(F.col("_df") >= least)), dfreq.where(F.col("_df") < least)
+    weight = (F.col("tf") * F.log(n_docs / F.col("_df"))).alias("weight")
+    known = term_frequency(lists, id_col, tokens, words=lambda w: w.join(common.select("word"), "word", "left_semi"))
+    rare = term_frequency(lists, id_col, tokens, words=lambda w: w.join(common.select("word"), "word", "left_anti"))
+    return (known.join(common, "word").select(id_col, "word", weight)
+            .unionByName(rare.join(rest.hint("shuffle_hash"), "word").select(id_col, "word", weight)
+                         .repartition(tasks, id_col)))
 
 
 # ----------------------------------------------------------------- A7 / J8

@@ -126,3 +126,35 @@ def test_texts_are_tokenised_once(spark, name):
     df = catalog.QUERIES[name](spark, d)
     assert df.count() > 0
     assert not [f for f in df.inputFiles() if "documents.parquet" in f]
+
+
+def test_weights_of_common_and_rare_words(spark):
+    """Words above and below the bound, repeated ids, empty lists, nulls and the mark between the words of a list."""
+    import math
+    rows = [(1, ["a", "b", "a"]), (2, ["a", "c\x01c"]), (3, ["a", None, "b"]), (4, []), (5, None), (6, ["", "a"]),
+            (7, ["d", "e"]), (7, ["d", "a"]), (None, ["f", "a"])]
+    r = spark.createDataFrame(rows, "review_id int, tokens array<string>")
+    n = sum(1 for _, t in rows if t)
+    sets = {}
+    for k, t in rows:
+        sets.setdefault(k, set()).update(w for w in t or [] if w is not None)
+    df = {w: sum(w in s for s in sets.values()) for w in set().union(*sets.values())}
+    want = sorted((str(k), w, round(sum((t or []).count(w) for i, t in rows if i == k) / len(next(t for i, t in rows if i == k and t))
+                                    * math.log(n / df[w]), 9)) for k, s in sets.items() for w in s)
+    for bound in (0.0, 0.2, 1.1):
+        got = K.tfidf_weights(r, frequent=bound).collect()
+        assert sorted((str(x.review_id), x.word, round(x.weight, 9)) for x in got) == want
+
+
+def test_weights_stay_with_their_review(spark):
+    """The long table is not shuffled by what reads it by review (before: three shuffles of all its rows)."""
+    r = spark.createDataFrame([(i, ["a", f"b{i % 7}", f"c{i}"], i % 2, "k") for i in range(50)],
+                              "review_id int, tokens array<string>, label int, category string")
+    w = K.tfidf_weights(r, frequent=0.1)
+    maps = w.groupBy("review_id").agg(F.collect_list("word").alias("words"))
+    long = K.long_weight_contributions(w, r, ["category"])
+    for plan in (maps, long):
+        text = plan._jdf.queryExecution().sparkPlan().toString(), plan._jdf.queryExecution().executedPlan().toString()
+        top = text[1][:text[1].index("Union")]
+        assert "Exchange" not in top, top
+    assert maps.count() == 50 and long.count() == 150
