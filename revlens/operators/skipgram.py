@@ -51,6 +51,19 @@ def _matrix(column: pa.Array, kind) -> np.ndarray:
     return np.frombuffer(column.buffers()[2], np.uint8)[ends[0]:ends[-1]].reshape(len(column), -1).view(kind)
 
 
+def _pressed(rows: np.ndarray) -> pa.Array:
+    """One binary value for each row of a matrix, compressed: most numbers of a text are small."""
+    return pa.array([pa.compress(np.ascontiguousarray(r), codec="zstd", asbytes=True) for r in rows], pa.binary())
+
+
+def _unpressed(column: pa.Array, size: int) -> np.ndarray:
+    """The numbers of compressed rows of ``size`` numbers, one after the other."""
+    out = np.empty((len(column), size), np.int32)
+    for i, r in enumerate(column):
+        out[i] = np.frombuffer(pa.decompress(r.as_buffer(), size * 4, codec="zstd"), np.int32)
+    return out.ravel()
+
+
 # ----------------------------------------------------------------- blocks
 def _encoder(window: int):
     """Tasks' function: the token lists of a block as rows of numbers, and its words with their uses.
@@ -81,7 +94,7 @@ def _encoder(window: int):
         for s in range(0, len(rows), 1000):
             r, n = rows[s:s + 1000], len(rows[s:s + 1000])
             yield _encoded(block, np.arange(s, s + n), pa.nulls(n, pa.string()), pa.nulls(n, pa.int32()),
-                           pa.nulls(n, pa.int64()), _binary(r))
+                           pa.nulls(n, pa.int64()), _pressed(r))
         for s in range(0, len(words), 10_000):
             w = words[s:s + 10_000]
             yield _encoded(block, np.full(len(w), -1), w, pa.array(np.arange(s + 1, s + 1 + len(w)), pa.int32()),
@@ -207,7 +220,7 @@ def _trainer(dim: int, window: int, seed: int, k: int, passes: int):
                     word.append(b.column("id").slice(0, n).to_numpy())
                     data.append(_matrix(b.column("data").slice(0, n), np.float16 if k else np.uint64).copy())
                 if n < len(b):
-                    sheets.append(_matrix(b.column("data").slice(n), np.int32).ravel().copy())
+                    sheets.append(_unpressed(b.column("data").slice(n), SHEET))
             if not word:
                 continue
             local, word = np.concatenate(local), np.concatenate(word)

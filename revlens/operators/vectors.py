@@ -66,11 +66,12 @@ def mean_vectors(df: DataFrame, key, vec: str) -> DataFrame:
 
 
 def review_vectors(reviews: DataFrame, vocab: DataFrame, id_col: str = "review_id", tokens: str = "tokens",
-                   dim: int = P.W2V_DIM, broadcast_bytes: int = 256 << 20) -> DataFrame:
+                   dim: int = P.W2V_DIM, broadcast_bytes: int = 256 << 20, block_tokens: int = 16_000_000) -> DataFrame:
     """M2: mean of in-vocabulary token vectors; zeros when none is known.
 
     A vocabulary whose vectors take at most ``broadcast_bytes`` (it is counted first) is
-    sent to the tasks, so only sums of whole vectors are shuffled; a larger one is joined."""
+    sent to the tasks, so only sums of whole vectors are shuffled; of a larger one each block of
+    ``block_tokens`` tokens gets the vectors of its own words (``_block_sums``)."""
     # count each word once per review first (combined inside the task), so the
     # vocabulary join and the weighted mean see distinct (review, word) pairs
     # the token lists of a review meet first: its counts and its sums are then made where they are;
@@ -79,8 +80,10 @@ def review_vectors(reviews: DataFrame, vocab: DataFrame, id_col: str = "review_i
                    .select(id_col, F.explode(tokens).alias("word"))
                    .groupBy(id_col, "word").agg(F.count(F.lit(1)).cast("double").alias("_c")))
     if vocab.count() * dim * 8 <= broadcast_bytes:
-        vocab = F.broadcast(vocab)
-    hits = toks.join(vocab, "word").withColumn("_v", F.col("vector").cast("array<double>"))
+        hits = toks.join(F.broadcast(vocab), "word").withColumn("_v", F.col("vector").cast("array<double>"))
+    else:
+        hits = _block_sums(reviews.where(F.col(id_col).isNotNull()).select(F.col(id_col), F.col(tokens).alias("tokens")),
+                           vocab, id_col, dim, block_tokens)
     # plain sums have a fixed-width buffer; a vector aggregate falls back to sorting its input
     m = hits.groupBy(id_col).agg(F.sum("_c").alias("_n"),
                                  *[F.sum(F.col("_c") * F.col("_v")[i]).alias(f"_{i}") for i in range(dim)])
@@ -89,6 +92,109 @@ def review_vectors(reviews: DataFrame, vocab: DataFrame, id_col: str = "review_i
     return out.select(id_col, F.coalesce("vector", zeros(dim)).alias("vector"))
 
 
+def _block_sums(reviews: DataFrame, vocab: DataFrame, id_col: str, dim: int, block_tokens: int) -> DataFrame:
+    """(id, _c, _v): number of known tokens and mean of their vectors, for every row of ``reviews`` that has any.
+
+    The rows are dealt into blocks by their id.  A block's distinct words go to the vocabulary and their
+    vectors to the block, so what is shuffled grows with the words of the blocks, and no row is shuffled
+    for each word of a review.  Vectors that single floats hold exactly travel as such."""
+    import pyarrow as pa
+
+    from ..sources.documents import _stage
+
+    total = reviews.agg(F.sum(F.when(F.size("tokens") > 0, F.size("tokens").cast("long")))).first()[0] or 0
+    blocks = max(8, -(-total // block_tokens))
+    row_id = reviews.schema[id_col].dataType
+    schema = T.StructType([T.StructField("block", T.IntegerType()), T.StructField("seq", T.IntegerType()),
+                           T.StructField("word", T.StringType()), T.StructField("local", T.IntegerType()),
+                           T.StructField("id", row_id), T.StructField("data", T.BinaryType())])
+
+    def encode(batches):
+        from pyspark import TaskContext
+        block, local = TaskContext.get().partitionId(), {}
+
+        def rows(seq, word, at, ids, data):
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(seq), block), pa.int32()), pa.array(seq, pa.int32()), word, at,
+                                               ids, data], names=["block", "seq", "word", "local", "id", "data"])
+
+        for b in batches:
+            lists = b.column(1)
+            if not len(lists):
+                continue
+            words = lists.flatten().cast(pa.string()).dictionary_encode()
+            known, fresh = words.dictionary.to_pylist(), []
+            place = np.empty(len(known) + 1, np.int32)
+            place[-1] = -1                           # a null is no word
+            for i, w in enumerate(known):
+                if w not in local:
+                    local[w] = len(local)
+                    fresh.append(w)
+                place[i] = local[w]
+            codes = place[words.indices.fill_null(len(known)).to_numpy()]
+            size = np.diff(lists.offsets.to_numpy()) * np.asarray(lists.is_valid())
+            ends = np.append(0, np.cumsum(size))
+            data = pa.array([pa.compress(codes[s:e], codec="zstd", asbytes=True) for s, e in zip(ends[:-1], ends[1:])], pa.binary())
+            yield rows(size, pa.nulls(len(b), pa.string()), pa.nulls(len(b), pa.int32()), b.column(0), data)
+            if fresh:
+                yield rows(np.full(len(fresh), -1), pa.array(fresh, pa.string()),
+                           pa.array(np.arange(len(local) - len(fresh), len(local)), pa.int32()),
+                           pa.nulls(len(fresh), b.column(0).type), pa.nulls(len(fresh), pa.binary()))
+
+    def packed(batches):
+        for b in batches:
+            flat = b.column("vector").flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(b), dim)
+            single = flat.astype(np.float32)
+            yield pa.RecordBatch.from_arrays([b.column("word"), skipgram._binary(single if (single == flat).all() else flat)],
+                                             names=["word", "data"])
+
+    def known(column):
+        """The vectors of a column, of single or double floats."""
+        size = np.array([len(x) for x in column.to_pylist()])
+        if (size == size[0]).all():
+            return skipgram._matrix(column, np.float32 if size[0] == 4 * dim else np.float64).copy()
+        return np.array([np.frombuffer(x, np.float32 if len(x) == 4 * dim else np.float64) for x in column.to_pylist()], float)
+
+    def sums(batches):
+        for _, parts in skipgram._blocks(batches):
+            vectors, place, where = [], [], None
+            while parts:                             # the words of the block, then its reviews
+                b = parts.pop(0)
+                n = int((b.column("seq").to_numpy() < 0).sum())
+                if n:
+                    place.append(b.column("local").slice(0, n).to_numpy())
+                    vectors.append(known(b.column("data").slice(0, n)))
+                if n == len(b) or where is None and not place:
+                    continue
+                if where is None:
+                    place, vectors = np.concatenate(place), np.concatenate(vectors)
+                    where = np.full(int(place.max()) + 1, -1)
+                    where[place] = np.arange(len(place))
+                at, counts, means = [], [], []
+                data, size = b.column("data"), b.column("seq").to_numpy()
+                for i in range(n, len(b)):
+                    codes = np.frombuffer(pa.decompress(data[i].as_buffer(), int(size[i]) * 4, codec="zstd"), np.int32)
+                    codes = where[codes[(codes >= 0) & (codes < len(where))]]
+                    codes = codes[codes >= 0]
+                    if len(codes):
+                        at.append(i)
+                        counts.append(float(len(codes)))
+                        means.append(vectors[codes].mean(axis=0, dtype=float))
+                if at:
+                    ends = pa.array(np.arange(len(at) + 1) * dim, pa.int32())
+                    yield pa.RecordBatch.from_arrays([b.column("id").take(pa.array(at)), pa.array(counts),
+                                                      pa.ListArray.from_arrays(ends, pa.array(np.concatenate(means)))],
+                                                     names=[id_col, "_c", "_v"])
+
+    coded = _stage(reviews.where(F.size("tokens") > 0).repartition(blocks, id_col).mapInArrow(encode, schema), "coded-reviews")
+    binary = vocab.select("word", "vector").mapInArrow(packed, "word string, data binary")
+    own = coded.where("seq < 0").select("block", "seq", "word", "local", "id").join(binary, "word").drop("word")
+    rows = own.unionByName(coded.where("seq >= 0").drop("word"))
+    out = T.StructType([T.StructField(id_col, row_id), T.StructField("_c", T.DoubleType()),
+                        T.StructField("_v", T.ArrayType(T.DoubleType()))])
+    return _stage(rows.repartitionById(blocks, F.col("block")).sortWithinPartitions("block", "seq").mapInArrow(sums, out),
+                  "review-sums")
+
+
 def centroids(vectors: DataFrame, key: str, vec: str = "vector") -> DataFrame:
     """Product vector = mean of its review vectors (zero vectors included)."""
     return mean_vectors(vectors, key, vec)
